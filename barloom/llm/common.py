@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +62,7 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
     if not batch.num_rows:
         return
     col = batch.column(batch.schema.get_field_index(column))
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0), dtype=np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(col), 0), dtype=np.int64)
     group = np.cumsum(sizes) // limit
     edges = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(sizes)]])
     for a, b in zip(edges[:-1], edges[1:], strict=True):

@@ -6,18 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join
+from . import jaccard_join, packing, substring_dedup, token_counts
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_docs(spark, sf_dir), "byte_bpe_50k.json", limit=1024)
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_words(_docs(spark, sf_dir), width=50).drop("kept_text")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_docs(spark, sf_dir), size=1024, tokenizer="byte_bpe_50k.json", end_id=0)
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_docs(spark, sf_dir), k=3, percent=90)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_counts": op2_token_counts,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op10_packing": op10_packing,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
 ORACLE_SQL: dict[str, str] = {}
