@@ -45,6 +45,12 @@ PARSED = "doc_id long, n_words long, sha string, symbols array<long>"
 WINDOWS = "doc_id long, sha string, text string, at array<int>, k1 array<long>, k2 array<long>"
 
 
+def usable(p: "Symbols", counts: np.ndarray, width: int) -> np.ndarray:
+    """Symbols that stand, with all they depend on, in at least one window of their text."""
+    end = np.cumsum(counts)[p.doc]
+    return (p.hi - p.lo <= width) & (p.lo >= end - counts[p.doc]) & (p.hi <= end) & (counts[p.doc] >= width)
+
+
 class Symbols:
     """Symbols of many texts end to end: name, words [start, end), text, and the words [lo, hi) they depend on."""
 
@@ -133,7 +139,7 @@ def _parser(width: int):
                 buf, offsets = text_arrays(part.column(1))
                 s, e, counts = word_spans(buf, offsets, SPACED)
                 p = recompress(word_hashes(buf, s, e), counts)
-                use = (p.hi - p.lo <= width) & (counts[p.doc] >= width)
+                use = usable(p, counts, width)
                 doc, name = p.doc[use], p.name[use]
                 order = np.lexsort((name, doc))
                 doc, name = doc[order], name[order]
@@ -162,7 +168,7 @@ def _candidates(width: int):
                 lists = part.column(3)
                 known = lists.flatten().to_numpy(zero_copy_only=False).view(U64)
                 owner = np.repeat(np.arange(len(counts)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
-                use = p.hi - p.lo <= width
+                use = usable(p, counts, width)
                 names, docs, lo, hi = p.name[use], p.doc[use], p.lo[use], p.hi[use]
                 shared = np.isin(mix(names) + docs.astype(U64), mix(known) + owner.astype(U64))
                 alone = ~shared
