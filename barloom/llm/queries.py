@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, packing, substring_dedup, token_counts
+from . import jaccard_join, language_id, license_scan, mixing, packing, substring_dedup, token_counts, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_docs(spark, sf_dir)).drop("blocks")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_docs(spark, sf_dir), "byte_bpe_50k.json", limit=1024)
 
@@ -25,13 +29,30 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_docs(spark, sf_dir), size=1024, tokenizer="byte_bpe_50k.json", end_id=0)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(_docs(spark, sf_dir), weights=(3.0, 1.0, 2.0), share=1.5, most=2.0)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score_toxicity(_docs(spark, sf_dir), labels, threshold=0.3).drop("segments")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_docs(spark, sf_dir)).drop("spans")
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_docs(spark, sf_dir), k=3, percent=90)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_token_counts": op2_token_counts,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_mixing": op4_mixing,
+    "op5_toxicity": op5_toxicity,
+    "op8_language_id": op8_language_id,
     "op10_packing": op10_packing,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
