@@ -33,9 +33,9 @@ BEGINNINGS = (4, 5, 6)
 TRAIN_ROWS, MOST_FEATURES = 40_000, 20_000
 #: Dirichlet prior: so many further documents show a feature, of either label in proportion.
 PRIOR = 3.0
-LEAST_Z, LEAST_WEIGHT, MOST_WEIGHT = 4.0, 1.5, 6.0
+LEAST_Z, LEAST_WEIGHT, MOST_WEIGHT = 4.5, 2.5, 6.0
 #: What a word without evidence adds; negative, so that segments end.
-DRIFT = -0.25
+DRIFT = -0.1
 RESULT = "doc_id long, n_words int, evidence double, segments array<struct<first_word:int,n_words:int,score:double>>"
 
 
