@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, language_id, license_scan, mixing, packing, substring_dedup, token_counts, toxicity
+from . import embedding_dedup, jaccard_join, language_id, license_scan, media, mixing, packing, substring_dedup, token_counts, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +38,16 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(_docs(spark, sf_dir), labels, threshold=0.3).drop("segments")
 
 
+def op6_media_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images rendered from all embeddings; those with an id divisible by 50, cropped and brightened, are the queries."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return media.matching_images(media.rendered(vectors.where("vec_id % 50 = 0"), edit=True), media.rendered(vectors))
+
+
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.95)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_docs(spark, sf_dir)).drop("spans")
 
@@ -52,6 +62,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,
+    "op6_media_copies": op6_media_copies,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_language_id": op8_language_id,
     "op10_packing": op10_packing,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
