@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -204,6 +205,29 @@ def _labeller(model, penalty: float):
     return run
 
 
+def _filter(model, penalty: float, least: float):
+    label = _labeller(model, penalty)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = pa.Table.from_batches([pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column(0), batch.column(1)], ["doc_id", "text", "lettered"])])
+            out = pa.Table.from_batches(list(label(part.to_batches()))) if batch.num_rows else None
+            if out is not None:
+                ok = pc.and_(pc.not_equal(out["lang_pred"], "und"), pc.greater_equal(out["score"], least)).combine_chunks()
+                yield pa.RecordBatch.from_arrays(batch.columns[2:], batch.schema.names[2:]).filter(ok)
+
+    return run
+
+
+def accepted(docs: DataFrame, least: float = 0.4, train_rows: int = TRAIN_ROWS, penalty: float = SWITCH_PENALTY) -> DataFrame:
+    """The documents, columns as given, that have a language with at least the share ``least`` of their words."""
+    text = F.col("text").cast("string")
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.col("lang").cast("string").alias("lang"))
+    model = docs.sparkSession.sparkContext.broadcast(train(known, train_rows))
+    rows = docs.select(text.alias("_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_lettered"), *[docs[c] for c in docs.columns])
+    return rows.mapInArrow(_filter(model, penalty, least), docs.schema)
+
+
 def identify(docs: DataFrame, train_rows: int = TRAIN_ROWS, penalty: float = SWITCH_PENALTY) -> DataFrame:
     """Columns doc_id, held_out, lang_pred, score (share of the words that have that label), spans."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))

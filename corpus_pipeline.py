@@ -1,21 +1,55 @@
-"""From raw documents to packed training sequences; each stage calls one operator of barloom.llm."""
+"""From raw documents to packed training sequences; each stage calls one operator of barloom.llm.
+
+Every stage takes what its predecessor kept and returns rows with the columns of documents, the last one
+pieces of packed sequences. No stage can be stated as a whole in SQL (language models, a tokenizer), so
+there is no oracle; tests compare the stages with brute force.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import jaccard_join
+from barloom.llm import jaccard_join, language_id, mixing, packing, substring_dedup
 from barloom.llm.common import materialize
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or without a language that holds two fifths of their words, go."""
+    return language_id.accepted(docs, least=0.4)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies stays, that with the smallest doc_id."""
-    keep = jaccard_join.jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi")
+    """One document of each component of near copies stays, that with the smallest doc_id; wordless texts stay."""
+    gone = jaccard_join.jaccard_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words in windows that an earlier document has go; documents of which nothing is left go."""
+    cut = substring_dedup.repeated_words(docs).where("n_removed > 0").select("doc_id", F.col("kept_text").alias("_kept")).dropDuplicates(["doc_id"])
+    out = docs.join(cut, "doc_id", "left").withColumn("text", F.coalesce("_kept", "text"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept")).cast(docs.schema["n_chars"].dataType))
+    return out.where("_kept is null or _kept <> ''").select(*docs.columns)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources to their target weights; a document that the mix takes twice is two rows."""
+    return mixing.mixed_documents(docs)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+STAGES = [
+    ("language_id", known_language),
+    ("ngram_jaccard_join", near_duplicates),
+    ("substring_dedup", repeated_passages),
+    ("mixing", mixed_sources),
+    ("packing", packed_sequences),
+]
 ORACLE_SQL = None
 
 
