@@ -1 +1,242 @@
-"""Queries."""
+"""Queries: bars, calendar and row selection."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import calendar as cal
+from ..operators import bars as b
+from ..operators import rows
+from .harness import Inputs, query
+
+
+def rd(n: int, *names: str):
+    return [F.round(c, n).alias(c) for c in names]
+
+
+@query("t01_dedupe_last", "WITH r AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, l_orderkey, l_linenumber, l_extendedprice, row_number() OVER (PARTITION BY l_suppkey, CAST(l_shipdate AS DATE) ORDER BY l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC) AS i FROM lineitem) SELECT l_suppkey, date, l_orderkey, l_linenumber, l_extendedprice FROM r WHERE i = 1")
+def _(v: Inputs):
+    rows_ = v.lineitem.select("l_suppkey", F.col("l_shipdate").cast("date").alias("date"), "l_orderkey", "l_linenumber", "l_extendedprice")
+    return b.dedupe_by_key(rows_, ["l_suppkey", "date"], [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_extendedprice")], "last")
+
+
+@query("t02_range_with_warmup", "WITH r AS (SELECT code, date, close, row_number() OVER (PARTITION BY code ORDER BY date) AS i FROM bars WHERE date <= DATE '1995-12-31'), f AS (SELECT code, min(i) AS lo FROM r WHERE date >= DATE '1995-03-01' GROUP BY code) SELECT r.code, date, round(close, 9) AS close FROM r JOIN f ON r.code = f.code WHERE i >= lo - 20")
+def _(v: Inputs):
+    return rows.range_with_warmup(v.bars.select("code", "date", "close"), "1995-03-01", "1995-12-31", 20).select("code", "date", *rd(9, "close"))
+
+
+@query("t03_last_n", "WITH r AS (SELECT code, date, close, row_number() OVER (PARTITION BY code ORDER BY date DESC) AS i FROM bars WHERE date <= DATE '1996-06-30') SELECT code, date, round(close, 9) AS close FROM r WHERE i <= 30")
+def _(v: Inputs):
+    return rows.last_n(v.bars.select("code", "date", "close"), 30, "1996-06-30").select("code", "date", *rd(9, "close"))
+
+
+@query("t04_first_last", "SELECT code, min(date) AS first_date, round(min_by(close, date), 9) AS first_value, max(date) AS last_date, round(max_by(close, date), 9) AS last_value FROM bars GROUP BY code")
+def _(v: Inputs):
+    return rows.first_last(v.bars).select("code", "first_date", "last_date", *rd(9, "first_value", "last_value"))
+
+
+QFQ = """l AS (SELECT *, last_value(CASE WHEN tradestatus = 1 THEN close END IGNORE NULLS) OVER (PARTITION BY code ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM bars),
+q AS (SELECT *, CASE WHEN tradestatus = 1 AND preclose > 0 AND prev > 0 AND abs(preclose / prev - 1) > 1e-10 THEN preclose / prev ELSE 1 END AS ratio FROM l),
+adj AS (SELECT *, coalesce(product(ratio) OVER (PARTITION BY code ORDER BY date DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS factor FROM q)"""
+
+
+@query("w07_adjust_qfq", f"WITH {QFQ} SELECT code, date, round(factor, 11) AS qfq_factor, round(open * factor, 9) AS open, round(close * factor, 9) AS close, round(preclose * factor, 9) AS preclose FROM adj")
+def _(v: Inputs):
+    return b.adjust_qfq(v.bars).select("code", "date", *rd(11, "qfq_factor"), *rd(9, "open", "close", "preclose"))
+
+
+@query("t05_recent_adjusted_closes", f"WITH {QFQ}, r AS (SELECT code, date, close * factor AS close, row_number() OVER (PARTITION BY code ORDER BY date DESC) AS i FROM adj) SELECT code, date, round(close, 9) AS close FROM r WHERE i <= 130")
+def _(v: Inputs):
+    return rows.recent_adjusted_closes(v.bars).select("code", "date", *rd(9, "close"))
+
+
+@query("t06_security_view", "WITH r AS (SELECT *, row_number() OVER (ORDER BY date DESC) AS i FROM bars WHERE code = 'sh.600005') SELECT date, code, round(close, 9) AS close, CAST(CASE WHEN pctChg >= 30 THEN 1 ELSE 0 END AS INT) AS limit_up, CAST(CASE WHEN pctChg <= -30 THEN 1 ELSE 0 END AS INT) AS limit_down FROM r WHERE i <= 60")
+def _(v: Inputs):
+    bars = v.bars
+    limits = bars.where("pctChg >= 30 or pctChg <= -30").select("code", "date", F.when(F.col("pctChg") >= 30, 1).otherwise(-1).alias("is_limit_up"))
+    return rows.security_view(bars, limits, "sh.600005", 60).select("date", "code", *rd(9, "close"), "limit_up", "limit_down")
+
+
+@query("t07_long_enough", "WITH c AS (SELECT code FROM bars GROUP BY code HAVING count(*) > 540 ORDER BY code LIMIT 20) SELECT code, date FROM bars WHERE code IN (SELECT code FROM c)")
+def _(v: Inputs):
+    return rows.long_enough(v.bars.select("code", "date"), 540, max_codes=20)
+
+
+@query("t08_valid_keys", "SELECT code, date FROM bars WHERE code_idx - 3 >= 0 AND trade_date_idx - 5 >= 0 AND trade_date_idx - 5 <= 2000")
+def _(v: Inputs):
+    shifted = v.bars.select("code", "date", (F.col("code_idx") - 3).alias("code_idx"), (F.col("trade_date_idx") - 5).alias("trade_date_idx"))
+    return rows.valid_keys(shifted, 2000).select("code", "date")
+
+
+@query("t09_subsample")
+def _(v: Inputs):
+    return rows.subsample(v.bars.select("code", "date", "trade_date_idx"), 0.1, 7)
+
+
+@query("t10_search_master", """WITH m AS (SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS name, c_mktsegment AS alias, lower(c_name) AS n FROM customer),
+t AS (SELECT *, CASE WHEN code = '12' OR n = '12' THEN 0 WHEN starts_with(code, '12') THEN 1 WHEN contains(code, '12') THEN 5 WHEN contains(n, '12') THEN 8 END AS tier FROM m)
+SELECT code, name, CAST(tier AS INT) AS tier FROM (SELECT *, CASE tier WHEN 5 THEN instr(code, '12') WHEN 8 THEN instr(n, '12') ELSE 0 END AS p FROM t WHERE tier IS NOT NULL) ORDER BY tier, p, length(name), code LIMIT 50""")
+def _(v: Inputs):
+    master = v.customer.select(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("name"), F.lit("").alias("initials"), F.lower("c_mktsegment").alias("alias"))
+    return rows.search_master(master, "12", 50)
+
+
+@query("t13_scope_theme_events", "SELECT date, code, zscode FROM theme_events WHERE date >= DATE '1996-01-01' AND zscode <> 'Brand#11'")
+def _(v: Inputs):
+    e = v.theme_events.withColumn("zscode", F.when(F.col("zscode") == "Brand#11", "0").otherwise(F.col("zscode")))
+    return rows.scope_theme_events(e, "1996-01-01").select("date", "code", "zscode")
+
+
+@query("c25_normalise_idle", "SELECT code, date, round(volume, 4) AS volume, round(amount, 4) AS amount, round(CASE WHEN volume > 0 THEN turn END, 9) AS turn, round(CASE WHEN volume > 0 THEN pctChg END, 9) AS pctChg FROM bars")
+def _(v: Inputs):
+    return b.normalise_idle(v.bars).select("code", "date", *rd(4, "volume", "amount"), *rd(9, "turn", "pctChg"))
+
+
+SHARES = "SELECT code, date, CAST(100 + trade_date_idx AS DOUBLE) AS shares_wan FROM bars WHERE trade_date_idx % 37 = 5"
+
+
+@query("j02_fill_turn", f"""WITH s AS ({SHARES}) SELECT b.code, b.date, round(CASE WHEN tradestatus = 1 THEN volume / (s.shares_wan * 1e4) * 100 END, 11) AS turn FROM bars b ASOF LEFT JOIN s ON b.code = s.code AND b.date >= s.date""")
+def _(v: Inputs):
+    shares = v.bars.where("trade_date_idx % 37 = 5").select("code", "date", (F.col("trade_date_idx") + 100).cast("double").alias("shares_wan"))
+    return b.fill_turn(v.bars, shares).select("code", "date", *rd(11, "turn"))
+
+
+ACTIONS = "SELECT code, date AS ex_date, 0.5 AS dividend_per_share, 0.1 AS per_share_bonus, 0.0 AS allotment_ratio, 0.0 AS allotment_price FROM bars WHERE (trade_date_idx + code_idx) % 53 = 0"
+
+
+@query("a10_action_sums", "SELECT code, CAST(date_trunc('month', date) AS DATE) AS ex_date, round(count(*) * 0.5, 9) AS d, round(count(*) * 0.1, 9) AS b FROM bars WHERE (trade_date_idx + code_idx) % 53 = 0 GROUP BY ALL")
+def _(v: Inputs):
+    acts = v.sql(ACTIONS).withColumn("ex_date", F.trunc("ex_date", "month"))
+    return b.action_sums(acts).select("code", "ex_date", F.round(F.col("d").cast("double"), 6).alias("d"), F.round(F.col("b").cast("double"), 6).alias("b"))
+
+
+@query("j03_reference_price", """WITH t AS (SELECT *, last_value(CASE WHEN tradestatus = 1 THEN close END IGNORE NULLS) OVER w AS pc, last_value(CASE WHEN tradestatus = 1 THEN date END IGNORE NULLS) OVER w AS pd FROM bars WINDOW w AS (PARTITION BY code ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+u AS (SELECT *, coalesce(pc, preclose) AS base, coalesce(pd, date - 1) AS since FROM t),
+a AS (SELECT code, date AS ex FROM bars WHERE (trade_date_idx + code_idx) % 53 = 0),
+f AS (SELECT u.code, u.date, product((base - 0.5) / 1.1 / base) AS factor FROM u JOIN a ON u.code = a.code AND ex > since AND ex <= u.date WHERE tradestatus = 1 GROUP BY u.code, u.date)
+SELECT u.code, u.date, CASE WHEN tradestatus <> 1 THEN NULL WHEN factor IS NULL THEN round(base, 9) ELSE round(base * factor, 2) END AS preclose FROM u LEFT JOIN f ON u.code = f.code AND u.date = f.date WHERE tradestatus = 1""")
+def _(v: Inputs):
+    acts = v.sql(ACTIONS)
+    acts = acts.select("code", "ex_date", *[F.col(c).cast("double").alias(c) for c in acts.columns[2:]])
+    d = b.reference_price(v.bars, acts).where("tradestatus = 1")
+    return d.select("code", "date", F.round("preclose", 9).alias("preclose"))
+
+
+@query("w08_carry_prices", "SELECT code, date, round(CASE WHEN tradestatus = 1 THEN close ELSE coalesce(last_value(CASE WHEN tradestatus = 1 THEN close END IGNORE NULLS) OVER (PARTITION BY code ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), close) END, 9) AS close FROM bars")
+def _(v: Inputs):
+    return b.carry_prices(v.bars).select("code", "date", *rd(9, "close"))
+
+
+@query("a13_base_close", "SELECT c.code, round(x.base_close, 9) AS base_close FROM (SELECT DISTINCT code FROM bars) c LEFT JOIN (SELECT code, max_by(close, date) AS base_close FROM bars WHERE date < DATE '1995-02-01' GROUP BY code) x ON c.code = x.code")
+def _(v: Inputs):
+    return b.base_close(v.bars, "1995-02-01").select("code", *rd(9, "base_close"))
+
+
+@query("j06_densify", """WITH s AS (SELECT code, min(date) AS lo FROM bars WHERE code_idx <= 20 GROUP BY code),
+d AS (SELECT s.code, c.date FROM s JOIN calendar c ON c.date >= s.lo AND c.date <= DATE '1995-12-31'),
+x AS (SELECT d.code, d.date, coalesce(b.tradestatus, 0) AS st, b.close, coalesce(b.volume, 0) AS volume FROM d LEFT JOIN bars b ON b.code = d.code AND b.date = d.date)
+SELECT code, date, CAST(st AS INT) AS tradestatus, round(CASE WHEN st = 1 THEN close ELSE coalesce(last_value(CASE WHEN st = 1 THEN close END IGNORE NULLS) OVER (PARTITION BY code ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), CASE WHEN close > 0 THEN close END) END, 9) AS close, round(volume, 4) AS volume FROM x""")
+def _(v: Inputs):
+    bars = v.bars.where("code_idx <= 20")
+    master = bars.select("code").distinct().withColumns({"list_date": F.lit(None).cast("date"), "delist_date": F.lit(None).cast("date")})
+    return b.densify(bars, v.calendar, master, "1995-12-31").select("code", "date", "tradestatus", *rd(9, "close"), *rd(4, "volume"))
+
+
+@query("w28_simple_return", "SELECT code, date, round(close / lag(close) OVER (PARTITION BY code ORDER BY date) - 1, 9) AS ret1 FROM bars")
+def _(v: Inputs):
+    return b.simple_return(v.bars).select("code", "date", *rd(9, "ret1"))
+
+
+IDLE = "CASE WHEN code_idx % 4 = 0 AND date > DATE '1998-06-01' THEN 0 ELSE tradestatus END"
+
+
+@query("w29_trailing_suspension", f"""WITH x AS (SELECT code, date, {IDLE} AS st, row_number() OVER (PARTITION BY code ORDER BY date DESC) AS i FROM bars), y AS (SELECT *, max(CASE WHEN st <> 0 THEN date END) OVER (PARTITION BY code) AS stop FROM x WHERE i <= 500)
+SELECT code, min(date) AS suspended_since FROM y WHERE stop IS NULL OR date > stop GROUP BY code""")
+def _(v: Inputs):
+    return b.trailing_suspension(v.bars.withColumn("tradestatus", F.expr(IDLE.replace("DATE '", "date'"))))
+
+
+@query("w30_suspended_runs")
+def _(v: Inputs):
+    return b.suspended_runs(v.bars.where("(code_idx + trade_date_idx) % 5 > 0").select("code", "date"), v.calendar, "1995-06-15")
+
+
+@query("w31_merge_suspensions", """WITH l AS (SELECT code, min(date) AS start FROM bars WHERE code_idx % 3 <> 0 GROUP BY code), n AS (SELECT code, max(date) AS start, min(code_idx) % 5 = 0 AS resumed, min(code_idx) % 2 = 0 AS tb FROM bars WHERE code_idx % 3 <> 1 GROUP BY code)
+SELECT coalesce(l.code, n.code) AS code, CASE WHEN coalesce(tb, false) THEN n.start ELSE least(l.start, n.start) END AS start FROM l FULL JOIN n ON l.code = n.code WHERE NOT coalesce(resumed, false)""")
+def _(v: Inputs):
+    ledger = v.bars.where("code_idx % 3 <> 0").groupBy("code").agg(F.min("date").alias("start"))
+    batch = v.bars.where("code_idx % 3 <> 1").groupBy("code").agg(F.max("date").alias("start"), (F.min("code_idx") % 5 == 0).alias("resumed"), (F.min("code_idx") % 2 == 0).alias("traded_before"))
+    return b.merge_suspensions(ledger, batch)
+
+
+@query("w32_fill_status", "SELECT code, date, CAST(coalesce(last_value(CASE WHEN trade_date_idx % 7 = 0 THEN trade_date_idx % 2 END IGNORE NULLS) OVER (PARTITION BY code ORDER BY date), 0) AS INT) AS isST FROM bars")
+def _(v: Inputs):
+    return b.fill_status(v.bars.withColumn("isST", F.when(F.col("trade_date_idx") % 7 == 0, F.col("trade_date_idx") % 2))).select("code", "date", "isST")
+
+
+@query("w33_name_changes", "SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS old_name, c_name || '*' AS name FROM customer WHERE c_custkey % 9 = 0")
+def _(v: Inputs):
+    c = v.customer.select(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("name"), F.lit(1).alias("snap"))
+    later = c.withColumn("name", F.when(F.col("code").cast("long") % 9 == 0, F.concat("name", F.lit("*"))).otherwise(F.col("name"))).withColumn("snap", F.lit(2))
+    return b.name_changes(c.unionByName(later))
+
+
+@query("j20_listed_without_bar", "WITH d AS (SELECT max(date) AS day FROM bars WHERE date <= DATE '1995-06-17') SELECT DISTINCT code FROM bars WHERE code NOT IN (SELECT code FROM bars JOIN d ON date = day)")
+def _(v: Inputs):
+    return b.listed_without_bar(v.bars.select("code", F.lit("L").alias("list_status")).distinct(), v.bars, "1995-06-17")
+
+
+@query("j11_priority_union", "WITH a AS (SELECT code, date, close FROM bars WHERE date >= DATE '1995-01-01'), f AS (SELECT code, min(date) AS d FROM a GROUP BY code) SELECT code, date, round(close, 9) AS close FROM a UNION ALL SELECT b.code, b.date, round(b.close + 1, 9) FROM bars b LEFT JOIN f ON b.code = f.code WHERE f.d IS NULL OR b.date < f.d")
+def _(v: Inputs):
+    x = v.bars.select("code", "date", "close")
+    return b.priority_union(x.where("date >= date'1995-01-01'"), x.withColumn("close", F.col("close") + 1)).select("code", "date", *rd(9, "close"))
+
+
+@query("j12_overlay", "SELECT code, date, round(CASE WHEN tradestatus = 1 AND trade_date_idx % 3 = 0 THEN 9.5 ELSE turn END, 9) AS turn FROM bars")
+def _(v: Inputs):
+    legacy = v.bars.select("code", "date", F.when(F.col("trade_date_idx") % 3 == 0, 9.5).alias("turn"))
+    return b.overlay(v.bars, legacy, ["turn"]).select("code", "date", *rd(9, "turn"))
+
+
+@query("j17_snapshot_diff", "SELECT code, max(date) AS last_date, 'left' AS change FROM bars WHERE code_idx % 7 = 0 GROUP BY code UNION ALL SELECT DISTINCT code, CAST(NULL AS DATE), 'joined' FROM bars WHERE code_idx % 11 = 0 AND code_idx % 7 <> 0")
+def _(v: Inputs):
+    codes = v.bars.select("code", "code_idx").distinct()
+    return b.snapshot_diff(codes.where("code_idx % 7 = 0 or code_idx % 11 <> 0").select("code"), codes.where("code_idx % 7 <> 0").select("code"), v.bars)
+
+
+@query("c04_code_idx", "SELECT c_custkey, CAST(CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE -1 END AS INT) AS code_idx FROM customer")
+def _(v: Inputs):
+    c = v.customer.select("c_custkey", F.col("c_name").alias("code"))
+    m = c.where("c_custkey % 2 = 0").select("code", F.col("c_custkey").cast("int").alias("code_idx"))
+    return cal.with_code_idx(c, m).select("c_custkey", "code_idx")
+
+
+@query("c05_date_idx", "SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 10 = 0 THEN -2 ELSE coalesce(tdi, -1) END AS INT) AS tdi FROM orders LEFT JOIN calendar ON CAST(o_orderdate AS DATE) = date")
+def _(v: Inputs):
+    text = F.when(F.col("o_orderkey") % 10 == 0, "n/a").when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    return cal.with_date_idx(v.orders.select("o_orderkey", text.alias("day")), v.calendar).select("o_orderkey", "tdi")
+
+
+@query("c06_idx_to_date", "SELECT o_orderkey, date AS day FROM orders LEFT JOIN calendar ON tdi = o_orderkey % 3000")
+def _(v: Inputs):
+    return cal.idx_to_date(v.orders.select("o_orderkey", (F.col("o_orderkey") % 3000).cast("int").alias("tdi")), v.calendar).select("o_orderkey", "day")
+
+
+@query("c07_bisect_idx", "SELECT o_orderkey, (SELECT count(*) FROM calendar WHERE date <= CAST(o_orderdate AS DATE)) AS pos FROM orders")
+def _(v: Inputs):
+    return cal.bisect_idx(v.orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("date")), v.calendar).select("o_orderkey", "pos")
+
+
+@query("c08_target_date", "SELECT (SELECT max(date) FROM calendar WHERE date < DATE '1995-06-15') AS target, (SELECT min(date) FROM calendar WHERE date >= DATE '1995-06-15') AS next")
+def _(v: Inputs):
+    return cal.target_date(v.calendar, "1995-06-15 10:00:00", "1995-06-15").crossJoin(cal.next_date(v.calendar, "1995-06-15 10:00:00", "1995-06-15"))
+
+
+@query("c09_is_open", "SELECT o_orderkey, date IS NOT NULL AS open_day FROM orders LEFT JOIN calendar ON date = CAST(o_orderdate AS DATE)")
+def _(v: Inputs):
+    return cal.is_open(v.orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("date")), v.calendar).select("o_orderkey", "open_day")
+
+
+@query("j05_prev_session", "SELECT o_orderkey, max(c.date) AS prev_date, max(tdi) AS prev_tdi FROM orders JOIN calendar c ON c.date < CAST(o_orderdate AS DATE) GROUP BY o_orderkey")
+def _(v: Inputs):
+    return cal.prev_session(v.orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("date")), v.calendar).select("o_orderkey", "prev_date", "prev_tdi")
