@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -34,8 +34,6 @@ def bisect_idx(df: DataFrame, calendar: DataFrame) -> DataFrame:
 def intervals(calendar: DataFrame, close: str = "15:00:00") -> DataFrame:
     """(prev_close, close] of each session: tdi, date, opens_after, closes_at."""
     at = F.to_timestamp(F.concat_ws(" ", F.col("date").cast("string"), F.lit(close)))
-    from pyspark.sql import Window
-
     return calendar.select("tdi", "date", at.alias("closes_at")).withColumn("opens_after", F.lag("closes_at").over(Window.orderBy("tdi")))
 
 
@@ -70,7 +68,7 @@ def to_session(df: DataFrame, calendar: DataFrame, ts: str = "ts") -> DataFrame:
     hit = F.element_at(F.filter("_s", lambda x: x["closes_at"] >= F.col(ts)), 1)
     first = F.when(F.size(F.filter("_s", lambda x: x["closes_at"] >= F.col(ts))) > 0, hit)
     out = out.withColumn("_hit", first).where("_hit is not null")
-    return out.withColumns({"date": F.col("_hit.date"), "tdi": F.col("_hit.tdi"), "minutes_to_close": (F.unix_timestamp("_hit.closes_at") - F.unix_timestamp(ts)) / 60}).drop("_day", "_s", "_hit")
+    return out.withColumns({"date": F.col("_hit.date"), "tdi": F.col("_hit.tdi"), "minutes_to_close": (F.col("_hit.closes_at").cast("double") - F.col(ts).cast("double")) / 60}).drop("_day", "_s", "_hit")
 
 
 def prev_session(df: DataFrame, calendar: DataFrame) -> DataFrame:

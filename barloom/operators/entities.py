@@ -39,18 +39,21 @@ def _scratch(spark: SparkSession) -> None:
 
 
 def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, component) of a graph with edges (a, b): the smallest node reachable; neighbour minimum and pointer jumping."""
+    """(node, component) of a graph with edges (a, b): the smallest node reachable; each round hooks labels to their smallest neighbour and contracts."""
     _scratch(edges.sparkSession)
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    label = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("l")).checkpoint()
+    graph = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
+    label = graph.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
+    graph = graph.where("a <> b")
     for _ in range(most_rounds):
-        near = both.join(label, F.col("b") == F.col("node")).groupBy("a").agg(F.min("l").alias("m"))
-        low = label.join(near, F.col("node") == F.col("a"), "left").select("node", F.col("l").alias("was"), F.least("l", F.coalesce("m", "l")).alias("l"))
-        to = low.select(F.col("node").alias("l"), F.col("l").alias("to"))
-        new = low.join(to, "l", "left").select("node", "was", F.least("l", F.coalesce("to", "l")).alias("l")).checkpoint()
-        label = new.select("node", "l")
-        if not new.where("l <> was").limit(1).count():
-            return label.select("node", F.col("l").alias("component"))
+        if graph.isEmpty():
+            return label
+        hook = graph.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("x"), F.least("a", "m").alias("p")).checkpoint()
+        for _ in range(2):
+            hook = hook.join(hook.select(F.col("x").alias("p"), F.col("p").alias("q")), "p").select("x", F.col("q").alias("p"))
+        hook = hook.checkpoint()
+        label = label.join(hook, F.col("component") == F.col("x"), "left").select("node", F.coalesce("p", "component").alias("component")).checkpoint()
+        ends = graph.join(hook.select(F.col("x").alias("a"), F.col("p").alias("pa")), "a").join(hook.select(F.col("x").alias("b"), F.col("p").alias("pb")), "b")
+        graph = ends.where("pa <> pb").select(F.col("pa").alias("a"), F.col("pb").alias("b")).distinct().checkpoint()
     raise RuntimeError("components did not settle")
 
 

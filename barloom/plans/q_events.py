@@ -1 +1,264 @@
-"""Queries."""
+"""Queries: theme events, trader board, news and entity resolution."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import entities as en
+from ..operators import news, themes
+from .harness import Inputs, query
+
+DAYS = "dd AS (SELECT date, CAST(row_number() OVER (ORDER BY date) - 1 AS INT) AS di FROM (SELECT DISTINCT date FROM theme_events) q), seen AS (SELECT DISTINCT zscode, e.date, di FROM theme_events e JOIN dd ON e.date = dd.date)"
+
+
+@query("w19_group_stats", "SELECT date, code, zscode, zs_name, count(*) OVER w AS size, round(avg(CASE WHEN boards = 1 THEN 1 ELSE 0 END) OVER w, 6) AS first_share FROM theme_events WINDOW w AS (PARTITION BY date, zscode)")
+def _(v: Inputs):
+    return themes.group_stats(v.theme_events).select("date", "code", "zscode", "zs_name", "size", F.round("first_share", 6).alias("first_share"))
+
+
+@query("w18_group_percentile", "SELECT date, code, zscode, zs_name, round(CASE WHEN count(*) OVER (PARTITION BY date, zscode) = 1 THEN 0.5 ELSE percent_rank() OVER (PARTITION BY date, zscode ORDER BY boards) END, 6) AS rank_in_group FROM theme_events")
+def _(v: Inputs):
+    return themes.group_percentile(v.theme_events, "boards", 0.5).select("date", "code", "zscode", "zs_name", F.round("rank_in_group", 6).alias("rank_in_group"))
+
+
+@query("a07_canonical_codes", """WITH m AS (SELECT zs_name, zscode, count(*) AS n FROM theme_events WHERE zscode LIKE 'Brand#1%' GROUP BY ALL), b AS (SELECT zs_name, zscode AS main FROM m QUALIFY row_number() OVER (PARTITION BY zs_name ORDER BY n DESC, zscode) = 1)
+SELECT date, code, e.zs_name, CASE WHEN zscode LIKE 'Brand#1%' THEN zscode ELSE coalesce(main, zscode) END AS zscode FROM theme_events e LEFT JOIN b ON e.zs_name = b.zs_name""")
+def _(v: Inputs):
+    return themes.canonical_codes(v.theme_events, "Brand#1").select("date", "code", "zs_name", "zscode")
+
+
+@query("w20_episodes", f"""WITH {DAYS}, s AS (SELECT *, CASE WHEN di - lag(di) OVER (PARTITION BY zscode ORDER BY di) <= 3 THEN 0 ELSE 1 END AS st FROM seen), e AS (SELECT *, sum(st) OVER (PARTITION BY zscode ORDER BY di) AS ep FROM s)
+SELECT zscode, date, CAST(row_number() OVER (PARTITION BY zscode, ep ORDER BY di) - 1 AS INT) AS age FROM e""")
+def _(v: Inputs):
+    return themes.episodes(themes.appearances(v.theme_events)).select("zscode", "date", "age")
+
+
+@query("w21_appearance_gap", f"WITH {DAYS} SELECT zscode, date, round(coalesce(least(ln(1 + di - lag(di) OVER (PARTITION BY zscode ORDER BY di)) / ln(61), 1.0), 1.0), 6) AS gap FROM seen")
+def _(v: Inputs):
+    return themes.appearance_gap(themes.appearances(v.theme_events)).select("zscode", "date", F.round("gap", 6).alias("gap"))
+
+
+@query("w22_new_face_ratio", f"""WITH {DAYS}, m AS (SELECT zscode, date, list(DISTINCT code) AS members FROM theme_events GROUP BY ALL), j AS (SELECT m.*, di, lag(members) OVER w AS pm, lag(di) OVER w AS pd FROM m JOIN seen USING (zscode, date) WINDOW w AS (PARTITION BY zscode ORDER BY di))
+SELECT zscode, date, round(CASE WHEN di - pd <= 5 THEN 1 - len(list_intersect(members, pm)) / len(members) ELSE 1.0 END, 6) AS new_faces FROM j""")
+def _(v: Inputs):
+    e = v.theme_events
+    return themes.new_face_ratio(e, themes.appearances(e)).select("zscode", "date", F.round("new_faces", 6).alias("new_faces"))
+
+
+@query("w23_reappearance", f"""WITH {DAYS}, d AS (SELECT DISTINCT zscode, code, date FROM theme_events)
+SELECT zscode, code, date, round(least(count(*) OVER (PARTITION BY zscode, code ORDER BY di RANGE BETWEEN 5 PRECEDING AND 1 PRECEDING), 5) / 5.0, 6) AS back FROM d JOIN seen USING (zscode, date)""")
+def _(v: Inputs):
+    e = v.theme_events
+    return themes.reappearance(e, themes.appearances(e)).select("zscode", "code", "date", F.round("back", 6).alias("back"))
+
+
+@query("p03_theme_edges", "SELECT DISTINCT zscode, code FROM theme_events")
+def _(v: Inputs):
+    return themes.theme_edges(v.theme_events)
+
+
+BASE = """base AS (SELECT DISTINCT date, code, zscode AS entity FROM theme_events), tb AS (SELECT date, code, max(boards) AS tb FROM theme_events WHERE code % 3 > 0 GROUP BY ALL),
+lim AS (SELECT CAST(l_shipdate AS DATE) AS date, l_suppkey AS code, max(l_linenumber) AS lb, max(l_discount) AS seal, min(l_tax * 100) AS first_min FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY ALL),
+eb AS (SELECT base.*, coalesce(tb, lb, 1) AS boards, seal, first_min FROM base LEFT JOIN tb USING (date, code) LEFT JOIN lim USING (date, code))"""
+
+
+def _base(v: Inputs):
+    e = v.theme_events
+    members = e.select("date", "code", F.col("zscode").alias("entity")).distinct()
+    limits = v.lineitem.where("l_suppkey % 2 = 0").select(F.col("l_shipdate").cast("date").alias("date"), F.col("l_suppkey").alias("code"), F.col("l_linenumber").alias("consecutive"), F.col("l_discount").alias("seal"), (F.col("l_tax") * 100).alias("first_min"))
+    return themes.event_base(members, e.where("code % 3 > 0"), limits)
+
+
+@query("j19_event_base", f"WITH {BASE} SELECT date, code, entity, CAST(boards AS BIGINT) AS boards, round(seal, 6) AS seal, round(first_min, 6) AS first_min FROM eb")
+def _(v: Inputs):
+    return _base(v).select("date", "code", "entity", F.col("boards").cast("long").alias("boards"), F.round("seal", 6).alias("seal"), F.round("first_min", 6).alias("first_min"))
+
+
+@query("a09_theme_strength", f"WITH {BASE} SELECT date, entity, CAST(max(boards) AS BIGINT) AS max_boards, round(avg(seal), 6) AS mean_seal, round(avg(first_min), 6) AS mean_first, count(*) AS size FROM eb GROUP BY date, entity")
+def _(v: Inputs):
+    return themes.theme_strength(_base(v)).select("date", "entity", F.col("max_boards").cast("long").alias("max_boards"), F.round("mean_seal", 6).alias("mean_seal"), F.round("mean_first", 6).alias("mean_first"), "size")
+
+
+@query("w26_stock_strength", f"WITH {BASE} SELECT date, code, entity, round(least(boards, 10) / 10.0, 6) AS st_boards, round(least(max(boards) OVER w - boards, 10) / 10.0, 6) AS st_dist, CAST(CASE WHEN boards = max(boards) OVER w THEN 1 ELSE 0 END AS INT) AS st_leader, round(ln(1 + coalesce(seal, 0)) / 10, 6) AS st_seal FROM eb WINDOW w AS (PARTITION BY date, entity)")
+def _(v: Inputs):
+    return themes.stock_strength(_base(v)).select("date", "code", "entity", F.round("st_boards", 6).alias("st_boards"), F.round("st_dist", 6).alias("st_dist"), "st_leader", F.round("st_seal", 6).alias("st_seal"))
+
+
+@query("w27_history20", f"WITH {DAYS}, m AS (SELECT DISTINCT e.date, di, code, zscode AS entity FROM theme_events e JOIN dd ON e.date = dd.date) SELECT date, code, entity, round(least(count(*) OVER (PARTITION BY entity, code ORDER BY di ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING), 10) / 10.0, 6) AS st_hist20 FROM m")
+def _(v: Inputs):
+    e = v.theme_events
+    m = e.select("date", "code", F.col("zscode").alias("entity")).distinct().join(themes.appearances(e).select("date", "di").distinct(), "date")
+    return themes.history20(m).select("date", "code", "entity", F.round("st_hist20", 6).alias("st_hist20"))
+
+
+@query("j13_promotion_rate", f"WITH {DAYS}, m AS (SELECT DISTINCT di, code, zscode AS entity FROM theme_events e JOIN dd ON e.date = dd.date), u AS (SELECT DISTINCT di - 1 AS di, code FROM theme_events e JOIN dd ON e.date = dd.date WHERE boards >= 4) SELECT m.di, entity, round(count(u.code) / count(*), 6) AS promoted FROM m LEFT JOIN u ON m.di = u.di AND m.code = u.code GROUP BY m.di, entity")
+def _(v: Inputs):
+    e = v.theme_events
+    m = e.join(themes.appearances(e).select("date", "di").distinct(), "date").select("di", "code", F.col("zscode").alias("entity"), "boards")
+    up = m.where("boards >= 4").select("di", "code", F.lit(1).alias("is_limit_up"))
+    return themes.promotion_rate(m.drop("boards").distinct(), up).select("di", "entity", F.round("promoted", 6).alias("promoted"))
+
+
+@query("j09_carry_events", f"""WITH {DAYS}, m AS (SELECT DISTINCT di, code, zscode AS entity FROM theme_events e JOIN dd ON e.date = dd.date), t AS (SELECT di, entity, count(*) AS size FROM m GROUP BY ALL),
+c AS (SELECT entity, code, di + k AS di, k FROM m, range(5) r(k) WHERE di + k <= (SELECT max(di) FROM m)), o AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY di, code ORDER BY k, entity) = 1)
+SELECT o.di, o.code, o.entity, k / 4 AS ks_days, coalesce(size, 0) AS size FROM o LEFT JOIN t ON o.di = t.di AND o.entity = t.entity""")
+def _(v: Inputs):
+    e = v.theme_events
+    m = e.join(themes.appearances(e).select("date", "di").distinct(), "date").select("di", "code", F.col("zscode").alias("entity")).distinct()
+    return themes.carry_events(m, m.groupBy("di", "entity").agg(F.count("*").alias("size"))).select("di", "code", "entity", "ks_days", "size")
+
+
+@query("j08_merge_family", "WITH o AS (SELECT code_idx, min(trade_date_idx) AS a, 1 AS b FROM bars GROUP BY 1), n AS (SELECT code_idx + 50 AS code_idx, 7 AS b FROM bars GROUP BY 1) SELECT coalesce(o.code_idx, n.code_idx) AS code_idx, coalesce(a, 0) AS a, coalesce(n.b, 0) AS b FROM o FULL JOIN n ON o.code_idx = n.code_idx")
+def _(v: Inputs):
+    old = v.bars.groupBy("code_idx").agg(F.min("trade_date_idx").alias("a")).withColumn("b", F.lit(1))
+    new = v.bars.select((F.col("code_idx") + 50).alias("code_idx")).distinct().withColumn("b", F.lit(7))
+    return themes.merge_family(old, new, ["b"], ["code_idx"])
+
+
+def _board(v: Inputs):
+    side = F.struct("seat", "amount")
+    return v.seats.groupBy("date", "code").agg(F.collect_list(F.when(F.col("side") == "buy", side)).alias("buy"), F.collect_list(F.when(F.col("side") == "sell", side)).alias("sell"), F.sum("amount").alias("turnover"))
+
+
+TRADER = """WITH s AS (SELECT date, code, side, sum(amount) AS total, sum(amount * amount) / greatest(sum(amount) * sum(amount), 1e-12) AS hhi, count(*) AS n, count(*) FILTER (seat IN (0)) AS f, count(*) FILTER (seat IN (1, 2)) AS m FROM seats GROUP BY ALL),
+k AS (SELECT date, code, sum(amount) AS turnover FROM seats GROUP BY ALL)
+SELECT k.date, k.code, round(greatest(-2, least(2, (coalesce(b.total, 0) - coalesce(x.total, 0)) / turnover)), 6) AS net_share, round(coalesce(b.hhi, 0), 6) AS buy_hhi, round(coalesce(x.hhi, 0), 6) AS sell_hhi, round(coalesce(b.m / b.n, 0), 6) AS marked_share, round(coalesce(b.f / b.n, 0) - coalesce(x.f / x.n, 0), 6) AS famous_bias
+FROM k LEFT JOIN s b ON k.date = b.date AND k.code = b.code AND b.side = 'buy' LEFT JOIN s x ON k.date = x.date AND k.code = x.code AND x.side = 'sell'"""
+
+
+@query("a04_trader_features", TRADER)
+def _(v: Inputs):
+    d = themes.trader_features(_board(v), [0], [1, 2])
+    return d.select("date", "code", *[F.round(c, 6).alias(c) for c in ("net_share", "buy_hhi", "sell_hhi", "marked_share", "famous_bias")])
+
+
+@query("a03_seat_profile", "SELECT date, code, round(coalesce(sum(amount * amount) FILTER (side = 'buy') / greatest(sum(amount) FILTER (side = 'buy') * sum(amount) FILTER (side = 'buy'), 1e-12), 0), 6) AS hhi, round(coalesce(count(*) FILTER (side = 'buy' AND seat IN (0)) / nullif(count(*) FILTER (side = 'buy'), 0), 0), 6) AS famous FROM seats GROUP BY ALL")
+def _(v: Inputs):
+    p = themes.seat_profile("buy", "amount", [0], [1, 2])
+    return _board(v).select("date", "code", F.round(p["hhi"], 6).alias("hhi"), F.round(p["famous"], 6).alias("famous"))
+
+
+# ---------------------------------------------------------------- news
+
+TRADING = "nc AS (SELECT date, CAST(row_number() OVER (ORDER BY date) - 1 AS INT) AS tdi FROM (SELECT DISTINCT CAST(ts AS DATE) AS date FROM events WHERE extract(day FROM ts) % 7 <> 0) q)"
+BUCKET = f"""{TRADING}, s AS (SELECT tdi, date, CAST(date AS TIMESTAMP) + INTERVAL 15 HOUR AS closes FROM nc),
+b AS (SELECT n.*, s.date, s.tdi, epoch(closes - n.ts) / 60 AS minutes FROM news n ASOF JOIN s ON n.ts <= s.closes)"""
+
+
+def _calendar(v: Inputs):
+    return v.sql(f"WITH {TRADING} SELECT * FROM nc")
+
+
+@query("j04_to_session", f"WITH {BUCKET} SELECT ts, code, feed, date, tdi, round(minutes, 3) AS minutes_to_close FROM b")
+def _(v: Inputs):
+    return news.to_session(v.news.withColumn("ts", F.col("ts").cast("timestamp")), _calendar(v)).select(F.col("ts").cast("timestamp_ntz").alias("ts"), "code", "feed", "date", "tdi", F.round("minutes_to_close", 3).alias("minutes_to_close"))
+
+
+COUNTS = f"{BUCKET}, c AS (SELECT date, tdi, code, count(*) FILTER (feed = 'em') AS n_em, count(*) FILTER (feed = 'cls') AS n_cls, count(*) FILTER (floor(minutes) <= 60 AND minutes <= 60) AS n_near, min(minutes) AS latest FROM b GROUP BY ALL)"
+
+
+def _counts(v: Inputs):
+    items = v.news.withColumn("ts", F.date_trunc("second", F.col("ts").cast("timestamp")))
+    return news.mention_counts(items, _calendar(v))
+
+
+SEC = COUNTS.replace("FROM news n ASOF", "FROM (SELECT date_trunc('second', ts) AS ts, code, feed FROM news) n ASOF")
+
+
+@query("a05_mention_counts", f"WITH {SEC} SELECT date, code, n_em, n_cls, n_near, round(latest, 3) AS latest FROM c")
+def _(v: Inputs):
+    return _counts(v).select("date", "code", "n_em", "n_cls", "n_near", F.round("latest", 3).alias("latest"))
+
+
+@query("w24_sum3", f"WITH {SEC} SELECT date, code, CAST(sum(n_em + n_cls) OVER (PARTITION BY code ORDER BY tdi RANGE BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS n_3d FROM c")
+def _(v: Inputs):
+    return news.sum3(_counts(v)).select("date", "code", "n_3d")
+
+
+@query("w25_novelty", f"WITH {SEC} SELECT date, code, CAST(CASE WHEN coalesce(tdi - lag(tdi) OVER (PARTITION BY code ORDER BY tdi), 99) > 5 THEN 1 ELSE 0 END AS INT) AS novel FROM c")
+def _(v: Inputs):
+    return news.novelty(_counts(v)).select("date", "code", "novel")
+
+
+@query("i15_news_features", f"WITH {SEC} SELECT date, code, round(ln(1 + n_em) / ln(21), 6) AS nw_em, round(ln(1 + n_near) / ln(11), 6) AS nw_near, round(exp(-latest / 240), 6) AS nw_rec FROM c")
+def _(v: Inputs):
+    items = v.news.withColumn("ts", F.date_trunc("second", F.col("ts").cast("timestamp")))
+    return news.news_features(items, _calendar(v)).select("date", "code", *[F.round(c, 6).alias(c) for c in ("nw_em", "nw_near", "nw_rec")])
+
+
+SUBJECTS = "SELECT CAST(p_partkey % 30 AS INT) AS day, p_type AS subject FROM part"
+NAMES = "SELECT DISTINCT substr(p_type, 2, 3) AS name FROM part"
+
+
+@query("j15_match_names", f"WITH s AS (SELECT DISTINCT p_type AS subject FROM part), n AS ({NAMES}) SELECT subject, name FROM s JOIN n ON contains(subject, name) AND length(name) >= 2")
+def _(v: Inputs):
+    return news.match_names(v.sql(SUBJECTS), v.sql(NAMES))
+
+
+@query("a06_subject_heat", f"WITH s AS ({SUBJECTS}), n AS ({NAMES}) SELECT day AS date, name, count(*) AS heat FROM s JOIN n ON contains(subject, name) AND length(name) >= 2 GROUP BY ALL")
+def _(v: Inputs):
+    return news.subject_heat(v.sql(SUBJECTS).withColumnRenamed("day", "date"), v.sql(NAMES))
+
+
+@query("j16_attach_heat", f"WITH s AS ({SUBJECTS}), n AS ({NAMES}), h AS (SELECT day AS date, name, count(*) AS heat FROM s JOIN n ON contains(subject, name) AND length(name) >= 2 GROUP BY ALL), m AS (SELECT CAST(p_partkey % 30 AS INT) AS date, p_brand AS code, substr(p_type, 2, 3) AS name FROM part) SELECT m.date, code, max(heat) AS heat FROM m JOIN h ON m.date = h.date AND m.name = h.name GROUP BY ALL")
+def _(v: Inputs):
+    heat = news.subject_heat(v.sql(SUBJECTS).withColumnRenamed("day", "date"), v.sql(NAMES))
+    members = v.sql("SELECT CAST(p_partkey % 30 AS INT) AS date, p_brand AS code, substr(p_type, 2, 3) AS name FROM part")
+    return news.attach_heat(members, heat)
+
+
+# ---------------------------------------------------------------- entities
+
+EVENTS = "SELECT CAST(o_orderdate AS DATE) AS date, o_custkey AS code, concat('n', CAST(o_custkey % 40 AS VARCHAR(9)), CASE WHEN o_orderkey % 3 = 0 THEN concat(',n', CAST(o_custkey % 7 AS VARCHAR(9))) ELSE '' END) AS zs_name, concat('c', CAST(o_custkey % 13 AS VARCHAR(9)), CASE WHEN o_orderkey % 3 = 0 THEN ',0' ELSE '' END) AS zscode FROM orders"
+
+
+@query("p02_split_composites", f"WITH e AS ({EVENTS}) SELECT date, code, CAST(unnest(range(len(string_split(zs_name, ',')))) AS INT) AS pos, unnest(string_split(zs_name, ',')) AS name, unnest([CASE WHEN x = '0' THEN '-1' ELSE x END FOR x IN string_split(zscode, ',')]) AS zcode, len(string_split(zs_name, ',')) = 1 AS is_primary FROM e")
+def _(v: Inputs):
+    return en.split_composites(v.sql(EVENTS))
+
+
+def _alias(v: Inputs):
+    return en.alias_stats(en.split_composites(v.sql(EVENTS)))
+
+
+@query("a08_alias_stats", f"WITH e AS ({EVENTS}), x AS (SELECT date, unnest(string_split(zs_name, ',')) AS name, unnest(string_split(zscode, ',')) AS z FROM e) SELECT name, CASE WHEN z = '0' THEN '-1' ELSE z END AS zcode, count(*) AS n, min(date) AS first, max(date) AS last FROM x GROUP BY ALL")
+def _(v: Inputs):
+    return _alias(v)
+
+
+COMPONENTS = """WITH RECURSIVE e AS (SELECT DISTINCT name AS a, code_e AS b FROM alias_pairs), g AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(node, reach) AS (SELECT a, a FROM g UNION SELECT r.node, g.b FROM r JOIN g ON r.reach = g.a)
+SELECT node, min(reach) AS component FROM r GROUP BY node"""
+
+
+@query("g01_connected", COMPONENTS)
+def _(v: Inputs):
+    return en.connected(v.alias_pairs.select(F.col("name").alias("a"), F.col("code_e").alias("b")))
+
+
+@query("g01_resolve_entities")
+def _(v: Inputs):
+    return en.resolve_entities(_alias(v))
+
+
+@query("a08_entity_rollup")
+def _(v: Inputs):
+    a = _alias(v)
+    return en.entity_rollup(a, en.resolve_entities(a))
+
+
+@query("g02_member_table")
+def _(v: Inputs):
+    split = en.split_composites(v.sql(EVENTS))
+    return en.member_table(split, en.resolve_entities(en.alias_stats(split)))
+
+
+@query("a15_review_queue")
+def _(v: Inputs):
+    a = _alias(v)
+    return en.review_queue(a, en.resolve_entities(a))
+
+
+@query("c22_pick_parent")
+def _(v: Inputs):
+    rows = v.part.select(F.col("p_partkey").alias("id"), F.split("p_name", " ").alias("names"), F.lit("").alias("reason"), F.element_at(F.split("p_name", " "), -1).alias("segment"))
+    return en.pick_parent(rows, v.part.select(F.lower("p_brand").alias("segment"), F.col("p_brand").alias("parent")).distinct())
