@@ -160,25 +160,24 @@ def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
 def components(nodes: DataFrame, edges: DataFrame, key: str = "id", most_rounds: int = 60) -> DataFrame:
     """Smallest key reachable from each node: (key, component_id).
 
-    ``edges`` has columns a, b. Rounds of neighbour minimum and pointer jumping run on the
-    nodes that have edges only; each round is written to the shared checkpoint folder and nothing
-    but a sum of changes comes to the driver. Nodes without edges are their own component.
+    ``edges`` has columns a, b. Each round hooks every label to its smallest neighbour's, follows that two steps
+    further and contracts the graph, so the number of labels falls at least by half; rounds are written to the
+    shared checkpoint folder, and only whether edges are left comes to the driver. Nodes without edges are their own.
     """
-    spark = nodes.sparkSession
-    shared_dir(spark)
-    both = edges.select("a", "b").where("a <> b")
-    both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    label = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("l"))
-    label = label.checkpoint()
+    shared_dir(nodes.sparkSession)
+    graph = edges.select("a", "b").where("a <> b")
+    graph = graph.unionByName(graph.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
+    label = graph.select(F.col("a").alias("v"), F.col("a").alias("l")).distinct()
     for _ in range(most_rounds):
-        near = both.join(label, F.col("b") == F.col("v")).groupBy("a").agg(F.min("l").alias("m"))
-        low = label.join(near, F.col("a") == F.col("v"), "left").select("v", F.col("l").alias("was"), F.least("l", F.coalesce("m", "l")).alias("l"))
-        jump = low.select(F.col("v").alias("l"), F.col("l").alias("to"))
-        new = low.join(jump, "l", "left").select("v", "was", F.least("l", F.coalesce("to", "l")).alias("l")).checkpoint()
-        changed = new.where("l < was").limit(1).count()
-        label = new.select("v", "l")
-        if not changed:
+        if graph.isEmpty():
             break
+        hook = graph.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("x"), F.least("a", "m").alias("p")).checkpoint()
+        for _ in range(2):
+            hook = hook.join(hook.select(F.col("x").alias("p"), F.col("p").alias("q")), "p").select("x", F.col("q").alias("p"))
+        hook = hook.checkpoint()
+        label = label.join(hook, F.col("l") == F.col("x"), "left").select("v", F.coalesce("p", "l").alias("l")).checkpoint()
+        ends = graph.join(hook.select(F.col("x").alias("a"), F.col("p").alias("pa")), "a").join(hook.select(F.col("x").alias("b"), F.col("p").alias("pb")), "b")
+        graph = ends.where("pa <> pb").select(F.col("pa").alias("a"), F.col("pb").alias("b")).distinct().checkpoint()
     else:
         raise RuntimeError("components did not settle")
     return nodes.join(label, nodes[key] == label["v"], "left").select(nodes["*"], F.coalesce("l", key).alias("component_id"))
