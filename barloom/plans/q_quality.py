@@ -1 +1,155 @@
-"""Queries."""
+"""Queries: landing merges, gaps, audits and pooled vectors."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import quality as q
+from .harness import Inputs, query
+
+
+def _batches(v: Inputs):
+    d = v.landing
+    return d.where("batch = 1").drop("batch"), d.where("batch = 2").drop("batch")
+
+
+@query("s12_merge_first_wins", "SELECT id, ts, round(value, 6) AS value FROM landing WHERE batch = 1 UNION ALL SELECT id, ts, round(value, 6) FROM landing WHERE batch = 2 AND id NOT IN (SELECT id FROM landing WHERE batch = 1)")
+def _(v: Inputs):
+    old, new = _batches(v)
+    return q.merge_first_wins(old, new, "id", "ts").select("id", "ts", F.round("value", 6).alias("value"))
+
+
+@query("s13_upsert_last_wins", "SELECT id, ts, round(value, 6) AS value FROM landing WHERE batch = 2 UNION ALL SELECT id, ts, round(value, 6) FROM landing WHERE batch = 1 AND id NOT IN (SELECT id FROM landing WHERE batch = 2)")
+def _(v: Inputs):
+    old, new = _batches(v)
+    return q.upsert_last_wins(old, new, ["id"], "ts").select("id", "ts", F.round("value", 6).alias("value"))
+
+
+@query("s14_bucket_by_day", "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM landing GROUP BY 1")
+def _(v: Inputs):
+    return q.bucket_by_day(v.landing).groupBy("day").agg(F.count("*").alias("n"))
+
+
+@query("s15_split_by_universe", "SELECT id % 150 AS code, count(*) AS off_rows FROM announcements WHERE id % 150 NOT IN (SELECT DISTINCT code_idx FROM bars) GROUP BY 1")
+def _(v: Inputs):
+    items = v.announcements.select((F.col("id") % 150).alias("code"))
+    return q.split_by_universe(items, v.bars.select(F.col("code_idx").cast("long").alias("code")))[1]
+
+
+@query("j18_absent_keys", "SELECT id, ts FROM landing WHERE batch = 2 AND id NOT IN (SELECT id FROM landing WHERE batch = 1)")
+def _(v: Inputs):
+    old, new = _batches(v)
+    return q.absent_keys(new, old, ["id"]).select("id", "ts")
+
+
+SPAN = "sp AS (SELECT code, min(date) AS lo, least(max(date), DATE '1995-12-31') AS hi FROM bars WHERE code_idx <= 30 GROUP BY code)"
+
+
+def _span(v: Inputs):
+    return v.bars.where("code_idx <= 30").groupBy("code").agg(F.min("date").alias("lo"), F.least(F.max("date"), F.to_date(F.lit("1995-12-31"))).alias("hi"))
+
+
+@query("j07_gaps", f"WITH {SPAN} SELECT code, c.date FROM sp JOIN calendar c ON c.date BETWEEN lo AND hi WHERE tdi % 6 <> 0 AND NOT EXISTS (SELECT 1 FROM bars b WHERE b.code = sp.code AND b.date = c.date)")
+def _(v: Inputs):
+    ledger = _span(v).select("code").crossJoin(F.broadcast(v.calendar.where("tdi % 6 = 0").select("date")))
+    return q.gaps(v.bars, v.calendar, _span(v), ledger)
+
+
+@query("j10_reconcile", "SELECT code, count(*) FILTER (trade_date_idx % 5 > 0 AND trade_date_idx % 7 > 0) AS n_both, CASE WHEN count(*) FILTER (trade_date_idx % 5 > 0 AND trade_date_idx % 7 > 0 AND trade_date_idx % 11 = 0) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS worst, count(*) FILTER (trade_date_idx % 5 > 0 AND trade_date_idx % 7 > 0 AND trade_date_idx % 11 = 0) > 0 AS differs, count(*) FILTER (trade_date_idx % 5 > 0 AND trade_date_idx % 7 = 0) AS only_a, count(*) FILTER (trade_date_idx % 5 = 0 AND trade_date_idx % 7 > 0) AS only_b FROM bars WHERE trade_date_idx % 35 <> 0 GROUP BY code")
+def _(v: Inputs):
+    a = v.bars.where("trade_date_idx % 5 > 0")
+    b = v.bars.where("trade_date_idx % 7 > 0").withColumn("close", F.col("close") + F.when(F.col("trade_date_idx") % 11 == 0, 0.5).otherwise(0.0))
+    return q.reconcile(a, b).withColumn("worst", F.round("worst", 6))
+
+
+@query("j14_drifted_codes", "SELECT code, bool_or(trade_date_idx % 100 = 0 AND code_idx % 2 = 0) AS drifted FROM bars GROUP BY code")
+def _(v: Inputs):
+    stored = v.bars.select("code", "date", F.when((F.col("trade_date_idx") % 100 == 0) & (F.col("code_idx") % 2 == 0), F.col("close") + 1).otherwise(F.col("close")).cast("float").alias("close"))
+    return q.drifted_codes(v.bars, stored)
+
+
+@query("a14_coverage", "SELECT round(avg(CASE WHEN pctChg > 0 THEN 1 ELSE 0 END) FILTER (pctChg IS NOT NULL), 6) AS pctChg, round(avg(CASE WHEN volume > 0 THEN 1 ELSE 0 END), 6) AS volume FROM bars")
+def _(v: Inputs):
+    d = q.coverage(v.bars, ["pctChg", "volume"])
+    return d.select(F.round("pctChg", 6).alias("pctChg"), F.round("volume", 6).alias("volume"))
+
+
+@query("a14_correlations", "WITH c AS (SELECT corr(open, close) AS r1, corr(open, volume) AS r2, corr(close, volume) AS r3 FROM bars) SELECT a, b, round(r, 6) AS r FROM (SELECT 'open' AS a, 'close' AS b, r1 AS r FROM c UNION ALL SELECT 'open', 'volume', r2 FROM c UNION ALL SELECT 'close', 'volume', r3 FROM c) WHERE abs(r) > 0.7")
+def _(v: Inputs):
+    return q.correlations(v.bars, ["open", "close", "volume"]).withColumn("r", F.round("r", 6))
+
+
+SEG = """WITH RECURSIVE m AS (SELECT DISTINCT code, trade_date_idx AS t FROM bars WHERE code_idx <= 10), o AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY t) AS i FROM m),
+s AS (SELECT code, i, t, t AS lo FROM o WHERE i = 1 UNION ALL SELECT o.code, o.i, o.t, CASE WHEN o.t - s.lo < 60 THEN s.lo ELSE o.t END FROM s JOIN o ON o.code = s.code AND o.i = s.i + 1)
+SELECT code, lo, max(t) AS hi FROM s GROUP BY code, lo"""
+
+
+@query("i05_gap_segments", SEG)
+def _(v: Inputs):
+    return q.gap_segments(v.bars.where("code_idx <= 10").select("code", F.col("trade_date_idx").alias("tdi")), 60)
+
+
+@query("i07_commit_ledger", "SELECT code, date FROM bars WHERE code_idx <= 40 AND trade_date_idx % 9 < 4")
+def _(v: Inputs):
+    b = v.bars.where("code_idx <= 40").select("code", "date", "trade_date_idx")
+    return q.commit_ledger(b.where("trade_date_idx % 9 < 3").drop("trade_date_idx"), b.where("trade_date_idx % 9 in (2, 3)").drop("trade_date_idx"))
+
+
+@query("i08_append_or_rewrite", "SELECT code, bool_and(CASE WHEN tradestatus = 1 THEN close IS NOT NULL AND turn IS NOT NULL AND (i = 1 OR (preclose IS NOT NULL AND pctChg IS NOT NULL)) ELSE volume = 0 AND amount = 0 END) AS append FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY date) AS i FROM bars) x GROUP BY code")
+def _(v: Inputs):
+    return q.append_or_rewrite(v.bars)
+
+
+@query("i09_late_columns", "SELECT code FROM bars WHERE date = DATE '1995-06-15' AND tradestatus = 1 AND code_idx % 2 = 0")
+def _(v: Inputs):
+    b = v.bars.where("date <= date'1995-06-15'").withColumn("turn", F.when((F.col("code_idx") % 2 == 0) & (F.col("date") == F.to_date(F.lit("1995-06-15"))), None).otherwise(F.col("turn")))
+    return q.late_columns(b, "1995-06-15")
+
+
+@query("i10_repair_flags", "WITH x AS (SELECT *, CASE WHEN trade_date_idx % 13 = 0 THEN NULL ELSE close END AS c2 FROM bars) SELECT code, date, CAST(CASE WHEN volume > 0 AND c2 IS NULL THEN 1 ELSE 0 END AS INT) AS bad, CAST(CASE WHEN c2 IS NULL AND count(CASE WHEN tradestatus = 1 THEN c2 END) OVER (PARTITION BY code ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 0 THEN 1 ELSE 0 END AS INT) AS repairable FROM x")
+def _(v: Inputs):
+    return q.repair_flags(v.bars.withColumn("close", F.when(F.col("trade_date_idx") % 13 != 0, F.col("close"))))
+
+
+@query("i11_completeness", f"WITH {SPAN}, m AS (SELECT sp.code, count(*) AS n FROM sp JOIN calendar c ON c.date BETWEEN lo AND hi WHERE NOT EXISTS (SELECT 1 FROM bars b WHERE b.code = sp.code AND b.date = c.date) GROUP BY 1) SELECT sp.code, coalesce(n, 0) AS missing, coalesce(n, 0) = 0 AS complete FROM sp LEFT JOIN m ON sp.code = m.code")
+def _(v: Inputs):
+    return q.completeness(v.bars, v.calendar, _span(v)).select("code", "missing", "complete")
+
+
+@query("i12_freshness", "SELECT code, max(date) AS last_date FROM bars WHERE code_idx % 3 > 0 GROUP BY code HAVING max(date) < DATE '2001-11-20'")
+def _(v: Inputs):
+    return q.freshness(v.bars, "2001-11-20", v.bars.where("code_idx % 3 = 0").select("code").distinct())
+
+
+@query("i13_day_audit", "WITH n AS (SELECT CAST(ts AS DATE) AS day, count(*) AS landed FROM events GROUP BY 1) SELECT day, landed, landed + CAST(extract(day FROM day) AS BIGINT) % 2 AS declared, (landed + extract(day FROM day) % 2 > 340) OR extract(day FROM day) % 2 > 0 AS fallback FROM n")
+def _(v: Inputs):
+    rows = v.events.select(F.to_date("ts").alias("day"))
+    declared = rows.groupBy("day").agg((F.count("*") + F.dayofmonth("day") % 2).alias("declared"))
+    return q.day_audit(rows, declared, 340)
+
+
+@query("i14_changed_only", "SELECT DISTINCT code FROM bars WHERE code_idx % 5 = 0 AND trade_date_idx % 50 = 0")
+def _(v: Inputs):
+    new = v.bars.withColumn("turn", F.when((F.col("code_idx") % 5 == 0) & (F.col("trade_date_idx") % 50 == 0), -1.0).otherwise(F.col("turn")))
+    return q.changed_only(v.bars, new, ["turn", "pctChg"])
+
+
+@query("i01_since_watermark", "SELECT event_id FROM events WHERE event_type <> 'view' OR CAST(ts AS DATE) > DATE '2024-01-10'")
+def _(v: Inputs):
+    state = v.spark.sql("SELECT 'view' AS kind, date'2024-01-10' AS latest")
+    return q.since_watermark(v.events.select("event_id", F.col("event_type").alias("kind"), F.to_date("ts").alias("date")), state).select("event_id")
+
+
+@query("i04_holes", "SELECT CAST(d AS DATE) AS day FROM (SELECT min(CAST(ts AS DATE)) AS a, max(CAST(ts AS DATE)) AS b FROM events WHERE extract(day FROM ts) % 4 <> 0) x, unnest(generate_series(a, b, INTERVAL 1 DAY)) u(d) WHERE extract(day FROM d) % 4 = 0")
+def _(v: Inputs):
+    return q.holes(v.events.where("day(ts) % 4 <> 0").select(F.to_date("ts").alias("day")))
+
+
+@query("a11_pool_vectors", "WITH f AS (SELECT label AS cell, unnest(range(len(embedding))) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings) SELECT CAST(cell AS INT) AS cell, CAST(pos AS INT) AS pos, round(avg(x), 6) AS x FROM f GROUP BY ALL")
+def _(v: Inputs):
+    return q.pool_vectors(v.vectors).select("cell", F.posexplode("vector").alias("pos", "x")).withColumn("x", F.round("x", 6))
+
+
+@query("a12_scale_columns", "WITH f AS (SELECT label AS cell, unnest(range(len(embedding))) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings), p AS (SELECT cell, pos, avg(x) AS x FROM f GROUP BY ALL) SELECT CAST(cell AS INT) AS cell, CAST(pos AS INT) AS pos, round(x / CASE WHEN stddev_pop(x) OVER (PARTITION BY pos) < 1e-6 THEN 1 ELSE stddev_pop(x) OVER (PARTITION BY pos) END, 5) AS x FROM p")
+def _(v: Inputs):
+    return q.scale_columns(q.pool_vectors(v.vectors)).withColumn("x", F.round("x", 5))

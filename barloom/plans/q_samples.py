@@ -1 +1,71 @@
-"""Queries."""
+"""Queries: training samples."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import samples as s
+from .harness import Inputs, query
+
+IDS = "ids AS (SELECT code, date FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY date) AS n FROM bars) x WHERE n >= 30 AND date >= DATE '1996-01-01' AND date < DATE '1997-01-01')"
+
+
+def _ids(v: Inputs):
+    return s.sample_ids(v.bars, 25, 5, "1996-01-01", "1997-01-01")
+
+
+@query("d01_sample_ids", f"WITH {IDS} SELECT code, date FROM ids")
+def _(v: Inputs):
+    return _ids(v)
+
+
+@query("d02_gate_windows", "WITH x AS (SELECT *, sum(CASE WHEN isST = 1 OR tradestatus = 0 THEN 1 ELSE 0 END) OVER w AS bad, count(*) OVER w AS n FROM bars WINDOW w AS (PARTITION BY code ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)) SELECT code, date FROM x WHERE bad = 0 AND n = 30")
+def _(v: Inputs):
+    return s.gate_windows(v.bars.withColumn("bad", (F.col("isST") == 1) | (F.col("tradestatus") == 0)), "bad", 30).select("code", "date")
+
+
+@query("d03_tail_samples", "WITH x AS (SELECT *, sum(CASE WHEN isST = 1 THEN 1 ELSE 0 END) OVER w AS bad, count(*) OVER w AS n, max(trade_date_idx) OVER () AS last FROM bars WINDOW w AS (PARTITION BY code ORDER BY date ROWS BETWEEN 28 PRECEDING AND CURRENT ROW)) SELECT code, CAST(trade_date_idx + 1 AS INT) AS trade_date_idx, true AS virtual FROM x WHERE bad = 0 AND n = 29 AND trade_date_idx = last")
+def _(v: Inputs):
+    d = v.bars.withColumn("bad", F.col("isST") == 1).select("code", "date", "trade_date_idx", "bad")
+    return s.tail_samples(d, "bad", 30, 0, 1 << 30).select("code", "trade_date_idx", "virtual")
+
+
+@query("d04_materialise", f"WITH {IDS}, w AS (SELECT code, date, list(coalesce(volume, 0)) OVER (PARTITION BY code ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS volume FROM bars) SELECT code, date, list_sum(volume)::DOUBLE AS total, CAST(len(volume) AS INT) AS n FROM w SEMI JOIN ids USING (code, date)")
+def _(v: Inputs):
+    d = s.materialise(_ids(v), v.bars, 5, ["volume", "turn", "unknown"])
+    return d.select("code", "date", F.aggregate("volume", F.lit(0.0), lambda a, x: a + x).alias("total"), F.size("volume").alias("n"))
+
+
+@query("d05_split_samples", f"WITH {IDS} SELECT code, date, 'train' AS split FROM ids WHERE date <= DATE '1996-06-15' UNION ALL SELECT code, date, 'validation' FROM ids WHERE date >= DATE '1996-06-15' AND date <= DATE '1996-12-01'")
+def _(v: Inputs):
+    return s.split_samples(_ids(v), "1996-01-01", "1996-06-15", "1996-12-01")
+
+
+@query("d06_epoch_order")
+def _(v: Inputs):
+    return s.epoch_order(_ids(v), 7, 2)
+
+
+@query("d07_assign_batches", f"WITH {IDS}, b AS (SELECT code, date, CAST(floor((row_number() OVER (PARTITION BY date ORDER BY code) - 1) / 8.0) AS INT) AS batch FROM ids), r AS (SELECT *, count(*) OVER (PARTITION BY date, batch) AS n FROM b) SELECT code, date, batch, CAST(unnest([1, 2]) AS INT) AS repeat FROM r WHERE n = 8")
+def _(v: Inputs):
+    return s.assign_batches(_ids(v), 8, repeats=2, drop_last=True)
+
+
+def _mean(p):
+    return p.groupby(["date", "batch"], as_index=False).agg(n=("code", "size"))
+
+
+@query("d08_map_batches", f"WITH {IDS}, b AS (SELECT date, CAST(floor((row_number() OVER (PARTITION BY date ORDER BY code) - 1) / 8.0) AS INT) AS batch FROM ids) SELECT date, batch, count(*) AS n FROM b GROUP BY ALL")
+def _(v: Inputs):
+    return s.map_batches(s.assign_batches(_ids(v), 8), _mean, "date date, batch int, n long")
+
+
+@query("d09_feature_view", "SELECT code, date, round(volume, 6) AS volume FROM bars WHERE date BETWEEN DATE '1996-01-01' AND DATE '1996-03-31'")
+def _(v: Inputs):
+    return s.feature_view(v.bars, "1996-01-01", "1996-03-31", ["volume", "none"]).withColumn("volume", F.round("volume", 6))
+
+
+@query("j01_lookup_with_default", "WITH s AS (SELECT code, date, trade_date_idx % 10 AS x FROM bars WHERE trade_date_idx % 3 = 0) SELECT b.code, b.date, coalesce(CAST(x AS DOUBLE), 0.5) AS x FROM bars b LEFT JOIN s ON b.code = s.code AND b.date = s.date")
+def _(v: Inputs):
+    side = v.bars.where("trade_date_idx % 3 = 0").select("code", "date", (F.col("trade_date_idx") % 10).cast("double").alias("x"))
+    return s.lookup_with_default(v.bars.select("code", "date"), side, ["code", "date"], 0.5)
