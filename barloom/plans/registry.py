@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import q_bars, q_events, q_indicators, q_quality, q_samples, q_scalars  # noqa: F401  (they register their queries)
+from . import q_bars, q_events, q_indicators, q_quality, q_samples, q_scalars, q_sources  # noqa: F401  (they register their queries)
 from .harness import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES", "flagship"]
