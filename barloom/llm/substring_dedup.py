@@ -222,7 +222,8 @@ def repeated_words(docs: DataFrame, width: int = 50) -> DataFrame:
     # the identity of a distinct text: a whole copy brings no new occurrence of its symbols
     held = parsed.select(F.conv(F.substring("sha", 1, 15), 16, 10).cast("long").alias("who"), F.explode("symbols").alias("symbol"))
     shared = held.groupBy("symbol").agg(F.min("who").alias("lo"), F.max("who").alias("hi")).where("lo < hi").select("symbol")
-    by_text = held.join(shared, "symbol").groupBy("who").agg(F.collect_set("symbol").alias("symbols"))
+    # written before the texts move, so that the symbols' shuffles are gone by then
+    by_text = materialize(held.join(shared, "symbol").groupBy("who").agg(F.collect_set("symbol").alias("symbols")), "shared-symbols")
     mine = parsed.where(f"n_words >= {width}").select("doc_id", "sha", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long").alias("who"))
     mine = mine.join(first.withColumnRenamed("first_id", "doc_id"), ["sha", "doc_id"]).distinct().join(by_text, "who", "left")
 
