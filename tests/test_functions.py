@@ -22,7 +22,7 @@ def test_dates_and_codes(spark):
 def test_clock_and_amounts(spark):
     assert values(spark, ["9:20", "09:30:00", "2024-01-05 11:30", "12:00", "13:00", "15:00", "15:30", ""], c.session_minute) == [0, 0, 120, None, 120, 240, None, None]
     assert values(spark, ["1.5亿", "3万", "1,234", "--", "", "x"], c.cn_number) == [1.5e8, 3e4, 1234.0, None, None, None]
-    assert values(spark, ["-2亿", "5万", "300元", None, "7"], c.cn_wan) == [-2e4, 5.0, 0.03, 0.0, 7.0]
+    assert values(spark, ["-2亿", "5万", "300元", None, "7"], c.cn_wan) == pytest.approx([-2e4, 5.0, 0.03, 0.0, 7.0])
     assert [tuple(x) for x in values(spark, ["首板", "4天3板", "x", None], c.days_boards)] == [(1, 1), (4, 3), (0, 0), (0, 0)]
 
 
