@@ -222,6 +222,7 @@ def repeated_words(docs: DataFrame, width: int = 50) -> DataFrame:
     # the identity of a distinct text: a whole copy brings no new occurrence of its symbols
     held = parsed.select(F.conv(F.substring("sha", 1, 15), 16, 10).cast("long").alias("who"), F.explode("symbols").alias("symbol"))
     shared = held.groupBy("symbol").agg(F.min("who").alias("lo"), F.max("who").alias("hi")).where("lo < hi").select("symbol")
+    shared = materialize(shared, "shared")  # apart from the join, so that Spark can split a very common symbol there
     # written before the texts move, so that the symbols' shuffles are gone by then
     by_text = materialize(held.join(shared, "symbol").groupBy("who").agg(F.collect_set("symbol").alias("symbols")), "shared-symbols")
     mine = parsed.where(f"n_words >= {width}").select("doc_id", "sha", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long").alias("who"))
@@ -231,6 +232,7 @@ def repeated_words(docs: DataFrame, width: int = 50) -> DataFrame:
     found = materialize(found.mapInArrow(_candidates(width), WINDOWS), "windows")
     one = found.select("doc_id", "sha", F.explode(F.arrays_zip("at", "k1", "k2")).alias("w")).select("doc_id", "sha", "w.at", "w.k1", "w.k2")
     source = one.groupBy("k1", "k2").agg(F.min("doc_id").alias("from_id"), F.max("doc_id").alias("to_id")).where("from_id < to_id").select("k1", "k2", "from_id")
+    source = materialize(source, "sources")
     hits = one.join(source, ["k1", "k2"]).where("doc_id > from_id").groupBy("doc_id", "sha").agg(F.collect_set("at").alias("starts"))
     cut = found.select("doc_id", "sha", "text").join(hits, ["doc_id", "sha"]).mapInArrow(_cutter(width), "doc_id long, sha string, gone long, kept_sha string, kept_text string").dropDuplicates(["doc_id", "sha"])
 
