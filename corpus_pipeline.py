@@ -20,8 +20,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies stays, that with the smallest doc_id; wordless texts stay."""
-    gone = jaccard_join.jaccard_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    """One document of each component of near copies stays, that with the smallest doc_id; wordless texts stay.
+
+    Near copies share four fifths of their 5-word shingles; the narrower 3 words and 90 % are op9's own.
+    """
+    gone = jaccard_join.jaccard_components(docs, k=5, percent=80).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
