@@ -52,6 +52,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the frame does not have."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name = "_" + name
+    return name
+
+
 # ---------------------------------------------------------------- bytes of texts
 
 
@@ -69,14 +77,16 @@ def text_arrays(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, offsets - (offsets[0] if len(offsets) else 0)
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of about ``limit`` bytes of text; a longer text is a slice of its own."""
+def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES, at: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about ``limit`` bytes of text; a longer text is a slice of its own. ``at``: the column's place, instead of its name."""
     if not batch.num_rows:
         return
-    col = batch.column(batch.schema.get_field_index(column))
+    col = batch.column(batch.schema.get_field_index(column) if at is None else at)
     sizes = np.asarray(pc.fill_null(pc.binary_length(col), 0), dtype=np.int64)
     group = np.cumsum(sizes) // limit
-    edges = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(sizes)]])
+    alone = sizes > limit
+    new = (np.diff(group) > 0) | alone[1:] | alone[:-1]
+    edges = np.concatenate([[0], np.flatnonzero(new) + 1, [len(sizes)]])
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         yield batch.slice(int(a), int(b - a))
 
