@@ -15,8 +15,8 @@ from barloom.llm.common import materialize
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or without a language that holds two fifths of their words, go."""
-    return language_id.accepted(docs, least=0.4)
+    """Documents without letters, or most of whose words are in a script that no known language is written in, go."""
+    return language_id.accepted(docs, least=0.5)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
