@@ -66,7 +66,7 @@ def tilts(counts: DataFrame, goal: DataFrame, tolerance: float = 1e-9, most_roun
 
 
 def mixture(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """The rows of ``docs`` with mix_size, mix_source_size, mix_target and mix_copies."""
+    """row (a struct of the columns of ``docs``), mix_size, mix_source_size, mix_target and mix_copies."""
     h = F.pmod(F.xxhash64("doc_id", _size()), F.lit(BINS << BIN_BITS))
     sized = materialize(docs.select(F.col("source").cast("string").alias("source"), _size().alias("size"), h.alias("h")), "sizes")
     counts = materialize(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "size-counts")
@@ -107,20 +107,21 @@ def mixture(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share
         goal = goal.join(pick, F.col("source").eqNullSafe(F.col("s")), "left")
         goal = goal.withColumn("need", F.col("need") - F.coalesce("p.size", F.lit(0))).withColumn("picked", F.when(F.col("p").isNull(), F.col("picked")).otherwise(F.array_append("picked", F.col("p.h")))).drop("s", "p").checkpoint()
 
-    g = goal.select(F.col("source").alias("mix_source"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), "base", "cut", "picked")
-    keep = [docs[c] for c in docs.columns]
-    out = docs.select(*keep, h.alias("mix_h"), _size().alias("mix_size")).join(g, F.col("source").cast("string").eqNullSafe(F.col("mix_source")))
-    extra = ((F.col("mix_h") <= F.col("cut")) | F.array_contains("picked", F.col("mix_h"))) & (F.col("base") < most)
-    return out.withColumn("mix_copies", F.col("base") + extra.cast("int")).drop("mix_h", "mix_source", "base", "cut", "picked")
+    # the documents' columns travel in one struct, so that none of their names can clash
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("source").cast("string").alias("doc_source"), h.alias("doc_h"), _size().alias("mix_size"))
+    g = goal.select("source", F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), "base", "cut", "picked")
+    out = rows.join(g, F.col("doc_source").eqNullSafe(F.col("source")))
+    extra = ((F.col("doc_h") <= F.col("cut")) | F.array_contains("picked", F.col("doc_h"))) & (F.col("base") < most)
+    return out.select("row", "mix_size", "mix_source_size", "mix_target", (F.col("base") + extra.cast("int")).alias("mix_copies"))
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
     """Columns doc_id, size, source_size, target, taken, copies."""
     m = mixture(docs.select("doc_id", "text", "source"), **options)
-    return m.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"), F.col("mix_copies").alias("copies"))
+    return m.select(F.col("row.doc_id").alias("doc_id"), F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"), F.col("mix_copies").alias("copies"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents as often as the mix takes them; columns as given."""
     m = mixture(docs, **options).where("mix_copies > 0")
-    return m.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(*docs.columns)
+    return m.select("row", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))).alias("copy")).select("row.*")
