@@ -1,7 +1,7 @@
 """Token counts with a digest cache.
 
 The cache is a Parquet table (digest of the normalised content, number of tokens) below a folder named by the
-digest of the tokenizer: its vocabulary file and the normaliser's version. A run joins the digests of all
+digest of the tokenizer: its vocabulary file, the library's version and the normaliser's. A run joins the digests of all
 texts with it, encodes each distinct missing content once, appends those counts and joins again.
 
 The byte-level tokenizers keep every byte, so the normaliser here only turns null into the empty text; its
@@ -25,7 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, shared_dir
+from .common import chunks, materialize, shared_dir
 
 NORMALISER = "null-as-empty/1"
 CACHE_SCHEMA = "digest binary, n_tokens long"
@@ -47,11 +47,13 @@ def vocabulary(name: str) -> str:
 
 
 def tokenizer_digest(name: str) -> str:
-    return hashlib.sha256(Path(vocabulary(name)).read_bytes() + b"\0" + NORMALISER.encode()).hexdigest()
+    import tokenizers
 
+    return hashlib.sha256(Path(vocabulary(name)).read_bytes() + f"\0{NORMALISER}\0{tokenizers.__version__}".encode()).hexdigest()
 
-def _tokenizer(name: str):
-    """The tokenizer of this worker and its memo, loaded once."""
+
+def slow_tokenizer(name: str):
+    """The tokenizers library's tokenizer of this worker, loaded once."""
     if _state.get("name") != name:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -60,12 +62,20 @@ def _tokenizer(name: str):
         t.no_truncation()
         t.no_padding()
         _state.update(name=name, tokenizer=t, memo={})
-    return _state["tokenizer"], _state["memo"]
+    return _state["tokenizer"]
+
+
+def byte_level(t) -> bool:
+    """Whether the file is plain byte-level BPE, which never joins across the spaces that begin pieces."""
+    return type(t.model).__name__ == "BPE" and type(t.pre_tokenizer).__name__ == "ByteLevel" and t.normalizer is None
 
 
 def text_lengths(texts: list[str], name: str) -> list[int]:
     """Tokens of each text. A text is cut before spaces that begin a piece, where byte-level BPE never joins; equal pieces are encoded once."""
-    t, memo = _tokenizer(name)
+    t = slow_tokenizer(name)
+    if not byte_level(t):
+        return [len(x) for x in t.encode_batch_fast(texts, add_special_tokens=False)]
+    memo = _state["memo"]
     split = [None if UNSAFE.search(x) else x.split(" ") for x in texts]
     need: set[str] = set()
     for x in split:
@@ -112,5 +122,6 @@ def token_counts(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", cache: s
     missing = keyed if stored is None else keyed.join(stored, "digest", "left_anti")
     missing = missing.groupBy("digest").agg(F.first("text").alias("text"))
     missing.mapInArrow(_encoder(tokenizer), CACHE_SCHEMA).write.mode("append").parquet(path)
-    counted = keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest").join(_cached(spark, path), "digest")
+    stored = materialize(_cached(spark, path), "token-counts")  # apart from the join, so that Spark can split a very common content there
+    counted = keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest").join(stored, "digest")
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
