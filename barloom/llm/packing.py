@@ -7,6 +7,9 @@ open at a partition's end goes, with its ids, to a second and much smaller round
 over many partitions' leftovers; its own last windows are run together, and the very last one is cut
 to powers of two, which need no padding.
 
+Ids come from a faster library with the same vocabulary, save for texts with very long runs of one kind of character, which
+it cannot take; both give the same ids.
+
 Defined results: null and empty texts are the end id alone; every row is a document of its own, also repeated
 ones; an empty table gives no rows; other columns are ignored.
 """
@@ -14,6 +17,7 @@ ones; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -24,15 +28,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, materialize
-from .token_counts import vocabulary
+from .token_counts import byte_level, slow_tokenizer, vocabulary
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 #: Leftover pieces that one task of the second round takes.
 LEFT_PER_TASK = 20_000
 
+#: The faster encoder fails on runs of some 1,000,000 characters of one kind; texts with shorter ones than that already go to the slower library.
+LONG_RUN = 50_000
+RUN = re.compile(r"\s{%d}|[^\W\d_]{%d}|\d{%d}|(?:[^\w\s]|_){%d}" % ((LONG_RUN,) * 4))
+
 _state: dict = {}
 
 
+def token_ids(text: str, name: str) -> list[int]:
+    """The ids of a whole text, as the tokenizers library gives them."""
+    if not byte_level(slow_tokenizer(name)) or (len(text) >= LONG_RUN and RUN.search(text)):
+        return slow_tokenizer(name).encode(text, add_special_tokens=False).ids
+    enc = _encoding(name)
+    return enc.encode(text, allowed_special="all") if any(x in text for x in enc.special_tokens_set) else enc.encode_ordinary(text)
+
+
 def _encoding(name: str):
     """The encoder of this worker: the vocabulary of a byte-level BPE file as ranks, with the file's own special tokens."""
     if _state.get("name") != name:
@@ -141,13 +157,10 @@ class Windows:
 def _first_round(tokenizer: str, size: int, most: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = Windows(size, most, TaskContext.get().partitionId() << 32)
-        enc = _encoding(tokenizer)
-        special = list(enc.special_tokens_set)
         for batch in batches:
             for part in chunks(batch):
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    text = text or ""
-                    ids = enc.encode(text, allowed_special="all") if any(x in text for x in special) else enc.encode_ordinary(text)
+                    ids = token_ids(text or "", tokenizer)
                     ids.append(end)
                     w.add(doc, 0, len(ids), np.array(ids, dtype="<u4"))
                 yield from w.batches(20_000)
