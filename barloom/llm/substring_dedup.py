@@ -17,8 +17,8 @@ of the window has the symbol. Spark counts the high-level symbols of all distinc
 Symbols only drop windows that cannot repeat, so the result is exact.
 
 Defined results: null and wordless texts have no words and the digest of the empty string; a null doc_id
-is no source and loses nothing; rows with equal doc_id are not smaller than each other; a window that repeats
-within its own document only stays; other columns are ignored.
+is no source and loses nothing; rows with equal doc_id are not smaller than each other, each has a result of its own;
+a window that repeats within its own document only stays; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ LONGEST = 16
 FAR = 1 << 40
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
-PARSED = "doc_id long, n_words long, sha string, symbols array<long>"
+PARSED = "doc_id long, text_key long, n_words long, sha string, symbols array<long>"
 WINDOWS = "doc_id long, sha string, text string, at array<int>, k1 array<long>, k2 array<long>"
 
 
@@ -148,7 +148,7 @@ def _parser(width: int):
                 raw = buf.tobytes()
                 sha = [hashlib.sha256(b" ".join(raw[a:b].split())).hexdigest() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 symbols = _lists(_signed(name[new]), np.bincount(doc[new], minlength=len(counts)), pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts.astype(np.int64)), pa.array(sha), symbols], ["doc_id", "n_words", "sha", "symbols"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(counts.astype(np.int64)), pa.array(sha), symbols], ["doc_id", "text_key", "n_words", "sha", "symbols"])
 
     return parse
 
@@ -214,21 +214,23 @@ def _cutter(width: int):
 
 
 def repeated_words(docs: DataFrame, width: int = 50) -> DataFrame:
-    """Columns doc_id, n_words, n_removed, kept_sha256, kept_text (null: nothing is removed; '': all is)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """Columns doc_id, n_words, n_removed, kept_sha256, text_key (xxhash64 of the text), kept_text (null: nothing is removed; '': all is)."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
     parsed = materialize(docs.mapInArrow(_parser(width), PARSED), "parsed")
-    first = parsed.where(f"n_words >= {width}").groupBy("sha").agg(F.min("doc_id").alias("first_id"))
-
-    # the identity of a distinct text: a whole copy brings no new occurrence of its symbols
-    held = parsed.select(F.conv(F.substring("sha", 1, 15), 16, 10).cast("long").alias("who"), F.explode("symbols").alias("symbol"))
-    shared = held.groupBy("symbol").agg(F.min("who").alias("lo"), F.max("who").alias("hi")).where("lo < hi").select("symbol")
-    shared = materialize(shared, "shared")  # apart from the join, so that Spark can split a very common symbol there
+    # written, as all that is joined with what may have one very common key, so that Spark can split that key there
+    first = materialize(parsed.where(f"n_words >= {width}").groupBy("sha").agg(F.min("doc_id").alias("first_id")), "first")
+
+    # a distinct text is 128 bits of the digest of its words; a whole copy brings no new occurrence of its symbols
+    who = [F.xxhash64("sha").alias("who"), F.xxhash64("sha", F.lit(1)).alias("who2")]
+    held = parsed.select(*who, F.explode("symbols").alias("symbol"))
+    shared = held.groupBy("symbol").agg(F.min("who").alias("lo"), F.max("who").alias("hi"), F.min("who2").alias("lo2"), F.max("who2").alias("hi2")).where("lo < hi or lo2 < hi2").select("symbol")
+    shared = materialize(shared, "shared")
     # written before the texts move, so that the symbols' shuffles are gone by then
-    by_text = materialize(held.join(shared, "symbol").groupBy("who").agg(F.collect_set("symbol").alias("symbols")), "shared-symbols")
-    mine = parsed.where(f"n_words >= {width}").select("doc_id", "sha", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long").alias("who"))
-    mine = mine.join(first.withColumnRenamed("first_id", "doc_id"), ["sha", "doc_id"]).distinct().join(by_text, "who", "left")
+    by_text = materialize(held.join(shared, "symbol").groupBy("who", "who2").agg(F.collect_set("symbol").alias("symbols")), "shared-symbols")
+    mine = parsed.where(f"n_words >= {width}").select("doc_id", "text_key", "sha", *who)
+    mine = mine.join(first.withColumnRenamed("first_id", "doc_id"), ["sha", "doc_id"]).distinct().join(by_text, ["who", "who2"], "left")
 
-    found = docs.join(mine.select("doc_id", "sha", "symbols"), "doc_id").select("doc_id", "text", "sha", "symbols")
+    found = docs.join(mine.select("doc_id", "text_key", "sha", "symbols"), ["doc_id", "text_key"]).select("doc_id", "text", "sha", "symbols")
     found = materialize(found.mapInArrow(_candidates(width), WINDOWS), "windows")
     one = found.select("doc_id", "sha", F.explode(F.arrays_zip("at", "k1", "k2")).alias("w")).select("doc_id", "sha", "w.at", "w.k1", "w.k2")
     source = one.groupBy("k1", "k2").agg(F.min("doc_id").alias("from_id"), F.max("doc_id").alias("to_id")).where("from_id < to_id").select("k1", "k2", "from_id")
@@ -236,12 +238,13 @@ def repeated_words(docs: DataFrame, width: int = 50) -> DataFrame:
     hits = one.join(source, ["k1", "k2"]).where("doc_id > from_id").groupBy("doc_id", "sha").agg(F.collect_set("at").alias("starts"))
     cut = found.select("doc_id", "sha", "text").join(hits, ["doc_id", "sha"]).mapInArrow(_cutter(width), "doc_id long, sha string, gone long, kept_sha string, kept_text string").dropDuplicates(["doc_id", "sha"])
 
-    out = parsed.select("doc_id", "n_words", "sha").join(first, "sha", "left").join(cut, ["doc_id", "sha"], "left")
+    out = parsed.select("doc_id", "text_key", "n_words", "sha").join(first, "sha", "left").join(cut, ["doc_id", "sha"], "left")
     copy = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))
     return out.select(
         "doc_id",
         "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("gone", F.lit(0))).alias("n_removed"),
         F.when(copy, F.lit(EMPTY_SHA)).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
+        "text_key",
         F.when(copy, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"),
     )
