@@ -121,6 +121,29 @@ def test_encoders_agree_with_the_library():
     assert [packing._encoding("byte_bpe_50k.json").encode(x, allowed_special="all") for x in texts] == want
 
 
+def test_very_long_runs_are_packed(spark):
+    texts = [" " * 1_000_000, "x" + "\n" * 200_000 + "y", "a" * 120_000]
+    got = packing.pack(frame(spark, texts)).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("all")).collect()
+    want = token_counts.text_lengths(texts, "byte_bpe_50k.json")
+    assert {r.doc_id: (r.n, r["all"]) for r in got} == {i: (n + 1, n + 1) for i, n in enumerate(want)}
+
+
+def test_other_tokenizers_are_not_cut_at_spaces():
+    tokenizers = pytest.importorskip("tokenizers")
+    public = pytest.importorskip("public_tokenizers")
+    t = tokenizers.Tokenizer.from_file(public.path("word_bpe_49k.json"))
+    texts = ["The  House", " a 12  b", "", "It's " * 40]
+    assert token_counts.text_lengths(texts, "word_bpe_49k.json") == [len(t.encode(x, add_special_tokens=False).ids) for x in texts]
+
+
+def test_substring_of_rows_that_share_a_doc_id(spark):
+    rng = random.Random(8)
+    a, b, c = (" ".join(f"u{rng.randrange(10**6)}" for _ in range(80)) for _ in range(3))
+    rows = [(2, a), (2, b + " " + a), (1, b), (3, c), (3, c), (3, a + " x"), (None, c), (3, None)]
+    got = substring_dedup.repeated_words(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in got) == sorted([(2, 80, 0), (2, 160, 80), (1, 80, 0), (3, 80, 0), (3, 80, 0), (3, 81, 80), (0, 80, 0), (3, 0, 0)])
+
+
 def test_license(spark, empty):
     texts = [*EDGE, "Under THE mit-license", "under the MIT License under the mit license", "a " * 62 + "Apache License, Version 2", "mit license under the", "cc by nc"]
     got = {r.doc_id: r for r in license_scan.scan(frame(spark, texts)).collect()}
