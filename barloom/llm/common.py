@@ -37,10 +37,12 @@ DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a result once to the shared folder and read it back, which also cuts lineage.
+    """Write a result once to the shared folder and read it back, which also cuts lineage."""
+    return _written(df, name)[0]
 
-    The write's own shuffle files go as soon as it has ended; nothing executes ``df`` again.
-    """
+
+def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The write's own shuffle files go as soon as it has ended; nothing executes ``df`` again."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(DROP_SHUFFLES, "false")
@@ -49,7 +51,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(DROP_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+class Scratch:
+    """Scratch tables of one run by name, each dropped once nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        df, self.paths[name] = _written(df, name)
+        return df
+
+    def drop(self, *names: str) -> None:
+        """Leave empty tables in their place, which also works in stores that only Spark reaches."""
+        for name in names:
+            self.spark.createDataFrame([], "dropped int").write.mode("overwrite").parquet(self.paths.pop(name))
 
 
 def fresh(df: DataFrame, name: str) -> str:

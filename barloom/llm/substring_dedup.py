@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, U64, chunks, materialize, mix, text_arrays, window_hashes, word_hashes, word_spans
+from .common import SPACED, U64, Scratch, chunks, mix, text_arrays, window_hashes, word_hashes, word_spans
 
 #: Rounds, in order: r renames runs, p renames pairs.
 ROUNDS = "rppppppp"
@@ -216,29 +216,35 @@ def _cutter(width: int):
 def repeated_words(docs: DataFrame, width: int = 50) -> DataFrame:
     """Columns doc_id, n_words, n_removed, kept_sha256, text_key (xxhash64 of the text), kept_text (null: nothing is removed; '': all is)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
-    parsed = materialize(docs.mapInArrow(_parser(width), PARSED), "parsed")
+    tmp = Scratch(docs.sparkSession)
+    parsed = tmp.keep(docs.mapInArrow(_parser(width), PARSED), "parsed")
     # written, as all that is joined with what may have one very common key, so that Spark can split that key there
-    first = materialize(parsed.where(f"n_words >= {width}").groupBy("sha").agg(F.min("doc_id").alias("first_id")), "first")
+    first = tmp.keep(parsed.where(f"n_words >= {width}").groupBy("sha").agg(F.min("doc_id").alias("first_id")), "first")
 
     # a distinct text is 128 bits of the digest of its words; a whole copy brings no new occurrence of its symbols
     who = [F.xxhash64("sha").alias("who"), F.xxhash64("sha", F.lit(1)).alias("who2")]
     held = parsed.select(*who, F.explode("symbols").alias("symbol"))
     shared = held.groupBy("symbol").agg(F.min("who").alias("lo"), F.max("who").alias("hi"), F.min("who2").alias("lo2"), F.max("who2").alias("hi2")).where("lo < hi or lo2 < hi2").select("symbol")
-    shared = materialize(shared, "shared")
+    shared = tmp.keep(shared, "shared")
     # written before the texts move, so that the symbols' shuffles are gone by then
-    by_text = materialize(held.join(shared, "symbol").groupBy("who", "who2").agg(F.collect_set("symbol").alias("symbols")), "shared-symbols")
-    mine = parsed.where(f"n_words >= {width}").select("doc_id", "text_key", "sha", *who)
+    by_text = tmp.keep(held.join(shared, "symbol").groupBy("who", "who2").agg(F.collect_set("symbol").alias("symbols")), "shared-symbols")
+    heads = tmp.keep(parsed.drop("symbols"), "heads")
+    tmp.drop("parsed", "shared")
+    mine = heads.where(f"n_words >= {width}").select("doc_id", "text_key", "sha", *who)
     mine = mine.join(first.withColumnRenamed("first_id", "doc_id"), ["sha", "doc_id"]).distinct().join(by_text, ["who", "who2"], "left")
 
     found = docs.join(mine.select("doc_id", "text_key", "sha", "symbols"), ["doc_id", "text_key"]).select("doc_id", "text", "sha", "symbols")
-    found = materialize(found.mapInArrow(_candidates(width), WINDOWS), "windows")
+    found = tmp.keep(found.mapInArrow(_candidates(width), WINDOWS), "windows")
+    tmp.drop("shared-symbols")
     one = found.select("doc_id", "sha", F.explode(F.arrays_zip("at", "k1", "k2")).alias("w")).select("doc_id", "sha", "w.at", "w.k1", "w.k2")
     source = one.groupBy("k1", "k2").agg(F.min("doc_id").alias("from_id"), F.max("doc_id").alias("to_id")).where("from_id < to_id").select("k1", "k2", "from_id")
-    source = materialize(source, "sources")
+    source = tmp.keep(source, "sources")
     hits = one.join(source, ["k1", "k2"]).where("doc_id > from_id").groupBy("doc_id", "sha").agg(F.collect_set("at").alias("starts"))
-    cut = found.select("doc_id", "sha", "text").join(hits, ["doc_id", "sha"]).mapInArrow(_cutter(width), "doc_id long, sha string, gone long, kept_sha string, kept_text string").dropDuplicates(["doc_id", "sha"])
+    cut = found.select("doc_id", "sha", "text").join(hits, ["doc_id", "sha"]).mapInArrow(_cutter(width), "doc_id long, sha string, gone long, kept_sha string, kept_text string")
+    cut = tmp.keep(cut.dropDuplicates(["doc_id", "sha"]), "cut")
+    tmp.drop("windows", "sources")
 
-    out = parsed.select("doc_id", "text_key", "n_words", "sha").join(first, "sha", "left").join(cut, ["doc_id", "sha"], "left")
+    out = heads.join(first, "sha", "left").join(cut, ["doc_id", "sha"], "left")
     copy = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))
     return out.select(
         "doc_id",
