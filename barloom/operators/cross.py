@@ -20,9 +20,13 @@ def limit_counts(breadth: DataFrame, limits: DataFrame) -> DataFrame:
 
 
 def average_rank(value: Column, by: list[str]) -> Column:
-    """Rank within a group, ties sharing the mean of their ranks; nulls have ranks of their own."""
-    null = value.isNull()
-    return F.rank().over(Window.partitionBy(*by, null).orderBy(value)) + (F.count(F.lit(1)).over(Window.partitionBy(*by, null, value)) - 1) / 2
+    """Rank among a group's values that are not null, ties sharing the mean of their ranks; what nulls get has no meaning.
+
+    The first rank of a tie, less the nulls that sort before it, and its last rank come from one window.
+    """
+    whole, w = Window.partitionBy(*by), Window.partitionBy(*by).orderBy(value)
+    nulls = F.count(F.lit(1)).over(whole) - F.count(value).over(whole)
+    return (F.rank().over(w) - nulls + F.count(value).over(w)) / 2
 
 
 def rank01(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
@@ -81,6 +85,6 @@ def raw_traits(bars: DataFrame, limits: DataFrame, breadth: DataFrame) -> DataFr
 
 
 def build_traits(bars: DataFrame, limits: DataFrame, breadth: DataFrame) -> DataFrame:
-    """All traits as ranks within the day; the ranks share one shuffle on the day."""
+    """All traits as ranks within the day: one shuffle on the day, and a sort for each trait."""
     d = raw_traits(bars, limits, breadth)
     return rank01(d, [c for c in d.columns if c not in ("trade_date_idx", "code_idx")], ["trade_date_idx"])

@@ -57,13 +57,13 @@ def _ema(x: np.ndarray, span: int) -> np.ndarray:
 
 
 def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, order: tuple[str, ...] = ("date",)) -> DataFrame:
-    def compute(p: pd.DataFrame):
-        x = p["close"].to_numpy(float)
-        line = _ema(x, fast) - _ema(x, slow)
-        sig = _ema(line, signal)
-        return line, sig, line - sig
+    return _per_code(df, list(order), ["macd", "macd_signal", "macd_hist"], lambda p: _macd(p["close"].to_numpy(float), fast, slow, signal))
 
-    return _per_code(df, list(order), ["macd", "macd_signal", "macd_hist"], compute)
+
+def _macd(x: np.ndarray, fast: int, slow: int, signal: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    line = _ema(x, fast) - _ema(x, slow)
+    sig = _ema(line, signal)
+    return line, sig, line - sig
 
 
 def _rsi(x: np.ndarray, n: int) -> np.ndarray:
@@ -84,35 +84,47 @@ def rsi(df: DataFrame, n: int = 14, order: tuple[str, ...] = ("date",), name: st
     return _per_code(df, list(order), [name], lambda p: (_rsi(p["close"].to_numpy(float), n),))
 
 
+def _kdj(r: np.ndarray, n: int, m1: int, m2: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    k, d = np.full(len(r), np.nan), np.full(len(r), np.nan)
+    if len(r) >= n:
+        k[n - 1] = d[n - 1] = 50
+    for i in range(n, len(r)):
+        k[i] = (m1 - 1) / m1 * k[i - 1] + r[i] / m1
+        d[i] = (m2 - 1) / m2 * d[i - 1] + k[i] / m2
+    return k, d, 3 * k - 2 * d
+
+
+def _position(n: int, order: list[str]) -> Column:
+    """Where the close lies between the lows and highs of n rows."""
+    hi, lo = full_frame(F.max("high"), n, order), full_frame(F.min("low"), n, order)
+    return F.when(hi == lo, 50.0).otherwise((F.col("close") - lo) / F.nullif(hi - lo, F.lit(0.0)) * 100)
+
+
 def kdj(df: DataFrame, n: int = 9, m1: int = 3, m2: int = 3, order: tuple[str, ...] = ("date",)) -> DataFrame:
     """The n-row position comes from window frames; only the two smoothings recur."""
-    hi, lo = full_frame(F.max("high"), n, list(order)), full_frame(F.min("low"), n, list(order))
-    pos = F.when(hi == lo, 50.0).otherwise((F.col("close") - lo) / F.nullif(hi - lo, F.lit(0.0)) * 100)
-    df = df.withColumn("rsv", pos)
+    df = df.withColumn("rsv", _position(n, list(order)))
 
-    def compute(p: pd.DataFrame):
-        r = p["rsv"].to_numpy(float)
-        k, d = np.full(len(r), np.nan), np.full(len(r), np.nan)
-        if len(r) >= n:
-            k[n - 1] = d[n - 1] = 50
-        for i in range(n, len(r)):
-            k[i] = (m1 - 1) / m1 * k[i - 1] + r[i] / m1
-            d[i] = (m2 - 1) / m2 * d[i - 1] + k[i] / m2
-        return k, d, 3 * k - 2 * d
-
-    return _per_code(df, list(order), ["k", "d", "j"], compute).drop("rsv")
+    return _per_code(df, list(order), ["k", "d", "j"], lambda p: _kdj(p["rsv"].to_numpy(float), n, m1, m2)).drop("rsv")
 
 
 def daily_features(bars: DataFrame) -> DataFrame:
-    """All technical columns of a code-day."""
+    """All technical columns of a code-day: frames in Spark, then the three recursions in one grouped call."""
     df = is_new(bars)
     df = df.withColumn("price_limit", price_limit(F.col("code"), F.col("isST"), F.col("is_new")))
-    return kdj(rsi(macd(bollinger(sma(df)))))
+    df = bollinger(sma(df)).withColumn("rsv", _position(9, ["date"]))
+
+    def compute(p: pd.DataFrame):
+        x = p["close"].to_numpy(float)
+        return *_macd(x, 12, 26, 9), _rsi(x, 14), *_kdj(p["rsv"].to_numpy(float), 9, 3, 3)
+
+    return _per_code(df, ["date"], ["macd", "macd_signal", "macd_hist", "rsi", "k", "d", "j"], compute).drop("rsv")
 
 
 def m15_features(m15: DataFrame) -> DataFrame:
-    """RSI and KDJ over a code's intraday bars in order, running on across days."""
-    return kdj(rsi(m15, order=("date", "slot")), order=("date", "slot"))
+    """RSI and KDJ over a code's intraday bars in order, running on across days; one grouped call."""
+    order = ["date", "slot"]
+    df = m15.withColumn("rsv", _position(9, order))
+    return _per_code(df, order, ["rsi", "k", "d", "j"], lambda p: (_rsi(p["close"].to_numpy(float), 14), *_kdj(p["rsv"].to_numpy(float), 9, 3, 3))).drop("rsv")
 
 
 def pivot_m15(m15: DataFrame, slots: list[int], fields: list[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,20 @@ class Inputs:
                 getattr(self, table).createOrReplaceTempView(table)
         return self.spark.sql(VIEWS[name])
 
+    def stored(self, name: str) -> DataFrame:
+        """A view that is read several times, computed once into the shared folder."""
+        return self.keep(getattr(self, name), name)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.scratch(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def scratch(self, name: str) -> str:
+        """A new folder that the driver and all executors share."""
+        top = self.spark.conf.get("spark.checkpoint.dir", None) or self.spark.conf.get("spark.sql.warehouse.dir")
+        return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
     def sql(self, text: str) -> DataFrame:
         """Spark SQL over driver tables and views; used for inputs, not for operators."""
         for table in TABLES:

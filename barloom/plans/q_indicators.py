@@ -90,16 +90,29 @@ def _(v: Inputs):
     return d.select("code", "date", *[F.round(F.nanvl(c, F.lit(None)), 5).alias(c) for c in ("k", "d", "j")])
 
 
-@query("w34_daily_features")
+def _features(*names: str) -> list:
+    return [F.round(F.nanvl(c, F.lit(None)), 5).alias(c) for c in names]
+
+
+@query("w34_daily_features", f"""SELECT r.code, r.date, CAST(f.is_new AS INT) AS is_new, CAST(f.price_limit AS DOUBLE) AS price_limit, round(ma5, 5) AS ma5, round(ma60, 5) AS ma60, round(m + 2 * s, 5) AS boll_up, macd, rsi, k, d, j
+FROM (SELECT code, date, {_full('avg(close)', 5, 'ma5')}, {_full('avg(close)', 60, 'ma60')}, {_full('avg(close)', 20, 'm')}, {_full('stddev_pop(close)', 20, 's')} FROM bars) r
+JOIN (WITH {IS_NEW} SELECT code, date, is_new, {LIMIT.format(new='is_new', st='isST')} AS price_limit FROM flagged) f ON r.code = f.code AND r.date = f.date
+JOIN ({MACD}) mc ON r.code = mc.code AND r.date = mc.date JOIN ({RSI}) rs ON r.code = rs.code AND r.date = rs.date JOIN ({KDJ}) kd ON r.code = kd.code AND r.date = kd.date""")
 def _(v: Inputs):
     d = indicators.daily_features(v.bars)
-    return d.select("code", "date", "is_new", *r6("price_limit", "ma5", "ma60", "boll_up", "macd", "rsi", "k", "d", "j"))
+    return d.select("code", "date", "is_new", *_features("price_limit", "ma5", "ma60", "boll_up", "macd", "rsi", "k", "d", "j"))
+
 
+def _of_m15(sql: str) -> str:
+    """The statement over 15-minute bars, whose order is day and slot."""
+    numbered = "n AS (SELECT code, date, slot, high, low, amount / n_ticks AS close, row_number() OVER (PARTITION BY code ORDER BY date, slot) AS i FROM m15)"
+    return sql.replace(NUMBERED, numbered).replace("SELECT n.code, n.date,", "SELECT n.code, n.date, n.slot,")
 
-@query("w35_m15_features")
+
+@query("w35_m15_features", f"SELECT r.code, r.date, r.slot, rsi, k, d, j FROM ({_of_m15(RSI)}) r JOIN ({_of_m15(KDJ)}) kd ON r.code = kd.code AND r.date = kd.date AND r.slot = kd.slot")
 def _(v: Inputs):
     d = indicators.m15_features(v.m15.withColumn("close", F.col("amount") / F.col("n_ticks")))
-    return d.select("code", "date", "slot", *r6("rsi", "k", "d", "j"))
+    return d.select("code", "date", "slot", *_features("rsi", "k", "d", "j"))
 
 
 SLOTS = list(range(16))
@@ -144,7 +157,7 @@ def _(v: Inputs):
 
 
 def _trait_inputs(v: Inputs):
-    bars = v.bars
+    bars = v.stored("bars")  # read three times
     up = F.col("pctChg") >= 30
     limits = bars.where(up | (F.col("pctChg") <= -30)).select("trade_date_idx", "code_idx", F.when(up, 1).otherwise(-1).alias("is_limit_up"), (F.col("trade_date_idx") % 3).alias("open_count"), (F.col("trade_date_idx") % 4).alias("first_minute"))
     return bars, limits, cross.market_breadth(bars).join(bars.select("date", "trade_date_idx").distinct(), "date").select("trade_date_idx", "avg_pct")
@@ -170,9 +183,10 @@ f AS (SELECT trade_date_idx, code_idx, close, fv, sum(lu) {L} AS lu120, sum(ld)
 TRAIT_COLS = ("lu120", "ld120", "bu120", "bd120", "turn120", "hi", "lo", "dsl", "sru", "srd", "beta120", "zb120", "yz120")
 
 
-def _raw(names: tuple[str, ...], digits: int = 5) -> str:
+def _raw(names: tuple[str, ...], digits: int | None = 5) -> str:
     own = {"sru": "CASE WHEN bu120 >= 5 THEN lu120 / bu120 END", "srd": "CASE WHEN bd120 >= 5 THEN ld120 / bd120 END", "beta120": "(mxy - mx * my) / nullif(my2 - my * my, 0)"}
-    return f"{TRAITS} SELECT trade_date_idx, code_idx, " + ", ".join(f"round(CAST({own.get(n, n)} AS DOUBLE), {digits}) AS {n}" for n in names) + " FROM f"
+    value = {n: f"CAST({own.get(n, n)} AS DOUBLE)" for n in names}
+    return f"{TRAITS} SELECT trade_date_idx, code_idx, " + ", ".join(f"{x if digits is None else f'round({x}, {digits})'} AS {n}" for n, x in value.items()) + " FROM f"
 
 
 def _trait_query(name: str, cols: tuple[str, ...], digits: int = 5) -> None:
@@ -191,7 +205,14 @@ _trait_query("w15_event_rates", ("zb120", "yz120"))
 _trait_query("c24_float_cap", ("fv",), 4)
 
 
-@query("w16_traits")
+def _ranked(names: tuple[str, ...]) -> str:
+    """Average ranks from 0 to 1 within each day of raw traits."""
+    one = "CASE WHEN {c} IS NULL THEN 0.5 ELSE round(({rank} - 1) / greatest(count({c}) OVER (PARTITION BY trade_date_idx) - 1, 1), 6) END AS {c}"
+    raw = _raw(names, None).removeprefix(TRAITS)
+    return f"{TRAITS}, raw AS ({raw}) SELECT trade_date_idx, code_idx, " + ", ".join(one.format(c=n, rank=AVG_RANK.format(by="trade_date_idx", c=n)) for n in names) + " FROM raw"
+
+
+@query("w16_traits", _ranked((*TRAIT_COLS, "fv")))
 def _(v: Inputs):
     d = cross.build_traits(*_trait_inputs(v))
     return d.select("trade_date_idx", "code_idx", *r6(*TRAIT_COLS, "fv"))
