@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .columns import bare_code
+
 
 def with_code_idx(df: DataFrame, master: DataFrame) -> DataFrame:
     """code_idx by master position; unknown or empty codes give -1. ``master``: code, code_idx."""
@@ -12,6 +14,12 @@ def with_code_idx(df: DataFrame, master: DataFrame) -> DataFrame:
     return df.join(m, F.col("code") == F.col("_m"), "left").withColumn("code_idx", F.coalesce("_i", F.lit(-1))).drop("_m", "_i")
 
 
+def with_qualified_code(df: DataFrame, master: DataFrame) -> DataFrame:
+    """The exchange-qualified form of a code by its six digits; codes that the master lacks stay as they are. ``master``: code."""
+    m = master.select(bare_code(F.col("code")).alias("_bare"), F.col("code").alias("_code")).where("_bare <> ''").groupBy("_bare").agg(F.min("_code").alias("_code"))
+    return df.withColumn("_b", bare_code(F.col("code"))).join(m, F.col("_b") == F.col("_bare"), "left").withColumn("code", F.coalesce("_code", "code")).drop("_b", "_bare", "_code")
+
+
 def with_date_idx(df: DataFrame, calendar: DataFrame, text: str = "day") -> DataFrame:
     """tdi of a date text with or without dashes; -1 for a day without trading, -2 for what is no date."""
     digits = F.regexp_replace(text, "-", "")
@@ -59,16 +67,16 @@ def is_open(df: DataFrame, calendar: DataFrame) -> DataFrame:
 def to_session(df: DataFrame, calendar: DataFrame, ts: str = "ts") -> DataFrame:
     """The session at whose close an item is known, and the minutes to it; later items than the last close drop.
 
-    Items join the calendar by day first, so the range join with sessions runs over distinct days only.
+    Each day of the year, trading or not, has one row with its next session and the one after; items look theirs up by day.
     """
-    s = intervals(calendar)
-    days = df.select(F.to_date(ts).alias("_day")).distinct()
-    near = days.join(F.broadcast(s), (F.col("date") >= F.col("_day"))).groupBy("_day").agg(F.sort_array(F.collect_list(F.struct("date", "tdi", "closes_at"))).alias("_s")).withColumn("_s", F.slice("_s", 1, 2))
-    out = df.withColumn("_day", F.to_date(ts)).join(near, "_day")
-    hit = F.element_at(F.filter("_s", lambda x: x["closes_at"] >= F.col(ts)), 1)
-    first = F.when(F.size(F.filter("_s", lambda x: x["closes_at"] >= F.col(ts))) > 0, hit)
-    out = out.withColumn("_hit", first).where("_hit is not null")
-    return out.withColumns({"date": F.col("_hit.date"), "tdi": F.col("_hit.tdi"), "minutes_to_close": (F.col("_hit.closes_at").cast("double") - F.col(ts).cast("double")) / 60}).drop("_day", "_s", "_hit")
+    order, s = Window.orderBy("date"), F.struct("date", "tdi", "closes_at")  # one row per trading day
+    days = intervals(calendar).withColumns({"_this": s, "_next": F.lead(s).over(order), "_from": F.date_add(F.lag("date").over(order), 1)})
+    days = days.select(F.explode(F.sequence(F.coalesce("_from", "date"), F.col("date"))).alias("_day"), "_this", "_next")
+    first = calendar.agg(F.min("date").alias("_first"))
+    out = df.crossJoin(F.broadcast(first)).withColumn("_day", F.greatest(F.to_date(ts), "_first")).join(F.broadcast(days), "_day")
+    hit = F.when(F.col("_this.closes_at") >= F.col(ts), F.col("_this")).otherwise(F.col("_next"))
+    out = out.withColumn("_hit", hit).where("_hit is not null")
+    return out.withColumns({"date": F.col("_hit.date"), "tdi": F.col("_hit.tdi"), "closes_at": F.col("_hit.closes_at"), "minutes_to_close": (F.col("_hit.closes_at").cast("double") - F.col(ts).cast("double")) / 60}).drop("_day", "_first", "_this", "_next", "_hit")
 
 
 def prev_session(df: DataFrame, calendar: DataFrame) -> DataFrame:

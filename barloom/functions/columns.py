@@ -118,17 +118,24 @@ def clean_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"\s+", " "))
 
 
+# fixed values: how brackets in names, and a reason's "parent(child)" head, are matched
+SHORTEST_BRACKET = r"[（(].*?[)）]"
+BRACKET = r"[（(][^（）()]*[）)]"
+BRACKET_CONTENT = r"[（(]([^（）()]*)[）)]"
+REASON_HEAD = r"^([^；;+，,（()）]{1,12})[（(]([^（）()]{1,15})[）)]"
+
+
 def fold_name(c: Column) -> Column:
-    """Case folded, without white space or full-width spaces."""
-    return F.lower(F.regexp_replace(c, r"[\s　]+", ""))
+    """Without white space around it or full-width spaces in it, in lower case."""
+    return F.lower(F.regexp_replace(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""), "　", ""))
 
 
 def strip_brackets(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"[（(][^（()）]*[)）]", ""))
+    return F.trim(F.regexp_replace(c, BRACKET, ""))
 
 
 def bracket_content(c: Column) -> Column:
-    return F.regexp_extract(c, r"[（(]([^（()）]*)[)）]", 1)
+    return F.trim(F.regexp_extract(c, BRACKET_CONTENT, 1))
 
 
 def _bigrams(c: Column) -> Column:
@@ -138,8 +145,8 @@ def _bigrams(c: Column) -> Column:
 
 def names_related(a: Column, b: Column) -> Column:
     """Containment either way (raw or without brackets), a shared finance word, or a shared specific bigram."""
-    a, b = F.trim(fold_name(a)), F.trim(fold_name(b))
-    forms = [(x, y) for x in (a, strip_brackets(a)) for y in (b, strip_brackets(b))]
+    a, b = fold_name(a), fold_name(b)
+    forms = [(x, y) for x in (a, F.regexp_replace(a, SHORTEST_BRACKET, "")) for y in (b, F.regexp_replace(b, SHORTEST_BRACKET, ""))]
     held = functools.reduce(operator.or_, [(F.length(x) > 0) & (F.length(y) > 0) & (x.contains(y) | y.contains(x)) for x, y in forms])
     finance = functools.reduce(operator.or_, [a.contains(w) for w in FINANCE]) & functools.reduce(operator.or_, [b.contains(w) for w in FINANCE])
     general = F.array(*[F.lit(w) for w in GENERIC])

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import is_st_name
+
 
 def history(partition: str = "code", order: str = "date") -> Window:
     return Window.partitionBy(partition).orderBy(order)
@@ -44,8 +48,8 @@ def action_sums(actions: DataFrame) -> DataFrame:
 def reference_price(bars: DataFrame, actions: DataFrame) -> DataFrame:
     """preclose and pctChg of each row: the last traded close, adjusted for the actions since then, HALF_UP to 0.01.
 
-    Actions are matched by code with an ex-day after the previous traded day and up to this one. Several
-    ex-days multiply as factors. The first traded row takes its supplied preclose as base.
+    Actions are matched by code with an ex-day after the previous traded day and up to this one. One ex-day is worked out in
+    decimals, so that half a cent rounds up; several multiply as factors. The first traded row takes its supplied preclose as base.
     """
     w = history()
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -55,11 +59,13 @@ def reference_price(bars: DataFrame, actions: DataFrame) -> DataFrame:
     a = action_sums(actions).select(F.col("code").alias("a_code"), "ex_date", "d", "b", "r", "rp")
     hit = df.where(traded).join(a, (F.col("code") == F.col("a_code")) & (F.col("ex_date") > F.col("since")) & (F.col("ex_date") <= F.col("date")))
     factor = (F.col("base") - F.col("d") + F.col("rp")) / (1 + F.col("b") + F.col("r")) / F.col("base")
-    factors = hit.groupBy("code", "date").agg(F.product(factor).alias("factor"))
+    base, d, b, r, rp = (F.col(c).cast(f"decimal({p},{s})") for c, p, s in (("base", 20, 9), ("d", 18, 9), ("b", 12, 9), ("r", 12, 9), ("rp", 18, 9)))
+    one = F.try_divide(base - d + rp, F.lit(1).cast("decimal(12,9)") + b + r).cast("double")
+    factors = hit.groupBy("code", "date").agg(F.product(factor).alias("factor"), F.when(F.count(F.lit(1)) == 1, F.max(one)).alias("one"))
     df = df.join(factors, ["code", "date"], "left")
-    ref = F.when(F.col("factor").isNull(), F.col("base")).otherwise(F.round((F.col("base") * F.col("factor")).cast("decimal(38,12)"), 2).cast("double"))
+    ref = F.when(F.col("factor").isNull(), F.col("base")).otherwise(F.round(F.coalesce("one", F.col("base") * F.col("factor")).cast("decimal(38,12)"), 2).cast("double"))
     df = df.withColumn("preclose", F.when(traded, ref).otherwise(F.col("close")))
-    return df.withColumn("pctChg", F.when(traded, (F.try_divide(F.col("close"), F.col("preclose")) - 1) * 100)).drop("base", "since", "factor")
+    return df.withColumn("pctChg", F.when(traded, (F.try_divide(F.col("close"), F.col("preclose")) - 1) * 100)).drop("base", "since", "factor", "one")
 
 
 def adjust_qfq(bars: DataFrame, mode: str = "qfq") -> DataFrame:
@@ -93,16 +99,22 @@ def base_close(bars: DataFrame, floor: str) -> DataFrame:
 
 
 def densify(bars: DataFrame, calendar: DataFrame, master: DataFrame, target: str, published_today: bool = True) -> DataFrame:
-    """A row for every code and trading day from its first row or listing to the target, delisting or calendar end.
+    """A row for every code and trading day from its first row or listing to the target, delisting or calendar end; rows beyond stay.
 
-    ``master``: code, list_date, delist_date. The calendar is small and joins by range within each code.
+    ``master``: code, list_date, delist_date and, if known, list_status: delisted (D) and paused (P) codes without a date end with their
+    last traded row. A code without a master row counts as listed. The calendar is small and joins by range within each code.
     """
-    span = bars.groupBy("code").agg(F.min("date").alias("first"), F.max(F.when(F.col("tradestatus") == 1, F.col("date"))).alias("last_traded"))
+    status = F.col("list_status") if "list_status" in master.columns else F.lit("L")
+    master = master.select("code", "list_date", "delist_date", F.coalesce(status, F.lit("L")).alias("list_status"))
+    span = bars.groupBy("code").agg(F.min("date").alias("first"), F.max("date").alias("last"), F.max(F.when(F.col("tradestatus") == 1, F.col("date"))).alias("last_traded"))
     goal = F.to_date(F.lit(target))
     end = F.least(F.coalesce("delist_date", goal), goal if published_today else F.date_sub(goal, 1))
-    codes = master.join(span, "code").select("code", F.least("first", F.coalesce("list_date", "first")).alias("lo"), end.alias("hi"))
+    end = F.when(F.col("delist_date").isNull() & F.col("list_status").isin("D", "P"), F.least(end, F.coalesce("last_traded", end))).otherwise(end)
+    codes = span.join(master, "code", "left").withColumn("list_status", F.coalesce("list_status", F.lit("L")))
+    codes = codes.select("code", "last", F.least("first", F.coalesce("list_date", "first")).alias("lo"), end.alias("hi"))
+    codes = codes.withColumn("hi", F.when(F.col("hi") < F.col("lo"), F.col("last")).otherwise(F.col("hi")))
     days = codes.join(F.broadcast(calendar.select("date")), (F.col("date") >= F.col("lo")) & (F.col("date") <= F.col("hi"))).select("code", "date")
-    out = days.join(bars, ["code", "date"], "left")
+    out = days.join(bars, ["code", "date"], "full")
     out = out.withColumn("tradestatus", F.coalesce("tradestatus", F.lit(0))).withColumn("volume", F.coalesce("volume", F.lit(0)))
     return normalise_idle(carry_prices(out))
 
@@ -142,8 +154,11 @@ def merge_suspensions(ledger: DataFrame, batch: DataFrame) -> DataFrame:
     return both.where(~F.coalesce("resumed", F.lit(False))).select(F.coalesce("code", "b_code").alias("code"), start.alias("start"))
 
 
-def fill_status(df: DataFrame) -> DataFrame:
-    """isST carried forward, 0 before the first known value."""
+def fill_status(df: DataFrame, names: DataFrame | None = None, target: str | None = None) -> DataFrame:
+    """isST carried forward, 0 before the first known value; on the target day by the current name (``names``: code, name) where there is one."""
+    if names is not None:
+        by_name = names.select("code", is_st_name(F.col("name")).cast("int").alias("_st"))
+        return fill_status(df).join(by_name, "code", "left").withColumn("isST", F.when(F.col("date") == F.to_date(F.lit(target)), F.coalesce("_st", "isST")).otherwise(F.col("isST"))).drop("_st")
     return df.withColumn("isST", F.coalesce(F.last("isST", True).over(history().rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)))
 
 
@@ -168,6 +183,12 @@ def priority_union(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(old)
 
 
+def align_series(series: dict[str, DataFrame]) -> DataFrame:
+    """(date, value) series side by side, over the union of their days."""
+    parts = [df.select("date", F.lit(name).alias("_name"), "value") for name, df in series.items()]
+    return functools.reduce(DataFrame.unionByName, parts).groupBy("date").pivot("_name", list(series)).agg(F.last("value", True))
+
+
 def overlay(df: DataFrame, legacy: DataFrame, cols: list[str]) -> DataFrame:
     """On traded rows a legacy value that is not null replaces the derived one."""
     old = legacy.select("code", "date", *[F.col(c).alias(f"_old_{c}") for c in cols])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bars import adjust_qfq
+from .bars import adjust_qfq, dedupe_by_key
 
 
 def range_with_warmup(df: DataFrame, start: str | None, end: str | None, n: int) -> DataFrame:
@@ -82,5 +82,10 @@ def search_master(master: DataFrame, query: str, limit: int) -> DataFrame:
     return hits.orderBy("tier", "_p", F.length("name"), "code").limit(limit).select("code", "name", "tier")
 
 
+def scope_members(members: DataFrame) -> DataFrame:
+    """Primary members with an entity, one row per day and code: the smallest entity's. ``members``: date, code, entity_id, is_primary."""
+    return dedupe_by_key(members.where("is_primary and entity_id > 0"), ["date", "code"], [F.col("entity_id")], "first")
+
+
 def scope_theme_events(df: DataFrame, since: str = "2019-01-01") -> DataFrame:
     return df.where((F.col("date") >= F.to_date(F.lit(since))) & (F.col("zscode") != "0"))

@@ -88,6 +88,12 @@ def _(v: Inputs):
     return rows.scope_theme_events(e, "1996-01-01").select("date", "code", "zscode")
 
 
+@query("t13_scope_members", "WITH m AS (SELECT DISTINCT date, code, CAST(substr(zscode, 7) AS INT) - 12 AS entity_id, boards > 2 AS is_primary FROM theme_events) SELECT date, code, min(entity_id) AS entity_id FROM m WHERE is_primary AND entity_id > 0 GROUP BY date, code")
+def _(v: Inputs):
+    m = v.theme_events.select("date", "code", (F.substring("zscode", 7, 9).cast("int") - 12).alias("entity_id"), (F.col("boards") > 2).alias("is_primary")).distinct()
+    return rows.scope_members(m).select("date", "code", "entity_id")
+
+
 @query("c25_normalise_idle", "SELECT code, date, round(volume, 4) AS volume, round(amount, 4) AS amount, round(CASE WHEN volume > 0 THEN turn END, 9) AS turn, round(CASE WHEN volume > 0 THEN pctChg END, 9) AS pctChg FROM bars")
 def _(v: Inputs):
     return b.normalise_idle(v.bars).select("code", "date", *rd(4, "volume", "amount"), *rd(9, "turn", "pctChg"))
@@ -111,15 +117,19 @@ def _(v: Inputs):
     return b.action_sums(acts).select("code", "ex_date", F.round(F.col("d").cast("double"), 6).alias("d"), F.round(F.col("b").cast("double"), 6).alias("b"))
 
 
-@query("j03_reference_price", """WITH t AS (SELECT *, last_value(CASE WHEN tradestatus = 1 THEN close END IGNORE NULLS) OVER w AS pc, last_value(CASE WHEN tradestatus = 1 THEN date END IGNORE NULLS) OVER w AS pd FROM bars WINDOW w AS (PARTITION BY code ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+BONUS = "SELECT code, date AS ex_date, 0.5 AS dividend_per_share, CASE WHEN code_idx % 2 = 0 THEN 1.0 ELSE 0.1 END AS per_share_bonus, 0.0 AS allotment_ratio, 0.0 AS allotment_price FROM bars WHERE (trade_date_idx + code_idx) % 53 = 0"
+
+
+# half of the codes double their shares, so that every other price lies on half a cent, which rounds up
+@query("j03_reference_price", """WITH bars2 AS (SELECT * REPLACE (floor(close * 100 + 0.5) / 100 AS close) FROM bars), t AS (SELECT *, last_value(CASE WHEN tradestatus = 1 THEN close END IGNORE NULLS) OVER w AS pc, last_value(CASE WHEN tradestatus = 1 THEN date END IGNORE NULLS) OVER w AS pd FROM bars2 WINDOW w AS (PARTITION BY code ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 u AS (SELECT *, coalesce(pc, preclose) AS base, coalesce(pd, date - 1) AS since FROM t),
-a AS (SELECT code, date AS ex FROM bars WHERE (trade_date_idx + code_idx) % 53 = 0),
-f AS (SELECT u.code, u.date, product((base - 0.5) / 1.1 / base) AS factor FROM u JOIN a ON u.code = a.code AND ex > since AND ex <= u.date WHERE tradestatus = 1 GROUP BY u.code, u.date)
-SELECT u.code, u.date, CASE WHEN tradestatus <> 1 THEN NULL WHEN factor IS NULL THEN round(base, 9) ELSE CAST(round(CAST(base * factor + 1e-9 AS DECIMAL(38, 12)), 2) AS DOUBLE) END AS preclose FROM u LEFT JOIN f ON u.code = f.code AND u.date = f.date WHERE tradestatus = 1""")
+a AS (SELECT code, date AS ex, CASE WHEN code_idx % 2 = 0 THEN 1.0 ELSE 0.1 END AS bonus FROM bars WHERE (trade_date_idx + code_idx) % 53 = 0),
+f AS (SELECT u.code, u.date, product((base - 0.5) / (1 + bonus) / base) AS factor, CASE WHEN count(*) = 1 THEN max(bonus) END AS one FROM u JOIN a ON u.code = a.code AND ex > since AND ex <= u.date WHERE tradestatus = 1 GROUP BY u.code, u.date)
+SELECT u.code, u.date, CASE WHEN tradestatus <> 1 THEN NULL WHEN factor IS NULL THEN round(base, 9) WHEN one = 1 THEN floor((round(base * 100) - 50 + 1) / 2) / 100 ELSE CAST(round(CAST(base * factor + 1e-9 AS DECIMAL(38, 12)), 2) AS DOUBLE) END AS preclose FROM u LEFT JOIN f ON u.code = f.code AND u.date = f.date WHERE tradestatus = 1""")
 def _(v: Inputs):
-    acts = v.sql(ACTIONS)
+    acts = v.sql(BONUS)
     acts = acts.select("code", "ex_date", *[F.col(c).cast("double").alias(c) for c in acts.columns[2:]])
-    d = b.reference_price(v.bars, acts).where("tradestatus = 1")
+    d = b.reference_price(v.bars.withColumn("close", F.expr("cast(floor(close * 100 + 0.5) as double) / 100")), acts).where("tradestatus = 1")
     return d.select("code", "date", F.round("preclose", 9).alias("preclose"))
 
 
@@ -133,14 +143,16 @@ def _(v: Inputs):
     return b.base_close(v.bars, "1995-02-01").select("code", *rd(9, "base_close"))
 
 
-@query("j06_densify", """WITH s AS (SELECT code, min(date) AS lo FROM bars WHERE code_idx <= 20 GROUP BY code),
-d AS (SELECT s.code, c.date FROM s JOIN calendar c ON c.date >= s.lo AND c.date <= DATE '1995-12-31'),
+# a third of the codes is delisted in 1996, a third is paused since its last traded row
+@query("j06_densify", """WITH s AS (SELECT code, min(date) AS lo, max(date) AS mx, CASE min(code_idx) % 3 WHEN 1 THEN DATE '1996-06-28' WHEN 2 THEN max(CASE WHEN tradestatus = 1 THEN date END) ELSE DATE '2001-12-31' END AS hi FROM bars GROUP BY code),
+d AS (SELECT s.code, c.date FROM s JOIN calendar c ON c.date >= s.lo AND c.date <= CASE WHEN hi < lo THEN mx ELSE coalesce(hi, DATE '2001-12-31') END UNION SELECT code, date FROM bars),
 x AS (SELECT d.code, d.date, coalesce(b.tradestatus, 0) AS st, b.close, coalesce(b.volume, 0) AS volume FROM d LEFT JOIN bars b ON b.code = d.code AND b.date = d.date)
 SELECT code, date, CAST(st AS INT) AS tradestatus, round(CASE WHEN st = 1 THEN close ELSE coalesce(last_value(CASE WHEN st = 1 THEN close END IGNORE NULLS) OVER (PARTITION BY code ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), CASE WHEN close > 0 THEN close END) END, 9) AS close, round(volume, 4) AS volume FROM x""")
 def _(v: Inputs):
-    bars = v.bars.where("code_idx <= 20")
-    master = bars.select("code").distinct().withColumns({"list_date": F.lit(None).cast("date"), "delist_date": F.lit(None).cast("date")})
-    return b.densify(bars, v.calendar, master, "1995-12-31").select("code", "date", "tradestatus", *rd(9, "close"), *rd(4, "volume"))
+    third = F.col("code_idx") % 3
+    master = v.bars.select("code", third.alias("third")).distinct()
+    master = master.select("code", F.lit(None).cast("date").alias("list_date"), F.when(F.col("third") == 1, F.to_date(F.lit("1996-06-28"))).alias("delist_date"), F.element_at(F.array(F.lit("L"), F.lit("D"), F.lit("P")), F.col("third") + 1).alias("list_status"))
+    return b.densify(v.bars, v.calendar, master, "2001-12-31").select("code", "date", "tradestatus", *rd(9, "close"), *rd(4, "volume"))
 
 
 @query("w28_simple_return", "SELECT code, date, round(close / lag(close) OVER (PARTITION BY code ORDER BY date) - 1, 9) AS ret1 FROM bars")
@@ -157,7 +169,9 @@ def _(v: Inputs):
     return b.trailing_suspension(v.bars.withColumn("tradestatus", F.expr(IDLE.replace("DATE '", "date'"))))
 
 
-@query("w30_suspended_runs")
+@query("w30_suspended_runs", """WITH e AS (SELECT DISTINCT code, trade_date_idx AS t, date FROM bars WHERE (code_idx + trade_date_idx) % 5 > 0), i AS (SELECT *, t - row_number() OVER (PARTITION BY code ORDER BY t) AS island FROM e),
+r AS (SELECT code, min(date) AS start, max(date) AS "end" FROM i GROUP BY code, island), x AS (SELECT * FROM r WHERE start <= DATE '1995-06-15' AND "end" >= DATE '1995-06-15')
+SELECT code, start, "end" FROM x UNION ALL SELECT code, min(start), min_by("end", start) FROM r WHERE start > DATE '1995-06-15' AND code NOT IN (SELECT code FROM x) GROUP BY code""")
 def _(v: Inputs):
     return b.suspended_runs(v.bars.where("(code_idx + trade_date_idx) % 5 > 0").select("code", "date"), v.calendar, "1995-06-15")
 
@@ -175,6 +189,12 @@ def _(v: Inputs):
     return b.fill_status(v.bars.withColumn("isST", F.when(F.col("trade_date_idx") % 7 == 0, F.col("trade_date_idx") % 2))).select("code", "date", "isST")
 
 
+@query("w32_status_by_name", "SELECT code, date, CAST(CASE WHEN date = DATE '1995-06-15' AND code_idx % 3 < 2 THEN CASE WHEN code_idx % 3 = 0 THEN 1 ELSE 0 END ELSE isST END AS INT) AS isST FROM bars")
+def _(v: Inputs):
+    names = v.bars.select("code", F.when(F.col("code_idx") % 3 == 0, "*ST x").when(F.col("code_idx") % 3 == 1, "x").alias("name")).where("name is not null").distinct()
+    return b.fill_status(v.bars, names, "1995-06-15").select("code", "date", "isST")
+
+
 @query("w33_name_changes", "SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS old_name, c_name || '*' AS name FROM customer WHERE c_custkey % 9 = 0")
 def _(v: Inputs):
     c = v.customer.select(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("name"), F.lit(1).alias("snap"))
@@ -193,6 +213,12 @@ def _(v: Inputs):
     return b.priority_union(x.where("date >= date'1995-01-01'"), x.withColumn("close", F.col("close") + 1)).select("code", "date", *rd(9, "close"))
 
 
+@query("j11_align_series", "SELECT date, max(CASE WHEN k % 2 = 0 THEN x END) AS a, max(CASE WHEN k % 3 = 0 THEN x END) AS b FROM (SELECT date, trade_date_idx AS k, CAST(max(code_idx) AS BIGINT) AS x FROM bars GROUP BY ALL) WHERE k % 2 = 0 OR k % 3 = 0 GROUP BY date")
+def _(v: Inputs):
+    d = v.bars.groupBy("date", "trade_date_idx").agg(F.max("code_idx").cast("long").alias("value"))
+    return b.align_series({"a": d.where("trade_date_idx % 2 = 0"), "b": d.where("trade_date_idx % 3 = 0")})
+
+
 @query("j12_overlay", "SELECT code, date, round(CASE WHEN tradestatus = 1 AND trade_date_idx % 3 = 0 THEN 9.5 ELSE turn END, 9) AS turn FROM bars")
 def _(v: Inputs):
     legacy = v.bars.select("code", "date", F.when(F.col("trade_date_idx") % 3 == 0, 9.5).alias("turn"))
@@ -212,6 +238,12 @@ def _(v: Inputs):
     return cal.with_code_idx(c, m).select("c_custkey", "code_idx")
 
 
+@query("c03_qualified_code", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN concat('sh.', lpad(CAST(c_custkey AS VARCHAR), 6, '0')) ELSE CAST(c_custkey AS VARCHAR) END AS code FROM customer")
+def _(v: Inputs):
+    c = v.customer.select("c_custkey", F.col("c_custkey").cast("string").alias("code"))
+    return cal.with_qualified_code(c, c.where("c_custkey % 2 = 0").select(F.concat(F.lit("sh."), F.lpad("code", 6, "0")).alias("code")))
+
+
 @query("c05_date_idx", "SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 10 = 0 THEN -2 ELSE coalesce(tdi, -1) END AS INT) AS tdi FROM orders LEFT JOIN calendar ON CAST(o_orderdate AS DATE) = date")
 def _(v: Inputs):
     text = F.when(F.col("o_orderkey") % 10 == 0, "n/a").when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.date_format("o_orderdate", "yyyyMMdd"))

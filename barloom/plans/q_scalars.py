@@ -100,10 +100,20 @@ def _(v: Inputs):
     return v.part.select("p_partkey", c.clean_text(s).alias("clean"), c.fold_name(F.col("p_name")).alias("folded"), c.strip_brackets(F.concat("p_name", F.lit("("), "p_brand", F.lit(")"))).alias("bare"), c.bracket_content(s).alias("inside"))
 
 
-@query("c21_names_related")
+# types and brands, some in brackets, with finance words or with nothing specific
+RELATED_NAMES = """SELECT DISTINCT CASE p_partkey % 5 WHEN 0 THEN concat(p_type, '（', p_brand, '）') WHEN 1 THEN concat(' ', upper(p_brand), '　') WHEN 2 THEN concat('年报', p_size) WHEN 3 THEN concat('概念', p_size) ELSE concat('(', p_size, ')', p_brand) END AS a FROM part"""
+FOLDED = "lower(replace(trim({0}), '　', ''))"
+BARE = "regexp_replace(lower(replace(trim({0}), '　', '')), '[（(].*?[)）]', '', 'g')"
+FIN = "(" + " OR ".join("contains({0}, '" + w + "')" for w in c.FINANCE) + ")"
+PIECES = "[substr({0}, i, 2) FOR i IN range(1, len({0}))]"
+
+
+@query("c21_names_related", f"""WITH n AS ({RELATED_NAMES}), m AS (SELECT a, {FOLDED.format('a')} AS f, {BARE.format('a')} AS s FROM n),
+p AS (SELECT x.a, y.a AS b, x.f AS fa, x.s AS sa, y.f AS fb, y.s AS sb FROM m x JOIN m y ON length(x.a) % 5 = length(y.a) % 5 AND substr(x.f, 1, 1) <> substr(y.f, 2, 1))
+SELECT a, b, """ + " OR ".join(f"(length({x}) > 0 AND length({y}) > 0 AND (contains({x}, {y}) OR contains({y}, {x})))" for x in ("fa", "sa") for y in ("fb", "sb")) + f""" OR ({FIN.format('fa')} AND {FIN.format('fb')}) OR list_has_any([z FOR z IN {PIECES.format('fa')} IF z NOT IN ({', '.join(repr(w) for w in c.GENERIC)})], {PIECES.format('fb')}) AS related FROM p""")
 def _(v: Inputs):
-    types = v.part.select(F.col("p_type").alias("a")).distinct()
-    pairs = types.join(v.part.select(F.col("p_brand").alias("b")).distinct(), F.length("a") % 3 == F.length("b") % 3)
+    n = v.sql(RELATED_NAMES).select("a", F.length("a") % 5, c.fold_name(F.col("a"))).toDF("a", "k", "f")
+    pairs = n.join(n.select(F.col("a").alias("b"), "k", F.col("f").alias("g")), "k").where("substr(f, 1, 1) <> substr(g, 2, 1)")
     return pairs.select("a", "b", c.names_related(F.col("a"), F.col("b")).alias("related"))
 
 

@@ -13,19 +13,29 @@ M15 = "date date, time string, code string, open double, high double, low double
 
 
 def read_daily_bars(spark: SparkSession, path: str, cols: list[str] | None = None, end: str | None = None, file_format: str = "parquet") -> DataFrame:
-    """Last row per (code, date) with the fixed schema; the cut by date and the columns reach the scan."""
-    df = spark.read.format(file_format).schema(DAILY).option("header", True).option("pathGlobFilter", "[!_]*").load(path)
+    """The row that landed last per (code, date) with the fixed schema; the cut by date and the columns reach the scan."""
+    df = _landed(spark.read.format(file_format).schema(DAILY).option("header", True).option("pathGlobFilter", "[!_]*").load(path), file_format)
     if end:
         df = df.where(F.col("date") <= F.to_date(F.lit(end)))
     if cols:
-        df = df.select(*dict.fromkeys(["code", "date", *cols]))
-    rest = [F.col(c) for c in df.columns if c not in ("code", "date")]
-    return dedupe_by_key(df, ["code", "date"], rest, "last") if rest else df.distinct()
+        df = df.select(*dict.fromkeys(["code", "date", *cols]), "_landed")
+    return dedupe_by_key(df, ["code", "date"], [F.col("_landed")], "last").drop("_landed")
+
+
+def _landed(df: DataFrame, file_format: str) -> DataFrame:
+    """Rows with their place in the order of landing: file by time and path, then the place in the file.
+
+    Formats without row numbers are counted on within each block of a file, which one task reads in order.
+    """
+    place = F.col("_metadata.row_index") if file_format == "parquet" else F.monotonically_increasing_id()
+    block = F.lit(0).cast("long") if file_format == "parquet" else F.col("_metadata.file_block_start")
+    return df.select("*", F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"), block.alias("block"), place.alias("place")).alias("_landed"))
 
 
 def read_m15_bars(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
-    df = spark.read.format(file_format).schema(M15).option("header", True).load(path).withColumn("time", m15_time(F.col("time")))
-    return dedupe_by_key(df, ["code", "date", "time"], [F.col("close"), F.col("volume")], "last")
+    """The row that landed last per (code, date, time)."""
+    df = _landed(spark.read.format(file_format).schema(M15).option("header", True).load(path), file_format).withColumn("time", m15_time(F.col("time")))
+    return dedupe_by_key(df, ["code", "date", "time"], [F.col("_landed")], "last").drop("_landed")
 
 
 def canonical_limit_board(df: DataFrame, side: int, field_map: dict[str, str], ignore: tuple[str, ...] = ()) -> DataFrame:
@@ -92,14 +102,14 @@ def build_master(listed: DataFrame, delisted: DataFrame, paused: DataFrame) -> D
     return both.where((F.col("ts_code").endswith(".SH") | F.col("ts_code").endswith(".SZ")) & ~F.substring("ts_code", 1, 3).isin("900", "200"))
 
 
-def write_feature_table(df: DataFrame, path: str, contract: list[str], default: float) -> None:
-    """Keyed table (trade_date_idx, code_idx): rows without a code drop, keys out of range are an error, missing columns take the default, values are floats."""
+def write_feature_table(df: DataFrame, path: str, contract: list[str], default: float, name: str = "", source: str = "") -> None:
+    """Keyed table (trade_date_idx, code_idx) and one row of metadata (name, source, columns with defaults, rows, latest day): rows without a code drop, keys out of range are an error, missing columns take the default, values are floats."""
     n = F.col("code_idx")
     checked = df.where(n >= 0).withColumn("code_idx", F.when(n >= 100_000, F.raise_error(F.lit("code_idx out of range")).cast("int")).otherwise(n))
     cols = [(F.col(c) if c in df.columns else F.lit(default)).cast("float").alias(c) for c in contract]
     out = checked.select("trade_date_idx", "code_idx", *cols)
     out.repartitionByRange("trade_date_idx").sortWithinPartitions("trade_date_idx", "code_idx").write.mode("overwrite").parquet(f"{path}/data")
-    meta = out.agg(F.count("*").alias("rows"), F.max("trade_date_idx").alias("latest")).withColumns({"cols": F.array(*map(F.lit, contract)), "default": F.lit(float(default))})
+    meta = out.agg(F.count("*").alias("rows"), F.max("trade_date_idx").alias("latest")).withColumns({"name": F.lit(name), "source": F.lit(source), "defaults": F.create_map(*[x for c in contract for x in (F.lit(c), F.lit(float(default)))])})
     meta.write.mode("overwrite").parquet(f"{path}/meta")
 
 
@@ -107,6 +117,10 @@ def read_feature_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/data")
 
 
+def read_feature_meta(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/meta")
+
+
 def write_base_features(df: DataFrame, path: str) -> DataFrame:
     """All numbers as floats, columns by name after the keys, partitioned by year and ordered by code and day; returns the build's metadata."""
     keys = ("date", "code")
@@ -114,7 +128,8 @@ def write_base_features(df: DataFrame, path: str) -> DataFrame:
     numbers = [c for c in sorted(df.columns) if c not in keys and kinds[c] not in ("string", "date", "timestamp")]
     out = df.select(*keys, *[F.col(c).cast("float").alias(c) for c in numbers], F.year("date").alias("year"))
     out.repartition("year", "code").sortWithinPartitions("code", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
-    return df.agg(F.countDistinct("code").alias("n_codes"), F.max("date").alias("latest_date"), F.lit(len(numbers)).alias("n_columns"))
+    schema = F.array(*[F.lit(f"{c} float") for c in numbers])
+    return df.agg(F.countDistinct("code").alias("n_codes"), F.max("date").alias("latest_date"), F.lit(len(numbers)).alias("n_columns"), schema.alias("columns"))
 
 
 def zero_time(df: DataFrame, master: DataFrame) -> DataFrame:
@@ -123,12 +138,28 @@ def zero_time(df: DataFrame, master: DataFrame) -> DataFrame:
     return df.where(at_zero & (F.trim("title") != "")).join(master.select("code").distinct(), "code", "left_semi")
 
 
+def zero_time_rejections(df: DataFrame, master: DataFrame) -> DataFrame:
+    """One row: how many announcements each condition of zero_time turns away, in its order, and how many stay."""
+    at_zero = (F.hour("ts") == 0) & (F.minute("ts") == 0) & (F.second("ts") == 0)
+    d = df.join(master.select("code", F.lit(True).alias("_known")).distinct(), "code", "left").withColumns({"_zero": F.coalesce(at_zero, F.lit(False)), "_titled": F.coalesce(F.trim("title") != "", F.lit(False))})
+    known = F.coalesce("_known", F.lit(False))
+    return d.agg(F.count_if(~F.col("_zero")).alias("other_time"), F.count_if(F.col("_zero") & ~F.col("_titled")).alias("no_title"), F.count_if(F.col("_zero") & F.col("_titled") & ~known).alias("unknown_code"), F.count_if(F.col("_zero") & F.col("_titled") & known).alias("kept"))
+
+
 def pending_segments(events: DataFrame, mapped: DataFrame) -> DataFrame:
-    """Unmapped segments by number of events, with at most two reasons whose first 26 characters differ."""
+    """Unmapped segments, most events first, with at most two reasons whose first 26 characters differ.
+
+    ``events``: segment, reason and, if the composite rows' candidate names are known, ``names``, which are counted too.
+    """
     rest = events.join(mapped.select("segment"), "segment", "left_anti")
     head = rest.select("segment", "reason", F.substring("reason", 1, 26).alias("head")).groupBy("segment", "head").agg(F.min("reason").alias("reason"))
     two = head.withColumn("_r", F.row_number().over(Window.partitionBy("segment").orderBy("head"))).where("_r <= 2").groupBy("segment").agg(F.sort_array(F.collect_list("reason")).alias("reasons"))
-    return rest.groupBy("segment").agg(F.count("*").alias("n")).join(two, "segment")
+    out = rest.groupBy("segment").agg(F.count("*").alias("n")).join(two, "segment")
+    if "names" in events.columns:
+        each = rest.select("segment", F.explode("names").alias("name")).groupBy("segment", "name").agg(F.count("*").alias("n_name"))
+        ranked = F.transform(F.sort_array(F.collect_list(F.struct((-F.col("n_name")).alias("m"), "name", "n_name"))), lambda s: F.struct(s["name"].alias("name"), s["n_name"].alias("n")))
+        out = out.join(each.groupBy("segment").agg(ranked.alias("candidates")), "segment", "left")
+    return out.orderBy(F.desc("n"), "segment")
 
 
 def apply_mapping(old: DataFrame, new: DataFrame) -> DataFrame:
