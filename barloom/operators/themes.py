@@ -61,10 +61,12 @@ def new_face_ratio(df: DataFrame, seen: DataFrame, within: int = 5) -> DataFrame
 
 
 def reappearance(df: DataFrame, seen: DataFrame, within: int = 5) -> DataFrame:
-    """Times that a (theme, code) was there in the previous event days, capped at 5, over 5."""
-    d = df.select("zscode", "code", "date").distinct().join(seen, ["zscode", "date"])
-    w = Window.partitionBy("zscode", "code").orderBy("di").rangeBetween(-within, -1)
-    return d.withColumn("back", cap_scale(F.count(F.lit(1)).over(w).cast("double"), 5.0))
+    """Times that a (theme, code) was there in the previous event days or earlier in the same day, capped at 5, over 5."""
+    d = df.select("zscode", "code", "date").join(seen, ["zscode", "date"])
+    w = Window.partitionBy("zscode", "code").orderBy("di")
+    # rows of one day are alike but for how many of them came before
+    same = F.row_number().over(w) - F.rank().over(w)
+    return d.withColumn("back", cap_scale((F.count(F.lit(1)).over(w.rangeBetween(-within, -1)) + same).cast("double"), 5.0))
 
 
 def theme_edges(df: DataFrame) -> DataFrame:
@@ -74,7 +76,7 @@ def theme_edges(df: DataFrame) -> DataFrame:
 def event_base(members: DataFrame, themes: DataFrame, limits: DataFrame) -> DataFrame:
     """Members with boards from the theme board, else the limit board, else 1."""
     t = themes.groupBy("date", "code").agg(F.max("boards").alias("t_boards"))
-    x = limits.groupBy("date", "code").agg(F.max("consecutive").alias("l_boards"), F.max("seal").alias("seal"), F.min("first_min").alias("first_min"))
+    x = limits.groupBy("date", "code").agg(F.max("consecutive").alias("l_boards"), F.max("seal").alias("seal"), F.min("first_min").alias("first_min"), *([F.max("open_count").alias("open_count")] if "open_count" in limits.columns else []))
     return members.join(t, ["date", "code"], "left").join(x, ["date", "code"], "left").withColumn("boards", F.coalesce("t_boards", "l_boards", F.lit(1))).drop("t_boards", "l_boards")
 
 
@@ -89,10 +91,11 @@ def promotion_rate(base: DataFrame, limits: DataFrame) -> DataFrame:
 
 
 def stock_strength(base: DataFrame) -> DataFrame:
-    """Board scaling, distance to the leader, leader flag and seal scaling within (date, entity)."""
+    """Board scaling, distance to the leader and leader flag within (date, entity); scaled seal, first minute and openings (none: 0, 240, 0)."""
     w = Window.partitionBy("date", "entity")
     top = F.max("boards").over(w)
-    return base.withColumns({"st_boards": cap_scale(F.col("boards").cast("double"), 10.0), "st_dist": cap_scale((top - F.col("boards")).cast("double"), 10.0), "st_leader": (F.col("boards") == top).cast("int"), "st_seal": F.log1p(F.coalesce("seal", F.lit(0.0))) / 10})
+    opened = F.coalesce(F.col("open_count"), F.lit(0)) if "open_count" in base.columns else F.lit(0)
+    return base.withColumns({"st_first": F.coalesce(F.col("first_min"), F.lit(240)) / 240, "st_open": opened / 10, "st_boards": cap_scale(F.col("boards").cast("double"), 10.0), "st_dist": cap_scale((top - F.col("boards")).cast("double"), 10.0), "st_leader": (F.col("boards") == top).cast("int"), "st_seal": F.log1p(F.coalesce("seal", F.lit(0.0))) / 10})
 
 
 def history20(df: DataFrame) -> DataFrame:
@@ -130,9 +133,17 @@ def seat_profile(seats: str, amount: str, famous: list[int], marked: list[int])
     return {"hhi": F.aggregate(seats, F.lit(0.0), lambda a, x: a + (x[amount] / total) * (x[amount] / total)), "famous": share(famous), "marked": share(marked)}
 
 
+#: Words of a board reason that say turnover or amplitude.
+TURNOVER_REASON, AMPLITUDE_REASON = "换手率", "振幅"
+
+
 def trader_features(df: DataFrame, famous: list[int], marked: list[int]) -> DataFrame:
-    """Per stock and day: clipped net share, both sides' concentration, marker share and famous bias. Columns buy, sell: arrays of (seat, amount)."""
+    """Per stock and day: clipped net share, both sides' concentration, marker share, famous bias, and whether the reason is turnover or amplitude.
+
+    Columns buy, sell: arrays of (seat, amount); reason if there is one.
+    """
+    reason = F.coalesce(F.col("reason"), F.lit("")) if "reason" in df.columns else F.lit("")
     b, s = seat_profile("buy", "amount", famous, marked), seat_profile("sell", "amount", famous, marked)
     net = F.aggregate("buy", F.lit(0.0), lambda a, x: a + x["amount"]) - F.aggregate("sell", F.lit(0.0), lambda a, x: a + x["amount"])
     share = F.greatest(F.lit(-2.0), F.least(F.lit(2.0), net / F.greatest("turnover", F.lit(1e-6))))
-    return df.select("date", "code", share.alias("net_share"), b["hhi"].alias("buy_hhi"), s["hhi"].alias("sell_hhi"), b["marked"].alias("marked_share"), (b["famous"] - s["famous"]).alias("famous_bias"))
+    return df.select("date", "code", share.alias("net_share"), b["hhi"].alias("buy_hhi"), s["hhi"].alias("sell_hhi"), b["marked"].alias("marked_share"), (b["famous"] - s["famous"]).alias("famous_bias"), reason.contains(TURNOVER_REASON).cast("int").alias("by_turnover"), reason.contains(AMPLITUDE_REASON).cast("int").alias("by_amplitude"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import entities as en
 from ..operators import news, themes
+from ..streaming import streams
 from .harness import Inputs, query
 
 DAYS = "dd AS (SELECT date, CAST(row_number() OVER (ORDER BY date) - 1 AS INT) AS di FROM (SELECT DISTINCT date FROM theme_events) q), seen AS (SELECT DISTINCT zscode, e.date, di FROM theme_events e JOIN dd ON e.date = dd.date)"
@@ -45,8 +46,8 @@ def _(v: Inputs):
     return themes.new_face_ratio(e, themes.appearances(e)).select("zscode", "date", F.round("new_faces", 6).alias("new_faces"))
 
 
-@query("w23_reappearance", f"""WITH {DAYS}, d AS (SELECT DISTINCT zscode, code, date FROM theme_events)
-SELECT zscode, code, date, round(least(count(*) OVER (PARTITION BY zscode, code ORDER BY di RANGE BETWEEN 5 PRECEDING AND 1 PRECEDING), 5) / 5.0, 6) AS back FROM d JOIN seen USING (zscode, date)""")
+@query("w23_reappearance", f"""WITH {DAYS}, d AS (SELECT zscode, code, date FROM theme_events)
+SELECT zscode, code, date, round(least(count(*) OVER (PARTITION BY zscode, code ORDER BY di RANGE BETWEEN 5 PRECEDING AND 1 PRECEDING) + row_number() OVER (PARTITION BY zscode, code, di) - 1, 5) / 5.0, 6) AS back FROM d JOIN seen USING (zscode, date)""")
 def _(v: Inputs):
     e = v.theme_events
     return themes.reappearance(e, themes.appearances(e)).select("zscode", "code", "date", F.round("back", 6).alias("back"))
@@ -58,14 +59,14 @@ def _(v: Inputs):
 
 
 BASE = """base AS (SELECT DISTINCT date, code, zscode AS entity FROM theme_events), tb AS (SELECT date, code, max(boards) AS tb FROM theme_events WHERE code % 3 > 0 GROUP BY ALL),
-lim AS (SELECT CAST(l_shipdate AS DATE) AS date, l_suppkey AS code, max(l_linenumber) AS lb, max(l_discount) AS seal, min(l_tax * 100) AS first_min FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY ALL),
-eb AS (SELECT base.*, coalesce(tb, lb, 1) AS boards, seal, first_min FROM base LEFT JOIN tb USING (date, code) LEFT JOIN lim USING (date, code))"""
+lim AS (SELECT CAST(l_shipdate AS DATE) AS date, l_suppkey AS code, max(l_linenumber) AS lb, max(l_discount) AS seal, min(l_tax * 100) AS first_min, max(l_linenumber % 4) AS open_count FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY ALL),
+eb AS (SELECT base.*, coalesce(tb, lb, 1) AS boards, seal, first_min, open_count FROM base LEFT JOIN tb USING (date, code) LEFT JOIN lim USING (date, code))"""
 
 
 def _base(v: Inputs):
     e = v.theme_events
     members = e.select("date", "code", F.col("zscode").alias("entity")).distinct()
-    limits = v.lineitem.where("l_suppkey % 2 = 0").select(F.col("l_shipdate").cast("date").alias("date"), F.col("l_suppkey").alias("code"), F.col("l_linenumber").alias("consecutive"), F.col("l_discount").alias("seal"), (F.col("l_tax") * 100).alias("first_min"))
+    limits = v.lineitem.where("l_suppkey % 2 = 0").select(F.col("l_shipdate").cast("date").alias("date"), F.col("l_suppkey").alias("code"), F.col("l_linenumber").alias("consecutive"), F.col("l_discount").alias("seal"), (F.col("l_tax") * 100).alias("first_min"), (F.col("l_linenumber") % 4).alias("open_count"))
     return themes.event_base(members, e.where("code % 3 > 0"), limits)
 
 
@@ -79,9 +80,9 @@ def _(v: Inputs):
     return themes.theme_strength(_base(v)).select("date", "entity", F.col("max_boards").cast("long").alias("max_boards"), F.round("mean_seal", 6).alias("mean_seal"), F.round("mean_first", 6).alias("mean_first"), "size")
 
 
-@query("w26_stock_strength", f"WITH {BASE} SELECT date, code, entity, round(least(boards, 10) / 10.0, 6) AS st_boards, round(least(max(boards) OVER w - boards, 10) / 10.0, 6) AS st_dist, CAST(CASE WHEN boards = max(boards) OVER w THEN 1 ELSE 0 END AS INT) AS st_leader, round(ln(1 + coalesce(seal, 0)) / 10, 6) AS st_seal FROM eb WINDOW w AS (PARTITION BY date, entity)")
+@query("w26_stock_strength", f"WITH {BASE} SELECT date, code, entity, round(least(boards, 10) / 10.0, 6) AS st_boards, round(least(max(boards) OVER w - boards, 10) / 10.0, 6) AS st_dist, CAST(CASE WHEN boards = max(boards) OVER w THEN 1 ELSE 0 END AS INT) AS st_leader, round(ln(1 + coalesce(seal, 0)) / 10, 6) AS st_seal, round(coalesce(first_min, 240) / 240, 6) AS st_first, round(coalesce(open_count, 0) / 10, 6) AS st_open FROM eb WINDOW w AS (PARTITION BY date, entity)")
 def _(v: Inputs):
-    return themes.stock_strength(_base(v)).select("date", "code", "entity", F.round("st_boards", 6).alias("st_boards"), F.round("st_dist", 6).alias("st_dist"), "st_leader", F.round("st_seal", 6).alias("st_seal"))
+    return themes.stock_strength(_base(v)).select("date", "code", "entity", F.round("st_boards", 6).alias("st_boards"), F.round("st_dist", 6).alias("st_dist"), "st_leader", *[F.round(c, 6).alias(c) for c in ("st_seal", "st_first", "st_open")])
 
 
 @query("w27_history20", f"WITH {DAYS}, m AS (SELECT DISTINCT e.date, di, code, zscode AS entity FROM theme_events e JOIN dd ON e.date = dd.date) SELECT date, code, entity, round(least(count(*) OVER (PARTITION BY entity, code ORDER BY di ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING), 10) / 10.0, 6) AS st_hist20 FROM m")
@@ -117,19 +118,19 @@ def _(v: Inputs):
 
 def _board(v: Inputs):
     side = F.struct("seat", "amount")
-    return v.seats.groupBy("date", "code").agg(F.collect_list(F.when(F.col("side") == "buy", side)).alias("buy"), F.collect_list(F.when(F.col("side") == "sell", side)).alias("sell"), F.sum("amount").alias("turnover"))
+    return v.seats.groupBy("date", "code").agg(F.collect_list(F.when(F.col("side") == "buy", side)).alias("buy"), F.collect_list(F.when(F.col("side") == "sell", side)).alias("sell"), F.sum("amount").alias("turnover"), F.element_at(F.array(F.lit("日换手率达20%"), F.lit("日振幅达15%"), F.lit("other")), (F.min("code") % 3 + 1).cast("int")).alias("reason"))
 
 
 TRADER = """WITH s AS (SELECT date, code, side, sum(amount) AS total, sum(amount * amount) / greatest(sum(amount) * sum(amount), 1e-12) AS hhi, count(*) AS n, count(*) FILTER (seat IN (0)) AS f, count(*) FILTER (seat IN (1, 2)) AS m FROM seats GROUP BY ALL),
 k AS (SELECT date, code, sum(amount) AS turnover FROM seats GROUP BY ALL)
-SELECT k.date, k.code, round(greatest(-2, least(2, (coalesce(b.total, 0) - coalesce(x.total, 0)) / turnover)), 6) AS net_share, round(coalesce(b.hhi, 0), 6) AS buy_hhi, round(coalesce(x.hhi, 0), 6) AS sell_hhi, round(coalesce(b.m / b.n, 0), 6) AS marked_share, round(coalesce(b.f / b.n, 0) - coalesce(x.f / x.n, 0), 6) AS famous_bias
+SELECT k.date, k.code, round(greatest(-2, least(2, (coalesce(b.total, 0) - coalesce(x.total, 0)) / turnover)), 6) AS net_share, round(coalesce(b.hhi, 0), 6) AS buy_hhi, round(coalesce(x.hhi, 0), 6) AS sell_hhi, round(coalesce(b.m / b.n, 0), 6) AS marked_share, round(coalesce(b.f / b.n, 0) - coalesce(x.f / x.n, 0), 6) AS famous_bias, CAST(k.code % 3 = 0 AS INT) AS by_turnover, CAST(k.code % 3 = 1 AS INT) AS by_amplitude
 FROM k LEFT JOIN s b ON k.date = b.date AND k.code = b.code AND b.side = 'buy' LEFT JOIN s x ON k.date = x.date AND k.code = x.code AND x.side = 'sell'"""
 
 
 @query("a04_trader_features", TRADER)
 def _(v: Inputs):
     d = themes.trader_features(_board(v), [0], [1, 2])
-    return d.select("date", "code", *[F.round(c, 6).alias(c) for c in ("net_share", "buy_hhi", "sell_hhi", "marked_share", "famous_bias")])
+    return d.select("date", "code", *[F.round(c, 6).alias(c) for c in ("net_share", "buy_hhi", "sell_hhi", "marked_share", "famous_bias")], "by_turnover", "by_amplitude")
 
 
 @query("a03_seat_profile", "SELECT date, code, round(coalesce(sum(amount * amount) FILTER (side = 'buy') / greatest(sum(amount) FILTER (side = 'buy') * sum(amount) FILTER (side = 'buy'), 1e-12), 0), 6) AS hhi, round(coalesce(count(*) FILTER (side = 'buy' AND seat IN (0)) / nullif(count(*) FILTER (side = 'buy'), 0), 0), 6) AS famous FROM seats GROUP BY ALL")
@@ -186,6 +187,17 @@ def _(v: Inputs):
     return news.news_features(items, _calendar(v)).select("date", "code", *[F.round(c, 6).alias(c) for c in ("nw_em", "nw_near", "nw_rec")])
 
 
+# the stream ends with sessions still open: what is final is all but the last
+@query("i15_stream", f"WITH {SEC}, f AS (SELECT *, CAST(sum(n_em + n_cls) OVER (PARTITION BY code ORDER BY tdi RANGE BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS n_3d FROM c WHERE date < (SELECT max(date) FROM c)) SELECT date, code, round(ln(1 + n_em) / ln(21), 6) AS nw_em, round(ln(1 + n_near) / ln(11), 6) AS nw_near, round(exp(-latest / 240), 6) AS nw_rec, round(ln(1 + n_3d) / ln(51), 6) AS nw_3d FROM f")
+def _(v: Inputs):
+    path = v.scratch("news")
+    items = v.news.select(F.date_trunc("second", F.col("ts").cast("timestamp")).alias("ts"), "code", "feed")
+    items.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(path)
+    stream = streams.read_batches(v.spark, path, "ts timestamp, code long, feed string", files=64)
+    counts = streams.drain(streams.session_counts(stream, v.keep(_calendar(v), "calendar"), "1 minute"), v.scratch("session-counts"))
+    return news.features_of_counts(counts).select("date", "code", *[F.round(c, 6).alias(c) for c in ("nw_em", "nw_near", "nw_rec", "nw_3d")])
+
+
 SUBJECTS = "SELECT CAST(p_partkey % 30 AS INT) AS day, p_type AS subject FROM part"
 NAMES = "SELECT DISTINCT substr(p_type, 2, 3) AS name FROM part"
 
@@ -209,19 +221,44 @@ def _(v: Inputs):
 
 # ---------------------------------------------------------------- entities
 
-EVENTS = "SELECT CAST(o_orderdate AS DATE) AS date, o_custkey AS code, concat('n', CAST(o_custkey % 40 AS VARCHAR(9)), CASE WHEN o_orderkey % 3 = 0 THEN concat(',n', CAST(o_custkey % 7 AS VARCHAR(9))) ELSE '' END) AS zs_name, concat('c', CAST(o_custkey % 13 AS VARCHAR(9)), CASE WHEN o_orderkey % 3 = 0 THEN ',0' ELSE '' END) AS zscode FROM orders"
+# every third order holds two pairs; of those, customers divisible by 17 hold one code too many
+EVENTS = """SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS date, o_custkey AS code, concat('n', CAST(o_custkey % 40 AS VARCHAR(9)), CASE WHEN o_orderkey % 3 = 0 THEN concat(',n', CAST(o_custkey % 7 AS VARCHAR(9))) ELSE '' END) AS zs_name,
+concat('c', CAST(o_custkey % 13 AS VARCHAR(9)), CASE WHEN o_orderkey % 3 = 0 THEN CASE WHEN o_custkey % 17 = 0 THEN ',c5,c6' WHEN o_custkey % 5 = 0 THEN concat(',c', CAST(o_custkey % 11 AS VARCHAR(9))) ELSE ',0' END ELSE '' END) AS zscode,
+CASE WHEN o_custkey % 2 = 0 THEN concat('N', CAST(o_custkey % 7 AS VARCHAR(9))) ELSE '' END AS segment FROM orders"""
+ATOMS = f"""ev AS ({EVENTS}), good AS (SELECT * FROM ev WHERE len(string_split(zs_name, ',')) = len(string_split(zscode, ','))),
+atom0 AS (SELECT id, date, code, segment, len(string_split(zs_name, ',')) AS n_names, CAST(unnest(range(len(string_split(zs_name, ',')))) AS INT) AS pos, unnest(string_split(zs_name, ',')) AS name, unnest([CASE WHEN x = '0' THEN '-1' ELSE x END FOR x IN string_split(zscode, ',')]) AS zcode FROM good),
+atom AS (SELECT *, n_names = 1 OR coalesce(pos = min(CASE WHEN name = lower(segment) THEN pos END) OVER (PARTITION BY id), false) AS is_primary, CASE WHEN n_names = 1 THEN 'single' ELSE 'split' END AS via FROM atom0),
+alias AS (SELECT name, zcode, count(*) AS n, min(date) AS first, max(date) AS last FROM atom GROUP BY ALL),
+life AS (SELECT *, lead(name) OVER w AS next_name, lead(first) OVER w AS next_first FROM alias WHERE zcode <> '-1' WINDOW w AS (PARTITION BY zcode ORDER BY first, name))"""
+RELATED = "(contains(name, next_name) OR contains(next_name, name) OR list_has_any([substr(name, i, 2) FOR i IN range(1, len(name))], [substr(next_name, i, 2) FOR i IN range(1, len(next_name))]))"
+HAND = "VALUES ('c12', 'n12', 'n25'), ('c1', 'n2', 'other'), ('c99', 'n1', 'n2')"
+ENTITIES = f"""{ATOMS}, hand(zcode, name_a, name_b) AS ({HAND}), link AS (SELECT name AS a, next_name AS b FROM life WHERE next_name IS NOT NULL AND {RELATED} UNION SELECT name_a, name_b FROM hand WHERE (name_a, zcode) IN (SELECT (name, zcode) FROM alias) AND (name_b, zcode) IN (SELECT (name, zcode) FROM alias)),
+g AS (SELECT a, b FROM link UNION SELECT b, a FROM link UNION SELECT name, name FROM alias), reach(node, r) AS (SELECT a, b FROM g UNION SELECT reach.node, g.b FROM reach JOIN g ON reach.r = g.a),
+ent AS (SELECT node AS name, min(r) AS entity FROM reach GROUP BY node)"""
+
+
+def _split(v: Inputs):
+    """The events' pairs; of composite rows that named like the segment is primary."""
+    e = v.sql(EVENTS)
+    rows = e.select("id", F.split("zs_name", ",").alias("names"), F.lit("").alias("reason"), "segment")
+    return en.split_composites(e, en.pick_parent(rows, rows.select("segment", F.lit("").alias("parent"))))
+
 
+def _manual(v: Inputs):
+    """Of three joins by hand two name pairs that do not exist."""
+    return v.spark.sql(f"SELECT * FROM {HAND} AS t(zcode, name_a, name_b)")
 
-@query("p02_split_composites", f"WITH e AS ({EVENTS}) SELECT date, code, CAST(unnest(range(len(string_split(zs_name, ',')))) AS INT) AS pos, unnest(string_split(zs_name, ',')) AS name, unnest([CASE WHEN x = '0' THEN '-1' ELSE x END FOR x IN string_split(zscode, ',')]) AS zcode, len(string_split(zs_name, ',')) = 1 AS is_primary FROM e")
+
+@query("p02_split_composites", f"WITH {ATOMS} SELECT date, code, pos, name, zcode, is_primary, via FROM atom")
 def _(v: Inputs):
-    return en.split_composites(v.sql(EVENTS))
+    return _split(v).select("date", "code", "pos", "name", "zcode", "is_primary", "via")
 
 
 def _alias(v: Inputs):
-    return en.alias_stats(en.split_composites(v.sql(EVENTS)))
+    return en.alias_stats(_split(v))
 
 
-@query("a08_alias_stats", f"WITH e AS ({EVENTS}), x AS (SELECT date, unnest(string_split(zs_name, ',')) AS name, unnest(string_split(zscode, ',')) AS z FROM e) SELECT name, CASE WHEN z = '0' THEN '-1' ELSE z END AS zcode, count(*) AS n, min(date) AS first, max(date) AS last FROM x GROUP BY ALL")
+@query("a08_alias_stats", f"WITH {ATOMS} SELECT name, zcode, n, first, last FROM alias")
 def _(v: Inputs):
     return _alias(v)
 
@@ -235,30 +272,54 @@ def _(v: Inputs):
     return en.connected(v.alias_pairs.select(F.col("name").alias("a"), F.col("code_e").alias("b")))
 
 
-@query("g01_resolve_entities")
+def _resolved(v: Inputs):
+    split = v.keep(_split(v), "split")
+    alias = v.keep(en.alias_stats(split), "alias")
+    return split, alias, en.resolve_entities(alias, _manual(v))
+
+
+@query("g01_resolve_entities", f"WITH RECURSIVE {ENTITIES} SELECT alias.name, zcode, entity FROM alias JOIN ent ON alias.name = ent.name")
 def _(v: Inputs):
-    return en.resolve_entities(_alias(v))
+    return _resolved(v)[2]
 
 
-@query("a08_entity_rollup")
+@query("a08_entity_rollup", f"""WITH RECURSIVE {ENTITIES}, x AS (SELECT alias.*, entity FROM alias JOIN ent ON alias.name = ent.name),
+t AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY last DESC, n DESC, name DESC, zcode DESC) AS i FROM x),
+r AS (SELECT entity, min(first) AS first, max(last) AS last, count(DISTINCT zcode) AS n_codes, count(DISTINCT name) AS n_names, CAST(sum(n) AS BIGINT) AS n_rows, max(CASE WHEN i = 1 THEN name END) AS anchor, max(CASE WHEN i = 1 THEN zcode END) AS anchor_code FROM t GROUP BY entity)
+SELECT *, row_number() OVER (ORDER BY first, anchor_code, entity) AS entity_id FROM r""")
 def _(v: Inputs):
-    a = _alias(v)
-    return en.entity_rollup(a, en.resolve_entities(a))
+    _, alias, entities = _resolved(v)
+    return en.entity_rollup(alias, entities)
 
 
-@query("g02_member_table")
+@query("g02_member_table", f"WITH RECURSIVE {ENTITIES} SELECT DISTINCT atom.date, atom.code, entity, is_primary, via, CAST(coalesce(tdi, -1) AS INT) AS tdi, CAST(CASE WHEN atom.code % 2 = 0 THEN atom.code ELSE -1 END AS INT) AS code_idx FROM atom JOIN ent ON atom.name = ent.name LEFT JOIN calendar ON atom.date = calendar.date")
 def _(v: Inputs):
-    split = en.split_composites(v.sql(EVENTS))
-    return en.member_table(split, en.resolve_entities(en.alias_stats(split)))
+    split, _, entities = _resolved(v)
+    master = v.customer.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("code"), F.col("c_custkey").cast("int").alias("code_idx"))
+    return en.member_table(split, entities, v.calendar, master)
 
 
-@query("a15_review_queue")
+@query("a15_review_queue", f"""WITH RECURSIVE {ENTITIES}, p AS (SELECT life.*, a.entity AS ea, b.entity AS eb FROM life JOIN ent a ON a.name = life.name JOIN ent b ON b.name = next_name),
+c AS (SELECT *, lead(zcode) OVER w AS next_code, lead(first) OVER w AS nf FROM alias WINDOW w AS (PARTITION BY name ORDER BY first, zcode))
+SELECT 'code_reuse' AS kind, zcode AS key, name AS val, next_name AS note FROM p WHERE ea <> eb UNION SELECT 'code_overlap', zcode, name, next_name FROM p WHERE next_first <= last UNION SELECT 'name_overlap', name, zcode, next_code FROM c WHERE nf <= last
+UNION SELECT 'pair_unseen', concat(name, '|', zcode), '', '' FROM atom WHERE via = 'split' AND (name, zcode) NOT IN (SELECT (name, zcode) FROM atom WHERE via = 'single')
+UNION SELECT 'bad_split', concat(CAST(date AS VARCHAR), '|', CAST(code AS VARCHAR)), zscode, zs_name FROM ev WHERE len(string_split(zs_name, ',')) <> len(string_split(zscode, ',')) UNION SELECT 'manual_miss', concat_ws('|', zcode, name_a, name_b), '', '' FROM hand WHERE (name_a, zcode) NOT IN (SELECT (name, zcode) FROM alias) OR (name_b, zcode) NOT IN (SELECT (name, zcode) FROM alias)""")
 def _(v: Inputs):
-    a = _alias(v)
-    return en.review_queue(a, en.resolve_entities(a))
+    split, alias, entities = _resolved(v)
+    return en.review_queue(alias, entities, split, en.bad_splits(v.sql(EVENTS)), _manual(v))
+
+
+# the segment is a name, a name's bracket content, a child in the reason's head, or one with a parent in the segment or the row map
+PARTS = """SELECT p_partkey AS id, p_partkey % 6 AS kind, concat(p_brand, ',', CASE WHEN p_partkey % 6 = 1 THEN concat('maker', p_size % 9, '（', lower(p_type), '）') ELSE p_type END) AS zs_name,
+CASE WHEN p_partkey % 6 = 2 THEN concat(p_brand, '(', 'box ', p_size, ')x') ELSE 'no head' END AS reason,
+CASE p_partkey % 6 WHEN 0 THEN upper(p_type) WHEN 1 THEN p_type WHEN 2 THEN concat('BOX ', p_size) WHEN 3 THEN concat('Maker', p_size % 9) WHEN 4 THEN 'unknown' ELSE '' END AS segment FROM part"""
 
 
-@query("c22_pick_parent")
+@query("c22_pick_parent", f"""WITH x AS ({PARTS}) SELECT id, CAST(CASE WHEN kind IN (0, 1) THEN 1 WHEN kind IN (2, 3) THEN 0 WHEN kind = 4 AND id % 5 = 0 THEN 1 ELSE -1 END AS INT) AS pos, CAST(CASE WHEN kind = 0 THEN 1 WHEN kind = 1 THEN 2 WHEN kind = 2 THEN 3 WHEN kind = 3 OR (kind = 4 AND id % 5 = 0) THEN 4 END AS INT) AS tier FROM x""")
 def _(v: Inputs):
-    rows = v.part.select(F.col("p_partkey").alias("id"), F.split("p_name", " ").alias("names"), F.lit("").alias("reason"), F.element_at(F.split("p_name", " "), -1).alias("segment"))
-    return en.pick_parent(rows, v.part.select(F.lower("p_brand").alias("segment"), F.col("p_brand").alias("parent")).distinct())
+    rows = v.sql(PARTS).select("id", "kind", F.split("zs_name", ",").alias("names"), "reason", "segment")
+    row_map = rows.where("id % 5 = 0").select("id", F.element_at("names", 2).alias("parent"))
+    # the parent of a maker is its brand: one row per maker, so brands here are named by the row map of their own makers
+    first = rows.where("kind = 3").select("id", F.element_at("names", 1).alias("parent"))
+    seg = v.part.select(F.lit("none").alias("segment"), F.lit("").alias("parent")).distinct()
+    return en.pick_parent(rows, seg, row_map.where("id % 6 <> 3").unionByName(first)).select("id", "pos", "tier")

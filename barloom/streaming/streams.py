@@ -1,14 +1,26 @@
-"""Structured Streaming: late and repeated rows of an id-keyed feed."""
+"""Structured Streaming: late and repeated rows of an id-keyed feed, and sessions that close."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.calendar import to_session
+from ..operators.news import mentions
+
 
 def read_batches(spark: SparkSession, path: str, schema: str, files: int = 1) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
+def session_counts(stream: DataFrame, calendar: DataFrame, delay: str = "1 hour", near: int = 60) -> DataFrame:
+    """Mention counts of each session and code, given out once the watermark has passed the session's close.
+
+    Items look up their session by day in the calendar; the close is the event time, so state holds open sessions only.
+    """
+    items = to_session(stream, calendar).withWatermark("closes_at", delay)
+    return items.groupBy("closes_at", "date", "tdi", "code").agg(*mentions(near))
+
+
 def overlap_dedupe(stream: DataFrame, key: str = "id", ts: str = "ts", delay: str = "7 days") -> DataFrame:
     """First arrival of each id; re-reads within the delay are caught by state that the watermark bounds."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
