@@ -13,6 +13,11 @@ def merge_first_wins(old: DataFrame, new: DataFrame, key: str, order: str) -> Da
     return old.unionByName(fresh.join(old.select(key), key, "left_anti").select(*old.columns))
 
 
+def new_rows(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """How many rows merge_first_wins adds."""
+    return new.select(key).distinct().join(old.select(key), key, "left_anti").agg(F.count("*").alias("n_new"))
+
+
 def upsert_last_wins(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
     both = old.withColumn("_b", F.lit(0)).unionByName(new.withColumn("_b", F.lit(1)))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_b"), F.desc(order)))
@@ -53,12 +58,31 @@ def drifted_codes(new: DataFrame, stored: DataFrame) -> DataFrame:
     return j.groupBy("code").agg(F.bool_or(F.abs(F.col("n") - F.col("s")) > 1e-9).alias("drifted"))
 
 
+def recent_split(segments: DataFrame, target: int, recent: int = 62) -> DataFrame:
+    """Segments (code, lo, hi in trading days) within ``recent`` days of the target, with their request, and older ones.
+
+    A code's recent request covers all from its first recent gap to the target: 16 bars a day and 16 more, 1023 at most.
+    """
+    d = segments.withColumn("is_recent", F.col("lo") > target - recent)
+    first = F.min(F.when(F.col("is_recent"), F.col("lo"))).over(Window.partitionBy("code"))
+    return d.withColumn("request", F.when(F.col("is_recent"), F.least(F.lit(1023), (F.lit(target) - first + 1) * 16 + 16)).cast("int"))
+
+
+def merges(segments: DataFrame, stored: DataFrame) -> DataFrame:
+    """Codes whose recent segments must be merged into the store, since one comes before stored data (code, last), rather than appended."""
+    first = segments.where("is_recent").groupBy("code").agg(F.min("lo").alias("_lo"))
+    return first.join(stored, "code", "left").select("code", F.coalesce(F.col("_lo") < F.col("last"), F.lit(False)).alias("merge"))
+
+
 def coverage(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.agg(*[F.avg((F.col(c) > 0).cast("int")).alias(c) for c in cols])
 
 
-def correlations(df: DataFrame, cols: list[str], least: float = 0.7) -> DataFrame:
-    """Pairs of columns whose correlation is above the limit, in one pass."""
+def correlations(df: DataFrame, cols: list[str], least: float = 0.7, days: int | None = None) -> DataFrame:
+    """Pairs of columns whose correlation is above the limit, in one pass; over the latest ``days`` trading days if given."""
+    if days is not None:
+        last = df.agg((F.max("trade_date_idx") - days).alias("_last"))
+        df = df.crossJoin(F.broadcast(last)).where("trade_date_idx > _last").drop("_last")
     pairs = [(x, y) for i, x in enumerate(cols) for y in cols[i + 1 :]]
     one = df.agg(*[F.corr(x, y).alias(f"c{i}") for i, (x, y) in enumerate(pairs)])
     rows = F.array(*[F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"c{i}").alias("r")) for i, (x, y) in enumerate(pairs)])
@@ -80,10 +104,12 @@ def gap_segments(missing: DataFrame, span: int = 60) -> DataFrame:
     return g.select("code", F.explode(F.aggregate("g", F.array().cast(kind), step)).alias("s")).select("code", "s.lo", "s.hi")
 
 
-def commit_ledger(old: DataFrame, new: DataFrame, most_dates: int = 1800, most_codes: int = 120) -> DataFrame:
-    """Codes with too many new dates drop; if too many codes are left, nothing is added."""
+def commit_ledger(old: DataFrame, new: DataFrame, most_dates: int = 1800, most_codes: int | None = 120) -> DataFrame:
+    """Codes with too many new dates drop; if more than ``most_codes`` are left (None: however many), nothing is added."""
     fresh = new.join(old, ["code", "date"], "left_anti")
     per = fresh.groupBy("code").count().where(F.col("count") <= most_dates).select("code")
+    if most_codes is None:
+        return old.unionByName(fresh.join(per, "code", "left_semi"))
     n = per.agg((F.count("*") <= most_codes).alias("_ok"))
     return old.unionByName(fresh.join(per, "code", "left_semi").crossJoin(F.broadcast(n)).where("_ok").drop("_ok"))
 
@@ -97,38 +123,92 @@ def append_or_rewrite(stored: DataFrame) -> DataFrame:
     return d.groupBy("code").agg(F.bool_and(ok).alias("append"))
 
 
+def fills_tail(stored: DataFrame, new: DataFrame, calendar: DataFrame, target: str) -> DataFrame:
+    """Per code with new rows whether these are exactly the trading days after its last stored one up to the target, all traded."""
+    last = stored.groupBy("code").agg(F.max("date").alias("_last"))
+    due = last.join(F.broadcast(calendar.select("date")), (F.col("date") > F.col("_last")) & (F.col("date") <= F.to_date(F.lit(target)))).select("code", "date", F.lit(True).alias("_due"))
+    real = F.coalesce((F.col("volume") > 0) & (F.col("close") > 0), F.lit(False))
+    have = new.groupBy("code", "date").agg(F.bool_and(real).alias("_real"), F.count("*").alias("_n"))
+    both = due.join(have, ["code", "date"], "full").join(new.select("code").distinct(), "code", "left_semi")
+    return both.groupBy("code").agg(F.bool_and(F.coalesce(F.col("_due") & F.col("_real") & (F.col("_n") == 1), F.lit(False))).alias("fills"))
+
+
 def late_columns(bars: DataFrame, target: str) -> DataFrame:
     """Codes traded on the target day with a null turn there but turn values elsewhere."""
     g = bars.groupBy("code").agg(F.max_by(F.struct("date", "tradestatus", "turn"), "date").alias("l"), F.count("turn").alias("n"))
     return g.where((F.col("l.date") == F.to_date(F.lit(target))) & (F.col("l.tradestatus") == 1) & F.col("l.turn").isNull() & (F.col("n") > 0)).select("code")
 
 
+def stale_codes(bars: DataFrame, written: DataFrame, target: str, close: str = "15:00:00") -> DataFrame:
+    """Codes with a row of the target day that were written (code, written_at) before that day's close."""
+    at = F.to_timestamp(F.lit(f"{target} {close}"))
+    return bars.where(F.col("date") == F.to_date(F.lit(target))).select("code").distinct().join(written.where(F.col("written_at") < at).select("code"), "code", "left_semi")
+
+
 def repair_flags(bars: DataFrame) -> DataFrame:
     """bad: volume without a price; repairable: no price but a traded close before."""
     before = F.last(F.when(F.col("tradestatus") == 1, F.col("close")), True).over(Window.partitionBy("code").orderBy("date").rowsBetween(Window.unboundedPreceding, -1))
     return bars.select("code", "date", ((F.col("volume") > 0) & F.col("close").isNull()).cast("int").alias("bad"), (F.col("close").isNull() & before.isNotNull()).cast("int").alias("repairable"))
 
 
-def completeness(bars: DataFrame, calendar: DataFrame, span: DataFrame) -> DataFrame:
-    """Per code: missing days and null columns on traded rows (the first row may lack preclose and pctChg)."""
+def completeness(bars: DataFrame, calendar: DataFrame, span: DataFrame, exempt: DataFrame | None = None, shares: DataFrame | None = None, m15: DataFrame | None = None) -> DataFrame:
+    """Per code: missing days, null columns on traded rows, traded days without 15-minute bars, and whether all is there.
+
+    The first row may lack preclose and pctChg. Turnover may be missing throughout, or before the code's first share count (``shares``: code,
+    date). ``exempt``: codes, such as delisted ones or those without data, that count as complete. ``m15``: code, date.
+    """
     i = F.row_number().over(Window.partitionBy("code").orderBy("date"))
     d = bars.withColumn("_i", i)
+    if shares is not None:
+        d = d.join(shares.groupBy("code").agg(F.min("date").alias("_first_share")), "code", "left")
+    known = F.coalesce(F.col("date") >= F.col("_first_share"), F.lit(False)) if shares is not None else F.lit(True)
     t = F.col("tradestatus") == 1
-    g = d.groupBy("code").agg(F.count_if(t & (F.col("_i") > 1) & F.col("preclose").isNull()).alias("no_preclose"), F.count_if(t & (F.col("_i") > 1) & F.col("pctChg").isNull()).alias("no_pct"), F.count_if(t & F.col("amount").isNull()).alias("no_amount"), F.count_if(t & F.col("turn").isNull()).alias("no_turn"))
+    later = t & (F.col("_i") > 1)
+    no_turn = F.when(F.count("turn") == 0, 0).otherwise(F.count_if(t & known & F.col("turn").isNull()))
+    g = d.groupBy("code").agg(F.count_if(later & F.col("preclose").isNull()).alias("no_preclose"), F.count_if(later & F.col("pctChg").isNull()).alias("no_pct"), F.count_if(t & F.col("amount").isNull()).alias("no_amount"), no_turn.alias("no_turn"), F.count_if(F.col("isST").isNull()).alias("no_status"))
     m = gaps(bars, calendar, span).groupBy("code").agg(F.count("*").alias("missing"))
-    out = span.select("code").join(g, "code", "left").join(m, "code", "left").fillna(0)
-    return out.withColumn("complete", sum((F.col(c) for c in ("no_preclose", "no_pct", "no_amount", "no_turn", "missing")), F.lit(0)) == 0)
+    out = span.select("code").join(g, "code", "left").join(m, "code", "left")
+    checks = ["no_preclose", "no_pct", "no_amount", "no_turn", "no_status", "missing"]
+    if m15 is not None:
+        lacking = m15_gaps(bars, m15).groupBy("code").agg(F.count("*").alias("no_m15"))
+        out, checks = out.join(lacking, "code", "left"), [*checks, "no_m15"]
+    out = out.fillna(0).withColumn("complete", sum((F.col(c) for c in checks), F.lit(0)) == 0)
+    if exempt is not None:
+        out = out.join(exempt.select("code", F.lit(True).alias("_exempt")).distinct(), "code", "left").withColumn("complete", F.coalesce("_exempt", "complete")).drop("_exempt")
+    return out
+
 
+def all_complete(report: DataFrame) -> DataFrame:
+    """One row: whether every code is."""
+    return report.agg(F.coalesce(F.bool_and("complete"), F.lit(True)).alias("complete"))
 
-def freshness(bars: DataFrame, target: str, suspended: DataFrame) -> DataFrame:
+
+def m15_gaps(bars: DataFrame, m15: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    """(code, date) with daily volume and no 15-minute bar, less the ledger of known unavailable ones."""
+    out = bars.where("volume > 0").select("code", "date").join(m15.select("code", "date").distinct(), ["code", "date"], "left_anti")
+    return out.join(ledger.select("code", "date"), ["code", "date"], "left_anti") if ledger is not None else out
+
+
+def freshness(bars: DataFrame, target: str, suspended: DataFrame, frequency: str = "daily") -> DataFrame:
+    """Codes of one frequency of bars that end before the target and are not suspended."""
     last = bars.groupBy("code").agg(F.max("date").alias("last_date"))
-    return last.where(F.col("last_date") < F.to_date(F.lit(target))).join(suspended.select("code"), "code", "left_anti")
+    late = last.where(F.col("last_date") < F.to_date(F.lit(target))).join(suspended.select("code"), "code", "left_anti")
+    return late.withColumn("frequency", F.lit(frequency))
 
 
-def day_audit(rows: DataFrame, declared: DataFrame, cap: int) -> DataFrame:
-    """Per day landed against declared rows; days short of them or above the cap need another way."""
+def day_audit(rows: DataFrame, declared: DataFrame, cap: int, most_days: int | None = None) -> DataFrame:
+    """Per day landed against declared rows; days short of them or above the cap need another way, and so do all if they span more than ``most_days``."""
     n = rows.groupBy("day").agg(F.count("*").alias("landed"))
-    return declared.join(n, "day", "left").fillna(0, ["landed"]).withColumn("fallback", (F.col("declared") > cap) | (F.col("landed") < F.col("declared")))
+    out = declared.join(n, "day", "left").fillna(0, ["landed"]).withColumn("fallback", (F.col("declared") > cap) | (F.col("landed") < F.col("declared")))
+    if most_days is None:
+        return out
+    long = declared.agg((F.date_diff(F.max("day"), F.min("day")) > most_days).alias("_long"))
+    return out.crossJoin(F.broadcast(long)).withColumn("fallback", F.col("fallback") | F.col("_long")).drop("_long")
+
+
+def without_state(codes: DataFrame, state: DataFrame) -> DataFrame:
+    """Codes that have never landed; these are fetched on their own."""
+    return codes.select("code").distinct().join(state.select("code"), "code", "left_anti")
 
 
 def changed_only(old: DataFrame, new: DataFrame, cols: list[str]) -> DataFrame:
@@ -145,9 +225,11 @@ def since_watermark(df: DataFrame, state: DataFrame) -> DataFrame:
     return df.join(F.broadcast(state), "kind", "left").where(F.col("latest").isNull() | (F.col("date") > F.col("latest"))).drop("latest")
 
 
-def holes(days: DataFrame) -> DataFrame:
-    """Days between the first and last landed one that have nothing."""
-    every = days.agg(F.explode(F.sequence(F.min("day"), F.max("day"))).alias("day"))
+def holes(days: DataFrame, floor: str | None = None) -> DataFrame:
+    """Days between the first and last landed one that have nothing; with a floor also whether the landed days reach down to it."""
+    ends = days.agg(F.min("day").alias("_lo"), F.max("day").alias("_hi"))
+    reach = [(F.col("_lo") <= F.to_date(F.lit(floor))).alias("covered_floor")] if floor else []
+    every = ends.select(F.explode(F.sequence("_lo", "_hi")).alias("day"), *reach)
     return every.join(days.select("day").distinct(), "day", "left_anti")
 
 

@@ -36,8 +36,13 @@ def tail_samples(df: DataFrame, bad: str, length: int, lo_tdi: int, hi_tdi: int)
     return d.where((F.col("trade_date_idx") >= lo_tdi) & (F.col("trade_date_idx") < hi_tdi))
 
 
-def materialise(ids: DataFrame, daily: DataFrame, length: int, cols: list[str]) -> DataFrame:
-    """One array per column of the window's rows in order; non-finite values become 0, unknown columns are ignored."""
+def materialise(ids: DataFrame, daily: DataFrame, length: int, cols: list[str], sides: tuple[tuple[DataFrame, tuple[str, ...], float], ...] = ()) -> DataFrame:
+    """One array per column of the window's rows in order; non-finite values become 0, unknown columns are ignored.
+
+    ``sides``: further tables with their keys and the value of rows they lack; their columns are joined to the daily rows first.
+    """
+    for side, keys, default in sides:
+        daily = lookup_with_default(daily, side.select(*keys, *[c for c in cols if c in side.columns and c not in daily.columns]), list(keys), default)
     cols = [c for c in cols if c in daily.columns]
     w = Window.partitionBy("code").orderBy("date").rowsBetween(-(length - 1), 0)
     d = daily.select("code", "date", *[null_to_zero(F.col(c)).alias(c) for c in cols])
@@ -54,14 +59,44 @@ def split_samples(ids: DataFrame, begin: str, split: str, end: str) -> DataFrame
 
 
 def epoch_order(ids: DataFrame, seed: int, epoch: int, start: int = 0) -> DataFrame:
-    """A hash that is a function of sample, seed and epoch gives each sample its place within one of 1024 ordered shards.
+    """The epoch's samples from the place ``start`` on: a hash of sample, seed and epoch orders them, ``place`` counts through the epoch.
 
-    A global order is the shard, then the place; no task numbers all samples.
+    The hash's first bits name one of 1024 shards; places within a shard, and the sizes of the shards before it, add up, so no task
+    numbers all samples.
     """
     h = F.xxhash64("code", "date", F.lit(seed + epoch))
     d = ids.withColumn("_h", h).withColumn("shard", F.shiftrightunsigned("_h", 54).cast("int"))
-    d = d.withColumn("place", F.row_number().over(Window.partitionBy("shard").orderBy("_h", "code", "date")) - 1).drop("_h")
-    return d.where(F.col("place") >= start)
+    size = d.groupBy("shard").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    size = size.select("shard", before.alias("_before"))  # 1024 rows at most
+    d = d.withColumn("_i", F.row_number().over(Window.partitionBy("shard").orderBy("_h", "code", "date")) - 1)
+    d = d.join(F.broadcast(size), "shard").withColumn("place", F.col("_before") + F.col("_i"))
+    return d.where(F.col("place") >= start).drop("_h", "_i", "_before")
+
+
+def ordered_batches(ids: DataFrame, size: int, seed: int | None = None, drop_last: bool = False, skip: int = 0, limit: int | None = None) -> DataFrame:
+    """Batches through all days: samples by (date, code), or in a seeded order, ``size`` at a time; the first ``skip`` go and ``limit`` stay.
+
+    Days give their numbers of samples, which add up to where each day begins, so no task numbers all samples.
+    """
+    part = F.col("date") if seed is None else F.pmod(F.xxhash64("code", "date", F.lit(seed)), F.lit(1024))
+    order = ["code"] if seed is None else [F.xxhash64("code", "date", F.lit(seed + 1)), F.col("date"), F.col("code")]
+    d = ids.withColumn("_p", part)
+    n = d.groupBy("_p").agg(F.count("*").alias("_n"))
+    n = n.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
+    d = d.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1).join(F.broadcast(n), "_p")
+    d = d.withColumn("batch", F.floor((F.col("_before") + F.col("_i")) / size).cast("long"))
+    if drop_last:
+        d = d.where((F.col("batch") + 1) * size <= F.col("_all"))
+    if skip:
+        d = d.where(F.col("batch") >= skip)
+    if limit is not None:
+        d = d.where(F.col("batch") < skip + limit)
+    return d.drop("_p", "_i", "_before", "_all")
+
+
+def batch_count(n_samples: int, size: int, drop_last: bool = False) -> int:
+    return n_samples // size if drop_last else -(-n_samples // size)
 
 
 def assign_batches(ids: DataFrame, size: int, repeats: int = 1, drop_last: bool = False, seed: int | None = None) -> DataFrame:

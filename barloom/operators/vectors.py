@@ -10,9 +10,11 @@ import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.pipeline import Pipeline, PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+STORE = "text string, vector array<double>"
+
 
 def fit_projection(df: DataFrame, k: int = 16) -> PipelineModel:
     """Centring and PCA, fitted once; the model is saved and only applied later."""
@@ -20,7 +22,19 @@ def fit_projection(df: DataFrame, k: int = 16) -> PipelineModel:
     return Pipeline(stages=[StandardScaler(inputCol="raw", outputCol="centred", withMean=True, withStd=False), PCA(k=k, inputCol="centred", outputCol="projected")]).fit(vectors)
 
 
-def apply_projection(df: DataFrame, model: PipelineModel, key: str) -> DataFrame:
+def save_projection(model: PipelineModel, path: str) -> None:
+    """Only a refit on request replaces a saved model."""
+    model.write().overwrite().save(path)
+
+
+def load_projection(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def apply_projection(df: DataFrame, model: PipelineModel, key: str, order: str | None = None) -> DataFrame:
+    """(key, projected); with an order column the last row of each key counts."""
+    if order is not None:
+        df = df.groupBy(key).agg(F.max_by("embedding", order).alias("embedding"))
     out = model.transform(df.select(key, array_to_vector(F.col("embedding").cast("array<double>")).alias("raw")))
     return out.select(key, vector_to_array("projected").alias("projected"))
 
@@ -35,6 +49,14 @@ def hashing_encoder(texts: pd.Series, dim: int = 64) -> list[list[float]]:
     return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)).tolist()
 
 
+def append_new(spark: SparkSession, texts: DataFrame, path: str, encoder: Callable[[pd.Series], list[list[float]]] | None = None) -> DataFrame:
+    """Encode the texts that the store at ``path`` lacks, append them to it, and read the store."""
+    empty = spark.createDataFrame([], STORE)
+    empty.write.mode("append").parquet(path)  # so that a store that is not there yet can be read
+    embed_new(texts, spark.read.schema(STORE).parquet(path), encoder or hashing_encoder).write.mode("append").parquet(path)
+    return spark.read.schema(STORE).parquet(path)
+
+
 def embed_new(texts: DataFrame, store: DataFrame, encoder: Callable[[pd.Series], list[list[float]]] = hashing_encoder) -> DataFrame:
     """(text, vector) of the distinct texts that the store does not have."""
     fresh = texts.select("text").distinct().join(store.select("text"), "text", "left_anti")
@@ -43,4 +65,4 @@ def embed_new(texts: DataFrame, store: DataFrame, encoder: Callable[[pd.Series],
         for p in batches:
             yield pd.DataFrame({"text": p["text"], "vector": encoder(p["text"])})
 
-    return fresh.mapInPandas(run, "text string, vector array<double>")
+    return fresh.mapInPandas(run, STORE)

@@ -19,6 +19,12 @@ def _(v: Inputs):
     return q.merge_first_wins(old, new, "id", "ts").select("id", "ts", F.round("value", 6).alias("value"))
 
 
+@query("s12_new_rows", "SELECT count(DISTINCT id) AS n_new FROM landing WHERE batch = 2 AND id NOT IN (SELECT id FROM landing WHERE batch = 1)")
+def _(v: Inputs):
+    old, new = _batches(v)
+    return q.new_rows(old, new, "id")
+
+
 @query("s13_upsert_last_wins", "SELECT id, ts, round(value, 6) AS value FROM landing WHERE batch = 2 UNION ALL SELECT id, ts, round(value, 6) FROM landing WHERE batch = 1 AND id NOT IN (SELECT id FROM landing WHERE batch = 2)")
 def _(v: Inputs):
     old, new = _batches(v)
@@ -42,11 +48,11 @@ def _(v: Inputs):
     return q.absent_keys(new, old, ["id"]).select("id", "ts")
 
 
-SPAN = "sp AS (SELECT code, min(date) AS lo, least(max(date), DATE '1995-12-31') AS hi FROM bars WHERE code_idx <= 30 GROUP BY code)"
+SPAN = "sp AS (SELECT code, min(date) AS lo, max(date) AS hi FROM bars GROUP BY code)"
 
 
 def _span(v: Inputs):
-    return v.bars.where("code_idx <= 30").groupBy("code").agg(F.min("date").alias("lo"), F.least(F.max("date"), F.to_date(F.lit("1995-12-31"))).alias("hi"))
+    return v.bars.groupBy("code").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
 
 
 @query("j07_gaps", f"WITH {SPAN} SELECT code, c.date FROM sp JOIN calendar c ON c.date BETWEEN lo AND hi WHERE tdi % 6 <> 0 AND NOT EXISTS (SELECT 1 FROM bars b WHERE b.code = sp.code AND b.date = c.date)")
@@ -79,20 +85,20 @@ def _(v: Inputs):
     return q.correlations(v.bars, ["open", "close", "volume"]).withColumn("r", F.round("r", 6))
 
 
-SEG = """WITH RECURSIVE m AS (SELECT DISTINCT code, trade_date_idx AS t FROM bars WHERE code_idx <= 10), o AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY t) AS i FROM m),
+SEG = """WITH RECURSIVE m AS (SELECT DISTINCT code, trade_date_idx AS t FROM bars), o AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY t) AS i FROM m),
 s AS (SELECT code, i, t, t AS lo FROM o WHERE i = 1 UNION ALL SELECT o.code, o.i, o.t, CASE WHEN o.t - s.lo < 60 THEN s.lo ELSE o.t END FROM s JOIN o ON o.code = s.code AND o.i = s.i + 1)
 SELECT code, lo, max(t) AS hi FROM s GROUP BY code, lo"""
 
 
 @query("i05_gap_segments", SEG)
 def _(v: Inputs):
-    return q.gap_segments(v.bars.where("code_idx <= 10").select("code", F.col("trade_date_idx").alias("tdi")), 60)
+    return q.gap_segments(v.bars.select("code", F.col("trade_date_idx").alias("tdi")), 60)
 
 
-@query("i07_commit_ledger", "SELECT code, date FROM bars WHERE code_idx <= 40 AND trade_date_idx % 9 < 4")
+@query("i07_commit_ledger", "SELECT code, date FROM bars WHERE trade_date_idx % 9 < 4")
 def _(v: Inputs):
-    b = v.bars.where("code_idx <= 40").select("code", "date", "trade_date_idx")
-    return q.commit_ledger(b.where("trade_date_idx % 9 < 3").drop("trade_date_idx"), b.where("trade_date_idx % 9 in (2, 3)").drop("trade_date_idx"))
+    b = v.bars.select("code", "date", "trade_date_idx")
+    return q.commit_ledger(b.where("trade_date_idx % 9 < 3").drop("trade_date_idx"), b.where("trade_date_idx % 9 in (2, 3)").drop("trade_date_idx"), most_codes=None)
 
 
 @query("i08_append_or_rewrite", "SELECT code, bool_and(CASE WHEN tradestatus = 1 THEN close IS NOT NULL AND turn IS NOT NULL AND (i = 1 OR (preclose IS NOT NULL AND pctChg IS NOT NULL)) ELSE volume = 0 AND amount = 0 END) AS append FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY date) AS i FROM bars) x GROUP BY code")
@@ -111,12 +117,57 @@ def _(v: Inputs):
     return q.repair_flags(v.bars.withColumn("close", F.when(F.col("trade_date_idx") % 13 != 0, F.col("close"))))
 
 
-@query("i11_completeness", f"WITH {SPAN}, m AS (SELECT sp.code, count(*) AS n FROM sp JOIN calendar c ON c.date BETWEEN lo AND hi WHERE NOT EXISTS (SELECT 1 FROM bars b WHERE b.code = sp.code AND b.date = c.date) GROUP BY 1) SELECT sp.code, coalesce(n, 0) AS missing, coalesce(n, 0) = 0 AS complete FROM sp LEFT JOIN m ON sp.code = m.code")
+# turnover lacks on every 17th day of even codes; share counts are known since day 500; every fifth code is exempt
+@query("i11_completeness", f"""WITH {SPAN}, m AS (SELECT sp.code, count(*) AS n FROM sp JOIN calendar c ON c.date BETWEEN lo AND hi WHERE NOT EXISTS (SELECT 1 FROM bars b WHERE b.code = sp.code AND b.date = c.date) GROUP BY 1),
+x AS (SELECT *, CASE WHEN code_idx % 2 = 1 OR trade_date_idx % 17 > 0 THEN turn END AS turn2, row_number() OVER (PARTITION BY code ORDER BY date) AS i FROM bars),
+g AS (SELECT code, min(code_idx) AS k, count(*) FILTER (tradestatus = 1 AND i > 1 AND preclose IS NULL) AS no_preclose, count(*) FILTER (tradestatus = 1 AND i > 1 AND pctChg IS NULL) AS no_pct, count(*) FILTER (tradestatus = 1 AND amount IS NULL) AS no_amount,
+  CASE WHEN count(turn2) = 0 THEN 0 ELSE count(*) FILTER (tradestatus = 1 AND trade_date_idx >= 500 AND turn2 IS NULL) END AS no_turn, count(*) FILTER (volume > 0 AND code_idx % 4 = 3 AND trade_date_idx % 5 = 0) AS no_m15 FROM x GROUP BY code)
+SELECT g.code, no_preclose, no_pct, no_amount, no_turn, CAST(0 AS BIGINT) AS no_status, coalesce(n, 0) AS missing, no_m15, k % 5 = 0 OR no_preclose + no_pct + no_amount + no_turn + coalesce(n, 0) + no_m15 = 0 AS complete FROM g LEFT JOIN m ON g.code = m.code""")
+def _(v: Inputs):
+    bars = v.stored("bars").withColumn("turn", F.when((F.col("code_idx") % 2 == 1) | (F.col("trade_date_idx") % 17 > 0), F.col("turn")))
+    span = bars.groupBy("code").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    shares = bars.select("code").distinct().crossJoin(v.calendar.where("tdi = 500").select("date"))
+    m15 = bars.where("not (code_idx % 4 = 3 and trade_date_idx % 5 = 0)").select("code", "date")
+    return q.completeness(bars, v.calendar, span, exempt=bars.where("code_idx % 5 = 0").select("code"), shares=shares, m15=m15)
+
+
+@query("j07_m15_gaps", "SELECT code, date FROM bars WHERE volume > 0 AND trade_date_idx % 7 = 0 AND trade_date_idx % 3 <> 0")
+def _(v: Inputs):
+    return q.m15_gaps(v.bars, v.bars.where("trade_date_idx % 7 > 0").select("code", "date"), v.bars.where("trade_date_idx % 3 = 0").select("code", "date"))
+
+
+@query("i05_requests", f"WITH s AS ({SEG}) SELECT code, lo, hi, lo > 1500 - 62 AS is_recent, CASE WHEN lo > 1500 - 62 THEN CAST(least(1023, (1500 - min(CASE WHEN lo > 1500 - 62 THEN lo END) OVER (PARTITION BY code) + 1) * 16 + 16) AS INT) END AS request FROM s")
+def _(v: Inputs):
+    return q.recent_split(q.gap_segments(v.bars.select("code", F.col("trade_date_idx").alias("tdi")), 60), 1500)
+
+
+@query("i05_merges", f"WITH s AS ({SEG}), f AS (SELECT code, min(lo) AS first FROM s WHERE lo > 1500 - 62 GROUP BY code), b AS (SELECT code, max(trade_date_idx) AS last FROM bars WHERE code_idx % 3 > 0 GROUP BY code) SELECT f.code, coalesce(first < last, false) AS merge FROM f LEFT JOIN b ON f.code = b.code")
+def _(v: Inputs):
+    s = q.recent_split(q.gap_segments(v.bars.select("code", F.col("trade_date_idx").alias("tdi")), 60), 1500)
+    return q.merges(s, v.bars.where("code_idx % 3 > 0").groupBy("code").agg(F.max("trade_date_idx").alias("last")))
+
+
+@query("i08_fills_tail", "SELECT code, bool_and(tradestatus = 1 AND code_idx % 2 = 0) AND count(*) = (SELECT count(*) FROM calendar WHERE date > DATE '1998-01-01' AND date <= DATE '1998-01-08') AS fills FROM bars WHERE date > DATE '1998-01-01' AND date <= DATE '1998-01-08' AND code IN (SELECT code FROM bars WHERE date = DATE '1998-01-01') GROUP BY code")
+def _(v: Inputs):
+    b = v.bars
+    on = b.where("date = date'1998-01-01'").select("code")
+    new = b.where("date > date'1998-01-01' and date <= date'1998-01-08'").withColumn("volume", F.when(F.col("code_idx") % 2 == 0, F.col("volume")))
+    return q.fills_tail(b.where("date <= date'1998-01-01'").join(on, "code", "left_semi"), new.join(on, "code", "left_semi"), v.calendar, "1998-01-08")
+
+
+@query("i10_stale_codes", "SELECT code FROM bars WHERE date = DATE '1995-06-15' AND code_idx % 3 = 0")
+def _(v: Inputs):
+    written = v.bars.select("code", F.when(F.col("code_idx") % 3 == 0, F.to_timestamp(F.lit("1995-06-15 14:59:00"))).otherwise(F.to_timestamp(F.lit("1995-06-15 15:00:00"))).alias("written_at")).distinct()
+    return q.stale_codes(v.bars, written, "1995-06-15")
+
+
+@query("i13_without_state", "SELECT CAST(c_custkey AS VARCHAR) AS code FROM customer WHERE c_custkey % 4 = 0")
 def _(v: Inputs):
-    return q.completeness(v.bars, v.calendar, _span(v)).select("code", "missing", "complete")
+    c = v.customer.select(F.col("c_custkey").cast("string").alias("code"), "c_custkey")
+    return q.without_state(c, c.where("c_custkey % 4 > 0").select("code"))
 
 
-@query("i12_freshness", "SELECT code, max(date) AS last_date FROM bars WHERE code_idx % 3 > 0 GROUP BY code HAVING max(date) < DATE '2001-11-20'")
+@query("i12_freshness", "SELECT code, max(date) AS last_date, 'daily' AS frequency FROM bars WHERE code_idx % 3 > 0 GROUP BY code HAVING max(date) < DATE '2001-11-20'")
 def _(v: Inputs):
     return q.freshness(v.bars, "2001-11-20", v.bars.where("code_idx % 3 = 0").select("code").distinct())
 

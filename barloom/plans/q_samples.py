@@ -30,10 +30,20 @@ def _(v: Inputs):
     return s.tail_samples(d, "bad", 30, 0, 1 << 30).select("code", "trade_date_idx", "virtual")
 
 
-@query("d04_materialise", f"WITH {IDS}, w AS (SELECT code, date, list(coalesce(volume, 0)) OVER (PARTITION BY code ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS volume FROM bars) SELECT code, date, list_sum(volume)::DOUBLE AS total, CAST(len(volume) AS INT) AS n FROM w SEMI JOIN ids USING (code, date)")
+# with a table by day and one by code and day, of which every third day and every second code lack rows
+@query("d04_materialise", f"""WITH {IDS}, j AS (SELECT code, date, coalesce(volume, 0) AS volume, coalesce(CASE WHEN isfinite(turn) THEN turn END, 0) AS turn, CASE WHEN trade_date_idx % 3 > 0 THEN trade_date_idx ELSE -1 END AS heat, CASE WHEN code_idx % 2 = 0 THEN code_idx + trade_date_idx ELSE 0.5 END AS mix FROM bars),
+w AS (SELECT code, date, {', '.join(f'list({c}) OVER o AS {c}' for c in ('volume', 'turn', 'heat', 'mix'))} FROM j WINDOW o AS (PARTITION BY code ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
+SELECT code, date, CAST(len(volume) AS INT) AS n, {', '.join(f'round(list_sum([x * i FOR x, i IN {c}])::DOUBLE, 6) AS {c}' for c in ('volume', 'turn', 'heat', 'mix'))} FROM w SEMI JOIN ids USING (code, date)""")
 def _(v: Inputs):
-    d = s.materialise(_ids(v), v.bars, 5, ["volume", "turn", "unknown"])
-    return d.select("code", "date", F.aggregate("volume", F.lit(0.0), lambda a, x: a + x).alias("total"), F.size("volume").alias("n"))
+    days = v.calendar.where("tdi % 3 > 0").select("date", F.col("tdi").cast("double").alias("heat"))
+    both = v.bars.where("code_idx % 2 = 0").select("code", "date", (F.col("code_idx") + F.col("trade_date_idx")).cast("double").alias("mix"))
+    d = s.materialise(_ids(v), v.bars, 5, ["volume", "turn", "heat", "mix", "unknown"], ((days, ("date",), -1.0), (both, ("code", "date"), 0.5)))
+
+    def weighed(c: str):
+        """The values by their places, which tells orders apart."""
+        return F.round(F.aggregate(F.transform(c, lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x), 6).alias(c)
+
+    return d.select("code", "date", F.size("volume").alias("n"), *map(weighed, ("volume", "turn", "heat", "mix")))
 
 
 @query("d05_split_samples", f"WITH {IDS} SELECT code, date, 'train' AS split FROM ids WHERE date <= DATE '1996-06-15' UNION ALL SELECT code, date, 'validation' FROM ids WHERE date >= DATE '1996-06-15' AND date <= DATE '1996-12-01'")
@@ -51,6 +61,11 @@ def _(v: Inputs):
     return s.assign_batches(_ids(v), 8, repeats=2, drop_last=True)
 
 
+@query("d07_ordered_batches", f"WITH {IDS}, b AS (SELECT code, date, (row_number() OVER (ORDER BY date, code) - 1) // 64 AS batch, count(*) OVER () AS n FROM ids) SELECT code, date, CAST(batch AS BIGINT) AS batch FROM b WHERE (batch + 1) * 64 <= n AND batch >= 3 AND batch < 103")
+def _(v: Inputs):
+    return s.ordered_batches(_ids(v), 64, drop_last=True, skip=3, limit=100).select("code", "date", "batch")
+
+
 def _mean(p):
     return p.groupby(["date", "batch"], as_index=False).agg(n=("code", "size"))
 

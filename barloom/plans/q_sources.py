@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..operators import vectors as vec
@@ -13,18 +11,30 @@ from .harness import Inputs, query
 
 
 def _scratch(v: Inputs, name: str) -> str:
-    top = v.spark.conf.get("spark.checkpoint.dir", None) or v.spark.conf.get("spark.sql.warehouse.dir")
-    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return v.scratch(name)
 
 
-@query("s01_read_daily_bars", "SELECT code, date, close FROM bars WHERE date <= DATE '1996-12-31'")
+# bars land twice; the second time half of them with lower prices, which replace the first ones
+@query("s01_read_daily_bars", "SELECT code, date, CASE WHEN code_idx % 2 = 0 THEN close - 1 ELSE close END AS close FROM bars WHERE date <= DATE '1996-12-31'")
 def _(v: Inputs):
     path = _scratch(v, "daily")
     kinds = {c.split()[0]: c.split()[1] for c in t.DAILY.split(", ")}
-    v.bars.select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()]).write.parquet(path)
+    for bars in (v.bars, v.bars.where("code_idx % 2 = 0").withColumn("close", F.col("close") - 1)):
+        bars.select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()]).write.mode("append").parquet(path)
     return t.read_daily_bars(v.spark, path, ["close"], "1996-12-31").select("code", "date", "close")
 
 
+@query("s02_read_m15_bars", "SELECT CAST(code AS VARCHAR) AS code, date, CAST(slot * 100 + 930 AS INT) AS time, CASE WHEN code % 3 = 0 THEN low ELSE high END AS close FROM m15")
+def _(v: Inputs):
+    path = _scratch(v, "m15")
+    day = F.date_format("date", "yyyyMMdd")
+    kinds = {c.split()[0]: c.split()[1] for c in t.M15.split(", ")}
+    for time, close, rows in ((F.col("slot") * 100 + 930, "high", "true"), (F.concat(day, F.lpad((F.col("slot") * 100 + 930).cast("string"), 4, "0")), "low", "code % 3 = 0")):
+        m = v.m15.where(rows).withColumns({"time": time, "close": F.col(close), "open": F.col("low"), "volume": F.col("n_ticks")})
+        m.select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()]).write.mode("append").option("header", True).csv(path)
+    return t.read_m15_bars(v.spark, path, "csv").select("code", "date", "time", "close")
+
+
 @query("s03_limit_board", "SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS first_time, coalesce(CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END, c_name) AS reason, 1 AS is_limit_up FROM customer")
 def _(v: Inputs):
     c = v.customer
@@ -77,7 +87,15 @@ def _(v: Inputs):
     return t.read_feature_table(v.spark, path)
 
 
-@query("s11_base_features", "SELECT count(DISTINCT code) AS n_codes, max(date) AS latest_date, 2 AS n_columns FROM bars")
+@query("s09_feature_meta", "SELECT count(*) AS rows, max(trade_date_idx) AS latest, 'volumes' AS name, 'bars' AS source, 'extra=0.5,volume=0.5' AS defaults FROM bars")
+def _(v: Inputs):
+    path = _scratch(v, "features")
+    t.write_feature_table(v.bars, path, ["volume", "extra"], 0.5, "volumes", "bars")
+    shown = F.array_join(F.array_sort(F.transform(F.map_entries("defaults"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))), ",")
+    return t.read_feature_meta(v.spark, path).withColumn("defaults", shown).select("rows", "latest", "name", "source", "defaults")
+
+
+@query("s11_base_features", "SELECT count(DISTINCT code) AS n_codes, max(date) AS latest_date, 2 AS n_columns, ['close float', 'volume float'] AS columns FROM bars")
 def _(v: Inputs):
     return t.write_base_features(v.bars.select("date", "code", "close", "volume"), _scratch(v, "base"))
 
@@ -88,10 +106,20 @@ def _(v: Inputs):
     return t.zero_time(a, v.bars.select(F.col("code_idx").cast("long").alias("code"))).select("id")
 
 
-@query("t11_pending_segments", "WITH e AS (SELECT p_brand AS segment, p_name AS reason FROM part WHERE p_brand NOT LIKE 'Brand#1%') SELECT segment, count(*) AS n FROM e GROUP BY ALL")
+@query("m03_rejections", "SELECT count(*) FILTER (second_of_day <> 0) AS other_time, count(*) FILTER (second_of_day = 0 AND (title IS NULL OR trim(title) = '')) AS no_title, count(*) FILTER (second_of_day = 0 AND trim(title) <> '' AND code NOT IN (SELECT code_idx FROM bars)) AS unknown_code, count(*) FILTER (second_of_day = 0 AND trim(title) <> '' AND code IN (SELECT code_idx FROM bars)) AS kept FROM announcements")
+def _(v: Inputs):
+    a = v.announcements.select("id", "title", "code", F.timestamp_seconds("second_of_day").alias("ts"))
+    return t.zero_time_rejections(a, v.bars.select(F.col("code_idx").cast("long").alias("code")))
+
+
+@query("t11_pending_segments", """WITH e AS (SELECT p_brand AS segment, p_name AS reason, [p_type, concat('s', p_size)] AS names FROM part WHERE p_brand NOT LIKE 'Brand#1%'),
+h AS (SELECT segment, min(reason) AS reason, row_number() OVER (PARTITION BY segment ORDER BY substr(reason, 1, 26)) AS i FROM e GROUP BY segment, substr(reason, 1, 26)), x AS (SELECT segment, unnest(names) AS name FROM e), m AS (SELECT segment, name, count(*) AS k FROM x GROUP BY ALL)
+SELECT segment, count(*) AS n, (SELECT string_agg(reason, '|' ORDER BY reason) FROM h WHERE h.segment = e.segment AND i <= 2) AS reasons, (SELECT string_agg(concat(name, ':', CAST(k AS VARCHAR)), '|' ORDER BY k DESC, name) FROM m WHERE m.segment = e.segment) AS candidates FROM e GROUP BY segment""")
 def _(v: Inputs):
-    e = v.part.select(F.col("p_brand").alias("segment"), F.col("p_name").alias("reason"))
-    return t.pending_segments(e, e.where("segment like 'Brand#1%'").select("segment").distinct()).select("segment", "n")
+    e = v.part.select(F.col("p_brand").alias("segment"), F.col("p_name").alias("reason"), F.array("p_type", F.concat(F.lit("s"), "p_size")).alias("names"))
+    out = t.pending_segments(e, e.where("segment like 'Brand#1%'").select("segment").distinct())
+    shown = F.transform("candidates", lambda c: F.concat_ws(":", c["name"], c["n"].cast("string")))
+    return out.select("segment", "n", F.array_join("reasons", "|").alias("reasons"), F.array_join(shown, "|").alias("candidates"))
 
 
 @query("t12_apply_mapping", "SELECT CAST(c_custkey AS VARCHAR) AS segment, CASE WHEN c_custkey % 2 = 0 THEN CASE WHEN c_custkey % 4 = 0 THEN c_mktsegment ELSE '' END ELSE 'old' END AS parent FROM customer")
@@ -104,19 +132,23 @@ def _(v: Inputs):
 @query("m01_projection")
 def _(v: Inputs):
     d = v.vectors.select("vec_id", "embedding")
-    return vec.apply_projection(d, vec.fit_projection(d, 16), "vec_id")
+    path = _scratch(v, "projection")
+    vec.save_projection(vec.fit_projection(d, 16), path)
+    return vec.apply_projection(d, vec.load_projection(path), "vec_id")
 
 
 @query("m02_embed_new")
 def _(v: Inputs):
     titles = v.announcements.select("id", F.col("title").alias("text"))
-    return vec.embed_new(titles, titles.where("id % 2 = 0").select("text").distinct())
+    path = _scratch(v, "titles")
+    vec.append_new(v.spark, titles.where("id % 2 = 0"), path)
+    return vec.append_new(v.spark, titles, path)
 
 
 @query("i02_overlap_dedupe", "SELECT id FROM landing GROUP BY id")
 def _(v: Inputs):
     path = _scratch(v, "landing")
-    for batch in (1, 2):  # each batch is one file
-        v.landing.where(f"batch = {batch}").select("id", F.col("ts").cast("timestamp").alias("ts"), "value").coalesce(1).write.mode("append").parquet(path)
-    stream = streams.read_batches(v.spark, path, "id long, ts timestamp, value double")
+    for batch in (1, 2):  # each lands in a folder of its own, as many files as Spark writes
+        v.landing.where(f"batch = {batch}").select("id", F.col("ts").cast("timestamp").alias("ts"), "value").write.parquet(f"{path}/batch={batch}")
+    stream = streams.read_batches(v.spark, f"{path}/batch=*", "id long, ts timestamp, value double", files=64)
     return streams.drain(streams.overlap_dedupe(stream), _scratch(v, "deduped")).select("id")

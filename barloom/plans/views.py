@@ -78,7 +78,7 @@ SELECT ts, user_id AS code, CASE WHEN event_type = 'view' THEN 'em' ELSE 'cls' E
 FROM events WHERE event_type IN ('view', 'click')
 """,
     "announcements": """
-SELECT doc_id AS id, doc_id % 150 AS code, substr(text, 1, 60) AS title,
+SELECT doc_id AS id, doc_id % 150 AS code, text AS title,
        CASE WHEN doc_id % 10 = 0 THEN 34200 ELSE 0 END AS second_of_day, doc_id % 28 + 1 AS day
 FROM documents
 """,
@@ -86,11 +86,11 @@ FROM documents
 SELECT label AS cell, vec_id, embedding FROM embeddings
 """,
     "alias_pairs": """
-SELECT concat('n', CAST(floor(c_custkey / 3) AS INT)) AS name,
-       concat('c', CAST(c_custkey * 7919 % 127 AS INT)) AS code_e,
-       count(*) AS n
-FROM customer WHERE c_custkey < 150
-GROUP BY floor(c_custkey / 3), c_custkey * 7919 % 127
+SELECT name, code_e, count(*) AS n
+FROM (SELECT concat('n', CAST(floor(c_custkey / 3) AS INT)) AS name,
+             concat('c', CAST(floor(c_custkey / 24) * 8 + c_custkey * 7919 % 5 AS INT)) AS code_e
+      FROM customer) t
+GROUP BY name, code_e
 """,
     "landing": """
 SELECT event_id AS id, ts, 1 AS batch, value FROM events WHERE extract(day FROM ts) <= 15
