@@ -10,9 +10,6 @@ import pytest
 from barloom.plans import registry
 from barloom.plans.views import TABLES
 
-SLOW = {"w34_daily_features"}
-
-
 def plain(x):
     if isinstance(x, decimal.Decimal):
         return float(x)
@@ -46,6 +43,5 @@ def test_matches_duckdb(spark, duck, sf_dir, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE_SQL) - SLOW))
-def test_runs(spark, sf_dir, name):
-    assert registry.QUERIES[name](spark, sf_dir).count() >= 0
+def test_queries_without_a_statement_are_tested_elsewhere():
+    assert set(registry.QUERIES) - set(registry.ORACLE_SQL) == {"t09_subsample", "d06_epoch_order", "m01_projection", "m02_embed_new"}
