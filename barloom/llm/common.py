@@ -11,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.entities import connected
+
 U64 = np.uint64
 #: Bytes of text that are held as numpy arrays at a time in a task.
 CHUNK_BYTES = 2_000_000
@@ -185,27 +187,8 @@ def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
 # ---------------------------------------------------------------- connected components
 
 
-def components(nodes: DataFrame, edges: DataFrame, key: str = "id", most_rounds: int = 60) -> DataFrame:
-    """Smallest key reachable from each node: (key, component_id).
-
-    ``edges`` has columns a, b. Each round hooks every label to its smallest neighbour's, follows that two steps
-    further and contracts the graph, so the number of labels falls at least by half; rounds are written to the
-    shared checkpoint folder, and only whether edges are left comes to the driver. Nodes without edges are their own.
-    """
+def components(nodes: DataFrame, edges: DataFrame, key: str = "id") -> DataFrame:
+    """The nodes with component_id, the smallest key reachable over ``edges`` (a, b); nodes without edges are their own."""
     shared_dir(nodes.sparkSession)
-    graph = edges.select("a", "b").where("a <> b")
-    graph = graph.unionByName(graph.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    label = graph.select(F.col("a").alias("v"), F.col("a").alias("l")).distinct()
-    for _ in range(most_rounds):
-        if graph.isEmpty():
-            break
-        hook = graph.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("x"), F.least("a", "m").alias("p")).checkpoint()
-        for _ in range(2):
-            hook = hook.join(hook.select(F.col("x").alias("p"), F.col("p").alias("q")), "p").select("x", F.col("q").alias("p"))
-        hook = hook.checkpoint()
-        label = label.join(hook, F.col("l") == F.col("x"), "left").select("v", F.coalesce("p", "l").alias("l")).checkpoint()
-        ends = graph.join(hook.select(F.col("x").alias("a"), F.col("p").alias("pa")), "a").join(hook.select(F.col("x").alias("b"), F.col("p").alias("pb")), "b")
-        graph = ends.where("pa <> pb").select(F.col("pa").alias("a"), F.col("pb").alias("b")).distinct().checkpoint()
-    else:
-        raise RuntimeError("components did not settle")
-    return nodes.join(label, nodes[key] == label["v"], "left").select(nodes["*"], F.coalesce("l", key).alias("component_id"))
+    label = connected(edges.select("a", "b").where("a <> b"))
+    return nodes.join(label, nodes[key] == label["node"], "left").select(nodes["*"], F.coalesce("component", key).alias("component_id"))

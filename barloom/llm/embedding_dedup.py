@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from .common import U64, components, materialize, mix
 
@@ -92,27 +93,30 @@ def cells(unit: np.ndarray, table: int) -> np.ndarray:
     return np.concatenate(out) if out else np.empty((0, 1 + PROBES), np.int64)
 
 
-def _unit(raw: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(raw), "<f8").reshape(len(raw), -1)
+def _unit(raw: list[bytes], kind: str) -> np.ndarray:
+    x = np.frombuffer(b"".join(raw), kind).astype(np.float64).reshape(len(raw), -1)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(vid, mult, v) to one row for each table and cell."""
-    for batch in batches:
-        raw = batch.column(2).to_pylist()
-        size = np.array([len(x) for x in raw])
-        vid, mult = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-        for n in np.unique(size):
-            at = np.flatnonzero(size == n)
-            unit = _unit([raw[i] for i in at])
-            for t in range(TABLES):
-                c = cells(unit, t)
-                k = c.shape[1]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at) * k, t, np.int32)), pa.array(c.ravel()), pa.array(np.tile([True] + [False] * (k - 1), len(at))), pa.array(np.repeat(vid[at], k)), pa.array(np.repeat(mult[at], k)), batch.column(2).take(pa.array(np.repeat(at, k)))],
-                    ["tab", "cell", "home", "vid", "mult", "v"],
-                )
+def _keyed(kind: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(vid, mult, v) to one row for each table and cell."""
+        for batch in batches:
+            raw = batch.column(2).to_pylist()
+            size = np.array([len(x) for x in raw])
+            vid, mult = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            for n in np.unique(size):
+                at = np.flatnonzero(size == n)
+                unit = _unit([raw[i] for i in at], kind)
+                for t in range(TABLES):
+                    c = cells(unit, t)
+                    k = c.shape[1]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(at) * k, t, np.int32)), pa.array(c.ravel()), pa.array(np.tile([True] + [False] * (k - 1), len(at))), pa.array(np.repeat(vid[at], k)), pa.array(np.repeat(mult[at], k)), batch.column(2).take(pa.array(np.repeat(at, k)))],
+                        ["tab", "cell", "home", "vid", "mult", "v"],
+                    )
+
+    return run
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -134,7 +138,7 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _linker(threshold: float):
+def _linker(threshold: float, kind: str):
     def cell_links(table: int, cell: int, blocks: tuple[int, int], rows: dict) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of a cell (or of a pair of its blocks) that count here."""
         home, vid, blk, unit = rows["home"], rows["vid"], rows["blk"], rows["unit"]
@@ -172,7 +176,7 @@ def _linker(threshold: float):
         for x, y in zip(edge[:-1], edge[1:], strict=True):
             if y - x < 2 or not home[x:y].any():
                 continue
-            i, j = cell_links(int(tab[x]), int(cell[x]), (p[x], q[x]), {"home": home[x:y], "vid": vid[x:y], "blk": blk[x:y], "unit": _unit(raw[x:y])})
+            i, j = cell_links(int(tab[x]), int(cell[x]), (p[x], q[x]), {"home": home[x:y], "vid": vid[x:y], "blk": blk[x:y], "unit": _unit(raw[x:y], kind)})
             for a, b in ((i, j), (j, i)):
                 for v, k in zip(vid[x:y][a].tolist(), mult[x:y][b].tolist(), strict=True):
                     links[v] = links.get(v, 0) + k
@@ -188,21 +192,24 @@ def _linker(threshold: float):
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     """Columns vec_id, n_links, component_id, kept."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"))
+    # 32-bit components travel as such and are widened, without loss, where they are compared
+    single = vectors.schema["embedding"].dataType == ArrayType(FloatType(), vectors.schema["embedding"].dataType.containsNull)
+    kind = "<f4" if single else "<f8"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("e"))
     good = F.col("vec_id").isNotNull() & F.coalesce(F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("e", lambda x: x != 0), F.lit(False))
     scaled = F.transform("e", lambda x: x / F.array_max(F.transform("e", lambda y: F.abs(y))))  # no overflow in the norm
-    sound = materialize(rows.where(good).select("vec_id", scaled.alias("e")).distinct(), "vectors")
+    sound = materialize(rows.where(good).select("vec_id", "e" if single else scaled.alias("e")).distinct(), "vectors")
     classes = sound.groupBy("e").agg(F.min("vec_id").alias("vid"), F.count("*").alias("mult"))
     own = materialize(sound.join(classes, "e").select("vec_id", "vid", "mult"), "vector-classes")
     reps = sound.join(own.where("vec_id = vid").select("vec_id", "mult").distinct(), "vec_id").select(F.col("vec_id").alias("vid"), "mult", "e").dropDuplicates(["vid"])
-    keyed = materialize(reps.mapInArrow(_packed, "vid long, mult long, v binary").mapInArrow(_keyed, KEYED), "cells")
+    keyed = materialize(reps.mapInArrow(_packed(kind), "vid long, mult long, v binary").mapInArrow(_keyed(kind), KEYED), "cells")
 
     large = keyed.groupBy("tab", "cell").agg(F.count("*").alias("rows")).where(F.col("rows") > BLOCK).withColumn("nb", F.ceil(F.col("rows") / BLOCK)).drop("rows")
     dealt = keyed.join(large, ["tab", "cell"], "left").withColumn("nb", F.coalesce("nb", F.lit(1).cast("long")))
     dealt = dealt.withColumn("blk", F.pmod(F.xxhash64("vid"), "nb")).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
     dealt = dealt.select("tab", "cell", F.least("blk", "o").alias("p"), F.greatest("blk", "o").alias("q"), "blk", "home", "vid", "mult", "v")
     parts = max(1, keyed.count() // ROWS_PER_PART)
-    found = dealt.withColumn("part", F.pmod(F.xxhash64("tab", "cell", "p", "q"), F.lit(parts))).groupBy("part").applyInArrow(_linker(threshold), FOUND)
+    found = dealt.withColumn("part", F.pmod(F.xxhash64("tab", "cell", "p", "q"), F.lit(parts))).groupBy("part").applyInArrow(_linker(threshold, kind), FOUND)
     found = materialize(found, "vector-links")
     links = found.where("n is not null").groupBy("a").agg(F.sum("n").alias("n"))
     comp = components(reps.select("vid"), found.where("b is not null").select("a", "b"), "vid")
@@ -214,8 +221,12 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors as little-endian doubles."""
-    for batch in batches:
-        v = [np.asarray(x, "<f8").tobytes() for x in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(v, pa.binary())], ["vid", "mult", "v"])
+def _packed(kind: str):
+    """Vectors as little-endian floats of the given kind."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = [np.asarray(x, kind).tobytes() for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(v, pa.binary())], ["vid", "mult", "v"])
+
+    return run

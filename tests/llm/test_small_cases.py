@@ -212,13 +212,14 @@ def test_language(spark, empty):
     assert kept.columns == frame(spark, []).columns and kept.count() == 200 + len([t for t in EDGE if t and re.search(r"[^\W\d_]", t)])
 
 
-def test_vectors(spark):
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_vectors(spark, kind):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(40, 64))
     near = base[:15] + 0.03 * rng.normal(size=(15, 64))
     v = [*base.tolist(), *near.tolist(), *(3 * base[:5]).tolist(), base[0].tolist()]
     bad = [None, [], [0.0] * 64, [float("nan")] + [1.0] * 63, [None] + [1.0] * 63, [float("inf")] + [1.0] * 63]
-    df = spark.createDataFrame(list(enumerate([*v, *bad])), "vec_id long, embedding array<double>").withColumn("n_links", F.lit("x"))
+    df = spark.createDataFrame(list(enumerate([*v, *bad])), f"vec_id long, embedding array<{kind}>").withColumn("n_links", F.lit("x"))
     got = {r.vec_id: r for r in embedding_dedup.near_vectors(df).collect()}
     x = np.array(v)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
