@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from .common import materialize, shared_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
-BINS, BIN_BITS = 1024, 30
+#: Bits of a document's hash; bins of them, at least LEAST_BINS and so many that one holds about ROWS_PER_BIN rows of a source.
+HASH_BITS, LEAST_BINS, ROWS_PER_BIN = 40, 1024, 100_000
 FILL_PASSES = 4
 
 
@@ -67,9 +68,11 @@ def tilts(counts: DataFrame, goal: DataFrame, tolerance: float = 1e-9, most_roun
 
 def mixture(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """row (a struct of the columns of ``docs``), mix_size, mix_source_size, mix_target and mix_copies."""
-    h = F.pmod(F.xxhash64("doc_id", _size()), F.lit(BINS << BIN_BITS))
+    h = F.pmod(F.xxhash64("doc_id", _size()), F.lit(1 << HASH_BITS))
     sized = materialize(docs.select(F.col("source").cast("string").alias("source"), _size().alias("size"), h.alias("h")), "sizes")
     counts = materialize(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "size-counts")
+    n = counts.agg(F.sum("n")).first()[0] or 0
+    bin_bits = HASH_BITS - max(LEAST_BINS.bit_length() - 1, (n // ROWS_PER_BIN).bit_length())
     by_source = counts.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
     goal = tilts(counts, targets(by_source, weights, share, most))
 
@@ -83,7 +86,7 @@ def mixture(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share
         return rows.join(g, F.col("source").eqNullSafe(F.col("s"))).drop("s")
 
     # the bin where each source's cut lies, then the cut within it
-    bin_of = F.shiftright("h", BIN_BITS)
+    bin_of = F.shiftright("h", bin_bits)
     bins = sized.groupBy("source", bin_of.alias("bin")).agg(F.sum("size").alias("words"))
     bins = bins.withColumn("upto", F.sum("words").over(Window.partitionBy("source").orderBy("bin")))
     edge = with_goal(bins, "need").where("upto > need").groupBy("source").agg(F.min(F.struct("bin", (F.col("upto") - F.col("words")).alias("before"))).alias("e"))
@@ -93,8 +96,8 @@ def mixture(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share
     inside = inside.withColumn("upto", F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("h").rangeBetween(Window.unboundedPreceding, 0)))
     last = inside.where("upto <= need").groupBy("source").agg(F.max("h").alias("last"))
     last = last.select(F.col("source").alias("s2"), "last")
-    cut = edge.join(last, F.col("s").eqNullSafe(F.col("s2")), "left").select("s", F.coalesce("last", F.shiftleft("bin", BIN_BITS) - 1).alias("cut"))
-    goal = goal.join(cut, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumn("cut", F.coalesce("cut", F.when(F.col("need") > 0, F.lit(BINS << BIN_BITS)).otherwise(F.lit(-1))))
+    cut = edge.join(last, F.col("s").eqNullSafe(F.col("s2")), "left").select("s", F.coalesce("last", F.shiftleft("bin", bin_bits) - 1).alias("cut"))
+    goal = goal.join(cut, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumn("cut", F.coalesce("cut", F.when(F.col("need") > 0, F.lit(1 << HASH_BITS)).otherwise(F.lit(-1))))
     goal = goal.withColumn("picked", F.array().cast("array<bigint>")).checkpoint()
 
     # single documents for what is still missing
