@@ -94,13 +94,13 @@ def _features(*names: str) -> list:
     return [F.round(F.nanvl(c, F.lit(None)), 5).alias(c) for c in names]
 
 
-@query("w34_daily_features", f"""SELECT r.code, r.date, CAST(f.is_new AS INT) AS is_new, CAST(f.price_limit AS DOUBLE) AS price_limit, round(ma5, 5) AS ma5, round(ma60, 5) AS ma60, round(m + 2 * s, 5) AS boll_up, macd, rsi, k, d, j
+@query("w34_daily_features", f"""SELECT r.code, r.date, CAST(f.is_new AS INT) AS is_new, CAST(f.price_limit AS DOUBLE) AS price_limit, round(ma5, 6) AS ma5, round(ma60, 6) AS ma60, round(m + 2 * s, 5) AS boll_up, macd, rsi, k, d, j
 FROM (SELECT code, date, {_full('avg(close)', 5, 'ma5')}, {_full('avg(close)', 60, 'ma60')}, {_full('avg(close)', 20, 'm')}, {_full('stddev_pop(close)', 20, 's')} FROM bars) r
 JOIN (WITH {IS_NEW} SELECT code, date, is_new, {LIMIT.format(new='is_new', st='isST')} AS price_limit FROM flagged) f ON r.code = f.code AND r.date = f.date
 JOIN ({MACD}) mc ON r.code = mc.code AND r.date = mc.date JOIN ({RSI}) rs ON r.code = rs.code AND r.date = rs.date JOIN ({KDJ}) kd ON r.code = kd.code AND r.date = kd.date""")
 def _(v: Inputs):
     d = indicators.daily_features(v.bars)
-    return d.select("code", "date", "is_new", *_features("price_limit", "ma5", "ma60", "boll_up", "macd", "rsi", "k", "d", "j"))
+    return d.select("code", "date", "is_new", *r6("price_limit", "ma5", "ma60"), *_features("boll_up", "macd", "rsi", "k", "d", "j"))
 
 
 def _of_m15(sql: str) -> str:
@@ -209,10 +209,13 @@ def _ranked(names: tuple[str, ...]) -> str:
     """Average ranks from 0 to 1 within each day of raw traits."""
     one = "CASE WHEN {c} IS NULL THEN 0.5 ELSE round(({rank} - 1) / greatest(count({c}) OVER (PARTITION BY trade_date_idx) - 1, 1), 6) END AS {c}"
     raw = _raw(names, None).removeprefix(TRAITS)
-    return f"{TRAITS}, raw AS ({raw}) SELECT trade_date_idx, code_idx, " + ", ".join(one.format(c=n, rank=AVG_RANK.format(by="trade_date_idx", c=n)) for n in names) + " FROM raw"
+    traits = TRAITS.replace("FROM bars", "FROM whole").replace("WITH lim", "WITH whole AS (SELECT * REPLACE (CASE WHEN tradestatus = 1 THEN volume END AS turn) FROM bars), lim", 1)
+    return f"{traits}, raw AS ({raw}) SELECT trade_date_idx, code_idx, " + ", ".join(one.format(c=n, rank=AVG_RANK.format(by="trade_date_idx", c=n)) for n in names) + " FROM raw"
 
 
+# turnover in whole numbers, so that equal means are equal to the last bit and share a rank
 @query("w16_traits", _ranked((*TRAIT_COLS, "fv")))
 def _(v: Inputs):
-    d = cross.build_traits(*_trait_inputs(v))
+    bars, limits, breadth = _trait_inputs(v)
+    d = cross.build_traits(bars.withColumn("turn", F.when(F.col("tradestatus") == 1, F.col("volume"))), limits, breadth)
     return d.select("trade_date_idx", "code_idx", *r6(*TRAIT_COLS, "fv"))
