@@ -94,10 +94,10 @@ def _(v: Inputs):
     return v.events.select("event_id", F.round(c.decay(F.col("value")), 6).alias("weight"))
 
 
-@query("c20_clean_text", "SELECT p_partkey, trim(regexp_replace(concat('  ', p_name, ' ', chr(10), ' (', p_brand, ') '), '\\s+', ' ', 'g')) AS clean, lower(regexp_replace(p_name, '[\\s　]+', '', 'g')) AS folded, trim(p_name) AS bare, p_brand AS inside FROM part")
+@query("c20_clean_text", "SELECT p_partkey, trim(regexp_replace(concat('  ', p_name, ' ', chr(10), ' (', p_brand, ') '), '\\s+', ' ', 'g')) AS clean, lower(replace(trim(p_name), '　', '')) AS folded, trim(p_name) AS bare, p_brand AS inside FROM part")
 def _(v: Inputs):
     s = F.concat(F.lit("  "), F.col("p_name"), F.lit(" \n ("), F.col("p_brand"), F.lit(") "))
-    return v.part.select("p_partkey", c.clean_text(s).alias("clean"), c.fold_name(F.col("p_name")).alias("folded"), c.strip_brackets(F.concat("p_name", F.lit("("), "p_brand", F.lit(")"))).alias("bare"), c.bracket_content(s).alias("inside"))
+    return v.part.select("p_partkey", c.clean_text(s).alias("clean"), c.fold_name(F.concat(F.lit(" \n　"), F.upper("p_name"), F.lit("　 "))).alias("folded"), c.strip_brackets(F.concat("p_name", F.lit("("), "p_brand", F.lit(")"))).alias("bare"), c.bracket_content(s).alias("inside"))
 
 
 # types and brands, some in brackets, with finance words or with nothing specific
