@@ -34,8 +34,13 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-#: Spark's setting to drop a finished execution's shuffle files at once rather than at some later garbage collection.
-DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's settings while a scratch table is written: drop the execution's shuffle files at once rather than at some later garbage
+#: collection, and send texts to Python workers in smaller batches, of which two sides hold a copy each.
+WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+}
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -47,12 +52,14 @@ def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """The write's own shuffle files go as soon as it has ended; nothing executes ``df`` again."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(DROP_SHUFFLES, "false")
-    spark.conf.set(DROP_SHUFFLES, "true")
+    before = {k: spark.conf.get(k, None) for k in WRITING}
+    for k, v in WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(DROP_SHUFFLES, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path), path
 
 
