@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import null_to_zero
+from .order import kept, numbered
 
 
 def lookup_with_default(df: DataFrame, side: DataFrame, keys: list[str], default: float) -> DataFrame:
@@ -58,41 +59,28 @@ def split_samples(ids: DataFrame, begin: str, split: str, end: str) -> DataFrame
     return ids.withColumn("split", F.explode(parts))
 
 
-def epoch_order(ids: DataFrame, seed: int, epoch: int, start: int = 0) -> DataFrame:
+def epoch_order(ids: DataFrame, seed: int, epoch: int, start: int = 0, shard_rows: int = 100_000) -> DataFrame:
     """The epoch's samples from the place ``start`` on: a hash of sample, seed and epoch orders them, ``place`` counts through the epoch.
 
-    The hash's first bits name one of 1024 shards; places within a shard, and the sizes of the shards before it, add up, so no task
-    numbers all samples.
+    Shards hold ``shard_rows`` places each, so there are as many as the samples need.
     """
     h = F.xxhash64("code", "date", F.lit(seed + epoch))
-    d = ids.withColumn("_h", h).withColumn("shard", F.shiftrightunsigned("_h", 54).cast("int"))
-    size = d.groupBy("shard").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
-    size = size.select("shard", before.alias("_before"))  # 1024 rows at most
-    d = d.withColumn("_i", F.row_number().over(Window.partitionBy("shard").orderBy("_h", "code", "date")) - 1)
-    d = d.join(F.broadcast(size), "shard").withColumn("place", F.col("_before") + F.col("_i"))
-    return d.where(F.col("place") >= start).drop("_h", "_i", "_before")
+    d = numbered(kept(ids.withColumn("_h", h), "epoch"), "_h", "code", "date", rows_per_part=shard_rows)
+    return d.withColumn("shard", F.floor(F.col("place") / shard_rows)).where(F.col("place") >= start).drop("_h")
 
 
 def ordered_batches(ids: DataFrame, size: int, seed: int | None = None, drop_last: bool = False, skip: int = 0, limit: int | None = None) -> DataFrame:
-    """Batches through all days: samples by (date, code), or in a seeded order, ``size`` at a time; the first ``skip`` go and ``limit`` stay.
-
-    Days give their numbers of samples, which add up to where each day begins, so no task numbers all samples.
-    """
-    part = F.col("date") if seed is None else F.pmod(F.xxhash64("code", "date", F.lit(seed)), F.lit(1024))
-    order = ["code"] if seed is None else [F.xxhash64("code", "date", F.lit(seed + 1)), F.col("date"), F.col("code")]
-    d = ids.withColumn("_p", part)
-    n = d.groupBy("_p").agg(F.count("*").alias("_n"))
-    n = n.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
-    d = d.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1).join(F.broadcast(n), "_p")
-    d = d.withColumn("batch", F.floor((F.col("_before") + F.col("_i")) / size).cast("long"))
+    """Batches through all days: samples by (date, code), or in a seeded order, ``size`` at a time; the first ``skip`` go and ``limit`` stay."""
+    d = kept(ids.withColumn("_h", F.lit(0).cast("long") if seed is None else F.xxhash64("code", "date", F.lit(seed))), "batches")
+    full = d.count() // size
+    d = numbered(d, "_h", "date", "code", place="_i").withColumn("batch", F.floor(F.col("_i") / size))
     if drop_last:
-        d = d.where((F.col("batch") + 1) * size <= F.col("_all"))
+        d = d.where(F.col("batch") < full)
     if skip:
         d = d.where(F.col("batch") >= skip)
     if limit is not None:
         d = d.where(F.col("batch") < skip + limit)
-    return d.drop("_p", "_i", "_before", "_all")
+    return d.drop("_h", "_i")
 
 
 def batch_count(n_samples: int, size: int, drop_last: bool = False) -> int:

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.order import kept, scratch_path
 from .views import TABLES, VIEWS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,14 +35,11 @@ class Inputs:
         return self.keep(getattr(self, name), name)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        path = self.scratch(name)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return kept(df, name)
 
     def scratch(self, name: str) -> str:
         """A new folder that the driver and all executors share."""
-        top = self.spark.conf.get("spark.checkpoint.dir", None) or self.spark.conf.get("spark.sql.warehouse.dir")
-        return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        return scratch_path(self.spark, name)
 
     def sql(self, text: str) -> DataFrame:
         """Spark SQL over driver tables and views; used for inputs, not for operators."""
