@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Separators one by one, which Java's patterns look up in a table of bits; ranges would be tried in turn.
+_SEPARATORS = "".join(f"\\x{b:02X}" for b in range(128) if not chr(b).isalnum())
+WORD, SEPARATOR = f"[^{_SEPARATORS}]+", f"[{_SEPARATORS}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Terms that are broadcast at most; more are joined by a shuffle.
 MOST_TERMS, MOST_BYTES = 500_000, 16 << 20
@@ -35,8 +37,18 @@ MOST_TERMS, MOST_BYTES = 500_000, 16 << 20
 SLOT = 50_000
 
 
+def _lower(text: Column) -> Column:
+    """A-Z only; where all is ASCII, that is what lower does, only faster."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
 def words(text: str = "text") -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
+    """The words in order; before the first and after the last there may be an empty one, which is no term and equals none."""
+    return F.split(_lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), SEPARATOR)
+
+
+def n_words(text: str = "text") -> Column:
+    return F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
@@ -47,7 +59,7 @@ def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
 
 def phrases(items: DataFrame, width: int) -> DataFrame:
     """(phrase, item) of all items, each once; a phrase's words are one space apart."""
-    w = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words().alias("w")).where(F.size("w") > 0)
+    w = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.array_remove(words(), "").alias("w")).where(F.size("w") > 0)
     runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - width + 1, F.lit(1))), lambda at: F.array_join(F.slice("w", at, F.lit(width)), " "))
     return w.select("item", F.explode(runs).alias("phrase")).distinct()
 
@@ -158,7 +170,7 @@ def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     found, none = matched(docs, items, **options), F.array().cast("array<string>")
-    out = _keyed(docs, F.col("doc_id"), F.size(words()).cast("long").alias("n_words")).join(found, ["doc", "key"], "left")
+    out = _keyed(docs, F.col("doc_id"), n_words().alias("n_words")).join(found, ["doc", "key"], "left")
     out = out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items"), F.coalesce("near_items", none).alias("near_items"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "items", "near_items")
 
@@ -167,4 +179,4 @@ def clean_documents(docs: DataFrame, items: DataFrame, most: float = 0.0, **opti
     """The rows of ``docs`` at most a share ``most`` of whose words are hit, columns as given."""
     found = matched(docs.select("doc_id", "text"), items, **options).where("n_hit > 0").select("doc", "key", "n_hit")
     rows = _keyed(docs, F.struct(*[docs[c] for c in docs.columns]).alias("row")).join(found, ["doc", "key"], "left")
-    return rows.where(F.col("n_hit").isNull() | (F.col("n_hit") <= F.size(words("row.text")) * most)).select("row.*")
+    return rows.where(F.col("n_hit").isNull() | (F.col("n_hit") <= n_words("row.text") * most)).select("row.*")

@@ -35,10 +35,11 @@ from pyspark.sql import functions as F
 from ..operators.order import numbered
 from .common import LOWER, Scratch, chunks, text_arrays
 
-SEPARATORS = regex.compile(rb"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Maps A-Z to a-z and every byte that is not of a word to a space.
+FLAT = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in LOWER.tolist())
 #: Scores are counted in steps of this size before the draw.
 STEP = 16
-_LOWER = LOWER.tobytes()
+_span = type(regex.match(b"", b"")).span
 
 
 def span_pattern(n: int) -> regex.Pattern:
@@ -46,11 +47,15 @@ def span_pattern(n: int) -> regex.Pattern:
     return regex.compile(rb"(?<![^ ])[^ ]++(?: [^ ]++){%d}(?![^ ])" % (n - 1))
 
 
-def features(text: bytes, patterns: list[regex.Pattern], buckets: int) -> np.ndarray:
-    """The bucket of each feature of a text."""
-    flat = SEPARATORS.sub(b" ", text.translate(_LOWER)).strip(b" ")
+def flattened(text: bytes) -> bytes:
+    """The words with single spaces between them."""
+    return b" ".join(text.translate(FLAT).split())
+
+
+def features(flat: bytes, patterns: list[regex.Pattern], buckets: int) -> np.ndarray:
+    """The bucket of each feature of a flattened text."""
     view, crc = memoryview(flat), zlib.crc32
-    return np.concatenate([np.fromiter((crc(view[m.start() : m.end()]) for m in p.finditer(flat, overlapped=True)), np.int64) for p in patterns]) % buckets
+    return np.concatenate([np.fromiter((crc(view[a:b]) for a, b in map(_span, p.finditer(flat, overlapped=True))), np.int64) for p in patterns]) % buckets
 
 
 def _scan(batches: Iterator[pa.RecordBatch], lengths: tuple[int, int], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -60,10 +65,10 @@ def _scan(batches: Iterator[pa.RecordBatch], lengths: tuple[int, int], buckets:
             data, offsets = text_arrays(part.column(2))
             words, sizes, names, counts = [], [], [], []
             for i in range(part.num_rows):
-                text = data[offsets[i] : offsets[i + 1]].tobytes()
-                got = features(text, patterns, buckets)
+                flat = flattened(data[offsets[i] : offsets[i + 1]].tobytes())
+                got = features(flat, patterns, buckets)
                 n, c = np.unique(got, return_counts=True)
-                words.append(len(got) if lengths == (1, 1) else sum(1 for _ in regex.finditer(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(_LOWER))))
+                words.append(flat.count(b" ") + 1 if flat else 0)
                 sizes.append(len(got))
                 names.append(n)
                 counts.append(c)
