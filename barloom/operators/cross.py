@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,30 +21,51 @@ def limit_counts(breadth: DataFrame, limits: DataFrame) -> DataFrame:
     return breadth.join(c, "date", "left").fillna(0, ["n_limit_up", "n_limit_down"])
 
 
-def average_rank(value: Column, by: list[str]) -> Column:
-    """Rank among a group's values that are not null, ties sharing the mean of their ranks; what nulls get has no meaning.
+def average_ranks(x: np.ndarray) -> np.ndarray:
+    """Ranks from 1, ties sharing the mean of theirs; NaN is above all numbers and equals itself, as in Spark."""
+    order = np.argsort(x, kind="stable")
+    s = x[order]
+    new = np.ones(len(x), bool)
+    new[1:] = (s[1:] != s[:-1]) & ~(np.isnan(s[1:]) & np.isnan(s[:-1]))
+    first = np.flatnonzero(new)
+    mean = (first + np.append(first[1:], len(x)) + 1) / 2
+    out = np.empty(len(x))
+    out[order] = mean[np.cumsum(new) - 1]
+    return out
 
-    The first rank of a tie, less the nulls that sort before it, and its last rank come from one window.
+
+def _ranked_group(table: pa.Table, cols: list[str], score) -> pa.Table:
+    """A group's columns replaced by ``score(rank, number of values)``; null stays null and takes no rank."""
+    for c in cols:
+        held = table.column(c).combine_chunks().cast(pa.float64())
+        there = np.asarray(held.is_valid())
+        values = np.full(len(there), np.nan)
+        values[there] = score(average_ranks(np.asarray(held.drop_null())), there.sum())
+        table = table.set_column(table.schema.get_field_index(c), c, pa.array(values, mask=~there))
+    return table
+
+
+def ranked(df: DataFrame, cols: list[str], by: list[str], score=lambda rank, n: rank) -> DataFrame:
+    """Numeric columns as average ranks within the groups of ``by``: one shuffle, one Arrow call a group, however many columns.
+
+    A group is a day's codes, so a market bounds it; it is the only thing that a task holds at a time.
     """
-    whole, w = Window.partitionBy(*by), Window.partitionBy(*by).orderBy(value)
-    nulls = F.count(F.lit(1)).over(whole) - F.count(value).over(whole)
-    return (F.rank().over(w) - nulls + F.count(value).over(w)) / 2
+    kinds = {c: "double" for c in cols}
+    schema = ", ".join(f"`{f.name}` {kinds.get(f.name, f.dataType.simpleString())}" for f in df.schema.fields)
+    return df.groupBy(*by).applyInArrow(lambda t: _ranked_group(t, cols, score), schema)
 
 
 def rank01(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
     """(average rank - 1) / max(n - 1, 1) among non-nulls; null gives 0.5."""
-    out = {}
-    for c in cols:
-        n = F.count(c).over(Window.partitionBy(*by))
-        out[c] = F.when(F.col(c).isNull(), 0.5).otherwise((average_rank(F.col(c), by) - 1) / F.greatest(n - 1, F.lit(1)))
-    return df.select(*[F.col(c) for c in df.columns if c not in cols], *[v.alias(c) for c, v in out.items()])
+    out = ranked(df, cols, by, lambda rank, n: (rank - 1) / np.maximum(n - 1, 1))
+    return out.select(*[F.col(c) for c in df.columns if c not in cols], *[F.coalesce(c, F.lit(0.5)).alias(c) for c in cols])
 
 
 def pct_cross_rank(df: DataFrame) -> DataFrame:
     """Average rank / n of the relative move among rows that are neither special-treatment nor new."""
     ok = df.where((F.col("isST") == 0) & (F.col("is_new") == 0) & (F.col("price_limit") > 0) & F.col("pctChg").isNotNull())
-    ok = ok.withColumn("rel", rel_move(F.col("pctChg"), F.col("price_limit")))
-    return ok.select("date", "code", (average_rank(F.col("rel"), ["date"]) / F.count(F.lit(1)).over(Window.partitionBy("date"))).alias("pct_rank"))
+    ok = ok.select("date", "code", rel_move(F.col("pctChg"), F.col("price_limit")).alias("pct_rank"))
+    return ranked(ok, ["pct_rank"], ["date"], lambda rank, n: rank / n)
 
 
 def _lagged(n: int = 120) -> Window:
@@ -85,6 +108,6 @@ def raw_traits(bars: DataFrame, limits: DataFrame, breadth: DataFrame) -> DataFr
 
 
 def build_traits(bars: DataFrame, limits: DataFrame, breadth: DataFrame) -> DataFrame:
-    """All traits as ranks within the day: one shuffle on the day, and a sort for each trait."""
+    """All traits as ranks within the day: one shuffle on the day and one call for all traits of a day."""
     d = raw_traits(bars, limits, breadth)
     return rank01(d, [c for c in d.columns if c not in ("trade_date_idx", "code_idx")], ["trade_date_idx"])
