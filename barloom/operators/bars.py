@@ -133,14 +133,39 @@ def trailing_suspension(bars: DataFrame, look_back: int = 500) -> DataFrame:
 
 
 def suspended_runs(events: DataFrame, calendar: DataFrame, anchor: str) -> DataFrame:
-    """(code, date) suspension events: the calendar-contiguous run that ends at the anchor, or at a later announced day."""
-    at = F.to_date(F.lit(anchor))
+    """(code, start, end): the calendar-contiguous run of suspension days that holds a code's latest one.
+
+    Codes whose latest announced day lies before the anchor trade again and drop; a day announced beyond the anchor decides, whatever there is at it.
+    """
     df = events.select("code", "date").distinct().join(F.broadcast(calendar), "date")
     island = F.col("tdi") - F.row_number().over(Window.partitionBy("code").orderBy("tdi"))
     runs = df.withColumn("_i", island).groupBy("code", "_i").agg(F.min("date").alias("start"), F.max("date").alias("end"))
-    return runs.where((F.col("start") <= at) & (F.col("end") >= at)).select("code", "start", "end").unionByName(
-        runs.where(F.col("start") > at).join(runs.where((F.col("start") <= at) & (F.col("end") >= at)).select("code"), "code", "left_anti").groupBy("code").agg(F.min("start").alias("start"), F.min_by("end", "start").alias("end"))
-    )
+    last = runs.groupBy("code").agg(F.max_by(F.struct("start", "end"), "end").alias("r")).select("code", "r.start", "r.end")
+    return last.where(F.col("end") >= F.to_date(F.lit(anchor)))
+
+
+def suspension_batch(status: DataFrame) -> DataFrame:
+    """What merge_suspensions takes, from raw rows (code, date, tradestatus): code, start, resumed, traded_before.
+
+    A code whose latest row traded has resumed; else its run starts after its last traded row, or with its first. Rows without a code
+    or a date drop, a status that is no number counts as traded.
+    """
+    d = status.select(F.trim(F.col("code").cast("string")).alias("code"), F.try_to_date(F.col("date").cast("string")).alias("date"), F.coalesce(F.col("tradestatus").try_cast("int"), F.lit(1)).alias("status"))
+    d = d.where((F.col("code") != "") & F.col("date").isNotNull())
+    stop = F.max(F.when(F.col("status") != 0, F.struct("date", "status"))).over(Window.partitionBy("code"))["date"]
+    g = d.withColumn("_stop", stop).groupBy("code").agg(F.max_by("status", F.struct("date", "status")).alias("_last"), F.min(F.when(F.col("_stop").isNull() | (F.col("date") > F.col("_stop")), F.col("date"))).alias("start"), F.first("_stop").isNotNull().alias("traded_before"))
+    resumed = F.col("_last") != 0
+    return g.select("code", F.when(~resumed, F.col("start")).alias("start"), resumed.alias("resumed"), (F.col("traded_before") & ~resumed).alias("traded_before"))
+
+
+def silent_codes(asked: DataFrame, status: DataFrame, today: str, most_days: int = 30) -> DataFrame:
+    """Codes asked for over more than ``most_days`` days without a single row count as suspended; a batch like suspension_batch's.
+
+    ``asked``: code, days, date (the start to note; null: today).
+    """
+    none = asked.where((F.col("days") > most_days) & (F.trim("code") != "")).join(status.select("code").distinct(), "code", "left_anti")
+    start = F.coalesce("date", F.to_date(F.lit(today)))
+    return none.groupBy("code").agg(F.min(start).alias("start")).select("code", "start", F.lit(False).alias("resumed"), F.lit(False).alias("traded_before"))
 
 
 def merge_suspensions(ledger: DataFrame, batch: DataFrame) -> DataFrame:
@@ -163,10 +188,11 @@ def fill_status(df: DataFrame, names: DataFrame | None = None, target: str | Non
 
 
 def name_changes(snapshots: DataFrame) -> DataFrame:
-    """Codes whose name differs between the two latest snapshots."""
-    w = Window.partitionBy("code").orderBy("snap")
-    rows = snapshots.withColumn("old_name", F.lag("name").over(w)).withColumn("_n", F.row_number().over(Window.partitionBy("code").orderBy(F.desc("snap"))))
-    return rows.where("_n = 1 and old_name is not null and old_name <> name").select("code", "old_name", "name")
+    """Codes in both of the two latest snapshots whose name differs; codes that left before are no news."""
+    snaps = snapshots.select("snap").distinct().withColumn("_n", F.row_number().over(Window.orderBy(F.desc("snap"))))  # a row for each snapshot
+    d = snapshots.join(F.broadcast(snaps.where("_n <= 2")), "snap")
+    names = d.groupBy("code").agg(F.max(F.when(F.col("_n") == 2, F.col("name"))).alias("old_name"), F.max(F.when(F.col("_n") == 1, F.col("name"))).alias("name"))
+    return names.where("old_name <> name")
 
 
 def listed_without_bar(master: DataFrame, bars: DataFrame, anchor: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -114,12 +114,29 @@ def commit_ledger(old: DataFrame, new: DataFrame, most_dates: int = 1800, most_c
     return old.unionByName(fresh.join(per, "code", "left_semi").crossJoin(F.broadcast(n)).where("_ok").drop("_ok"))
 
 
+def _finite(c: str) -> Column:
+    """Neither null, NaN nor infinite."""
+    return F.coalesce(F.abs(F.col(c).cast("double")) < float("inf"), F.lit(False))
+
+
+def _traded_rows(df: DataFrame) -> DataFrame:
+    """With ``_real``, whether a row traded (volume above 0), and ``_first``, whether it is its code's first row that did."""
+    real = F.coalesce(F.col("volume") > 0, F.lit(False))
+    so_far = F.sum("_n").over(Window.partitionBy("code").orderBy("date").rowsBetween(Window.unboundedPreceding, 0))
+    return df.withColumn("_real", real).withColumn("_n", real.cast("int")).withColumn("_first", real & (so_far == 1)).drop("_n")
+
+
 def append_or_rewrite(stored: DataFrame) -> DataFrame:
-    """Per code whether its stored series allows appending: unique dates, traded rows complete but for the first, idle rows zeroed."""
+    """Per code whether its stored series is normalised, so that new rows can be appended: another pass over it would change nothing.
+
+    Dates are unique and isST is known; tradestatus is 1 where volume is above 0, else 0. Traded rows have a price above 0, amount, turn,
+    preclose and pctChg, of which the first traded row, a new listing, may lack the last two; idle rows have volume and amount 0, no turn, no pctChg.
+    """
     w = Window.partitionBy("code").orderBy("date")
-    d = stored.withColumn("_i", F.row_number().over(w)).withColumn("_same", F.lag("date").over(w) == F.col("date"))
-    full = F.col("close").isNotNull() & F.col("turn").isNotNull() & ((F.col("_i") == 1) | (F.col("preclose").isNotNull() & F.col("pctChg").isNotNull()))
-    ok = ~F.coalesce("_same", F.lit(False)) & F.when(F.col("tradestatus") == 1, full).otherwise((F.col("volume") == 0) & (F.col("amount") == 0))
+    d = _traded_rows(stored).withColumn("_same", F.coalesce(F.lag("date").over(w) == F.col("date"), F.lit(False)))
+    full = _finite("close") & (F.col("close") > 0) & _finite("amount") & _finite("turn") & (F.col("_first") | (_finite("preclose") & _finite("pctChg")))
+    idle = (F.col("volume") == 0) & (F.col("amount") == 0) & ~_finite("turn") & ~_finite("pctChg")
+    ok = ~F.col("_same") & _finite("isST") & F.coalesce(F.col("tradestatus") == F.col("_real").cast("int"), F.lit(False)) & F.coalesce(F.when(F.col("_real"), full).otherwise(idle), F.lit(False))
     return d.groupBy("code").agg(F.bool_and(ok).alias("append"))
 
 
@@ -152,18 +169,17 @@ def repair_flags(bars: DataFrame) -> DataFrame:
 
 
 def completeness(bars: DataFrame, calendar: DataFrame, span: DataFrame, exempt: DataFrame | None = None, shares: DataFrame | None = None, m15: DataFrame | None = None) -> DataFrame:
-    """Per code: missing days, null columns on traded rows, traded days without 15-minute bars, and whether all is there.
+    """Per code: missing days, null columns on traded rows (volume above 0), traded days without 15-minute bars, and whether all is there.
 
-    The first row may lack preclose and pctChg. Turnover may be missing throughout, or before the code's first share count (``shares``: code,
-    date). ``exempt``: codes, such as delisted ones or those without data, that count as complete. ``m15``: code, date.
+    The first traded row may lack preclose and pctChg. Turnover may be missing throughout, or before the code's first share count (``shares``:
+    code, date). ``exempt``: codes, such as delisted ones or those without data, that count as complete. ``m15``: code, date.
     """
-    i = F.row_number().over(Window.partitionBy("code").orderBy("date"))
-    d = bars.withColumn("_i", i)
+    d = _traded_rows(bars)
     if shares is not None:
         d = d.join(shares.groupBy("code").agg(F.min("date").alias("_first_share")), "code", "left")
     known = F.coalesce(F.col("date") >= F.col("_first_share"), F.lit(False)) if shares is not None else F.lit(True)
-    t = F.col("tradestatus") == 1
-    later = t & (F.col("_i") > 1)
+    t = F.col("_real")
+    later = t & ~F.col("_first")
     no_turn = F.when(F.count("turn") == 0, 0).otherwise(F.count_if(t & known & F.col("turn").isNull()))
     g = d.groupBy("code").agg(F.count_if(later & F.col("preclose").isNull()).alias("no_preclose"), F.count_if(later & F.col("pctChg").isNull()).alias("no_pct"), F.count_if(t & F.col("amount").isNull()).alias("no_amount"), no_turn.alias("no_turn"), F.count_if(F.col("isST").isNull()).alias("no_status"))
     m = gaps(bars, calendar, span).groupBy("code").agg(F.count("*").alias("missing"))

@@ -2,24 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import null_to_zero
+from .bars import dedupe_by_key
 from .order import kept, numbered
+from .rows import subsample
+
 
+def lookup_with_default(df: DataFrame, side: DataFrame, keys: list[str], default: float, order: list[Column | str] | None = None) -> DataFrame:
+    """Left lookup of one side row per key; misses take the default.
 
-def lookup_with_default(df: DataFrame, side: DataFrame, keys: list[str], default: float) -> DataFrame:
-    """Left lookup of one side row per key; misses take the default."""
+    Of several rows of a key the first in ``order`` counts, without one that with the smallest values, column by column. What the order names and is
+    not a key is looked up as well, unless it is a column of ``df``.
+    """
     cols = [c for c in side.columns if c not in keys]
-    return df.join(side.dropDuplicates(keys), keys, "left").withColumns({c: F.coalesce(c, F.lit(default)) for c in cols})
+    one = dedupe_by_key(side, keys, [F.col(c) if isinstance(c, str) else c for c in (order or cols or keys)], "first")
+    cols = [c for c in cols if c not in df.columns]
+    return df.join(one.select(*keys, *cols), keys, "left").withColumns({c: F.coalesce(c, F.lit(default)) for c in cols})
+
+
+def full_windows(df: DataFrame, length: int) -> DataFrame:
+    """Rows that end a window of so many rows of their code."""
+    n = F.row_number().over(Window.partitionBy("code").orderBy("date"))
+    return df.withColumn("_n", n).where(F.col("_n") >= length).drop("_n")
 
 
 def sample_ids(df: DataFrame, feature_len: int, horizon: int, lo: str, hi: str) -> DataFrame:
     """Windows of feature_len + horizon rows, named by their last row, whose date is in [lo, hi)."""
-    n = F.row_number().over(Window.partitionBy("code").orderBy("date"))
-    d = df.withColumn("_n", n).where(F.col("_n") >= feature_len + horizon).drop("_n")
-    return d.where((F.col("date") >= F.to_date(F.lit(lo))) & (F.col("date") < F.to_date(F.lit(hi)))).select("code", "date")
+    return full_windows(df, feature_len + horizon).where((F.col("date") >= F.to_date(F.lit(lo))) & (F.col("date") < F.to_date(F.lit(hi)))).select("code", "date")
+
+
+def bad_rows(df: DataFrame, m15: tuple[str, ...] = ()) -> Column:
+    """Whether a row spoils the windows that hold it: special treatment, a new listing, or 15-minute data that are not there.
+
+    With a column m15_complete that must be above 0; else a row that traded (volume above 0) must have all ``m15`` columns finite. Idle rows
+    may lack them. isST and is_new count where the frame has them.
+    """
+    bad = [F.coalesce(F.col(c) != 0, F.lit(False)) for c in ("isST", "is_new") if c in df.columns]
+    if "m15_complete" in df.columns:
+        bad.append(F.coalesce(F.col("m15_complete") <= 0, F.lit(False)))
+    else:
+        traded = F.coalesce(F.col("volume") > 0, F.lit(False)) if "volume" in df.columns else F.lit(True)
+        bad += [traded & ~F.coalesce(F.abs(F.col(c).cast("double")) < float("inf"), F.lit(False)) for c in m15]
+    return functools.reduce(lambda a, b: a | b, bad, F.lit(False))
 
 
 def gate_windows(df: DataFrame, bad: str, length: int) -> DataFrame:
@@ -51,12 +80,31 @@ def materialise(ids: DataFrame, daily: DataFrame, length: int, cols: list[str],
     return d.join(ids.select("code", "date").distinct(), ["code", "date"], "left_semi")
 
 
-def split_samples(ids: DataFrame, begin: str, split: str, end: str) -> DataFrame:
-    """train [begin, split] and validation [split, end]; the split day is in both."""
+def split_samples(ids: DataFrame, begin: str, split: str, end: str, calendar: DataFrame | None = None, exclusive: bool = False) -> DataFrame:
+    """train [begin, split] and validation [split, end]; the split day is in both, or with ``exclusive`` in train only.
+
+    With a calendar the validation ends on the next trading day after the end (on the end itself, if there is none).
+    """
     day = F.col("date")
     b, s, e = (F.to_date(F.lit(x)) for x in (begin, split, end))
-    parts = F.array_compact(F.array(F.when((day >= b) & (day <= s), F.lit("train")), F.when((day >= s) & (day <= e), F.lit("validation"))))
-    return ids.withColumn("split", F.explode(parts))
+    if calendar is not None:
+        after = calendar.agg(F.coalesce(F.min(F.when(F.col("date") > e, F.col("date"))), e).alias("_end"))
+        ids, e = ids.crossJoin(F.broadcast(after)), F.col("_end")
+    parts = F.array_compact(F.array(F.when((day >= b) & (day <= s), F.lit("train")), F.when((day > s if exclusive else day >= s) & (day <= e), F.lit("validation"))))
+    return ids.withColumn("split", F.explode(parts)).drop("_end")
+
+
+def train_and_validation(df: DataFrame, feature_len: int, horizon: int, begin: str, split: str, end: str, calendar: DataFrame, train_horizon: int | None = None, ratios: tuple[float, float] = (1.0, 1.0), exclusive: bool = False, seed: int = 0) -> DataFrame:
+    """(code, date, trade_date_idx, split): full windows of each side with its own horizon; of a side below ratio 1 a share of each code's.
+
+    ``df``: code, date, trade_date_idx. A target day may lie anywhere in the side's days, so windows reach back beyond its begin.
+    """
+    sides = []
+    for side, length, ratio in (("train", train_horizon or horizon, ratios[0]), ("validation", horizon, ratios[1])):
+        d = full_windows(df.select("code", "date", "trade_date_idx"), feature_len + length)
+        d = split_samples(d, begin, split, end, calendar, exclusive).where(F.col("split") == side)
+        sides.append(subsample(d, ratio, seed) if ratio < 1 else d)
+    return sides[0].unionByName(sides[1])
 
 
 def epoch_order(ids: DataFrame, seed: int, epoch: int, start: int = 0, shard_rows: int = 100_000) -> DataFrame:

@@ -51,6 +51,12 @@ def appearance_gap(seen: DataFrame, index: str = "di") -> DataFrame:
     return seen.withColumn("gap", F.coalesce(F.least(log_scale(g, 60), F.lit(1.0)), F.lit(1.0)))
 
 
+def stock_gap(df: DataFrame) -> DataFrame:
+    """st_lastgap: event days since a code's previous one in its entity, at most 60, over 60; the first is 1. ``df``: entity, code, di."""
+    g = F.col("di") - F.lag("di").over(Window.partitionBy("entity", "code").orderBy("di"))
+    return df.withColumn("st_lastgap", F.coalesce(F.least(g, F.lit(60)), F.lit(60)) / 60)
+
+
 def new_face_ratio(df: DataFrame, seen: DataFrame, within: int = 5) -> DataFrame:
     """1 - overlap / size with the previous appearance's members if that is at most ``within`` event days ago, else 1."""
     sets = df.groupBy("zscode", "date").agg(F.collect_set("code").alias("members")).join(seen, ["zscode", "date"])
@@ -84,6 +90,14 @@ def theme_strength(base: DataFrame) -> DataFrame:
     return base.groupBy("date", "entity").agg(F.max("boards").alias("max_boards"), F.avg("seal").alias("mean_seal"), F.avg("first_min").alias("mean_first"), F.count(F.lit(1)).alias("size"))
 
 
+def scaled_theme(strength: DataFrame) -> DataFrame:
+    """A theme's columns in the units of its feature family: boards over 10 and age over 20, both capped, seal as log over 10, first minute over 240 (none: 1)."""
+    out = {"th_max_b": cap_scale(F.col("max_boards").cast("double"), 10.0), "th_seal": F.log1p(F.coalesce("mean_seal", F.lit(0.0))) / 10, "th_first": F.coalesce("mean_first", F.lit(240.0)) / 240}
+    if "age" in strength.columns:
+        out["th_age"] = cap_scale(F.col("age").cast("double"), 20.0)
+    return strength.withColumns(out)
+
+
 def promotion_rate(base: DataFrame, limits: DataFrame) -> DataFrame:
     """Members of day t that are up-limit on day t + 1, over the members of day t. ``base``: di, entity, code."""
     nxt = limits.where("is_limit_up = 1").select((F.col("di") - 1).alias("di"), "code").distinct().withColumn("_up", F.lit(1))
@@ -104,17 +118,22 @@ def history20(df: DataFrame) -> DataFrame:
     return df.withColumn("st_hist20", cap_scale(F.count(F.lit(1)).over(w).cast("double"), 10.0))
 
 
-def carry_events(events: DataFrame, theme: DataFrame, days: int = 4) -> DataFrame:
-    """Each (di, entity, code) event also stands on the next days, with ks_days = k / days and the theme's columns of that day.
+def carry_events(events: DataFrame, theme: DataFrame, days: int = 4, carry: str = "day") -> DataFrame:
+    """Each (di, entity, code) event also stands on the next days, with ks_days = k / days and columns of its theme.
 
-    On a conflict for (day, code) the event that is nearest wins.
+    Further columns of ``events`` are the stock's own: they hold on the event day and are 0 on the days after. The theme's columns
+    are those of the day an event is carried to, with ``carry="event"`` those of its own day. On a conflict for (day, code) the nearest event wins.
     """
+    own = [c for c in events.columns if c not in ("di", "entity", "code")]
     last = events.agg(F.max("di").alias("_last"))
-    moved = events.select("entity", "code", F.col("di").alias("_di"), F.explode(F.sequence(F.lit(0), F.lit(days))).alias("k")).crossJoin(F.broadcast(last))
+    moved = events.select("entity", "code", F.col("di").alias("_di"), *own, F.explode(F.sequence(F.lit(0), F.lit(days))).alias("k")).crossJoin(F.broadcast(last))
     moved = moved.withColumn("di", F.col("_di") + F.col("k")).where("di <= _last")
     rank = F.row_number().over(Window.partitionBy("di", "code").orderBy("k", "entity"))
-    moved = moved.withColumn("_r", rank).where("_r = 1").select("di", "code", "entity", (F.col("k") / days).alias("ks_days"))
-    return moved.join(theme, ["di", "entity"], "left").fillna(0)
+    kept = [F.when(F.col("k") == 0, F.col(c)).otherwise(F.lit(0)).alias(c) for c in own]
+    moved = moved.withColumn("_r", rank).where("_r = 1").select("di", "_di", "code", "entity", (F.col("k") / days).alias("ks_days"), *kept)
+    at = theme.withColumnRenamed("di", "_at")
+    day = F.col("_at") == F.col("_di" if carry == "event" else "di")
+    return moved.join(at.withColumnRenamed("entity", "_e"), day & (F.col("entity") == F.col("_e")), "left").drop("_di", "_at", "_e").fillna(0)
 
 
 def merge_family(features: DataFrame, new: DataFrame, own: list[str], keys: list[str]) -> DataFrame:

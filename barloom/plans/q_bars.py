@@ -169,19 +169,29 @@ def _(v: Inputs):
     return b.trailing_suspension(v.bars.withColumn("tradestatus", F.expr(IDLE.replace("DATE '", "date'"))))
 
 
-@query("w30_suspended_runs", """WITH e AS (SELECT DISTINCT code, trade_date_idx AS t, date FROM bars WHERE (code_idx + trade_date_idx) % 5 > 0), i AS (SELECT *, t - row_number() OVER (PARTITION BY code ORDER BY t) AS island FROM e),
-r AS (SELECT code, min(date) AS start, max(date) AS "end" FROM i GROUP BY code, island), x AS (SELECT * FROM r WHERE start <= DATE '1995-06-15' AND "end" >= DATE '1995-06-15')
-SELECT code, start, "end" FROM x UNION ALL SELECT code, min(start), min_by("end", start) FROM r WHERE start > DATE '1995-06-15' AND code NOT IN (SELECT code FROM x) GROUP BY code""")
+# of three codes one is announced up to five days before the anchor, one up to it, one for up to five days more
+@query("w30_suspended_runs", """WITH e AS (SELECT DISTINCT code, trade_date_idx AS t, date FROM bars WHERE (code_idx + trade_date_idx) % 5 > 0 AND date <= DATE '1995-06-15' + CAST((code_idx % 3 - 1) * 5 AS INT)),
+i AS (SELECT *, max(t) OVER w - t + 1 AS days_to_last, count(*) OVER (PARTITION BY code ORDER BY t DESC) AS events_to_last, max(date) OVER w AS last FROM e WINDOW w AS (PARTITION BY code))
+SELECT code, min(date) AS start, last AS "end" FROM i WHERE days_to_last = events_to_last AND last >= DATE '1995-06-15' GROUP BY code, last""")
 def _(v: Inputs):
-    return b.suspended_runs(v.bars.where("(code_idx + trade_date_idx) % 5 > 0").select("code", "date"), v.calendar, "1995-06-15")
+    events = v.bars.where("(code_idx + trade_date_idx) % 5 > 0 and date <= date_add(date'1995-06-15', (code_idx % 3 - 1) * 5)")
+    return b.suspended_runs(events.select("code", "date"), v.calendar, "1995-06-15")
 
 
-@query("w31_merge_suspensions", """WITH l AS (SELECT code, min(date) AS start FROM bars WHERE code_idx % 3 <> 0 GROUP BY code), n AS (SELECT code, max(date) AS start, min(code_idx) % 5 = 0 AS resumed, min(code_idx) % 2 = 0 AS tb FROM bars WHERE code_idx % 3 <> 1 GROUP BY code)
+# codes by threes: known only, known and in the batch, in the batch only; statuses run for 40 days; of the known only ones some were asked for without an answer
+STATUS = "status AS (SELECT code, date, code_idx, CASE WHEN (code_idx + trade_date_idx // 40) % 3 > 0 THEN 1 ELSE 0 END AS st FROM bars WHERE code_idx % 3 <> 1)"
+
+
+@query("w31_merge_suspensions", f"""WITH l AS (SELECT code, min(date) AS start FROM bars WHERE code_idx % 3 <> 0 GROUP BY code), {STATUS},
+r AS (SELECT *, max(CASE WHEN st = 1 THEN date END) OVER (PARTITION BY code) AS stop, max(date) OVER (PARTITION BY code) AS last FROM status),
+n AS (SELECT code, min(CASE WHEN stop IS NULL OR date > stop THEN date END) AS start, coalesce(min(stop) = min(last), false) AS resumed, min(stop) IS NOT NULL AND min(stop) < min(last) AS tb FROM r GROUP BY code
+  UNION ALL SELECT code, CASE WHEN min(code_idx) % 2 = 0 THEN DATE '1998-12-31' ELSE DATE '1991-01-01' END, false, false FROM bars WHERE code_idx % 3 = 1 AND code_idx % 60 > 30 GROUP BY code)
 SELECT coalesce(l.code, n.code) AS code, CASE WHEN coalesce(tb, false) THEN n.start ELSE least(l.start, n.start) END AS start FROM l FULL JOIN n ON l.code = n.code WHERE NOT coalesce(resumed, false)""")
 def _(v: Inputs):
     ledger = v.bars.where("code_idx % 3 <> 0").groupBy("code").agg(F.min("date").alias("start"))
-    batch = v.bars.where("code_idx % 3 <> 1").groupBy("code").agg(F.max("date").alias("start"), (F.min("code_idx") % 5 == 0).alias("resumed"), (F.min("code_idx") % 2 == 0).alias("traded_before"))
-    return b.merge_suspensions(ledger, batch)
+    status = v.bars.where("code_idx % 3 <> 1").select("code", "date", F.when((F.col("code_idx") + F.floor(F.col("trade_date_idx") / 40)) % 3 > 0, 1).otherwise(0).alias("tradestatus"))
+    asked = v.bars.where("code_idx % 3 = 1").select("code", (F.col("code_idx") % 60).alias("days"), F.when(F.col("code_idx") % 2 == 1, F.to_date(F.lit("1991-01-01"))).alias("date")).distinct()
+    return b.merge_suspensions(ledger, b.suspension_batch(status).unionByName(b.silent_codes(asked, status, "1998-12-31")))
 
 
 @query("w32_fill_status", "SELECT code, date, CAST(coalesce(last_value(CASE WHEN trade_date_idx % 7 = 0 THEN trade_date_idx % 2 END IGNORE NULLS) OVER (PARTITION BY code ORDER BY date), 0) AS INT) AS isST FROM bars")
@@ -195,11 +205,14 @@ def _(v: Inputs):
     return b.fill_status(v.bars, names, "1995-06-15").select("code", "date", "isST")
 
 
-@query("w33_name_changes", "SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS old_name, c_name || '*' AS name FROM customer WHERE c_custkey % 9 = 0")
+# the third snapshot lacks every seventh code; every fifth changed before it, every ninth in it
+@query("w33_name_changes", "SELECT CAST(c_custkey AS VARCHAR) AS code, CASE WHEN c_custkey % 5 = 0 THEN c_name || '+' ELSE c_name END AS old_name, CASE WHEN c_custkey % 5 = 0 THEN c_name || '+*' ELSE c_name || '*' END AS name FROM customer WHERE c_custkey % 9 = 0 AND c_custkey % 7 > 0")
 def _(v: Inputs):
-    c = v.customer.select(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("name"), F.lit(1).alias("snap"))
-    later = c.withColumn("name", F.when(F.col("code").cast("long") % 9 == 0, F.concat("name", F.lit("*"))).otherwise(F.col("name"))).withColumn("snap", F.lit(2))
-    return b.name_changes(c.unionByName(later))
+    k = F.col("c_custkey")
+    name = F.when((F.col("snap") >= 2) & (k % 5 == 0), F.concat("c_name", F.lit("+"))).otherwise(F.col("c_name"))
+    name = F.when((F.col("snap") == 3) & (k % 9 == 0), F.concat(name, F.lit("*"))).otherwise(name)
+    c = v.customer.select("*", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("snap")).where((F.col("snap") < 3) | (k % 7 > 0))
+    return b.name_changes(c.select(k.cast("string").alias("code"), name.alias("name"), "snap"))
 
 
 @query("j20_listed_without_bar", "WITH d AS (SELECT max(date) AS day FROM bars WHERE date <= DATE '1995-06-17') SELECT DISTINCT code FROM bars WHERE code NOT IN (SELECT code FROM bars JOIN d ON date = day)")

@@ -80,6 +80,12 @@ def _(v: Inputs):
     return themes.theme_strength(_base(v)).select("date", "entity", F.col("max_boards").cast("long").alias("max_boards"), F.round("mean_seal", 6).alias("mean_seal"), F.round("mean_first", 6).alias("mean_first"), "size")
 
 
+@query("a09_scaled_theme", f"WITH {BASE}, t AS (SELECT date, entity, max(boards) AS b, avg(seal) AS s, avg(first_min) AS f FROM eb GROUP BY date, entity) SELECT date, entity, round(least(b, 10) / 10, 6) AS th_max_b, round(ln(1 + coalesce(s, 0)) / 10, 6) AS th_seal, round(coalesce(f, 240) / 240, 6) AS th_first, round(least(extract(day FROM date), 20) / 20, 6) AS th_age FROM t")
+def _(v: Inputs):
+    d = themes.scaled_theme(themes.theme_strength(_base(v)).withColumn("age", F.day("date")))
+    return d.select("date", "entity", *[F.round(c, 6).alias(c) for c in ("th_max_b", "th_seal", "th_first", "th_age")])
+
+
 @query("w26_stock_strength", f"WITH {BASE} SELECT date, code, entity, round(least(boards, 10) / 10.0, 6) AS st_boards, round(least(max(boards) OVER w - boards, 10) / 10.0, 6) AS st_dist, CAST(CASE WHEN boards = max(boards) OVER w THEN 1 ELSE 0 END AS INT) AS st_leader, round(ln(1 + coalesce(seal, 0)) / 10, 6) AS st_seal, round(coalesce(first_min, 240) / 240, 6) AS st_first, round(coalesce(open_count, 0) / 10, 6) AS st_open FROM eb WINDOW w AS (PARTITION BY date, entity)")
 def _(v: Inputs):
     return themes.stock_strength(_base(v)).select("date", "code", "entity", F.round("st_boards", 6).alias("st_boards"), F.round("st_dist", 6).alias("st_dist"), "st_leader", *[F.round(c, 6).alias(c) for c in ("st_seal", "st_first", "st_open")])
@@ -100,13 +106,32 @@ def _(v: Inputs):
     return themes.promotion_rate(m.drop("boards").distinct(), up).select("di", "entity", F.round("promoted", 6).alias("promoted"))
 
 
-@query("j09_carry_events", f"""WITH {DAYS}, m AS (SELECT DISTINCT di, code, zscode AS entity FROM theme_events e JOIN dd ON e.date = dd.date), t AS (SELECT di, entity, count(*) AS size FROM m GROUP BY ALL),
-c AS (SELECT entity, code, di + k AS di, k FROM m, range(5) r(k) WHERE di + k <= (SELECT max(di) FROM m)), o AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY di, code ORDER BY k, entity) = 1)
-SELECT o.di, o.code, o.entity, k / 4 AS ks_days, coalesce(size, 0) AS size FROM o LEFT JOIN t ON o.di = t.di AND o.entity = t.entity""")
+CARRIED = f"""WITH {DAYS}, m AS (SELECT di, code, zscode AS entity, max(boards) AS st_boards FROM theme_events e JOIN dd ON e.date = dd.date GROUP BY ALL), t AS (SELECT di, entity, count(*) AS size FROM m GROUP BY ALL),
+c AS (SELECT entity, code, di AS event, di + k AS di, k, CASE WHEN k = 0 THEN st_boards ELSE 0 END AS st_boards FROM m, range(5) r(k) WHERE di + k <= (SELECT max(di) FROM m)), o AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY di, code ORDER BY k, entity) = 1)
+SELECT o.di, o.code, o.entity, k / 4 AS ks_days, st_boards, coalesce(size, 0) AS size FROM o LEFT JOIN t ON o.{{at}} = t.di AND o.entity = t.entity"""
+
+
+def _carried(v: Inputs, carry: str):
+    e = v.theme_events
+    m = e.join(themes.appearances(e).select("date", "di").distinct(), "date").groupBy("di", "code", F.col("zscode").alias("entity")).agg(F.max("boards").alias("st_boards"))
+    return themes.carry_events(m, m.groupBy("di", "entity").agg(F.count("*").alias("size")), carry=carry).select("di", "code", "entity", "ks_days", "st_boards", "size")
+
+
+@query("j09_carry_events", CARRIED.format(at="di"))
+def _(v: Inputs):
+    return _carried(v, "day")
+
+
+@query("j09_carry_of_the_event", CARRIED.format(at="event"))
+def _(v: Inputs):
+    return _carried(v, "event")
+
+
+@query("w21_stock_gap", f"WITH {DAYS}, m AS (SELECT DISTINCT di, code, zscode AS entity FROM theme_events e JOIN dd ON e.date = dd.date) SELECT di, code, entity, round(least(coalesce(di - lag(di) OVER (PARTITION BY entity, code ORDER BY di), 999), 60) / 60, 6) AS st_lastgap FROM m")
 def _(v: Inputs):
     e = v.theme_events
     m = e.join(themes.appearances(e).select("date", "di").distinct(), "date").select("di", "code", F.col("zscode").alias("entity")).distinct()
-    return themes.carry_events(m, m.groupBy("di", "entity").agg(F.count("*").alias("size"))).select("di", "code", "entity", "ks_days", "size")
+    return themes.stock_gap(m).select("di", "code", "entity", F.round("st_lastgap", 6).alias("st_lastgap"))
 
 
 @query("j08_merge_family", "WITH o AS (SELECT code_idx, min(trade_date_idx) AS a, 1 AS b FROM bars GROUP BY 1), n AS (SELECT code_idx + 50 AS code_idx, 7 AS b FROM bars GROUP BY 1) SELECT coalesce(o.code_idx, n.code_idx) AS code_idx, coalesce(a, 0) AS a, coalesce(n.b, 0) AS b FROM o FULL JOIN n ON o.code_idx = n.code_idx")

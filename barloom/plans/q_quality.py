@@ -101,9 +101,21 @@ def _(v: Inputs):
     return q.commit_ledger(b.where("trade_date_idx % 9 < 3").drop("trade_date_idx"), b.where("trade_date_idx % 9 in (2, 3)").drop("trade_date_idx"), most_codes=None)
 
 
-@query("i08_append_or_rewrite", "SELECT code, bool_and(CASE WHEN tradestatus = 1 THEN close IS NOT NULL AND turn IS NOT NULL AND (i = 1 OR (preclose IS NOT NULL AND pctChg IS NOT NULL)) ELSE volume = 0 AND amount = 0 END) AS append FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY date) AS i FROM bars) x GROUP BY code")
+# codes by elevens: some have a null amount, a null isST, a price of -1, a status against the volume, idle rows with a pctChg or a repeated day somewhere; every third starts idle
+UNSOUND = """w AS (SELECT code, date, code_idx AS k, trade_date_idx AS t, row_number() OVER (PARTITION BY code ORDER BY date) AS i, preclose, turn, volume, amount, close, pctChg, tradestatus, isST FROM bars),
+u AS (SELECT code, date, CASE WHEN k % 3 = 0 AND i = 1 THEN 0 ELSE volume END AS volume, CASE WHEN k % 11 = 1 AND i = 9 THEN NULL WHEN k % 3 = 0 AND i = 1 THEN 0 ELSE amount END AS amount, CASE WHEN k % 3 = 0 AND i = 1 THEN NULL ELSE turn END AS turn,
+  CASE WHEN k % 11 = 2 AND i = 9 THEN -1 ELSE close END AS close, preclose, CASE WHEN k % 11 = 3 AND tradestatus = 0 THEN 1.0 WHEN k % 3 = 0 AND i = 1 THEN NULL ELSE pctChg END AS pctChg,
+  CASE WHEN k % 11 = 4 AND i = 9 THEN 1 - tradestatus WHEN k % 3 = 0 AND i = 1 THEN 0 ELSE tradestatus END AS tradestatus, CASE WHEN k % 11 = 5 AND i = 9 THEN NULL ELSE isST END AS isST FROM w UNION ALL
+  SELECT code, date, volume, amount, turn, close, preclose, pctChg, tradestatus, isST FROM w WHERE k % 11 = 6 AND i = 9)"""
+
+
+@query("i08_append_or_rewrite", f"""WITH {UNSOUND}, f AS (SELECT code, min(date) AS first FROM u WHERE volume > 0 GROUP BY code),
+r AS (SELECT u.*, first, count(*) OVER (PARTITION BY u.code, date) AS n FROM u LEFT JOIN f USING (code))
+SELECT code, count(*) FILTER (n > 1 OR isST IS NULL OR tradestatus <> CASE WHEN volume > 0 THEN 1 ELSE 0 END) = 0
+  AND count(*) FILTER (volume > 0 AND (close IS NULL OR close <= 0 OR amount IS NULL OR turn IS NULL)) = 0 AND count(*) FILTER (volume > 0 AND date <> first AND (preclose IS NULL OR pctChg IS NULL)) = 0
+  AND count(*) FILTER (volume <= 0 AND (volume <> 0 OR amount <> 0 OR turn IS NOT NULL OR pctChg IS NOT NULL)) = 0 AS append FROM r GROUP BY code""")
 def _(v: Inputs):
-    return q.append_or_rewrite(v.bars)
+    return q.append_or_rewrite(v.sql(f"WITH {UNSOUND} SELECT * FROM u"))
 
 
 @query("i09_late_columns", "SELECT code FROM bars WHERE date = DATE '1995-06-15' AND tradestatus = 1 AND code_idx % 2 = 0")
@@ -119,9 +131,9 @@ def _(v: Inputs):
 
 # turnover lacks on every 17th day of even codes; share counts are known since day 500; every fifth code is exempt
 @query("i11_completeness", f"""WITH {SPAN}, m AS (SELECT sp.code, count(*) AS n FROM sp JOIN calendar c ON c.date BETWEEN lo AND hi WHERE NOT EXISTS (SELECT 1 FROM bars b WHERE b.code = sp.code AND b.date = c.date) GROUP BY 1),
-x AS (SELECT *, CASE WHEN code_idx % 2 = 1 OR trade_date_idx % 17 > 0 THEN turn END AS turn2, row_number() OVER (PARTITION BY code ORDER BY date) AS i FROM bars),
-g AS (SELECT code, min(code_idx) AS k, count(*) FILTER (tradestatus = 1 AND i > 1 AND preclose IS NULL) AS no_preclose, count(*) FILTER (tradestatus = 1 AND i > 1 AND pctChg IS NULL) AS no_pct, count(*) FILTER (tradestatus = 1 AND amount IS NULL) AS no_amount,
-  CASE WHEN count(turn2) = 0 THEN 0 ELSE count(*) FILTER (tradestatus = 1 AND trade_date_idx >= 500 AND turn2 IS NULL) END AS no_turn, count(*) FILTER (volume > 0 AND code_idx % 4 = 3 AND trade_date_idx % 5 = 0) AS no_m15 FROM x GROUP BY code)
+x AS (SELECT *, CASE WHEN code_idx % 2 = 1 OR trade_date_idx % 17 > 0 THEN turn END AS turn2, row_number() OVER (PARTITION BY code, volume > 0 ORDER BY date) AS i FROM bars),
+g AS (SELECT code, min(code_idx) AS k, count(*) FILTER (volume > 0 AND i > 1 AND preclose IS NULL) AS no_preclose, count(*) FILTER (volume > 0 AND i > 1 AND pctChg IS NULL) AS no_pct, count(*) FILTER (volume > 0 AND amount IS NULL) AS no_amount,
+  CASE WHEN count(turn2) = 0 THEN 0 ELSE count(*) FILTER (volume > 0 AND trade_date_idx >= 500 AND turn2 IS NULL) END AS no_turn, count(*) FILTER (volume > 0 AND code_idx % 4 = 3 AND trade_date_idx % 5 = 0) AS no_m15 FROM x GROUP BY code)
 SELECT g.code, no_preclose, no_pct, no_amount, no_turn, CAST(0 AS BIGINT) AS no_status, coalesce(n, 0) AS missing, no_m15, k % 5 = 0 OR no_preclose + no_pct + no_amount + no_turn + coalesce(n, 0) + no_m15 = 0 AS complete FROM g LEFT JOIN m ON g.code = m.code""")
 def _(v: Inputs):
     bars = v.stored("bars").withColumn("turn", F.when((F.col("code_idx") % 2 == 1) | (F.col("trade_date_idx") % 17 > 0), F.col("turn")))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import indicators
 from ..operators import samples as s
 from .harness import Inputs, query
+from .q_indicators import IS_NEW
 
 IDS = "ids AS (SELECT code, date FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY date) AS n FROM bars) x WHERE n >= 30 AND date >= DATE '1996-01-01' AND date < DATE '1997-01-01')"
 
@@ -19,9 +21,12 @@ def _(v: Inputs):
     return _ids(v)
 
 
-@query("d02_gate_windows", "WITH x AS (SELECT *, sum(CASE WHEN isST = 1 OR tradestatus = 0 THEN 1 ELSE 0 END) OVER w AS bad, count(*) OVER w AS n FROM bars WINDOW w AS (PARTITION BY code ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)) SELECT code, date FROM x WHERE bad = 0 AND n = 30")
+# two 15-minute columns: one with a gap now and then, one that is never there on idle days
+@query("d02_gate_windows", f"""WITH {IS_NEW}, g AS (SELECT *, CASE WHEN isST <> 0 OR is_new <> 0 OR (volume > 0 AND (code_idx * 7 + trade_date_idx) % 211 = 0) THEN 1 ELSE 0 END AS b FROM flagged),
+s AS (SELECT *, sum(b) OVER w AS bad, count(*) OVER w AS n FROM g WINDOW w AS (PARTITION BY code ORDER BY date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)) SELECT code, date FROM s WHERE bad = 0 AND n = 10""")
 def _(v: Inputs):
-    return s.gate_windows(v.bars.withColumn("bad", (F.col("isST") == 1) | (F.col("tradestatus") == 0)), "bad", 30).select("code", "date")
+    d = indicators.is_new(v.bars).withColumns({"m15_a": F.when((F.col("code_idx") * 7 + F.col("trade_date_idx")) % 211 > 0, F.col("close")), "m15_b": F.when(F.col("volume") > 0, F.col("amount"))})
+    return s.gate_windows(d.withColumn("bad", s.bad_rows(d, ("m15_a", "m15_b"))), "bad", 10).select("code", "date")
 
 
 @query("d03_tail_samples", "WITH x AS (SELECT *, sum(CASE WHEN isST = 1 THEN 1 ELSE 0 END) OVER w AS bad, count(*) OVER w AS n, max(trade_date_idx) OVER () AS last FROM bars WINDOW w AS (PARTITION BY code ORDER BY date ROWS BETWEEN 28 PRECEDING AND CURRENT ROW)) SELECT code, CAST(trade_date_idx + 1 AS INT) AS trade_date_idx, true AS virtual FROM x WHERE bad = 0 AND n = 29 AND trade_date_idx = last")
@@ -46,9 +51,16 @@ def _(v: Inputs):
     return d.select("code", "date", F.size("volume").alias("n"), *map(weighed, ("volume", "turn", "heat", "mix")))
 
 
-@query("d05_split_samples", f"WITH {IDS} SELECT code, date, 'train' AS split FROM ids WHERE date <= DATE '1996-06-15' UNION ALL SELECT code, date, 'validation' FROM ids WHERE date >= DATE '1996-06-15' AND date <= DATE '1996-12-01'")
+# a weekend's end: the validation goes on to the next trading day
+@query("d05_split_samples", f"WITH {IDS}, n AS (SELECT min(date) AS e FROM calendar WHERE date > DATE '1996-11-30') SELECT code, date, 'train' AS split FROM ids WHERE date <= DATE '1996-06-15' UNION ALL SELECT code, date, 'validation' FROM ids, n WHERE date >= DATE '1996-06-15' AND date <= e")
 def _(v: Inputs):
-    return s.split_samples(_ids(v), "1996-01-01", "1996-06-15", "1996-12-01")
+    return s.split_samples(_ids(v), "1996-01-01", "1996-06-15", "1996-11-30", v.calendar)
+
+
+@query("d05_train_and_validation", """WITH x AS (SELECT code, date, row_number() OVER (PARTITION BY code ORDER BY date) AS n FROM bars), n AS (SELECT min(date) AS e FROM calendar WHERE date > DATE '1996-11-30')
+SELECT code, date, 'train' AS split FROM x WHERE n >= 27 AND date BETWEEN DATE '1995-01-01' AND DATE '1996-06-15' UNION ALL SELECT code, date, 'validation' FROM x, n WHERE x.n >= 30 AND date > DATE '1996-06-15' AND date <= e""")
+def _(v: Inputs):
+    return s.train_and_validation(v.bars, 25, 5, "1995-01-01", "1996-06-15", "1996-11-30", v.calendar, train_horizon=2, exclusive=True).select("code", "date", "split")
 
 
 @query("d06_epoch_order")
@@ -80,7 +92,9 @@ def _(v: Inputs):
     return s.feature_view(v.bars, "1996-01-01", "1996-03-31", ["volume", "none"]).withColumn("volume", F.round("volume", 6))
 
 
-@query("j01_lookup_with_default", "WITH s AS (SELECT code, date, trade_date_idx % 10 AS x FROM bars WHERE trade_date_idx % 3 = 0) SELECT b.code, b.date, coalesce(CAST(x AS DOUBLE), 0.5) AS x FROM bars b LEFT JOIN s ON b.code = s.code AND b.date = s.date")
+# a key has up to three side rows, of which that with the smallest theme counts
+@query("j01_lookup_with_default", "WITH s AS (SELECT code, date, trade_date_idx % 10 + k * 100 AS x, (code_idx + k * 2) % 3 AS theme FROM bars, range(3) r(k) WHERE trade_date_idx % 3 = 0), o AS (SELECT code, date, min_by(x, theme) AS x, min(theme) AS theme FROM s GROUP BY ALL) SELECT b.code, b.date, coalesce(CAST(x AS DOUBLE), 0.5) AS x, coalesce(CAST(theme AS DOUBLE), 0.5) AS theme FROM bars b LEFT JOIN o ON b.code = o.code AND b.date = o.date")
 def _(v: Inputs):
-    side = v.bars.where("trade_date_idx % 3 = 0").select("code", "date", (F.col("trade_date_idx") % 10).cast("double").alias("x"))
-    return s.lookup_with_default(v.bars.select("code", "date"), side, ["code", "date"], 0.5)
+    side = v.bars.where("trade_date_idx % 3 = 0").select("*", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k"))
+    side = side.select("code", "date", (F.col("trade_date_idx") % 10 + F.col("k") * 100).cast("double").alias("x"), ((F.col("code_idx") + F.col("k") * 2) % 3).cast("double").alias("theme"))
+    return s.lookup_with_default(v.bars.select("code", "date"), side, ["code", "date"], 0.5, ["theme"])
