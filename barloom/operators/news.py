@@ -56,6 +56,10 @@ def news_features(items: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def features_of_counts(counts: DataFrame) -> DataFrame:
-    """Scaled features of sessions' mention counts, as counted in a batch or by the stream."""
-    d = novelty(sum3(counts))
+    """Scaled features of sessions' mention counts."""
+    return scaled_features(novelty(sum3(counts)))
+
+
+def scaled_features(d: DataFrame) -> DataFrame:
+    """Counts with n_3d and novel, worked out by a batch or kept by the stream, in the units of the features."""
     return d.select("date", "code", log_scale(F.col("n_em"), 20).alias("nw_em"), log_scale(F.col("n_cls"), 20).alias("nw_cls"), log_scale(F.col("n_near"), 10).alias("nw_near"), decay(F.col("latest")).alias("nw_rec"), log_scale(F.col("n_3d"), 50).alias("nw_3d"), F.col("novel").alias("nw_nov"))

@@ -32,7 +32,14 @@ def first_last(df: DataFrame, value: str = "close") -> DataFrame:
 
 
 def recent_adjusted_closes(df: DataFrame, n: int = 130) -> DataFrame:
-    return last_n(adjust_qfq(df), n).select("code", "date", "close")
+    """The last n adjusted closes of each code.
+
+    A row's factor depends on later ratios only, and a ratio on the traded close before it. So rows are cut first, to those from the code's
+    (n + 1)-th last traded one on (all, if there are fewer), and only these are adjusted. The cut rows of a store, ``Store.tail(n + 1)`` of traded rows, give the same.
+    """
+    later = F.count_if(F.col("tradestatus") == 1).over(Window.partitionBy("code").orderBy(F.desc("date")).rowsBetween(Window.unboundedPreceding, -1))
+    cut = df.select("code", "date", "open", "high", "low", "close", "preclose", "tradestatus", later.alias("_later")).where(F.col("_later") <= n).drop("_later")
+    return last_n(adjust_qfq(cut), n).select("code", "date", "close")
 
 
 def security_view(bars: DataFrame, limits: DataFrame, code: str, n: int, end: str | None = None) -> DataFrame:

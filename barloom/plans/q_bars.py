@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..operators import bars as b
 from ..operators import rows
+from ..sources.store import Store
 from .harness import Inputs, query
 
 
@@ -51,6 +52,15 @@ def _(v: Inputs):
     return rows.recent_adjusted_closes(v.bars).select("code", "date", F.round(F.col("close") + 3e-9, 6).alias("close"))
 
 
+# all bars go into a store once; the tail is read from the parts that hold it
+@query("t05_stored_tail", f"WITH {QFQ}, r AS (SELECT code, date, close * factor AS close, row_number() OVER (PARTITION BY code ORDER BY date DESC) AS i FROM adj) SELECT code, date, round(close + 3e-9, 6) AS close FROM r WHERE i <= 130")
+def _(v: Inputs):
+    cols = ["open", "high", "low", "close", "preclose"]
+    store = Store(v.spark, v.scratch("store"), f"code string, date date, {', '.join(c + ' double' for c in cols)}, tradestatus int", counted="tradestatus = 1")
+    store.change(append=v.bars)
+    return rows.recent_adjusted_closes(store.tail(131)).select("code", "date", F.round(F.col("close") + 3e-9, 6).alias("close"))
+
+
 @query("t06_security_view", "WITH r AS (SELECT *, row_number() OVER (ORDER BY date DESC) AS i FROM bars WHERE code = 'sh.600005') SELECT date, code, round(close, 9) AS close, CAST(CASE WHEN pctChg >= 30 THEN 1 ELSE 0 END AS INT) AS limit_up, CAST(CASE WHEN pctChg <= -30 THEN 1 ELSE 0 END AS INT) AS limit_down FROM r WHERE i <= 60")
 def _(v: Inputs):
     bars = v.bars

@@ -213,14 +213,14 @@ def _(v: Inputs):
 
 
 # the stream ends with sessions still open: what is final is all but the last
-@query("i15_stream", f"WITH {SEC}, f AS (SELECT *, CAST(sum(n_em + n_cls) OVER (PARTITION BY code ORDER BY tdi RANGE BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS n_3d FROM c WHERE date < (SELECT max(date) FROM c)) SELECT date, code, round(ln(1 + n_em) / ln(21), 6) AS nw_em, round(ln(1 + n_near) / ln(11), 6) AS nw_near, round(exp(-latest / 240), 6) AS nw_rec, round(ln(1 + n_3d) / ln(51), 6) AS nw_3d FROM f")
+@query("i15_stream", f"WITH {SEC}, f AS (SELECT *, CAST(sum(n_em + n_cls) OVER (PARTITION BY code ORDER BY tdi RANGE BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS n_3d, tdi - lag(tdi) OVER (PARTITION BY code ORDER BY tdi) AS away FROM c WHERE date < (SELECT max(date) FROM c)) SELECT date, code, round(ln(1 + n_em) / ln(21), 6) AS nw_em, round(ln(1 + n_near) / ln(11), 6) AS nw_near, round(exp(-latest / 240), 6) AS nw_rec, round(ln(1 + n_3d) / ln(51), 6) AS nw_3d, CAST(CASE WHEN coalesce(away, 99) > 5 THEN 1 ELSE 0 END AS INT) AS nw_nov FROM f")
 def _(v: Inputs):
     path = v.scratch("news")
     items = v.news.select(F.date_trunc("second", F.col("ts").cast("timestamp")).alias("ts"), "code", "feed")
     items.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(path)
     stream = streams.read_batches(v.spark, path, "ts timestamp, code long, feed string", files=64)
-    counts = streams.drain(streams.session_counts(stream, v.keep(_calendar(v), "calendar"), "1 minute"), v.scratch("session-counts"))
-    return news.features_of_counts(counts).select("date", "code", *[F.round(c, 6).alias(c) for c in ("nw_em", "nw_near", "nw_rec", "nw_3d")])
+    features = streams.drain(streams.session_features(stream, v.keep(_calendar(v), "calendar"), "1 minute"), v.scratch("session-features"))
+    return news.scaled_features(features).select("date", "code", *[F.round(c, 6).alias(c) for c in ("nw_em", "nw_near", "nw_rec", "nw_3d")], "nw_nov")
 
 
 SUBJECTS = "SELECT CAST(p_partkey % 30 AS INT) AS day, p_type AS subject FROM part"

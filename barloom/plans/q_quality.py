@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import quality as q
+from ..sources.store import Store, merge_batches, sync
+from ..streaming import streams
 from .harness import Inputs, query
 
 
@@ -31,6 +33,28 @@ def _(v: Inputs):
     return q.upsert_last_wins(old, new, ["id"], "ts").select("id", "ts", F.round("value", 6).alias("value"))
 
 
+def _merged_stream(v: Inputs, name: str, merge, first_wins: bool):
+    """Both batches land one after the other; the stream merges each into the store."""
+    path, checkpoint = v.scratch("landing"), v.scratch("checkpoint")
+    store = Store(v.spark, v.scratch("store"), "id long, ts timestamp, value double", key="id", day="ts", buckets=8)
+    each = merge_batches(store, name, merge, first_wins)
+    for batch in (1, 2):
+        v.landing.where(f"batch = {batch}").select("id", F.col("ts").cast("timestamp").alias("ts"), "value").write.parquet(f"{path}/batch={batch}")
+        stream = streams.read_batches(v.spark, f"{path}/batch=*", "id long, ts timestamp, value double", files=64)
+        stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return store.read().select("id", F.round("value", 6).alias("value"))
+
+
+@query("s12_stream_first_wins", "SELECT id, round(value, 6) AS value FROM landing WHERE batch = 1 UNION ALL SELECT id, round(value, 6) FROM landing WHERE batch = 2 AND id NOT IN (SELECT id FROM landing WHERE batch = 1)")
+def _(v: Inputs):
+    return _merged_stream(v, "first", lambda old, new: q.merge_first_wins(old, new, "id", "ts"), True)
+
+
+@query("s13_stream_last_wins", "SELECT id, round(value, 6) AS value FROM landing WHERE batch = 2 UNION ALL SELECT id, round(value, 6) FROM landing WHERE batch = 1 AND id NOT IN (SELECT id FROM landing WHERE batch = 2)")
+def _(v: Inputs):
+    return _merged_stream(v, "last", lambda old, new: q.upsert_last_wins(old, new, ["id"], "ts"), False)
+
+
 @query("s14_bucket_by_day", "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM landing GROUP BY 1")
 def _(v: Inputs):
     return q.bucket_by_day(v.landing).groupBy("day").agg(F.count("*").alias("n"))
@@ -74,6 +98,23 @@ def _(v: Inputs):
     return q.drifted_codes(v.bars, stored)
 
 
+# the store has all days before 1998; of four codes one has another close on a day, one gets new days, one both and one nothing new
+DERIVED = "d AS (SELECT code, date, code_idx, CASE WHEN code_idx % 4 IN (1, 3) AND trade_date_idx % 100 = 0 THEN close + 1 ELSE close END AS close, turn FROM bars WHERE code_idx % 4 IN (1, 2) OR date < DATE '1998-01-01')"
+
+
+@query("j14_i14_sync", f"""WITH {DERIVED}, o AS (SELECT code, date, close, turn FROM bars WHERE date < DATE '1998-01-01'), l AS (SELECT code, max(date) AS last FROM o GROUP BY code),
+k AS (SELECT d.code, CASE WHEN max(last) IS NULL OR bool_or(d.close IS DISTINCT FROM o.close AND o.date IS NOT NULL) THEN 'rewrite' WHEN max(d.date) > max(last) THEN 'append' ELSE 'same' END AS kind FROM d LEFT JOIN o ON d.code = o.code AND d.date = o.date LEFT JOIN l ON d.code = l.code GROUP BY d.code)
+SELECT code, kind, count(*) AS n, round(sum(close), 4) AS close FROM d JOIN k USING (code) GROUP BY code, kind""")
+def _(v: Inputs):
+    bars = v.stored("bars")
+    store = Store(v.spark, v.scratch("store"), "code string, date date, close double, turn double")
+    store.change(append=bars.where("date < date'1998-01-01'").select("code", "date", "close", "turn"))
+    close = F.when((F.col("code_idx") % 4).isin(1, 3) & (F.col("trade_date_idx") % 100 == 0), F.col("close") + 1).otherwise(F.col("close"))
+    derived = bars.where("code_idx % 4 in (1, 2) or date < date'1998-01-01'").withColumn("close", close)
+    kinds = sync(store, derived)
+    return store.read().join(kinds, "code").groupBy("code", "kind").agg(F.count("*").alias("n"), F.round(F.sum("close"), 4).alias("close"))
+
+
 @query("a14_coverage", "SELECT round(avg(CASE WHEN pctChg > 0 THEN 1 ELSE 0 END) FILTER (pctChg IS NOT NULL), 6) AS pctChg, round(avg(CASE WHEN volume > 0 THEN 1 ELSE 0 END), 6) AS volume FROM bars")
 def _(v: Inputs):
     d = q.coverage(v.bars, ["pctChg", "volume"])
