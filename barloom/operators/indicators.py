@@ -1,12 +1,12 @@
-"""Technical indicators per code. Frames stay in Spark; only the recursions run as grouped pandas functions."""
+"""Technical indicators per code, as expressions over windows; recursions are running sums over blocks of rows."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import math
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.columns import price_limit
 
@@ -39,59 +39,98 @@ def is_new(df: DataFrame, gap: int = 30, span: int = 5, index: str = "trade_date
     return df.withColumn("is_new", flag.cast("int")).drop("_jump", "_first")
 
 
-def _per_code(df: DataFrame, order: list[str], names: list[str], compute) -> DataFrame:
-    """Columns that a recursion over a code's ordered rows yields; each code's history is one bounded group."""
-    schema = T.StructType([*df.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
+class Smooth(NamedTuple):
+    """y = keep * y before + (1 - keep) * x from the row after ``start`` (counted from 0) on; there y is ``init``, by default x."""
 
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(order, kind="stable").reset_index(drop=True)
-        for n, v in zip(names, compute(p), strict=True):
-            p[n] = v
-        return p
+    x: Column
+    keep: float
+    start: Column | int = 0
+    init: Column | None = None
 
-    return df.groupBy("code").applyInPandas(run, schema)
 
+def _blocks(df: DataFrame, order: list[str], keeps: list[float]) -> tuple[DataFrame, int]:
+    """Numbers the rows of a code and deals them into blocks so long that what was before a block is below 1e-17 of a value after the next one."""
+    size = max(math.ceil(40 / -math.log(k)) for k in keeps)
+    n = F.row_number().over(by_code(order)) - 1
+    return df.withColumn("_n", n).withColumn("_block", F.floor(F.col("_n") / size)), size
 
-def _ema(x: np.ndarray, span: int) -> np.ndarray:
-    return pd.Series(x).ewm(alpha=2 / (span + 1), adjust=False).mean().to_numpy() if len(x) else x
 
+def _smooth(df: DataFrame, order: list[str], size: int, parts: dict[str, Smooth]) -> DataFrame:
+    """The smoothings as expressions: a step is a map y -> keep * y + z, and such maps compose, within a block by one running sum.
 
-def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, order: tuple[str, ...] = ("date",)) -> DataFrame:
-    return _per_code(df, list(order), ["macd", "macd_signal", "macd_hist"], lambda p: _macd(p["close"].to_numpy(float), fast, slow, signal))
+    In a block y is keep^i times the running sum of z / keep^i, i the row's place in it, plus keep^(i + 1) times the last y of the
+    block before, of which only that block's own rows still count. From a row without a value on, y is null.
+    """
+    inside, whole = Window.partitionBy("code", "_block").orderBy(*order), Window.partitionBy("code").orderBy("_block", *order)
+    so_far, before = whole.rowsBetween(Window.unboundedPreceding, 0), whole.rowsBetween(Window.unboundedPreceding, -1)
+    i = (F.col("_n") % size).cast("double")
+    step, lost, y = {}, {}, {}
+    for name, p in parts.items():
+        start = p.start if isinstance(p.start, Column) else F.lit(p.start)
+        z = F.when(F.col("_n") == start, p.x if p.init is None else p.init).when(F.col("_n") > start, p.x * (1 - p.keep))
+        step |= {f"_z_{name}": z, f"_lost_{name}": (F.col("_n") >= start) & z.isNull(), f"_on_{name}": F.col("_n") >= start}
+    df = df.withColumns(step)
+    for name, p in parts.items():
+        lost |= {f"_sum_{name}": F.coalesce(F.sum(F.col(f"_z_{name}") / F.pow(F.lit(p.keep), i)).over(inside), F.lit(0.0)) * F.pow(F.lit(p.keep), i)}
+    df = df.withColumns(lost)
+    for name, p in parts.items():
+        end = F.last(F.when(F.col("_n") % size == size - 1, F.col(f"_sum_{name}")), True).over(before)
+        y[name] = F.when(F.col(f"_on_{name}") & (F.count_if(F.col(f"_lost_{name}")).over(so_far) == 0), F.col(f"_sum_{name}") + F.coalesce(end, F.lit(0.0)) * F.pow(F.lit(p.keep), i + 1))
+    return df.withColumns(y).drop(*[f"_{c}_{name}" for name in parts for c in ("z", "lost", "on", "sum")])
 
 
-def _macd(x: np.ndarray, fast: int, slow: int, signal: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    line = _ema(x, fast) - _ema(x, slow)
-    sig = _ema(line, signal)
-    return line, sig, line - sig
+def _ema(x: Column, span: int, before: Column | None = None) -> Smooth:
+    keep = 1 - 2 / (span + 1)
+    return Smooth(x, keep, 0, None if before is None else F.coalesce(before * keep + x * (1 - keep), x))
 
 
-def _rsi(x: np.ndarray, n: int) -> np.ndarray:
-    out = np.full(len(x), np.nan)
-    if len(x) <= n:
-        return out
-    step = np.diff(x)
-    up, down = np.maximum(step, 0), np.maximum(-step, 0)
-    u, d = up[:n].mean(), down[:n].mean()
-    for i in range(n, len(x)):
-        if i > n:
-            u, d = (u * (n - 1) + up[i - 1]) / n, (d * (n - 1) + down[i - 1]) / n
-        out[i] = 100 - 100 / (1 + u / (d if d else 1e-10))
-    return out
+def _macd_parts(fast: int, slow: int, before: str | None = None) -> dict[str, Smooth]:
+    at = (lambda c: F.col(f"_before.{c}")) if before else lambda c: None
+    return {"_fast": _ema(F.col("close"), fast, at("ema_fast")), "_slow": _ema(F.col("close"), slow, at("ema_slow"))}
 
 
-def rsi(df: DataFrame, n: int = 14, order: tuple[str, ...] = ("date",), name: str = "rsi") -> DataFrame:
-    return _per_code(df, list(order), [name], lambda p: (_rsi(p["close"].to_numpy(float), n),))
+def _keeps(*spans: int) -> list[float]:
+    return [1 - 2 / (s + 1) for s in spans]
+
+
+def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, order: tuple[str, ...] = ("date",), state: DataFrame | None = None, with_state: bool = False) -> DataFrame:
+    """macd, macd_signal and macd_hist. ``with_state`` adds ema_fast and ema_slow; a code's last row of these and macd_signal is what ``state`` (code,
+    ema_fast, ema_slow, macd_signal) continues from, so that only new rows have to be read."""
+    order = list(order)
+    if state is not None:
+        df = df.join(state.select("code", F.struct("ema_fast", "ema_slow", "macd_signal").alias("_before")), "code", "left")
+    d, size = _blocks(df, order, _keeps(fast, slow, signal))
+    d = _smooth(d, order, size, _macd_parts(fast, slow, None if state is None else "_before")).withColumn("macd", F.col("_fast") - F.col("_slow"))
+    d = _smooth(d, order, size, {"macd_signal": _ema(F.col("macd"), signal, None if state is None else F.col("_before.macd_signal"))})
+    d = d.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+    if with_state:
+        d = d.withColumns({"ema_fast": F.col("_fast"), "ema_slow": F.col("_slow")})
+    return d.drop("_fast", "_slow", "_n", "_block", "_before")
+
+
+def _rsi_parts(n: int) -> dict[str, Smooth]:
+    """Mean rise and fall: over the first n steps, then smoothed. Needs the columns of _with_steps."""
+    return {c: Smooth(F.col(f"_step{c}"), (n - 1) / n, n, F.col(f"_mean{c}")) for c in ("_up", "_down")}
+
+
+def _with_steps(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    move = F.col("close") - F.lag("close").over(by_code(order))
+    df = df.withColumns({"_step_up": F.when(move.isNotNull(), F.greatest(move, F.lit(0.0))), "_step_down": F.when(move.isNotNull(), F.greatest(-move, F.lit(0.0)))})
+    first = by_code(order).rowsBetween(-(n - 1), 0)
+    return df.withColumns({f"_mean{c}": F.when(F.count(f"_step{c}").over(first) == n, F.avg(f"_step{c}").over(first)) for c in ("_up", "_down")})
+
 
+def _strength() -> Column:
+    return 100 - 100 / (1 + F.col("_up") / F.when(F.col("_down") == 0, 1e-10).otherwise(F.col("_down")))
 
-def _kdj(r: np.ndarray, n: int, m1: int, m2: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    k, d = np.full(len(r), np.nan), np.full(len(r), np.nan)
-    if len(r) >= n:
-        k[n - 1] = d[n - 1] = 50
-    for i in range(n, len(r)):
-        k[i] = (m1 - 1) / m1 * k[i - 1] + r[i] / m1
-        d[i] = (m2 - 1) / m2 * d[i - 1] + k[i] / m2
-    return k, d, 3 * k - 2 * d
+
+_STEPS = ("_step_up", "_step_down", "_mean_up", "_mean_down", "_up", "_down")
+
+
+def rsi(df: DataFrame, n: int = 14, order: tuple[str, ...] = ("date",), name: str = "rsi") -> DataFrame:
+    order = list(order)
+    d, size = _blocks(_with_steps(df, n, order), order, [(n - 1) / n])
+    return _smooth(d, order, size, _rsi_parts(n)).withColumn(name, _strength()).drop(*_STEPS, "_n", "_block")
 
 
 def _position(n: int, order: list[str]) -> Column:
@@ -100,31 +139,36 @@ def _position(n: int, order: list[str]) -> Column:
     return F.when(hi == lo, 50.0).otherwise((F.col("close") - lo) / F.nullif(hi - lo, F.lit(0.0)) * 100)
 
 
-def kdj(df: DataFrame, n: int = 9, m1: int = 3, m2: int = 3, order: tuple[str, ...] = ("date",)) -> DataFrame:
-    """The n-row position comes from window frames; only the two smoothings recur."""
-    df = df.withColumn("rsv", _position(n, list(order)))
+def _kdj_part(x: str, n: int, m: int) -> Smooth:
+    return Smooth(F.col(x), (m - 1) / m, n - 1, F.lit(50.0))
 
-    return _per_code(df, list(order), ["k", "d", "j"], lambda p: _kdj(p["rsv"].to_numpy(float), n, m1, m2)).drop("rsv")
+
+def kdj(df: DataFrame, n: int = 9, m1: int = 3, m2: int = 3, order: tuple[str, ...] = ("date",)) -> DataFrame:
+    """The n-row position comes from window frames, K smooths it and D smooths K."""
+    order = list(order)
+    d, size = _blocks(df.withColumn("_rsv", _position(n, order)), order, [(m1 - 1) / m1, (m2 - 1) / m2])
+    d = _smooth(_smooth(d, order, size, {"k": _kdj_part("_rsv", n, m1)}), order, size, {"d": _kdj_part("k", n, m2)})
+    return d.withColumn("j", 3 * F.col("k") - 2 * F.col("d")).drop("_rsv", "_n", "_block")
 
 
 def daily_features(bars: DataFrame) -> DataFrame:
-    """All technical columns of a code-day: frames in Spark, then the three recursions in one grouped call."""
+    """All technical columns of a code-day: frames first, then what recurs, in two steps of running sums over blocks that all share."""
     df = is_new(bars)
     df = df.withColumn("price_limit", price_limit(F.col("code"), F.col("isST"), F.col("is_new")))
-    df = bollinger(sma(df)).withColumn("rsv", _position(9, ["date"]))
-
-    def compute(p: pd.DataFrame):
-        x = p["close"].to_numpy(float)
-        return *_macd(x, 12, 26, 9), _rsi(x, 14), *_kdj(p["rsv"].to_numpy(float), 9, 3, 3)
-
-    return _per_code(df, ["date"], ["macd", "macd_signal", "macd_hist", "rsi", "k", "d", "j"], compute).drop("rsv")
+    df = bollinger(sma(df)).withColumn("_rsv", _position(9, ["date"]))
+    d, size = _blocks(_with_steps(df, 14, ["date"]), ["date"], [*_keeps(12, 26, 9), 13 / 14, 2 / 3])
+    d = _smooth(d, ["date"], size, _macd_parts(12, 26) | _rsi_parts(14) | {"k": _kdj_part("_rsv", 9, 3)}).withColumns({"macd": F.col("_fast") - F.col("_slow"), "rsi": _strength()})
+    d = _smooth(d, ["date"], size, {"macd_signal": _ema(F.col("macd"), 9), "d": _kdj_part("k", 9, 3)})
+    return d.withColumns({"macd_hist": F.col("macd") - F.col("macd_signal"), "j": 3 * F.col("k") - 2 * F.col("d")}).drop(*_STEPS, "_rsv", "_fast", "_slow", "_n", "_block")
 
 
 def m15_features(m15: DataFrame) -> DataFrame:
-    """RSI and KDJ over a code's intraday bars in order, running on across days; one grouped call."""
+    """RSI and KDJ over a code's intraday bars in order, running on across days."""
     order = ["date", "slot"]
-    df = m15.withColumn("rsv", _position(9, order))
-    return _per_code(df, order, ["rsi", "k", "d", "j"], lambda p: (_rsi(p["close"].to_numpy(float), 14), *_kdj(p["rsv"].to_numpy(float), 9, 3, 3))).drop("rsv")
+    d, size = _blocks(_with_steps(m15.withColumn("_rsv", _position(9, order)), 14, order), order, [13 / 14, 2 / 3])
+    d = _smooth(d, order, size, _rsi_parts(14) | {"k": _kdj_part("_rsv", 9, 3)}).withColumn("rsi", _strength())
+    d = _smooth(d, order, size, {"d": _kdj_part("k", 9, 3)})
+    return d.withColumn("j", 3 * F.col("k") - 2 * F.col("d")).drop(*_STEPS, "_rsv", "_n", "_block")
 
 
 def pivot_m15(m15: DataFrame, slots: list[int], fields: list[str]) -> DataFrame:
