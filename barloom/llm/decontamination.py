@@ -7,7 +7,7 @@ Index: postings (term, document, position) of training tokens, written once, for
 slot: a term with many postings has several, and the phrases that start from it go to each, so no task holds all postings of a term.
 
 Search: the list of a phrase's rarest term, each position less the term's offset in the phrase, gives possible starts; each further list, less its own
-offset, is intersected with them on (document, term, position), rarest first. What is left is held against all words of the document, so
+offset, is intersected with them on (document, term, position), rarest first. Each list more is longer than those before, so two are the default. What is left is held against all words of the document, so
 matches are exact. Proximity matches meet the further lists within ``slop`` words of the expected places instead; both sides are dealt
 into bins of positions, so a list of a long document is not paired with itself as a whole.
 
@@ -16,8 +16,8 @@ meeting each other; a null doc_id is a value like others; an item is its item_id
 item; other columns, whatever their names, are not read. No hit: the digest is that of an empty list.
 
 Sizes: terms of the items are sent to all tasks only where their number and bytes are below MOST_TERMS and MOST_BYTES, which is counted; beyond
-that tokens are joined by a shuffle, counts of them pre-aggregated. A document's own candidates meet in one row: four lists agree on few starts that are
-not matches, so there are about as many as it has words.
+that tokens are joined by a shuffle, counts of them pre-aggregated. A document's own candidates meet in one row: lists agree on few starts that are not
+matches, so there are about as many as it has words.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ WORD, SEPARATOR = f"[^{_SEPARATORS}]+", f"[{_SEPARATORS}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Terms that are broadcast at most; more are joined by a shuffle.
 MOST_TERMS, MOST_BYTES = 500_000, 16 << 20
+#: Documents with possible starts, two numbers each, that are broadcast at most to pick their texts; with more, all texts are shuffled.
+MOST_KEYS = 300_000
 #: Postings of a term in one slot.
 SLOT = 50_000
 
@@ -137,7 +139,10 @@ def near_starts(index: DataFrame, plan: DataFrame, lists: int, slop: int) -> Dat
 def _verified(docs: DataFrame, starts: DataFrame) -> DataFrame:
     """(doc, key, n_hit, phrases) of documents with exact matches: starts held against all words."""
     held = materialize(starts.groupBy("doc", "key").agg(F.collect_set(F.struct("start", "phrase")).alias("found")), "possible-starts")
-    rows = _keyed(docs, F.col("text")).join(held, ["doc", "key"]).select("doc", "key", words().alias("w"), "found")
+    keys = held.select("doc", "key")
+    # few documents are possible as a rule: then only their texts are shuffled
+    rows = _keyed(docs, F.col("text")).join(F.broadcast(keys) if held.count() <= MOST_KEYS else keys, ["doc", "key"], "left_semi")
+    rows = rows.join(held, ["doc", "key"]).select("doc", "key", words().alias("w"), "found")
     length = lambda c: F.size(F.split(c["phrase"], " "))
     exact = F.filter("found", lambda c: F.array_join(F.slice("w", c["start"] + 1, length(c)), " ") == c["phrase"])
     rows = rows.select("doc", "key", exact.alias("found"))
@@ -152,7 +157,7 @@ def _items_of(found: DataFrame, texts: DataFrame) -> DataFrame:
     return found.distinct().join(texts, "phrase").groupBy("doc", "key").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
-def matched(docs: DataFrame, items: DataFrame, width: int = 10, lists: int = 4, slop: int = 2) -> DataFrame:
+def matched(docs: DataFrame, items: DataFrame, width: int = 10, lists: int = 2, slop: int = 2) -> DataFrame:
     """(doc, key, n_hit, items, near_items) of documents with a match; n_hit and items are null where no match is exact."""
     texts = materialize(phrases(items, width), "phrases")
     plan = materialize(plans(texts, docs, lists), "search-plan")
