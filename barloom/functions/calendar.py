@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .columns import bare_code
@@ -32,11 +32,36 @@ def idx_to_date(df: DataFrame, calendar: DataFrame) -> DataFrame:
     return df.join(F.broadcast(calendar.select("tdi", F.col("date").alias("day"))), "tdi", "left")
 
 
+def _positions(calendar: DataFrame) -> DataFrame:
+    """(day, pos): for each day of the year from the first trading day to the last how many trading days lie at or before it."""
+    order = Window.orderBy("date")  # a row for each trading day
+    c = calendar.select("date", F.row_number().over(order).alias("pos"), F.lead("date").over(order).alias("_next"))
+    return c.select(F.explode(F.sequence("date", F.coalesce(F.date_sub("_next", 1), F.col("date")))).alias("day"), "pos")
+
+
+def with_positions(df: DataFrame, calendar: DataFrame, **at: Column) -> DataFrame:
+    """For each date in ``at`` a column with the number of trading days at or before it, by a join on equal days."""
+    days = _positions(calendar)
+    ends = calendar.agg(F.min("date").alias("lo"), F.max("date").alias("hi"), F.count("*").alias("n"))
+    lo, hi, n = (ends.select(c).scalar() for c in ("lo", "hi", "n"))
+    for name, date in at.items():
+        d = days.select(F.col("day").alias("_day"), F.col("pos").alias("_pos"))
+        df = df.withColumn("_at", date).join(F.broadcast(d), F.col("_at") == F.col("_day"), "left")
+        df = df.withColumn(name, F.when(F.col("_at") < lo, 0).when(F.col("_at") >= hi, n).otherwise(F.col("_pos")).cast("long")).drop("_at", "_day", "_pos")
+    return df
+
+
+def days_between(df: DataFrame, calendar: DataFrame, lo: Column, hi: Column) -> DataFrame:
+    """The rows once for each trading day in [lo, hi], as ``date``: positions are laid out as a sequence, so the calendar is met on equal ones."""
+    d = with_positions(df, calendar, _before=F.date_sub(lo, 1), _upto=hi).where("_upto > _before")
+    d = d.withColumn("_pos", F.explode(F.sequence(F.col("_before") + 1, F.col("_upto")))).drop("_before", "_upto")
+    ranks = calendar.select("date", F.row_number().over(Window.orderBy("date")).cast("long").alias("_rank"))
+    return d.join(F.broadcast(ranks), F.col("_pos") == F.col("_rank")).drop("_pos", "_rank")
+
+
 def bisect_idx(df: DataFrame, calendar: DataFrame) -> DataFrame:
-    """How many trading days lie at or before each row's date, looked up once per distinct date."""
-    days = df.select("date").distinct()
-    n = days.join(F.broadcast(calendar.select(F.col("date").alias("_c"))), F.col("_c") <= F.col("date"), "left").groupBy("date").agg(F.count("_c").alias("pos"))
-    return df.join(n, "date", "left")
+    """How many trading days lie at or before each row's date."""
+    return with_positions(df, calendar, pos=F.col("date"))
 
 
 def intervals(calendar: DataFrame, close: str = "15:00:00") -> DataFrame:
@@ -81,7 +106,6 @@ def to_session(df: DataFrame, calendar: DataFrame, ts: str = "ts") -> DataFrame:
 
 def prev_session(df: DataFrame, calendar: DataFrame) -> DataFrame:
     """The last trading day strictly before each date; dates before the calendar drop."""
-    days = df.select("date").distinct()
-    c = calendar.select(F.col("date").alias("_c"), F.col("tdi").alias("_t"))
-    p = days.join(F.broadcast(c), F.col("_c") < F.col("date")).groupBy("date").agg(F.max("_c").alias("prev_date"), F.max("_t").alias("prev_tdi"))
-    return df.join(p, "date")
+    d = with_positions(df, calendar, _before=F.date_sub("date", 1))
+    c = calendar.select(F.col("date").alias("prev_date"), F.col("tdi").alias("prev_tdi"), F.row_number().over(Window.orderBy("date")).cast("long").alias("_rank"))
+    return d.join(F.broadcast(c), F.col("_before") == F.col("_rank")).drop("_before", "_rank")

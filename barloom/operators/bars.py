@@ -7,6 +7,7 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.calendar import days_between
 from ..functions.columns import is_st_name
 
 
@@ -56,8 +57,13 @@ def reference_price(bars: DataFrame, actions: DataFrame) -> DataFrame:
     traded = F.col("tradestatus") == 1
     df = bars.withColumn("base", F.last(F.when(traded, F.col("close")), True).over(before)).withColumn("since", F.last(F.when(traded, F.col("date")), True).over(before))
     df = df.withColumn("base", F.coalesce("base", "preclose")).withColumn("since", F.coalesce("since", F.date_sub("date", 1)))
-    a = action_sums(actions).select(F.col("code").alias("a_code"), "ex_date", "d", "b", "r", "rp")
-    hit = df.where(traded).join(a, (F.col("code") == F.col("a_code")) & (F.col("ex_date") > F.col("since")) & (F.col("ex_date") <= F.col("date")))
+    # an action counts on the first traded day at or after its ex-day: both sorted together, latest first, a traded day ahead of the actions of that day
+    a = action_sums(actions).select("code", F.col("ex_date").alias("date"), F.lit(1).alias("kind"), F.struct("d", "b", "r", "rp").alias("a"))
+    both = a.unionByName(df.where(traded).select("code", "date", F.lit(0).alias("kind")), allowMissingColumns=True)
+    latest = Window.partitionBy("code").orderBy(F.desc("date"), "kind").rowsBetween(Window.unboundedPreceding, 0)
+    met = both.withColumn("_on", F.last(F.when(F.col("kind") == 0, F.col("date")), True).over(latest)).where("kind = 1 and _on is not null")
+    met = met.select(F.col("code").alias("a_code"), "_on", F.col("date").alias("ex_date"), "a.*")
+    hit = df.where(traded).join(met, (F.col("code") == F.col("a_code")) & (F.col("date") == F.col("_on"))).where(F.col("ex_date") > F.col("since"))
     factor = (F.col("base") - F.col("d") + F.col("rp")) / (1 + F.col("b") + F.col("r")) / F.col("base")
     base, d, b, r, rp = (F.col(c).cast(f"decimal({p},{s})") for c, p, s in (("base", 20, 9), ("d", 18, 9), ("b", 12, 9), ("r", 12, 9), ("rp", 18, 9)))
     one = F.try_divide(base - d + rp, F.lit(1).cast("decimal(12,9)") + b + r).cast("double")
@@ -102,7 +108,7 @@ def densify(bars: DataFrame, calendar: DataFrame, master: DataFrame, target: str
     """A row for every code and trading day from its first row or listing to the target, delisting or calendar end; rows beyond stay.
 
     ``master``: code, list_date, delist_date and, if known, list_status: delisted (D) and paused (P) codes without a date end with their
-    last traded row. A code without a master row counts as listed. The calendar is small and joins by range within each code.
+    last traded row. A code without a master row counts as listed. The days of each code are laid out from its position in the calendar.
     """
     status = F.col("list_status") if "list_status" in master.columns else F.lit("L")
     master = master.select("code", "list_date", "delist_date", F.coalesce(status, F.lit("L")).alias("list_status"))
@@ -113,7 +119,7 @@ def densify(bars: DataFrame, calendar: DataFrame, master: DataFrame, target: str
     codes = span.join(master, "code", "left").withColumn("list_status", F.coalesce("list_status", F.lit("L")))
     codes = codes.select("code", "last", F.least("first", F.coalesce("list_date", "first")).alias("lo"), end.alias("hi"))
     codes = codes.withColumn("hi", F.when(F.col("hi") < F.col("lo"), F.col("last")).otherwise(F.col("hi")))
-    days = codes.join(F.broadcast(calendar.select("date")), (F.col("date") >= F.col("lo")) & (F.col("date") <= F.col("hi"))).select("code", "date")
+    days = days_between(codes, calendar, F.col("lo"), F.col("hi")).select("code", "date")
     out = days.join(bars, ["code", "date"], "full")
     out = out.withColumn("tradestatus", F.coalesce("tradestatus", F.lit(0))).withColumn("volume", F.coalesce("volume", F.lit(0)))
     return normalise_idle(carry_prices(out))

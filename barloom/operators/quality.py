@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.calendar import days_between
+
 
 def merge_first_wins(old: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
     """Existing rows stay; of new ones the first per key is added."""
@@ -40,7 +44,7 @@ def absent_keys(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
 
 def gaps(bars: DataFrame, calendar: DataFrame, span: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """Trading days in a code's [lo, hi] without a bar, less the ledger of known unavailable ones."""
-    due = span.join(F.broadcast(calendar.select("date")), (F.col("date") >= F.col("lo")) & (F.col("date") <= F.col("hi"))).select("code", "date")
+    due = days_between(span, calendar, F.col("lo"), F.col("hi")).select("code", "date")
     out = due.join(bars.select("code", "date").distinct(), ["code", "date"], "left_anti")
     return out.join(ledger.select("code", "date"), ["code", "date"], "left_anti") if ledger is not None else out
 
@@ -89,19 +93,22 @@ def correlations(df: DataFrame, cols: list[str], least: float = 0.7, days: int |
     return one.select(F.explode(rows).alias("p")).select("p.*").where(F.abs("r") > least)
 
 
-def gap_segments(missing: DataFrame, span: int = 60) -> DataFrame:
-    """(code, tdi) gaps packed greedily into segments shorter than ``span`` trading days; a fold over each code's ordered gaps."""
-    g = missing.groupBy("code").agg(F.sort_array(F.collect_set("tdi")).alias("g"))
-    kind = "array<struct<lo:int,hi:int>>"
+def _segments(table: pa.Table, span: int) -> pa.Table:
+    """Each segment's first gap points to the next one's by a search in the ordered gaps."""
+    gaps = np.unique(table.column("tdi").to_numpy())
+    nxt = np.searchsorted(gaps, gaps + span)
+    lo, at = [], 0
+    while at < len(gaps):
+        lo.append(at)
+        at = nxt[at]
+    hi = np.append(lo[1:], len(gaps)).astype(int) - 1
+    code = table.column("code").slice(0, 1).combine_chunks()
+    return pa.table({"code": pa.concat_arrays([code] * len(lo)), "lo": gaps[lo].astype(np.int32), "hi": gaps[hi].astype(np.int32)})
 
-    def step(acc, x):
-        last = F.element_at(acc, -1)
-        fits = (F.size(acc) > 0) & (x - F.try_element_at(acc, F.lit(-1))["lo"] < span)
-        grown = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(F.try_element_at(acc, F.lit(-1))["lo"].alias("lo"), x.alias("hi"))))
-        del last
-        return F.when(fits, grown).otherwise(F.concat(acc, F.array(F.struct(x.alias("lo"), x.alias("hi"))))).cast(kind)
 
-    return g.select("code", F.explode(F.aggregate("g", F.array().cast(kind), step)).alias("s")).select("code", "s.lo", "s.hi")
+def gap_segments(missing: DataFrame, span: int = 60) -> DataFrame:
+    """(code, tdi) gaps packed greedily into segments shorter than ``span`` trading days; a code's gaps, which the calendar bounds, at a time."""
+    return missing.select("code", F.col("tdi").cast("int").alias("tdi")).where("tdi is not null").groupBy("code").applyInArrow(lambda t: _segments(t, span), f"code {missing.schema['code'].dataType.simpleString()}, lo int, hi int")
 
 
 def commit_ledger(old: DataFrame, new: DataFrame, most_dates: int = 1800, most_codes: int | None = 120) -> DataFrame:
@@ -143,7 +150,7 @@ def append_or_rewrite(stored: DataFrame) -> DataFrame:
 def fills_tail(stored: DataFrame, new: DataFrame, calendar: DataFrame, target: str) -> DataFrame:
     """Per code with new rows whether these are exactly the trading days after its last stored one up to the target, all traded."""
     last = stored.groupBy("code").agg(F.max("date").alias("_last"))
-    due = last.join(F.broadcast(calendar.select("date")), (F.col("date") > F.col("_last")) & (F.col("date") <= F.to_date(F.lit(target)))).select("code", "date", F.lit(True).alias("_due"))
+    due = days_between(last, calendar, F.date_add("_last", 1), F.when(F.col("_last").isNotNull(), F.to_date(F.lit(target)))).select("code", "date", F.lit(True).alias("_due"))
     real = F.coalesce((F.col("volume") > 0) & (F.col("close") > 0), F.lit(False))
     have = new.groupBy("code", "date").agg(F.bool_and(real).alias("_real"), F.count("*").alias("_n"))
     both = due.join(have, ["code", "date"], "full").join(new.select("code").distinct(), "code", "left_semi")

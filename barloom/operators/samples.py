@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import functools
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,18 +68,37 @@ def tail_samples(df: DataFrame, bad: str, length: int, lo_tdi: int, hi_tdi: int)
     return d.where((F.col("trade_date_idx") >= lo_tdi) & (F.col("trade_date_idx") < hi_tdi))
 
 
+def _windows(rows: pa.Table, ids: pa.Table, cols: list[str], length: int) -> pa.Table:
+    """Slices of a code's ordered rows that end on the days asked for."""
+    day = np.asarray(rows.column("date").cast(pa.int32()))
+    order = np.argsort(day, kind="stable")
+    asked = np.unique(np.asarray(ids.column("date").cast(pa.int32())))
+    at = np.flatnonzero(np.isin(day[order], asked)) if len(day) else np.empty(0, int)
+    begin = np.maximum(at - length + 1, 0)
+    sizes = at + 1 - begin
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    places = order[np.arange(ends[-1]) + np.repeat(begin - ends[:-1], sizes)] if len(at) else np.empty(0, int)
+    out = {"code": rows.column("code").take(pa.array(order[at])), "date": rows.column("date").take(pa.array(order[at]))}
+    for c in cols:
+        values = np.asarray(rows.column(c).combine_chunks().cast(pa.float64()))
+        out[c] = pa.ListArray.from_arrays(pa.array(ends), pa.array(values[places]))
+    return pa.table(out)
+
+
 def materialise(ids: DataFrame, daily: DataFrame, length: int, cols: list[str], sides: tuple[tuple[DataFrame, tuple[str, ...], float], ...] = ()) -> DataFrame:
     """One array per column of the window's rows in order; non-finite values become 0, unknown columns are ignored.
 
-    ``sides``: further tables with their keys and the value of rows they lack; their columns are joined to the daily rows first.
+    ``sides``: further tables with their keys and the value of rows they lack; their columns are joined to the daily rows first. A code's rows,
+    which the calendar bounds, meet its ids in one call, and only the windows asked for are made; codes without an id do not travel.
     """
+    ids = ids.select("code", "date").distinct()
+    daily = daily.join(ids.select("code").distinct(), "code", "left_semi")
     for side, keys, default in sides:
         daily = lookup_with_default(daily, side.select(*keys, *[c for c in cols if c in side.columns and c not in daily.columns]), list(keys), default)
     cols = [c for c in cols if c in daily.columns]
-    w = Window.partitionBy("code").orderBy("date").rowsBetween(-(length - 1), 0)
-    d = daily.select("code", "date", *[null_to_zero(F.col(c)).alias(c) for c in cols])
-    d = d.select("code", "date", *[F.collect_list(c).over(w).alias(c) for c in cols])
-    return d.join(ids.select("code", "date").distinct(), ["code", "date"], "left_semi")
+    d = daily.select("code", "date", *[null_to_zero(F.col(c).cast("double")).alias(c) for c in cols])
+    schema = f"code {d.schema['code'].dataType.simpleString()}, date date, " + ", ".join(f"`{c}` array<double>" for c in cols)
+    return d.groupBy("code").cogroup(ids.groupBy("code")).applyInArrow(lambda rows, asked: _windows(rows, asked, cols, length), schema.rstrip(", "))
 
 
 def split_samples(ids: DataFrame, begin: str, split: str, end: str, calendar: DataFrame | None = None, exclusive: bool = False) -> DataFrame:

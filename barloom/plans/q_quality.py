@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.calendar import days_between
 from ..operators import quality as q
 from ..sources.store import Store, merge_batches, sync
 from ..streaming import streams
@@ -81,7 +82,7 @@ def _span(v: Inputs):
 
 @query("j07_gaps", f"WITH {SPAN} SELECT code, c.date FROM sp JOIN calendar c ON c.date BETWEEN lo AND hi WHERE tdi % 6 <> 0 AND NOT EXISTS (SELECT 1 FROM bars b WHERE b.code = sp.code AND b.date = c.date)")
 def _(v: Inputs):
-    ledger = _span(v).select("code").crossJoin(F.broadcast(v.calendar.where("tdi % 6 = 0").select("date")))
+    ledger = days_between(_span(v), v.calendar.where("tdi % 6 = 0"), F.col("lo"), F.col("hi")).select("code", "date")
     return q.gaps(v.bars, v.calendar, _span(v), ledger)
 
 
