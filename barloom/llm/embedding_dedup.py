@@ -11,7 +11,8 @@ edges of a spanning forest, never all pairs of a cell.
 Equal vectors are one class with a multiplicity. Vectors of different lengths do not link.
 
 Defined results: null vectors, null or non-finite components and zero vectors link with nothing and are kept as their own
-component; a null vec_id is dropped from linking; rows that repeat a vec_id with the same vector count once.
+component; a null vec_id is dropped from linking; rows that repeat a vec_id with the same vector count once and get one result;
+rows that repeat it with another vector are vectors of their own, each with its own links, and a component is named by the smallest vec_id in it.
 """
 
 from __future__ import annotations
@@ -195,13 +196,15 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     # 32-bit components travel as such and are widened, without loss, where they are compared
     single = vectors.schema["embedding"].dataType == ArrayType(FloatType(), vectors.schema["embedding"].dataType.containsNull)
     kind = "<f4" if single else "<f8"
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("e"))
-    good = F.col("vec_id").isNotNull() & F.coalesce(F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("e", lambda x: x != 0), F.lit(False))
-    scaled = F.transform("e", lambda x: x / F.array_max(F.transform("e", lambda y: F.abs(y))))  # no overflow in the norm
-    sound = materialize(rows.where(good).select("vec_id", "e" if single else scaled.alias("e")).distinct(), "vectors")
-    classes = sound.groupBy("e").agg(F.min("vec_id").alias("vid"), F.count("*").alias("mult"))
-    own = materialize(sound.join(classes, "e").select("vec_id", "vid", "mult"), "vector-classes")
-    reps = sound.join(own.where("vec_id = vid").select("vec_id", "mult").distinct(), "vec_id").select(F.col("vec_id").alias("vid"), "mult", "e").dropDuplicates(["vid"])
+    vec_id, e = F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>" if single else "array<double>")
+    good = vec_id.isNotNull() & F.coalesce(F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(e, lambda x: x != 0), F.lit(False))
+    scaled = F.transform(e, lambda x: x / F.array_max(F.transform(e, lambda y: F.abs(y))))  # no overflow in the norm
+    rows = vectors.select(vec_id.alias("vec_id"), F.when(good, e if single else scaled).alias("e"))
+    sound = materialize(rows.where("e is not null").distinct(), "vectors")
+    # classes get numbers of their own, so that a vec_id with several vectors is in several classes
+    classes = materialize(sound.groupBy("e").agg(F.min("vec_id").alias("first"), F.count("*").alias("mult")).withColumn("vid", F.monotonically_increasing_id()), "vector-classes")
+    own = sound.join(classes.select("e", "vid", "mult"), "e").select("vec_id", F.xxhash64("e").alias("key"), "vid", "mult")
+    reps = classes.select("vid", "mult", "e")
     keyed = materialize(reps.mapInArrow(_packed(kind), "vid long, mult long, v binary").mapInArrow(_keyed(kind), KEYED), "cells")
 
     large = keyed.groupBy("tab", "cell").agg(F.count("*").alias("rows")).where(F.col("rows") > BLOCK).withColumn("nb", F.ceil(F.col("rows") / BLOCK)).drop("rows")
@@ -212,12 +215,15 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     found = dealt.withColumn("part", F.pmod(F.xxhash64("tab", "cell", "p", "q"), F.lit(parts))).groupBy("part").applyInArrow(_linker(threshold, kind), FOUND)
     found = materialize(found, "vector-links")
     links = found.where("n is not null").groupBy("a").agg(F.sum("n").alias("n"))
-    comp = components(reps.select("vid"), found.where("b is not null").select("a", "b"), "vid")
-
-    by_class = comp.join(links, comp["vid"] == links["a"], "left").select("vid", "component_id", F.coalesce("n", F.lit(0)).alias("n"))
-    per_row = own.join(by_class, "vid").select("vec_id", (F.col("n") + F.col("mult") - 1).alias("n_links"), "component_id").groupBy("vec_id").agg(F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
-    out = rows.select("vec_id").join(per_row, "vec_id", "left")
-    component = F.coalesce("component_id", "vec_id")
+    comp = components(reps.select("vid"), found.where("b is not null").select("a", "b"), "vid").join(classes.select("vid", "first"), "vid")
+    name = comp.groupBy("component_id").agg(F.min("first").alias("name"))
+    comp = comp.join(name, "component_id").select("vid", "name")
+
+    by_class = comp.join(links, comp["vid"] == links["a"], "left").select("vid", "name", F.coalesce("n", F.lit(0)).alias("n"))
+    per_row = own.join(by_class, "vid").select(F.col("vec_id").alias("id"), F.col("key").alias("row_key"), (F.col("n") + F.col("mult") - 1).alias("n_links"), "name")
+    out = rows.select("vec_id", F.when(F.col("e").isNotNull(), F.xxhash64("e")).alias("key"))
+    out = out.join(per_row, (F.col("vec_id") == F.col("id")) & (F.col("key") == F.col("row_key")), "left")
+    component = F.coalesce("name", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
 
 
