@@ -13,6 +13,8 @@ from pyspark.ml.pipeline import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.store import Store
+
 STORE = "text string, vector array<double>"
 
 
@@ -49,12 +51,18 @@ def hashing_encoder(texts: pd.Series, dim: int = 64) -> list[list[float]]:
     return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)).tolist()
 
 
-def append_new(spark: SparkSession, texts: DataFrame, path: str, encoder: Callable[[pd.Series], list[list[float]]] | None = None) -> DataFrame:
-    """Encode the texts that the store at ``path`` lacks, append them to it, and read the store."""
-    empty = spark.createDataFrame([], STORE)
-    empty.write.mode("append").parquet(path)  # so that a store that is not there yet can be read
-    embed_new(texts, spark.read.schema(STORE).parquet(path), encoder or hashing_encoder).write.mode("append").parquet(path)
-    return spark.read.schema(STORE).parquet(path)
+def text_store(spark: SparkSession, path: str, buckets: int = 64) -> Store:
+    """Encoded texts by bucket of the text's hash. The more buckets, the fewer parts a small batch has to look at."""
+    return Store(spark, path, STORE, key="text", day=None, buckets=buckets)
+
+
+def append_new(spark: SparkSession, texts: DataFrame, path: str, encoder: Callable[[pd.Series], list[list[float]]] | None = None, buckets: int = 64) -> DataFrame:
+    """Encode the texts that the store at ``path`` lacks, append them to it, and read the store. Parts that cannot hold one of the texts are not read."""
+    store = text_store(spark, path, buckets)
+    new = texts.select("text").where("text is not null").distinct()
+    store.change(append=embed_new(new, store.read(store.parts_of(new)), encoder or hashing_encoder))
+    store.compact()
+    return store.read()
 
 
 def embed_new(texts: DataFrame, store: DataFrame, encoder: Callable[[pd.Series], list[list[float]]] = hashing_encoder) -> DataFrame:

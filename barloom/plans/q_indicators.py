@@ -157,7 +157,7 @@ def _(v: Inputs):
 
 
 def _trait_inputs(v: Inputs):
-    bars = v.stored("bars")  # read three times
+    bars = v.keep(v.bars.select("date", "trade_date_idx", "code_idx", "code", "close", "turn", "amount", "pctChg", "isST", "tradestatus", "volume"), "bars")  # read three times
     up = F.col("pctChg") >= 30
     limits = bars.where(up | (F.col("pctChg") <= -30)).select("trade_date_idx", "code_idx", F.when(up, 1).otherwise(-1).alias("is_limit_up"), (F.col("trade_date_idx") % 3).alias("open_count"), (F.col("trade_date_idx") % 4).alias("first_minute"))
     return bars, limits, cross.market_breadth(bars).join(bars.select("date", "trade_date_idx").distinct(), "date").select("trade_date_idx", "avg_pct")

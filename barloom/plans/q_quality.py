@@ -73,6 +73,14 @@ def _(v: Inputs):
     return q.absent_keys(new, old, ["id"]).select("id", "ts")
 
 
+@query("j18_absent_from_store", "SELECT id, ts FROM landing WHERE batch = 2 AND id NOT IN (SELECT id FROM landing WHERE batch = 1)")
+def _(v: Inputs):
+    old, new = _batches(v)
+    store = Store(v.spark, v.scratch("store"), "id long, ts timestamp", key="id", day=None, buckets=32)
+    store.change(append=old.select("id", F.col("ts").cast("timestamp").alias("ts")))
+    return store.absent(new).select("id", "ts")
+
+
 SPAN = "sp AS (SELECT code, min(date) AS lo, max(date) AS hi FROM bars GROUP BY code)"
 
 

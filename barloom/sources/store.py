@@ -35,9 +35,9 @@ class Part(NamedTuple):
 
 
 class Store:
-    """``key`` and ``day`` name columns of ``schema``; ``counted`` is a condition on rows of which tails have so many."""
+    """``key`` and ``day`` name columns of ``schema`` (day: or none); ``counted`` is a condition on rows of which tails have so many."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str, key: str = "code", day: str = "date", buckets: int = 16, slice_days: int = 256, counted: str = "true"):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str, key: str = "code", day: str | None = "date", buckets: int = 16, slice_days: int = 256, counted: str = "true"):
         self.spark, self.path, self.key, self.day = spark, path.rstrip("/"), key, day
         self.schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
         self.buckets, self.slice_days, self.counted = buckets, slice_days, counted
@@ -94,17 +94,26 @@ class Store:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*map(self._folder, parts))
 
+    def parts_of(self, keys: DataFrame) -> list[Part]:
+        """The current parts that may hold one of the keys; others need not be read."""
+        buckets = {r.b for r in keys.select(self.bucket_of(F.col(self.key)).alias("b")).distinct().collect()}
+        return [p for p in self.manifest()[0] if p.bucket in buckets]
+
+    def absent(self, new: DataFrame) -> DataFrame:
+        """Rows of ``new`` whose key the store lacks; only the key column of the parts that may hold them is read."""
+        return new.join(self.read(self.parts_of(new)).select(self.key).distinct(), self.key, "left_anti")
+
     def _write(self, df: DataFrame) -> list[Part]:
         """A run with the rows and its index; its parts."""
         run = uuid.uuid4().hex
         d = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-        d = d.withColumns({"_bucket": self.bucket_of(F.col(self.key)), "_slice": F.coalesce(self._slice_of(F.col(self.day)), F.lit(0))})
-        d.repartition(F.col("_bucket"), F.col("_slice")).sortWithinPartitions("_bucket", "_slice", self.key, self.day).write.partitionBy("_bucket", "_slice").parquet(f"{self.path}/runs/{run}")
+        d = d.withColumns({"_bucket": self.bucket_of(F.col(self.key)), "_slice": F.coalesce(self._slice_of(F.col(self.day)), F.lit(0)) if self.day else F.lit(0)})
+        d.repartition(F.col("_bucket"), F.col("_slice")).sortWithinPartitions("_bucket", "_slice", self.key, *([self.day] if self.day else [])).write.partitionBy("_bucket", "_slice").parquet(f"{self.path}/runs/{run}")
         try:
             held = self.spark.read.parquet(f"{self.path}/runs/{run}")
         except PySparkException:  # no rows, so no files to take a schema from
             return []
-        n = held.groupBy(self.key, "_bucket", "_slice").agg(F.count("*").alias("n"), F.count_if(F.expr(self.counted)).alias("counted"), F.max(F.to_date(self.day)).alias("last"))
+        n = held.groupBy(self.key, "_bucket", "_slice").agg(F.count("*").alias("n"), F.count_if(F.expr(self.counted)).alias("counted"), (F.max(F.to_date(self.day)) if self.day else F.lit(None).cast("date")).alias("last"))
         n.write.parquet(f"{self.path}/index/{run}")
         rows = self.spark.read.parquet(f"{self.path}/index/{run}").groupBy("_bucket", "_slice").agg(F.sum("n").alias("n")).collect()
         return [Part(run, r["_bucket"], r["_slice"], r.n) for r in rows]

@@ -155,3 +155,27 @@ def test_tails_leave_the_history_alone(spark, store):
                 metrics = metrics.children().head()
             scanned = metrics.metrics().get("numOutputRows").get().value()
             assert scanned == sum(p.rows for p in parts) < whole * (0.35 if n == 30 else 0.6)
+
+
+def test_only_parts_that_may_hold_a_key_are_read(spark, tmp_path):
+    from barloom.operators import vectors
+
+    path = str(tmp_path / "texts")
+    frame = lambda xs: spark.createDataFrame([(x,) for x in xs], "text string")
+
+    def encoder(texts):
+        return [[float(len(t))] for t in texts]
+
+    first = [f"text {i}" for i in range(400)]
+    vectors.append_new(spark, frame([*first, *first, None]), path, encoder, buckets=128)
+    store = vectors.text_store(spark, path, 128)
+    before = files(store)
+    batch = frame(["text 7", "text 8", "new one", "new two"])
+    parts = store.parts_of(batch)
+    assert 0 < len(parts) <= 4 < len(before) and len(store.read(parts).inputFiles()) == len(parts)
+    assert {r.text for r in store.absent(batch).collect()} == {"new one", "new two"}
+    got = vectors.append_new(spark, batch, path, encoder, buckets=128)
+    assert sorted((r.text, r.vector) for r in got.collect()) == sorted((t, [float(len(t))]) for t in [*first, "new one", "new two"])
+    assert all(files(store)[p] == f for p, f in before.items())
+    for _ in range(2):  # nothing new
+        assert vectors.append_new(spark, batch, path, encoder, buckets=128).count() == 402
