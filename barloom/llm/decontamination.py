@@ -49,6 +49,11 @@ def words(text: str = "text") -> Column:
     return F.split(_lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), SEPARATOR)
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once a row, also where inner functions name it; a column would be put in its place anew for each element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def n_words(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -61,9 +66,8 @@ def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
 
 def phrases(items: DataFrame, width: int) -> DataFrame:
     """(phrase, item) of all items, each once; a phrase's words are one space apart."""
-    w = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.array_remove(words(), "").alias("w")).where(F.size("w") > 0)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - width + 1, F.lit(1))), lambda at: F.array_join(F.slice("w", at, F.lit(width)), " "))
-    return w.select("item", F.explode(runs).alias("phrase")).distinct()
+    runs = _once(F.array_remove(words(), ""), lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - width + 1, F.lit(1))), lambda at: F.array_join(F.slice(w, at, F.lit(width)), " ")))
+    return items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.explode(runs).alias("phrase")).where("phrase <> ''").distinct()
 
 
 def _small(terms: DataFrame) -> DataFrame:
@@ -142,10 +146,9 @@ def _verified(docs: DataFrame, starts: DataFrame) -> DataFrame:
     keys = held.select("doc", "key")
     # few documents are possible as a rule: then only their texts are shuffled
     rows = _keyed(docs, F.col("text")).join(F.broadcast(keys) if held.count() <= MOST_KEYS else keys, ["doc", "key"], "left_semi")
-    rows = rows.join(held, ["doc", "key"]).select("doc", "key", words().alias("w"), "found")
     length = lambda c: F.size(F.split(c["phrase"], " "))
-    exact = F.filter("found", lambda c: F.array_join(F.slice("w", c["start"] + 1, length(c)), " ") == c["phrase"])
-    rows = rows.select("doc", "key", exact.alias("found"))
+    exact = _once(words(), lambda w: F.filter("found", lambda c: F.array_join(F.slice(w, c["start"] + 1, length(c)), " ") == c["phrase"]))
+    rows = rows.join(held, ["doc", "key"]).select("doc", "key", exact.alias("found"))
     places = F.array_distinct(F.flatten(F.transform("found", lambda c: F.sequence(c["start"], c["start"] + length(c) - 1))))
     rows = rows.select("doc", "key", F.size(places).cast("long").alias("n_hit"), F.array_distinct(F.transform("found", lambda c: c["phrase"])).alias("phrases"))
     # the condition stands after the aggregate: before it, it would become part of the join, of which one side lacks the text
