@@ -122,7 +122,7 @@ def clean_text(c: Column) -> Column:
 SHORTEST_BRACKET = r"[（(].*?[)）]"
 BRACKET = r"[（(][^（）()]*[）)]"
 BRACKET_CONTENT = r"[（(]([^（）()]*)[）)]"
-REASON_HEAD = r"^([^；;+，,（()）]{1,12})[（(]([^（）()]{1,15})[）)]"
+REASON_HEAD = r"^([^；;+，,（()）]{1,12})[（(]([^）()]{1,15})[）)]"
 
 
 def fold_name(c: Column) -> Column:

@@ -243,9 +243,10 @@ def changed_only(old: DataFrame, new: DataFrame, cols: list[str]) -> DataFrame:
     return j.groupBy("code").agg(F.bool_and(same).alias("same")).where("not same").select("code")
 
 
-def since_watermark(df: DataFrame, state: DataFrame) -> DataFrame:
-    """Rows after the stored watermark of their kind; kinds without one pass whole."""
-    return df.join(F.broadcast(state), "kind", "left").where(F.col("latest").isNull() | (F.col("date") > F.col("latest"))).drop("latest")
+def since_watermark(df: DataFrame, state: DataFrame, reprocess_days: int = 0) -> DataFrame:
+    """Rows after the stored watermark of their kind, and of the ``reprocess_days`` days up to it, so that late rows of these count; kinds without one pass whole."""
+    due = F.col("date") > F.date_sub("latest", reprocess_days)
+    return df.join(F.broadcast(state), "kind", "left").where(F.col("latest").isNull() | due).drop("latest")
 
 
 def holes(days: DataFrame, floor: str | None = None) -> DataFrame:

@@ -135,6 +135,12 @@ def _(v: Inputs):
     return q.correlations(v.bars, ["open", "close", "volume"]).withColumn("r", F.round("r", 6))
 
 
+# over the latest 250 trading days
+@query("a14_recent_correlations", "WITH c AS (SELECT corr(open, close) AS r1, corr(open, volume) AS r2, corr(close, volume) AS r3 FROM bars WHERE trade_date_idx > (SELECT max(trade_date_idx) FROM bars) - 250) SELECT a, b, round(r, 6) AS r FROM (SELECT 'open' AS a, 'close' AS b, r1 AS r FROM c UNION ALL SELECT 'open', 'volume', r2 FROM c UNION ALL SELECT 'close', 'volume', r3 FROM c) WHERE abs(r) > 0.05")
+def _(v: Inputs):
+    return q.correlations(v.bars, ["open", "close", "volume"], least=0.05, days=250).withColumn("r", F.round("r", 6))
+
+
 SEG = """WITH RECURSIVE m AS (SELECT DISTINCT code, trade_date_idx AS t FROM bars), o AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY t) AS i FROM m),
 s AS (SELECT code, i, t, t AS lo FROM o WHERE i = 1 UNION ALL SELECT o.code, o.i, o.t, CASE WHEN o.t - s.lo < 60 THEN s.lo ELSE o.t END FROM s JOIN o ON o.code = s.code AND o.i = s.i + 1)
 SELECT code, lo, max(t) AS hi FROM s GROUP BY code, lo"""
@@ -247,6 +253,12 @@ def _(v: Inputs):
     return q.changed_only(v.bars, new, ["turn", "pctChg"])
 
 
+@query("i01_reprocess", "SELECT event_id FROM events WHERE event_type <> 'view' OR CAST(ts AS DATE) > DATE '2024-01-07'")
+def _(v: Inputs):
+    state = v.spark.sql("SELECT 'view' AS kind, date'2024-01-10' AS latest")
+    return q.since_watermark(v.events.select("event_id", F.col("event_type").alias("kind"), F.to_date("ts").alias("date")), state, reprocess_days=3).select("event_id")
+
+
 @query("i01_since_watermark", "SELECT event_id FROM events WHERE event_type <> 'view' OR CAST(ts AS DATE) > DATE '2024-01-10'")
 def _(v: Inputs):
     state = v.spark.sql("SELECT 'view' AS kind, date'2024-01-10' AS latest")
