@@ -72,38 +72,58 @@ def _lagged(n: int = 120) -> Window:
     return Window.partitionBy("code_idx").orderBy("trade_date_idx").rowsBetween(-n, -1)
 
 
+def rolling_sums(df: DataFrame, cols: dict[str, Column], n: int = 120) -> DataFrame:
+    """For each name the sum over a code's n rows before this one, and as n_name how many values that are; what is not finite counts as missing.
+
+    A frame of n rows would add them up anew for every row. Here sums run through blocks of n rows: the frame is the rest of the block before, its
+    total less the sum up to the place of this row, and the rows of this block so far. No sum spans more than a block, so none loses digits to a long history.
+    """
+    order = Window.partitionBy("code_idx").orderBy("trade_date_idx")
+    at = F.row_number().over(order) - 1
+    finite = {name: F.when(F.abs(c.cast("double")) < float("inf"), c.cast("double")) for name, c in cols.items()}
+    d = df.withColumns({f"_x_{name}": c for name, c in finite.items()}).withColumn("_i", at).withColumns({"_block": F.floor(F.col("_i") / n), "_i": F.col("_i") % n})
+    inside = Window.partitionBy("code_idx", "_block").orderBy("trade_date_idx")
+    whole = Window.partitionBy("code_idx").orderBy("_block", "trade_date_idx")  # the order of the window above, so both take one sort
+    run = [x for name in cols for x in (F.coalesce(F.sum(f"_x_{name}").over(inside), F.lit(0.0)).alias(name), F.count(f"_x_{name}").over(inside).cast("double").alias(f"n_{name}"))]
+    d = d.withColumn("_run", F.struct(*run)).drop(*[f"_x_{name}" for name in cols])
+    inner = F.col("_i") > 0
+    d = d.withColumns({
+        "_here": F.when(inner, F.lag("_run", 1).over(whole)), "_gone": F.when(inner, F.lag("_run", n + 1).over(whole)),
+        "_total": F.last(F.when(F.col("_i") == n - 1, F.col("_run")), True).over(whole.rowsBetween(Window.unboundedPreceding, -1)),
+    })
+    names = [x for name in cols for x in (name, f"n_{name}")]
+    zero = F.lit(0.0)
+    return d.withColumns({x: F.coalesce(F.col(f"_here.{x}"), zero) + F.coalesce(F.col(f"_total.{x}"), zero) - F.coalesce(F.col(f"_gone.{x}"), zero) for x in names}).drop("_i", "_block", "_run", "_here", "_gone", "_total")
+
+
 def raw_traits(bars: DataFrame, limits: DataFrame, breadth: DataFrame) -> DataFrame:
     """bars: trade_date_idx, code_idx, code, close, turn, amount, pctChg, isST; limits: trade_date_idx, code_idx,
     is_limit_up, open_count, first_minute; breadth: trade_date_idx, avg_pct."""
     limit = price_limit(F.col("code"), F.col("isST"), F.lit(0))
     up, down = big_moves(F.col("pctChg"), limit)
-    d = bars.join(limits.select("trade_date_idx", "code_idx", "is_limit_up"), ["trade_date_idx", "code_idx"], "left").join(breadth, "trade_date_idx", "left")
-    d = d.withColumns({"lu": F.coalesce((F.col("is_limit_up") == 1).cast("int"), F.lit(0)), "ld": F.coalesce((F.col("is_limit_up") == -1).cast("int"), F.lit(0)), "bu": F.coalesce(up, F.lit(0)), "bd": F.coalesce(down, F.lit(0)), "fv": float_cap(F.col("amount"), F.col("turn"))})
-    w, now = _lagged(), Window.partitionBy("code_idx").orderBy("trade_date_idx")
+    # rates over the previous limit events of the code, known from the event day on
+    ev = limits.where("is_limit_up = 1").withColumns({"zb": (F.col("open_count") > 0).cast("int"), "yz": ((F.col("first_minute") < 1) & (F.col("open_count") == 0)).cast("int")})
+    rates = {f"{c}120": F.when(F.count(c).over(_lagged()) >= 20, F.avg(c).over(_lagged())) for c in ("zb", "yz")}
+    ev = ev.withColumns(rates).select("trade_date_idx", "code_idx", "zb120", "yz120")
+    d = bars.join(limits.select("trade_date_idx", "code_idx", "is_limit_up"), ["trade_date_idx", "code_idx"], "left").join(ev, ["trade_date_idx", "code_idx"], "left").join(breadth, "trade_date_idx", "left")
+    d = d.withColumns({"lu": F.coalesce((F.col("is_limit_up") == 1).cast("int"), F.lit(0)), "ld": F.coalesce((F.col("is_limit_up") == -1).cast("int"), F.lit(0)), "fv": float_cap(F.col("amount"), F.col("turn"))})
+    x, y = F.col("pctChg"), F.col("avg_pct")
+    d = rolling_sums(d, {"lu120": F.col("lu"), "ld120": F.col("ld"), "bu120": F.coalesce(up, F.lit(0)), "bd120": F.coalesce(down, F.lit(0)), "turn120": F.col("turn"), "mx": x, "my": y, "mxy": x * y, "my2": y * y})
+    now = Window.partitionBy("code_idx").orderBy("trade_date_idx")
     so_far, year = now.rowsBetween(Window.unboundedPreceding, 0), now.rowsBetween(-249, 0)
-
-    def mean(c: Column) -> Column:
-        return F.when(F.count(c).over(w) >= 60, F.avg(c).over(w))
-
-    d = d.withColumns({f"{c}120": F.sum(c).over(w) for c in ("lu", "ld", "bu", "bd")})
+    d = d.withColumns({f"{c}120": F.when(F.col(f"n_{c}120") > 0, F.round(f"{c}120").cast("long")) for c in ("lu", "ld", "bu", "bd")})
+    d = d.withColumns({c: F.when(F.col(f"n_{c}") >= 60, F.col(c) / F.col(f"n_{c}")) for c in ("turn120", "mx", "my", "mxy", "my2")})
     d = d.withColumns({
-        "turn120": mean(F.col("turn")),
         "hi": F.when(F.count("close").over(year) >= 120, F.col("close") / F.max("close").over(year)),
         "lo": F.when(F.count("close").over(year) >= 120, F.col("close") / F.min("close").over(year)),
         "dsl": F.coalesce(F.least(F.col("trade_date_idx") - F.last(F.when(F.col("lu") == 1, F.col("trade_date_idx")), True).over(so_far), F.lit(250)), F.lit(250)),
-        "mx": mean(F.col("pctChg")), "my": mean(F.col("avg_pct")), "mxy": mean(F.col("pctChg") * F.col("avg_pct")), "my2": mean(F.col("avg_pct") * F.col("avg_pct")),
+        **{c: F.last(c, True).over(so_far) for c in ("zb120", "yz120")},
     })
     d = d.withColumns({
         "sru": F.when(F.col("bu120") >= 5, F.col("lu120") / F.col("bu120")),
         "srd": F.when(F.col("bd120") >= 5, F.col("ld120") / F.col("bd120")),
         "beta120": F.try_divide(F.col("mxy") - F.col("mx") * F.col("my"), F.col("my2") - F.col("my") * F.col("my")),
     })
-    # rates over the previous limit events of the code, known from the event day on
-    ev = limits.where("is_limit_up = 1").withColumns({"zb": (F.col("open_count") > 0).cast("int"), "yz": ((F.col("first_minute") < 1) & (F.col("open_count") == 0)).cast("int")})
-    rates = {f"{c}120": F.when(F.count(c).over(w) >= 20, F.avg(c).over(w)) for c in ("zb", "yz")}
-    ev = ev.withColumns(rates).select("trade_date_idx", "code_idx", "zb120", "yz120")
-    d = d.join(ev, ["trade_date_idx", "code_idx"], "left")
-    d = d.withColumns({c: F.last(c, True).over(so_far) for c in ("zb120", "yz120")})
     return d.select("trade_date_idx", "code_idx", "lu120", "ld120", "bu120", "bd120", "turn120", "hi", "lo", "dsl", "sru", "srd", "beta120", "zb120", "yz120", "fv")
 
 

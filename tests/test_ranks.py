@@ -33,3 +33,19 @@ def test_traits_take_one_sort_for_the_ranks(spark, sf_dir):
     plan = registry.QUERIES["w16_traits"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     after = plan[: plan.index("FlatMapGroupsInArrow") + 400]
     assert plan.count("FlatMapGroupsInArrow") == 1 and after.count("Window") == 0
+
+
+def test_rolling_sums(spark):
+    rng = random.Random(8)
+    rows = [(c, t, rng.choice([None, float("nan"), 1e6 * rng.random(), rng.random()]), rng.randint(0, 1)) for c, n in ((1, 400), (2, 119), (3, 1), (4, 120), (5, 121), (6, 240)) for t in range(n)]
+    df = spark.createDataFrame(rows, "code_idx int, trade_date_idx int, a double, b int").repartition(3)
+    for n in (120, 7):
+        got = {(r.code_idx, r.trade_date_idx): r for r in cross.rolling_sums(df, {"sa": F.col("a"), "sb": F.col("b")}, n).collect()}
+        assert len(got) == len(rows)
+        for c in range(1, 7):
+            own = [r for r in rows if r[0] == c]
+            for i, r in enumerate(own):
+                frame = own[max(i - n, 0) : i]
+                there = [x[2] for x in frame if x[2] is not None and not np.isnan(x[2])]
+                g = got[r[:2]]
+                assert g.n_sa == len(there) and g.n_sb == len(frame) and g.sb == sum(x[3] for x in frame) and abs(g.sa - sum(there)) < 1e-6
