@@ -21,38 +21,44 @@ def limit_counts(breadth: DataFrame, limits: DataFrame) -> DataFrame:
     return breadth.join(c, "date", "left").fillna(0, ["n_limit_up", "n_limit_down"])
 
 
-def average_ranks(x: np.ndarray) -> np.ndarray:
-    """Ranks from 1, ties sharing the mean of theirs; NaN is above all numbers and equals itself, as in Spark."""
-    order = np.argsort(x, kind="stable")
-    s = x[order]
-    new = np.ones(len(x), bool)
-    new[1:] = (s[1:] != s[:-1]) & ~(np.isnan(s[1:]) & np.isnan(s[:-1]))
+def average_ranks(x: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Ranks from 1 within each group, ties sharing the mean of theirs; NaN is above all numbers and equals itself, as in Spark."""
+    order = np.lexsort((x, group))
+    s, g = x[order], group[order]
+    starts, new = np.ones(len(x), bool), np.ones(len(x), bool)
+    starts[1:] = g[1:] != g[:-1]
+    new[1:] = starts[1:] | ((s[1:] != s[:-1]) & ~(np.isnan(s[1:]) & np.isnan(s[:-1])))
     first = np.flatnonzero(new)
     mean = (first + np.append(first[1:], len(x)) + 1) / 2
     out = np.empty(len(x))
-    out[order] = mean[np.cumsum(new) - 1]
+    out[order] = mean[np.cumsum(new) - 1] - np.flatnonzero(starts)[np.cumsum(starts) - 1]
     return out
 
 
-def _ranked_group(table: pa.Table, cols: list[str], score) -> pa.Table:
-    """A group's columns replaced by ``score(rank, number of values)``; null stays null and takes no rank."""
+def _ranked_groups(table: pa.Table, cols: list[str], by: list[str], score) -> pa.Table:
+    """Columns replaced by ``score(rank, number of values)`` within their groups; null stays null and takes no rank."""
+    group = np.zeros(table.num_rows, np.int64)
+    for c in by:
+        held = table.column(c).combine_chunks().dictionary_encode()
+        group = group * (len(held.dictionary) + 1) + np.asarray(held.indices.fill_null(len(held.dictionary)))
+    group = np.unique(group, return_inverse=True)[1]
     for c in cols:
         held = table.column(c).combine_chunks().cast(pa.float64())
         there = np.asarray(held.is_valid())
-        values = np.full(len(there), np.nan)
-        values[there] = score(average_ranks(np.asarray(held.drop_null())), there.sum())
+        values, g = np.full(len(there), np.nan), group[there]
+        values[there] = score(average_ranks(np.asarray(held.drop_null()), g), np.bincount(g)[g] if len(g) else g)
         table = table.set_column(table.schema.get_field_index(c), c, pa.array(values, mask=~there))
     return table
 
 
-def ranked(df: DataFrame, cols: list[str], by: list[str], score=lambda rank, n: rank) -> DataFrame:
-    """Numeric columns as average ranks within the groups of ``by``: one shuffle, one Arrow call a group, however many columns.
+def ranked(df: DataFrame, cols: list[str], by: list[str], score=lambda rank, n: rank, buckets: int = 512) -> DataFrame:
+    """Numeric columns as average ranks within the groups of ``by``, however many columns, by one shuffle.
 
-    A group is a day's codes, so a market bounds it; it is the only thing that a task holds at a time.
+    Groups, such as a day's codes, which a market bounds, are dealt into ``buckets``; an Arrow call ranks all columns of all groups of a bucket, which is
+    all that a task holds at a time.
     """
-    kinds = {c: "double" for c in cols}
-    schema = ", ".join(f"`{f.name}` {kinds.get(f.name, f.dataType.simpleString())}" for f in df.schema.fields)
-    return df.groupBy(*by).applyInArrow(lambda t: _ranked_group(t, cols, score), schema)
+    schema = ", ".join(f"`{f.name}` {'double' if f.name in cols else f.dataType.simpleString()}" for f in df.schema.fields)
+    return df.groupBy(F.pmod(F.hash(*by), F.lit(buckets)).alias("_bucket")).applyInArrow(lambda t: _ranked_groups(t, cols, by, score), schema)
 
 
 def rank01(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
@@ -128,6 +134,6 @@ def raw_traits(bars: DataFrame, limits: DataFrame, breadth: DataFrame) -> DataFr
 
 
 def build_traits(bars: DataFrame, limits: DataFrame, breadth: DataFrame) -> DataFrame:
-    """All traits as ranks within the day: one shuffle on the day and one call for all traits of a day."""
+    """All traits as ranks within the day: one shuffle on days, and a call ranks all traits of some days."""
     d = raw_traits(bars, limits, breadth)
     return rank01(d, [c for c in d.columns if c not in ("trade_date_idx", "code_idx")], ["trade_date_idx"])

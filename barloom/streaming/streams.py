@@ -54,7 +54,8 @@ def _sessions_of_code(near: int, gap: int):
         state.update((last, n0, n1, json.dumps(sessions)))
         if sessions:
             state.setTimeoutTimestamp(max(min(s[0] for s in sessions.values()) - 1, now + 1))
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in FEATURE_ROWS.split(", ")])
+        if rows:
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in FEATURE_ROWS.split(", ")])
 
     return step
 

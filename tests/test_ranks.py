@@ -23,8 +23,10 @@ def test_ranked(spark):
 
 
 def test_average_ranks_of_ties():
-    assert list(cross.average_ranks(np.array([3.0, 1.0, 3.0, np.nan, np.nan, 2.0]))) == [3.5, 1, 3.5, 5.5, 5.5, 2]
-    assert len(cross.average_ranks(np.array([]))) == 0
+    x, one = np.array([3.0, 1.0, 3.0, np.nan, np.nan, 2.0]), np.zeros(6, int)
+    assert list(cross.average_ranks(x, one)) == [3.5, 1, 3.5, 5.5, 5.5, 2]
+    assert list(cross.average_ranks(x, np.array([0, 1, 0, 1, 1, 1]))) == [1.5, 1, 1.5, 3.5, 3.5, 2]
+    assert len(cross.average_ranks(x[:0], one[:0])) == 0
 
 
 def test_traits_take_one_sort_for_the_ranks(spark, sf_dir):
