@@ -56,7 +56,7 @@ def _(v: Inputs):
 @query("t05_stored_tail", f"WITH {QFQ}, r AS (SELECT code, date, close * factor AS close, row_number() OVER (PARTITION BY code ORDER BY date DESC) AS i FROM adj) SELECT code, date, round(close + 3e-9, 6) AS close FROM r WHERE i <= 130")
 def _(v: Inputs):
     cols = ["open", "high", "low", "close", "preclose"]
-    store = Store(v.spark, v.scratch("store"), f"code string, date date, {', '.join(c + ' double' for c in cols)}, tradestatus int", counted="tradestatus = 1")
+    store = Store(v.spark, v.scratch("store"), f"code string, date date, {', '.join(c + ' double' for c in cols)}, tradestatus int", buckets=8, slice_days=366, counted="tradestatus = 1")
     store.change(append=v.bars)
     return rows.recent_adjusted_closes(store.tail(131)).select("code", "date", F.round(F.col("close") + 3e-9, 6).alias("close"))
 

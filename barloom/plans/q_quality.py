@@ -116,7 +116,7 @@ k AS (SELECT d.code, CASE WHEN max(last) IS NULL OR bool_or(d.close IS DISTINCT
 SELECT code, kind, count(*) AS n, round(sum(close), 4) AS close FROM d JOIN k USING (code) GROUP BY code, kind""")
 def _(v: Inputs):
     bars = v.stored("bars")
-    store = Store(v.spark, v.scratch("store"), "code string, date date, close double, turn double")
+    store = Store(v.spark, v.scratch("store"), "code string, date date, close double, turn double", buckets=8, slice_days=3650)
     store.change(append=bars.where("date < date'1998-01-01'").select("code", "date", "close", "turn"))
     close = F.when((F.col("code_idx") % 4).isin(1, 3) & (F.col("trade_date_idx") % 100 == 0), F.col("close") + 1).otherwise(F.col("close"))
     derived = bars.where("code_idx % 4 in (1, 2) or date < date'1998-01-01'").withColumn("close", close)
