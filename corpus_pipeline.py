@@ -69,6 +69,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 1024 tokens, each document with its end token, as packing.pack gives them; null texts are the end token alone."""
     return packing.pack(docs)
 
 
