@@ -102,14 +102,15 @@ def _encoder(name: str):
     return encode
 
 
-def _cached(spark: SparkSession, path: str) -> DataFrame | None:
+def _cached(spark: SparkSession, path: str, own: DataFrame) -> DataFrame | None:
+    """Stored counts of the digests ``own``; what else the cache has is read past, but neither grouped nor written."""
     try:
         rows = spark.read.schema(CACHE_SCHEMA).parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e.getCondition()):
             raise
         return None
-    return rows.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    return rows.join(own, "digest", "left_semi").groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 
 def token_counts(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", cache: str | None = None, limit: int = 1024) -> DataFrame:
@@ -118,10 +119,11 @@ def token_counts(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", cache: s
     path = f"{cache or f'{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}'}/tokenizer={tokenizer_digest(tokenizer)}"
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(F.col("doc_id"), text.alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
-    stored = _cached(spark, path)
+    ids = materialize(keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest"), "digests")
+    own = ids.select("digest").distinct()
+    stored = _cached(spark, path, own)
     missing = keyed if stored is None else keyed.join(stored, "digest", "left_anti")
     missing = missing.groupBy("digest").agg(F.first("text").alias("text"))
     missing.mapInArrow(_encoder(tokenizer), CACHE_SCHEMA).write.mode("append").parquet(path)
-    stored = materialize(_cached(spark, path), "token-counts")  # apart from the join, so that Spark can split a very common content there
-    counted = keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest").join(stored, "digest")
-    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    stored = materialize(_cached(spark, path, own), "token-counts")  # apart from the join, so that Spark can split a very common content there
+    return ids.join(stored, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -91,6 +91,9 @@ def test_token_counts_and_packing(docs, texts, empty, tmp_path):
         got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in token_counts.token_counts(docs, cache=str(tmp_path / "cache")).collect()}
         assert got == {i: (len((x or "").encode()), len(ids[i]), len(ids[i]) > 1024) for i, x in enumerate(texts)}
     assert docs.sparkSession.read.parquet(str(tmp_path / "cache")).count() == len({x or "" for x in texts})
+    few = docs.where("doc_id % 7 = 0")  # of a large cache only this run's contents count
+    assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(few, cache=str(tmp_path / "cache")).collect()} == {i: len(ids[i]) for i in range(0, len(texts), 7)}
+    assert docs.sparkSession.read.parquet(str(tmp_path / "cache")).count() == len({x or "" for x in texts})
     assert token_counts.token_counts(empty).count() == 0
 
     pieces, sequences = defaultdict(list), defaultdict(list)
