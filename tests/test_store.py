@@ -5,9 +5,10 @@ import os
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from barloom.operators import quality
+from barloom.operators import quality, vectors
 from barloom.sources.store import Store, merge_batches, sync
 from barloom.streaming import streams
 
@@ -144,22 +145,20 @@ def test_tails_leave_the_history_alone(spark, store):
     whole = sum(p.rows for p in store.manifest()[0])
     for n, end in ((30, None), (30, "2021-05-05"), (250, None)):
         parts = store.tail_parts(n, end)
-        rank = F.row_number().over(__import__("pyspark").sql.Window.partitionBy("code").orderBy(F.desc("date")))
+        rank = F.row_number().over(Window.partitionBy("code").orderBy(F.desc("date")))
         cut = lambda x: content(x.where(F.lit(True) if end is None else F.col("date") <= end).withColumn("r", rank).where(F.col("r") <= n))  # noqa: E731, B023
         assert cut(store.read(parts)) == cut(d)
         if end is None:
             read = store.tail(n)
             read.collect()
-            metrics = read._jdf.queryExecution().executedPlan()
-            while metrics.children().size():
-                metrics = metrics.children().head()
-            scanned = metrics.metrics().get("numOutputRows").get().value()
+            scan = read._jdf.queryExecution().executedPlan()
+            while scan.children().size():
+                scan = scan.children().head()
+            scanned = scan.metrics().get("numOutputRows").get().value()
             assert scanned == sum(p.rows for p in parts) < whole * (0.35 if n == 30 else 0.6)
 
 
 def test_only_parts_that_may_hold_a_key_are_read(spark, tmp_path):
-    from barloom.operators import vectors
-
     path = str(tmp_path / "texts")
     frame = lambda xs: spark.createDataFrame([(x,) for x in xs], "text string")
 
