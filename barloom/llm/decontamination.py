@@ -6,10 +6,11 @@ Index: postings (term, document, position) of training tokens, written once, for
 ``lists`` rarest occurrences of terms by corpus frequency. A phrase one of whose terms the corpus lacks needs no list. Postings also have a
 slot: a term with many postings has several, and the phrases that start from it go to each, so no task holds all postings of a term.
 
-Search: the list of a phrase's rarest term, each position less the term's offset in the phrase, gives possible starts; each further list, less its own
-offset, is intersected with them on (document, term, position), rarest first. Each list more is longer than those before, so two are the default. What is left is held against all words of the document, so
-matches are exact. Proximity matches meet the further lists within ``slop`` words of the expected places instead; both sides are dealt
-into bins of positions, so a list of a long document is not paired with itself as a whole.
+Search: the list of a phrase's rarest term, each position less the term's offset in the phrase, gives possible starts; each further list,
+less its own offset, is intersected with them on (document, term, position), rarest first. Each list is longer than those before it, so two are
+the default. What is left is held against all words of the document, so matches are exact. Proximity matches meet the further lists within
+``slop`` words of the expected places instead; both sides are dealt into bins of positions, so a list of a long document is not paired
+with itself as a whole.
 
 Defined results: null and wordless texts have no words and no hits; rows are told apart by doc_id and text, and equal rows get equal results without
 meeting each other; a null doc_id is a value like others; an item is its item_id as a string (null: an empty one), so rows that share an item_id are one
