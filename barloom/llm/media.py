@@ -5,7 +5,7 @@ response) get an orientation from the intensity centroid of their patch and 64 b
 to it. Patches of smooth images are alike too often to be searched one by one, so a corner is searched together with
 each of its ``NEAR`` nearest neighbours: in each of ``TABLES`` Hamming tables some of both corners' bits, sampled for the
 table, are the key, and entries of equal keys whose other sampled bits and relative directions agree are a hit. Keys
-take more bits the larger the library is, so a query meets about as many entries by chance at any size.
+have the same bits at any size of the library, so whether two images are found does not depend on what else it holds.
 
 Pairs of images with hits at ``LEAST_HITS`` corners are candidates. Of each pair, all descriptors within
 ``MOST_BITS`` are matches; each proposes the turn and scale between its two corners, the shift, turn and scale that fit
@@ -40,8 +40,8 @@ AGREE, ALARMS = 2.0, 0.001
 PAIRS_HELD, HELD = 200_000, 1_000_000
 #: Neighbours of a corner, tables, and corners at which a candidate has hits.
 NEAR, TABLES, LEAST_HITS = 3, 4, 2
-#: Bits of a key at BASE_CORNERS corners of the library, and how many more for each doubling; the rest of an entry's 64 sampled bits may differ in a fifth.
-KEY_BITS, BASE_CORNERS, BITS_PER_DOUBLING, MOST_KEY_BITS = 36, 100_000, 4, 56
+#: Bits of a key; the rest of an entry's 64 sampled bits, without three for the table, may differ in a fifth.
+KEY_BITS = 36
 #: Entries of either side that a task takes at a time.
 ENTRIES = 400_000
 #: Corners of the sample of images from which parts that are too large are known.
@@ -193,18 +193,13 @@ def _samples() -> np.ndarray:
 SAMPLES = _samples()
 
 
-def key_bits(corners: int) -> int:
-    """Bits of a key for a library of so many corners."""
-    return int(min(MOST_KEY_BITS, max(KEY_BITS, KEY_BITS + BITS_PER_DOUBLING * np.log2(max(corners, 1) / BASE_CORNERS))))
-
-
 def pair_words(bits: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The sampled bits of pairs of corners for each table, the key's at the top: [table, pair]."""
     both = np.concatenate([np.unpackbits(bits[i].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little") for i in (a, b)], axis=1)
     return np.stack([np.ascontiguousarray(np.packbits(both[:, s], axis=1)).view(">u8").ravel().astype(np.uint64) for s in SAMPLES])
 
 
-def _entries(side: int, width: int, parts: int, blocks: dict[int, tuple[int, int]] | None):
+def _entries(side: int, parts: int, blocks: dict[int, tuple[int, int]] | None):
     """Corners' packed rows to table entries, packed by part: ids, sampled bits, and corner, direction and turn of the neighbour.
 
     A part is a range of hashes of table and key. ``blocks``: of parts that are cut, the numbers of blocks of queries and of
@@ -239,7 +234,7 @@ def _entries(side: int, width: int, parts: int, blocks: dict[int, tuple[int, int
         vid, geo = vid.astype("<i8"), geo.astype("<i4")
         own = mix(vid.view(np.uint64))
         for t, word in enumerate(words):
-            part = (mix((word >> np.uint64(64 - width)) * np.uint64(TABLES) + np.uint64(t)) % np.uint64(parts)).astype(np.int64)
+            part = (mix((word >> np.uint64(64 - KEY_BITS)) * np.uint64(TABLES) + np.uint64(t)) % np.uint64(parts)).astype(np.int64)
             # the table in the lowest bits, instead of the last sampled ones
             word = (word & ~np.uint64(7)) | np.uint64(t)
             order = np.argsort(part, kind="stable")
@@ -263,38 +258,34 @@ def _entries(side: int, width: int, parts: int, blocks: dict[int, tuple[int, int
     return run
 
 
-def _hits(width: int):
+def _hits(t: pa.Table) -> pa.Table:
     """Of a part's entries the pairs of images that share a key and agree in the rest, with the query's corners (modulo 64) as bits."""
-    top = np.uint64(2**64 - 2 ** (64 - width)) | np.uint64(7)
-    slack = (61 - width) // 5
-
-    def run(t: pa.Table) -> pa.Table:
-        sides = []
-        for side in (0, 1):
-            c = t.filter(pc.equal(t["side"], side))
-            id_, word, geo = (np.frombuffer(b"".join(c[n].to_pylist()), kind) for n, kind in (("ids", "<i8"), ("words", "<u8"), ("geos", "<i4")))
-            order = np.argsort(word & top, kind="stable")
-            sides.append((id_[order], word[order], geo[order].astype(np.int64)))
-        (qid, qw, qg), (lid, lw, lg) = sides
-        keys = lw & top
-        lo, hi = np.searchsorted(keys, qw & top, "left"), np.searchsorted(keys, qw & top, "right")
-        n = hi - lo
-        ends, out, i = np.cumsum(n), [], 0
-        while i < len(qid):
-            j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + PAIRS_HELD, "right")))
-            q = np.repeat(np.arange(i, j), n[i:j])
-            l = np.repeat(lo[i:j], n[i:j]) + np.arange(len(q)) - np.repeat(np.cumsum(n[i:j]) - n[i:j], n[i:j])
-            i = j
-            ok = np.bitwise_count((qw[q] ^ lw[l]) & ~top) <= slack
-            for shift in (4, 0):
-                off = ((qg[q] >> shift) - (lg[l] >> shift) + TURNS // 2) % TURNS - TURNS // 2
-                ok &= np.abs(off) <= 2
-            q, l = q[ok], l[ok]
-            out.append(_merged(qid[q], lid[l], np.uint64(1) << (qg[q] >> 8 & 63).astype(np.uint64)))
-        q, l, corners = _merged(*(np.concatenate(c) for c in zip(*out, strict=True))) if out else [np.empty(0, np.int64)] * 3
-        return pa.table([pa.array(q), pa.array(l), pa.array(corners.view(np.int64))], [c.split()[0] for c in HITS.split(", ")])
-
-    return run
+    top = np.uint64(2**64 - 2 ** (64 - KEY_BITS)) | np.uint64(7)
+    slack = (61 - KEY_BITS) // 5
+    sides = []
+    for side in (0, 1):
+        c = t.filter(pc.equal(t["side"], side))
+        id_, word, geo = (np.frombuffer(b"".join(c[n].to_pylist()), kind) for n, kind in (("ids", "<i8"), ("words", "<u8"), ("geos", "<i4")))
+        order = np.argsort(word & top, kind="stable")
+        sides.append((id_[order], word[order], geo[order].astype(np.int64)))
+    (qid, qw, qg), (lid, lw, lg) = sides
+    keys = lw & top
+    lo, hi = np.searchsorted(keys, qw & top, "left"), np.searchsorted(keys, qw & top, "right")
+    n = hi - lo
+    ends, out, i = np.cumsum(n), [], 0
+    while i < len(qid):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + PAIRS_HELD, "right")))
+        q = np.repeat(np.arange(i, j), n[i:j])
+        l = np.repeat(lo[i:j], n[i:j]) + np.arange(len(q)) - np.repeat(np.cumsum(n[i:j]) - n[i:j], n[i:j])
+        i = j
+        ok = np.bitwise_count((qw[q] ^ lw[l]) & ~top) <= slack
+        for shift in (4, 0):
+            off = ((qg[q] >> shift) - (lg[l] >> shift) + TURNS // 2) % TURNS - TURNS // 2
+            ok &= np.abs(off) <= 2
+        q, l = q[ok], l[ok]
+        out.append(_merged(qid[q], lid[l], np.uint64(1) << (qg[q] >> 8 & 63).astype(np.uint64)))
+    q, l, corners = _merged(*(np.concatenate(c) for c in zip(*out, strict=True))) if out else [np.empty(0, np.int64)] * 3
+    return pa.table([pa.array(q), pa.array(l), pa.array(corners.view(np.int64))], [c.split()[0] for c in HITS.split(", ")])
 
 
 def _merged(q: np.ndarray, l: np.ndarray, corners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -386,14 +377,14 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def candidates(ask: DataFrame, lib: DataFrame) -> DataFrame:
     """Of packed corners of queries and library: (q_id, l_id) of pairs with hits at LEAST_HITS corners."""
     corners = int(lib.agg(F.sum(F.octet_length("bits")) / 8).first()[0] or 0)
-    width, parts = key_bits(corners), max(1, corners * NEAR * TABLES // (ENTRIES // 2))
+    parts = max(1, corners * NEAR * TABLES // (ENTRIES // 2))
     # parts that are too large show in a sample of the images as well
     share = min(1.0, SAMPLE_CORNERS / max(corners, 1))
-    drawn = [df.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1).mapInArrow(_entries(side, width, parts, None), ENTRY) for side, df in enumerate((ask, lib))]
+    drawn = [df.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1).mapInArrow(_entries(side, parts, None), ENTRY) for side, df in enumerate((ask, lib))]
     size = drawn[0].unionByName(drawn[1]).groupBy("part").agg(*[F.ceil(F.sum(F.when(F.col("side") == i, F.col("n")).otherwise(0)) / share / ENTRIES).alias(n) for i, n in enumerate(("nq", "nl"))])
     large = {r["part"]: (max(r["nq"], 1), max(r["nl"], 1)) for r in size.where("nq > 1 or nl > 1").collect()}  # a few parts, never entries
-    sides = [df.mapInArrow(_entries(side, width, parts, large), ENTRY) for side, df in enumerate((ask, lib))]
-    hits = sides[0].unionByName(sides[1]).groupBy("part", "qb", "lb").applyInArrow(_hits(width), HITS)
+    sides = [df.mapInArrow(_entries(side, parts, large), ENTRY) for side, df in enumerate((ask, lib))]
+    hits = sides[0].unionByName(sides[1]).groupBy("part", "qb", "lb").applyInArrow(_hits, HITS)
     return hits.groupBy("q_id", "l_id").agg(F.bit_count(F.bit_or("corners")).alias("n")).where(F.col("n") >= LEAST_HITS).select("q_id", "l_id")
 
 

@@ -143,6 +143,15 @@ def test_a_common_key_is_cut_into_blocks(spark, library, monkeypatch):
     assert whole == cut and len(whole) > 500
 
 
+def test_candidates_do_not_depend_on_the_size_of_the_library(spark, library, edited):
+    """400,000 images of one corner, which have no pairs of corners to be found by, beside the library change nothing."""
+    turns = [(9000 + r.id, media.encode_pgm(np.rint(turned(media.decode_pgm(r.image).astype(float), 35)))) for r in library[::2]]
+    ask, lib = (spark.createDataFrame(media.points(spark.createDataFrame(rows, IMAGES)).collect(), media.POINTS) for rows in (edited + turns, library))
+    lone = spark.range(1000, 401_000).select("id", F.unhex(F.lit("00" * 8)).alias("places"), F.unhex(F.lit("5A" * 8)).alias("bits"))
+    small, large = ({(r.q_id, r.l_id) for r in media.candidates(ask, x).collect()} for x in (lib, lib.unionByName(lone)))
+    assert small == large and sum((9000 + r.id, r.id) in large for r in library[::2]) >= 11
+
+
 def test_all_links_and_members_are_returned(spark, library):
     first, other = library[0].image, library[1].image
     crop = media.encode_pgm(EDITS["crop"](media.decode_pgm(first).astype(float), None))
