@@ -13,8 +13,9 @@ the matches near this proposal are solved by least squares, and images match whe
 one solution. Equal images are one class, so copies are never joined with each other; a query that equals a library
 image byte for byte matches it whatever its corners are.
 
-Tables are dealt out by ranges of key hashes; where one holds more entries than a task should take, as with a very common
-key, it is cut into blocks of images, and each block of queries meets each block of the library.
+Images are dealt into blocks of about as many entries as a task should take, and each block of queries meets each block of
+the library by sorted keys. So all hits of two images are counted in one task, which gives out candidates only, and images with a
+very common key are spread over the blocks.
 
 Defined results: null, empty and unreadable images match nothing; images without corners match their equals only; a
 null id is dropped; repeated (id, image) rows count once; images smaller than a patch have no corners.
@@ -44,11 +45,8 @@ NEAR, TABLES, LEAST_HITS = 3, 4, 2
 KEY_BITS = 36
 #: Entries of either side that a task takes at a time.
 ENTRIES = 400_000
-#: Corners of the sample of images from which parts that are too large are known.
-SAMPLE_CORNERS = 1_000_000
 POINTS = "id long, places binary, bits binary"
-ENTRY = "part int, qb int, lb int, side int, n int, ids binary, words binary, geos binary"
-HITS = "q_id long, l_id long, corners long"
+ENTRY = "block int, ids binary, words binary, geos binary"
 
 
 def _offsets() -> np.ndarray:
@@ -199,12 +197,8 @@ def pair_words(bits: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.stack([np.ascontiguousarray(np.packbits(both[:, s], axis=1)).view(">u8").ravel().astype(np.uint64) for s in SAMPLES])
 
 
-def _entries(side: int, parts: int, blocks: dict[int, tuple[int, int]] | None):
-    """Corners' packed rows to table entries, packed by part: ids, sampled bits, and corner, direction and turn of the neighbour.
-
-    A part is a range of hashes of table and key. ``blocks``: of parts that are cut, the numbers of blocks of queries and of
-    the library; an entry goes to its image's block, once for each block of the other side. None: only the parts' sizes.
-    """
+def _entries(blocks: int):
+    """Corners' packed rows to entries of all tables, packed by the images' blocks: ids, sampled bits, and corner, direction and turn of the neighbour."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,7 +215,7 @@ def _entries(side: int, parts: int, blocks: dict[int, tuple[int, int]] | None):
                         geo = (a & 0xFFFF) << 8 | (toward - turn[a]) % TURNS << 4 | (turn[b] - turn[a]) % TURNS
                         found.append((np.full(len(a), vid), bits[a], bits[b], geo))
                         held += len(a)
-                if held >= ENTRIES // 4:
+                if held >= ENTRIES // 16:
                     yield table(emit(found))
                     found, held = [], 0
             if found:
@@ -232,41 +226,32 @@ def _entries(side: int, parts: int, blocks: dict[int, tuple[int, int]] | None):
         n = len(vid)
         words = pair_words(np.concatenate([one, two]), np.arange(n), np.arange(n, 2 * n))
         vid, geo = vid.astype("<i8"), geo.astype("<i4")
-        own = mix(vid.view(np.uint64))
-        for t, word in enumerate(words):
-            part = (mix((word >> np.uint64(64 - KEY_BITS)) * np.uint64(TABLES) + np.uint64(t)) % np.uint64(parts)).astype(np.int64)
-            # the table in the lowest bits, instead of the last sampled ones
-            word = (word & ~np.uint64(7)) | np.uint64(t)
-            order = np.argsort(part, kind="stable")
-            edge = np.flatnonzero(np.concatenate([[True], np.diff(part[order]) != 0, [True]]))
-            for a, b in zip(edge[:-1], edge[1:], strict=True):
-                i = order[a:b]
-                p = int(part[i[0]])
-                if blocks is None:
-                    yield p, 0, 0, side, b - a, None, None, None
-                    continue
-                mine, other = blocks.get(p, (1, 1)) if side == 0 else blocks.get(p, (1, 1))[::-1]
-                for blk in range(mine):
-                    j = i if mine == 1 else i[own[i] % np.uint64(mine) == blk]
-                    for o in range(other) if len(j) else ():
-                        yield p, *((blk, o) if side == 0 else (o, blk)), side, len(j), vid[j].tobytes(), word[j].astype("<u8").tobytes(), geo[j].tobytes()
+        # the table in the lowest bits, instead of the last sampled ones
+        words = (words & ~np.uint64(7)) | np.arange(TABLES, dtype=np.uint64)[:, None]
+        block = (mix(vid.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)
+        order = np.argsort(block, kind="stable")
+        edge = np.flatnonzero(np.concatenate([[True], np.diff(block[order]) != 0, [True]]))
+        for a, b in zip(edge[:-1], edge[1:], strict=True):
+            i = order[a:b]
+            yield int(block[i[0]]), np.tile(vid[i], TABLES).tobytes(), words[:, i].astype("<u8").tobytes(), np.tile(geo[i], TABLES).tobytes()
 
     def table(rows: Iterator[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int32()] * 5 + [pa.binary()] * 3
+        kinds = [pa.int32()] + [pa.binary()] * 3
         return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [c.split()[0] for c in ENTRY.split(", ")])
 
     return run
 
 
 def _hits(t: pa.Table) -> pa.Table:
-    """Of a part's entries the pairs of images that share a key and agree in the rest, with the query's corners (modulo 64) as bits."""
+    """Of the entries of two blocks: the pairs of images of which LEAST_HITS of the query's corners (modulo 64) share a key and agree in the rest."""
     top = np.uint64(2**64 - 2 ** (64 - KEY_BITS)) | np.uint64(7)
     slack = (61 - KEY_BITS) // 5
     sides = []
     for side in (0, 1):
         c = t.filter(pc.equal(t["side"], side))
         id_, word, geo = (np.frombuffer(b"".join(c[n].to_pylist()), kind) for n, kind in (("ids", "<i8"), ("words", "<u8"), ("geos", "<i4")))
-        order = np.argsort(word & top, kind="stable")
+        # queries image by image, so that what is found of one is counted at once
+        order = np.argsort(word & top if side else id_, kind="stable")
         sides.append((id_[order], word[order], geo[order].astype(np.int64)))
     (qid, qw, qg), (lid, lw, lg) = sides
     keys = lw & top
@@ -285,7 +270,8 @@ def _hits(t: pa.Table) -> pa.Table:
         q, l = q[ok], l[ok]
         out.append(_merged(qid[q], lid[l], np.uint64(1) << (qg[q] >> 8 & 63).astype(np.uint64)))
     q, l, corners = _merged(*(np.concatenate(c) for c in zip(*out, strict=True))) if out else [np.empty(0, np.int64)] * 3
-    return pa.table([pa.array(q), pa.array(l), pa.array(corners.view(np.int64))], [c.split()[0] for c in HITS.split(", ")])
+    enough = np.bitwise_count(corners) >= LEAST_HITS
+    return pa.table([pa.array(q[enough]), pa.array(l[enough])], ["q_id", "l_id"])
 
 
 def _merged(q: np.ndarray, l: np.ndarray, corners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -376,16 +362,13 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def candidates(ask: DataFrame, lib: DataFrame) -> DataFrame:
     """Of packed corners of queries and library: (q_id, l_id) of pairs with hits at LEAST_HITS corners."""
-    corners = int(lib.agg(F.sum(F.octet_length("bits")) / 8).first()[0] or 0)
-    parts = max(1, corners * NEAR * TABLES // (ENTRIES // 2))
-    # parts that are too large show in a sample of the images as well
-    share = min(1.0, SAMPLE_CORNERS / max(corners, 1))
-    drawn = [df.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1).mapInArrow(_entries(side, parts, None), ENTRY) for side, df in enumerate((ask, lib))]
-    size = drawn[0].unionByName(drawn[1]).groupBy("part").agg(*[F.ceil(F.sum(F.when(F.col("side") == i, F.col("n")).otherwise(0)) / share / ENTRIES).alias(n) for i, n in enumerate(("nq", "nl"))])
-    large = {r["part"]: (max(r["nq"], 1), max(r["nl"], 1)) for r in size.where("nq > 1 or nl > 1").collect()}  # a few parts, never entries
-    sides = [df.mapInArrow(_entries(side, parts, large), ENTRY) for side, df in enumerate((ask, lib))]
-    hits = sides[0].unionByName(sides[1]).groupBy("part", "qb", "lb").applyInArrow(_hits, HITS)
-    return hits.groupBy("q_id", "l_id").agg(F.bit_count(F.bit_or("corners")).alias("n")).where(F.col("n") >= LEAST_HITS).select("q_id", "l_id")
+    corners = [int(df.agg(F.sum(F.octet_length("bits")) / 8).first()[0] or 0) for df in (ask, lib)]
+    blocks = [n * NEAR * TABLES // ENTRIES + 1 for n in corners]
+    sides = [df.mapInArrow(_entries(n), ENTRY) for df, n in zip((ask, lib), blocks, strict=True)]
+    each = [F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in blocks]
+    q = sides[0].withColumnRenamed("block", "qb").withColumn("lb", each[1]).withColumn("side", F.lit(0))
+    l = sides[1].withColumnRenamed("block", "lb").withColumn("qb", each[0]).withColumn("side", F.lit(1))
+    return q.unionByName(l).groupBy("qb", "lb").applyInArrow(_hits, "q_id long, l_id long")
 
 
 def agreeing_images(pairs: DataFrame, ask: DataFrame, lib: DataFrame) -> DataFrame:
