@@ -14,11 +14,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and read back."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def kept(df: DataFrame, name: str, drop_shuffles: bool = False) -> DataFrame:
+    """Write once to the shared folder and read back; with ``drop_shuffles`` the write's own shuffle files go as soon as it has ended."""
+    spark, path, setting = df.sparkSession, scratch_path(df.sparkSession, name), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    if drop_shuffles:
+        spark.conf.set(setting, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if drop_shuffles:
+            spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def numbered(df: DataFrame, *order: Column | str, rows_per_part: int = 200_000, place: str = "place") -> DataFrame:

@@ -123,14 +123,19 @@ def carry_events(events: DataFrame, theme: DataFrame, days: int = 4, carry: str
 
     Further columns of ``events`` are the stock's own: they hold on the event day and are 0 on the days after. The theme's columns
     are those of the day an event is carried to, with ``carry="event"`` those of its own day. On a conflict for (day, code) the nearest event wins.
+
+    Of a code's events of one day that of the smallest entity wins, and until the code's next event day it is the nearest. So events meet
+    once, by code, and are laid out over their days only after that; no day that another event wins is made.
     """
     own = [c for c in events.columns if c not in ("di", "entity", "code")]
     last = events.agg(F.max("di").alias("_last"))
-    moved = events.select("entity", "code", F.col("di").alias("_di"), *own, F.explode(F.sequence(F.lit(0), F.lit(days))).alias("k")).crossJoin(F.broadcast(last))
-    moved = moved.withColumn("di", F.col("_di") + F.col("k")).where("di <= _last")
-    rank = F.row_number().over(Window.partitionBy("di", "code").orderBy("k", "entity"))
+    w = Window.partitionBy("code").orderBy("di", "entity")
+    won = events.where("di is not null").withColumn("_first", F.coalesce(F.lag("di").over(w) != F.col("di"), F.lit(True))).where("_first").drop("_first")
+    won = won.withColumn("_next", F.lead("di").over(Window.partitionBy("code").orderBy("di"))).crossJoin(F.broadcast(last))
+    most = F.least(F.lit(days), F.col("_next") - F.col("di") - 1, F.col("_last") - F.col("di"))
+    moved = won.select("entity", "code", F.col("di").alias("_di"), *own, F.explode(F.sequence(F.lit(0), most.cast("int"))).alias("k"))
     kept = [F.when(F.col("k") == 0, F.col(c)).otherwise(F.lit(0)).alias(c) for c in own]
-    moved = moved.withColumn("_r", rank).where("_r = 1").select("di", "_di", "code", "entity", (F.col("k") / days).alias("ks_days"), *kept)
+    moved = moved.select((F.col("_di") + F.col("k")).alias("di"), "_di", "code", "entity", (F.col("k") / days).alias("ks_days"), *kept)
     at = theme.withColumnRenamed("di", "_at")
     day = F.col("_at") == F.col("_di" if carry == "event" else "di")
     return moved.join(at.withColumnRenamed("entity", "_e"), day & (F.col("entity") == F.col("_e")), "left").drop("_di", "_at", "_e").fillna(0)

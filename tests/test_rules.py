@@ -1,6 +1,7 @@
 """Cases that decide a rule: suspensions, tails that can be appended to, first traded rows, gates, snapshots, splits, carried events."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,3 +154,24 @@ def test_carried_events(spark):
 def test_stock_gap(spark):
     d = spark.createDataFrame([("e", "a", 1), ("e", "a", 4), ("e", "a", 200), ("f", "a", 5)], "entity string, code string, di int")
     assert sorted((r.entity, r.di, r.st_lastgap) for r in themes.stock_gap(d).collect()) == [("e", 1, 1.0), ("e", 4, 0.05), ("e", 200, 1.0), ("f", 5, 1.0)]
+
+
+def test_carried_events_as_laid_out_and_ranked(spark):
+    rng = random.Random(3)
+    events = {(rng.randrange(30), f"e{rng.randrange(4)}", f"c{rng.randrange(6)}"): float(rng.randrange(1, 9)) for _ in range(60)}
+    theme = {(d, f"e{n}"): d * 10 + n for d in range(30) for n in range(4) if (d + n) % 5}
+    last, best = max(d for d, _, _ in events), {}
+    for (d, e, c), boards in events.items():
+        for k in range(5):
+            if d + k <= last:
+                best[d + k, c] = min(best.get((d + k, c), (9,)), (k, e, boards))
+    df = spark.createDataFrame([(*k, x) for k, x in events.items()], "di int, entity string, code string, st_boards double").repartition(3)
+    at = spark.createDataFrame([(*k, x) for k, x in theme.items()], "di int, entity string, size int")
+    for carry in ("day", "event"):
+        got = themes.carry_events(df, at, carry=carry)
+        # events are shuffled as they are, before they are laid out over the days after
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Generate explode") < plan.index("Window")
+        want = {(d, c): (e, k / 4, 0.0 if k else b, theme.get((d - k if carry == "event" else d, e), 0)) for (d, c), (k, e, b) in best.items()}
+        rows = got.collect()
+        assert {(r.di, r.code): (r.entity, r.ks_days, r.st_boards, r["size"]) for r in rows} == want and len(rows) == len(want)
