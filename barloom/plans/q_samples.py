@@ -84,7 +84,7 @@ def _mean(p):
 
 @query("d08_map_batches", f"WITH {IDS}, b AS (SELECT date, CAST(floor((row_number() OVER (PARTITION BY date ORDER BY code) - 1) / 8.0) AS INT) AS batch FROM ids) SELECT date, batch, count(*) AS n FROM b GROUP BY ALL")
 def _(v: Inputs):
-    return s.map_batches(s.assign_batches(_ids(v), 8), _mean, "date date, batch int, n long")
+    return s.map_batches(s.assign_batches(_ids(v), 8), _mean, "date date, batch int, n long", per_call=1024)
 
 
 @query("d09_feature_view", "SELECT code, date, round(volume, 6) AS volume FROM bars WHERE date BETWEEN DATE '1996-01-01' AND DATE '1996-03-31'")
