@@ -35,14 +35,14 @@ def _(v: Inputs):
     return s.tail_samples(d, "bad", 30, 0, 1 << 30).select("code", "trade_date_idx", "virtual")
 
 
-# with a table by day and one by code and day, of which every third day and every second code lack rows
+# with a table by day and one by supplier (codes above 9,999 are cut to four digits) and day, of which every third day and every second supplier lack rows
 @query("d04_materialise", f"""WITH {IDS}, j AS (SELECT code, date, coalesce(volume, 0) AS volume, coalesce(CASE WHEN isfinite(turn) THEN turn END, 0) AS turn, CASE WHEN trade_date_idx % 3 > 0 THEN trade_date_idx ELSE -1 END AS heat, CASE WHEN code_idx % 2 = 0 THEN code_idx + trade_date_idx ELSE 0.5 END AS mix FROM bars),
 w AS (SELECT code, date, {', '.join(f'list({c}) OVER o AS {c}' for c in ('volume', 'turn', 'heat', 'mix'))} FROM j WINDOW o AS (PARTITION BY code ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
 SELECT code, date, CAST(len(volume) AS INT) AS n, {', '.join(f'round(list_sum([x * i FOR x, i IN {c}])::DOUBLE, 6) AS {c}' for c in ('volume', 'turn', 'heat', 'mix'))} FROM w SEMI JOIN ids USING (code, date)""")
 def _(v: Inputs):
     days = v.calendar.where("tdi % 3 > 0").select("date", F.col("tdi").cast("double").alias("heat"))
-    both = v.bars.where("code_idx % 2 = 0").select("code", "date", (F.col("code_idx") + F.col("trade_date_idx")).cast("double").alias("mix"))
-    d = s.materialise(_ids(v), v.bars, 5, ["volume", "turn", "heat", "mix", "unknown"], ((days, ("date",), -1.0), (both, ("code", "date"), 0.5)))
+    both = v.bars.where("code_idx % 2 = 0").select("code_idx", "date", (F.col("code_idx") + F.col("trade_date_idx")).cast("double").alias("mix"))
+    d = s.materialise(_ids(v), v.bars, 5, ["volume", "turn", "heat", "mix", "unknown"], ((days, ("date",), -1.0), (both, ("code_idx", "date"), 0.5)))
 
     def weighed(c: str):
         """The values by their places, which tells orders apart."""
