@@ -13,6 +13,18 @@ def r6(*names: str):
     return [F.round(n, 6).alias(n) for n in names]
 
 
+def times6(*names: str):
+    """Rounded in doubles as the statement does it: the value times a million, half away from zero. F.round goes by the shortest decimal
+    that names the double, so means of prices that end in half a millionth may come out one off."""
+
+    def one(c: str):
+        y = F.abs(F.col(c) * 1e6)
+        whole = F.floor(y).cast("double")
+        return (F.signum(c) * (whole + (y - whole >= 0.5).cast("double")) / 1e6).alias(c)
+
+    return [one(n) for n in names]
+
+
 def sql6(*names: str) -> str:
     return ", ".join(f"round({n}, 6) AS {n}" for n in names)
 
@@ -27,7 +39,7 @@ def _full(agg: str, n: int, name: str) -> str:
 
 @query("w01_sma", f"WITH x AS (SELECT code, date, {', '.join(_full('avg(close)', n, f'ma{n}') for n in (5, 10, 20, 30, 60))} FROM bars) SELECT code, date, {sql6('ma5', 'ma10', 'ma20', 'ma30', 'ma60')} FROM x")
 def _(v: Inputs):
-    return indicators.sma(v.bars.select("code", "date", "close")).select("code", "date", *r6("ma5", "ma10", "ma20", "ma30", "ma60"))
+    return indicators.sma(v.bars.select("code", "date", "close")).select("code", "date", *times6("ma5", "ma10", "ma20", "ma30", "ma60"))
 
 
 @query("w04_bollinger", f"WITH x AS (SELECT code, date, {_full('avg(close)', 20, 'm')}, {_full('stddev_pop(close)', 20, 's')} FROM bars) SELECT code, date, round(m + 2 * s, 5) AS boll_up, round(m, 5) AS boll_mid, round(m - 2 * s, 5) AS boll_low FROM x")

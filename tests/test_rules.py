@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators import bars, quality, samples, themes
 from barloom.plans.harness import Inputs
+from barloom.plans.q_indicators import times6
 from barloom.plans.registry import ORACLE_SQL, QUERIES
 
 
@@ -243,3 +244,11 @@ def test_side_rows_of_suppliers_that_share_a_code(spark, tmp_path):
     before = [10004.0 + n for n in range(35)]
     allowed = [[before + [10039.0], before + [10039.0, 0.5]], [before + [0.5], before + [0.5, 10039.0]]]
     assert got in [sorted(weighed(w[-5:]) for w in both) for both in allowed]
+
+
+def test_means_round_as_in_the_statement(spark):
+    rng = random.Random(6)
+    values = [11581.577262499999, 3282.5968374999998, 4110.3706925, 4216.4402125, -4110.3706925, 0.0, None] + [rng.randrange(10**9, 10**11) / 1e6 + 5e-7 for _ in range(3000)]
+    got = [r.x for r in spark.createDataFrame([(i, x) for i, x in enumerate(values)], "i int, x double").select("i", *times6("x")).orderBy("i").collect()]
+    c = duckdb.connect()
+    assert got == [c.execute("select round(?::double, 6)", [x]).fetchone()[0] for x in values]
