@@ -83,8 +83,9 @@ def adjust_qfq(bars: DataFrame, mode: str = "qfq") -> DataFrame:
     last = F.last(F.when(traded, F.col("close")), True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     ratio = F.when(traded & (F.col("preclose") > 0) & (last > 0), F.col("preclose") / last)
     ratio = F.when(F.abs(ratio - 1) > 1e-10, ratio).otherwise(1.0)
-    later = Window.partitionBy("code").orderBy(F.desc("date")).rowsBetween(Window.unboundedPreceding, -1)
-    df = bars.withColumn("_ratio", F.coalesce(ratio, F.lit(1.0))).withColumn("qfq_factor", F.coalesce(F.product("_ratio").over(later), F.lit(1.0))).drop("_ratio")
+    # backwards by the rows' numbers, so that rows of one day stand in the same order both ways
+    later = Window.partitionBy("code").orderBy(F.desc("_i")).rowsBetween(Window.unboundedPreceding, -1)
+    df = bars.withColumns({"_ratio": F.coalesce(ratio, F.lit(1.0)), "_i": F.row_number().over(w)}).withColumn("qfq_factor", F.coalesce(F.product("_ratio").over(later), F.lit(1.0))).drop("_ratio", "_i")
     return df.withColumns({c: F.col(c) * F.col("qfq_factor") for c in ("open", "high", "low", "close", "preclose")})
 
 
