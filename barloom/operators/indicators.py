@@ -55,13 +55,14 @@ def _blocks(df: DataFrame, order: list[str], keeps: list[float]) -> tuple[DataFr
     return df.withColumn("_n", n).withColumn("_block", F.floor(F.col("_n") / size)), size
 
 
-def _smooth(df: DataFrame, order: list[str], size: int, parts: dict[str, Smooth]) -> DataFrame:
+def _smooth(df: DataFrame, size: int, parts: dict[str, Smooth]) -> DataFrame:
     """The smoothings as expressions: a step is a map y -> keep * y + z, and such maps compose, within a block by one running sum.
 
     In a block y is keep^i times the running sum of z / keep^i, i the row's place in it, plus keep^(i + 1) times the last y of the
-    block before, of which only that block's own rows still count. From a row without a value on, y is null.
+    block before, of which only that block's own rows still count. From a row without a value on, y is null. All go by the rows' numbers,
+    so that rows which tie in the order they were numbered by stand in the same order in every window.
     """
-    inside, whole = Window.partitionBy("code", "_block").orderBy(*order), Window.partitionBy("code").orderBy("_block", *order)
+    inside, whole = Window.partitionBy("code", "_block").orderBy("_n"), Window.partitionBy("code").orderBy("_n")
     so_far, before = whole.rowsBetween(Window.unboundedPreceding, 0), whole.rowsBetween(Window.unboundedPreceding, -1)
     i = (F.col("_n") % size).cast("double")
     step, lost, y = {}, {}, {}
@@ -100,8 +101,8 @@ def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, order:
     if state is not None:
         df = df.join(state.select("code", F.struct("ema_fast", "ema_slow", "macd_signal").alias("_before")), "code", "left")
     d, size = _blocks(df, order, _keeps(fast, slow, signal))
-    d = _smooth(d, order, size, _macd_parts(fast, slow, None if state is None else "_before")).withColumn("macd", F.col("_fast") - F.col("_slow"))
-    d = _smooth(d, order, size, {"macd_signal": _ema(F.col("macd"), signal, None if state is None else F.col("_before.macd_signal"))})
+    d = _smooth(d, size, _macd_parts(fast, slow, None if state is None else "_before")).withColumn("macd", F.col("_fast") - F.col("_slow"))
+    d = _smooth(d, size, {"macd_signal": _ema(F.col("macd"), signal, None if state is None else F.col("_before.macd_signal"))})
     d = d.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
     if with_state:
         d = d.withColumns({"ema_fast": F.col("_fast"), "ema_slow": F.col("_slow")})
@@ -130,7 +131,7 @@ _STEPS = ("_step_up", "_step_down", "_mean_up", "_mean_down", "_up", "_down")
 def rsi(df: DataFrame, n: int = 14, order: tuple[str, ...] = ("date",), name: str = "rsi") -> DataFrame:
     order = list(order)
     d, size = _blocks(_with_steps(df, n, order), order, [(n - 1) / n])
-    return _smooth(d, order, size, _rsi_parts(n)).withColumn(name, _strength()).drop(*_STEPS, "_n", "_block")
+    return _smooth(d, size, _rsi_parts(n)).withColumn(name, _strength()).drop(*_STEPS, "_n", "_block")
 
 
 def _position(n: int, order: list[str]) -> Column:
@@ -147,7 +148,7 @@ def kdj(df: DataFrame, n: int = 9, m1: int = 3, m2: int = 3, order: tuple[str, .
     """The n-row position comes from window frames, K smooths it and D smooths K."""
     order = list(order)
     d, size = _blocks(df.withColumn("_rsv", _position(n, order)), order, [(m1 - 1) / m1, (m2 - 1) / m2])
-    d = _smooth(_smooth(d, order, size, {"k": _kdj_part("_rsv", n, m1)}), order, size, {"d": _kdj_part("k", n, m2)})
+    d = _smooth(_smooth(d, size, {"k": _kdj_part("_rsv", n, m1)}), size, {"d": _kdj_part("k", n, m2)})
     return d.withColumn("j", 3 * F.col("k") - 2 * F.col("d")).drop("_rsv", "_n", "_block")
 
 
@@ -157,8 +158,8 @@ def daily_features(bars: DataFrame) -> DataFrame:
     df = df.withColumn("price_limit", price_limit(F.col("code"), F.col("isST"), F.col("is_new")))
     df = bollinger(sma(df)).withColumn("_rsv", _position(9, ["date"]))
     d, size = _blocks(_with_steps(df, 14, ["date"]), ["date"], [*_keeps(12, 26, 9), 13 / 14, 2 / 3])
-    d = _smooth(d, ["date"], size, _macd_parts(12, 26) | _rsi_parts(14) | {"k": _kdj_part("_rsv", 9, 3)}).withColumns({"macd": F.col("_fast") - F.col("_slow"), "rsi": _strength()})
-    d = _smooth(d, ["date"], size, {"macd_signal": _ema(F.col("macd"), 9), "d": _kdj_part("k", 9, 3)})
+    d = _smooth(d, size, _macd_parts(12, 26) | _rsi_parts(14) | {"k": _kdj_part("_rsv", 9, 3)}).withColumns({"macd": F.col("_fast") - F.col("_slow"), "rsi": _strength()})
+    d = _smooth(d, size, {"macd_signal": _ema(F.col("macd"), 9), "d": _kdj_part("k", 9, 3)})
     return d.withColumns({"macd_hist": F.col("macd") - F.col("macd_signal"), "j": 3 * F.col("k") - 2 * F.col("d")}).drop(*_STEPS, "_rsv", "_fast", "_slow", "_n", "_block")
 
 
@@ -166,8 +167,8 @@ def m15_features(m15: DataFrame) -> DataFrame:
     """RSI and KDJ over a code's intraday bars in order, running on across days."""
     order = ["date", "slot"]
     d, size = _blocks(_with_steps(m15.withColumn("_rsv", _position(9, order)), 14, order), order, [13 / 14, 2 / 3])
-    d = _smooth(d, order, size, _rsi_parts(14) | {"k": _kdj_part("_rsv", 9, 3)}).withColumn("rsi", _strength())
-    d = _smooth(d, order, size, {"d": _kdj_part("k", 9, 3)})
+    d = _smooth(d, size, _rsi_parts(14) | {"k": _kdj_part("_rsv", 9, 3)}).withColumn("rsi", _strength())
+    d = _smooth(d, size, {"d": _kdj_part("k", 9, 3)})
     return d.withColumn("j", 3 * F.col("k") - 2 * F.col("d")).drop(*_STEPS, "_rsv", "_n", "_block")
 
 

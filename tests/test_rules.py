@@ -1,13 +1,15 @@
 """Cases that decide a rule: suspensions, tails that can be appended to, first traded rows, gates, snapshots, splits, carried events."""
 
 import datetime
+import itertools
+import math
 import random
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.operators import bars, quality, samples, themes
+from barloom.operators import bars, indicators, quality, samples, themes
 from barloom.plans.harness import Inputs
 from barloom.plans.q_indicators import times6
 from barloom.plans.registry import ORACLE_SQL, QUERIES
@@ -252,3 +254,37 @@ def test_means_round_as_in_the_statement(spark):
     got = [r.x for r in spark.createDataFrame([(i, x) for i, x in enumerate(values)], "i int, x double").select("i", *times6("x")).orderBy("i").collect()]
     c = duckdb.connect()
     assert got == [c.execute("select round(?::double, 6)", [x]).fetchone()[0] for x in values]
+
+
+def _in_some_order(rows, f, got):
+    """Whether ``got`` is what ``f`` gives for the rows in one of the orders that their days allow."""
+    days = [list(itertools.permutations(g)) for _, g in itertools.groupby(sorted(rows), key=lambda r: r[0])]
+    return any(f([r for part in order for r in part]) == got for order in itertools.product(*days))
+
+
+def test_rows_of_one_day_stand_in_one_order(spark):
+    """Several rows of a code on a day may come in any order, but in the same one for all that a query works out."""
+    rows = [(0, 10.0), (0, 13.0), (1, 11.0), (2, 17.0), (2, 9.0), (3, 12.0), (4, 8.0), (4, 19.0), (5, 10.0)]
+
+    def ema(values, span):
+        out = [values[0]]
+        for x in values[1:]:
+            out.append(out[-1] + 2 / (span + 1) * (x - out[-1]))
+        return out
+
+    def macd(rs):
+        fast, slow = (ema([x for _, x in rs], n) for n in (3, 5))
+        return sorted((d, x, round(a - b, 9) + 0.0) for (d, x), a, b in zip(rs, fast, slow))
+
+    def adjusted(rs):
+        ratios = [1.0] + [(x - 1) / before for (_, before), (_, x) in zip(rs, rs[1:])]
+        return sorted((d, x, round(x * math.prod(ratios[i + 1 :]), 9)) for i, (d, x) in enumerate(rs))
+
+    for seed in range(4):
+        mixed = random.Random(seed).sample(rows, len(rows))
+        df = spark.createDataFrame([("a", day(d + 1), x, x, x, x, x - 1, 1) for d, x in mixed], "code string, date date, open double, high double, low double, close double, preclose double, tradestatus int").repartition(1)
+        at = {day(d + 1): d for d, _ in rows}
+        got = sorted((at[r.date], r.close, round(r.macd, 9) + 0.0) for r in indicators.macd(df, 3, 5, 2).collect())
+        assert _in_some_order(rows, macd, got)
+        got = sorted((at[r.date], r.close, round(r.adjusted, 9)) for r in bars.adjust_qfq(df.withColumn("x", F.col("close"))).select("date", F.col("x").alias("close"), F.col("close").alias("adjusted")).collect())
+        assert _in_some_order(rows, adjusted, got)
